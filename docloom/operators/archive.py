@@ -16,8 +16,10 @@ from docloom.functions import names as N
 from docloom.functions.text import is_blank, py_strip
 from docloom.operators.outcomes import INPUT_REJECTED, TIMEOUT, message
 
-# Kinds an entry can have.
+# Kinds an entry can have; the last stands for a container that
+# could not be read on from this point.
 FILE, DIRECTORY, SYMLINK, HARDLINK = "file", "dir", "symlink", "hardlink"
+SPECIAL, UNREADABLE = "special", "unreadable"
 
 EMPTY_MEMBER = "parsed to an empty document"
 
@@ -39,8 +41,13 @@ def archive_verdicts(members: DataFrame, max_members: int, max_bytes: int) -> Da
     """One row per archive: entry and file counts, and why it is refused if it is.
 
     The first bad entry in archive order decides.  A zip lists its entries up
-    front, so its count is checked before any of them.
+    front, so its count is checked before any of them.  Members may carry their
+    own ``error_code`` and ``error`` from reading, which count after the rules.
     """
+    if "error_code" not in members.columns:
+        members = members.withColumns(
+            {c: F.lit(None).cast("string") for c in ("error_code", "error")}
+        )
     counts = members.groupBy("archive", "container").agg(
         (F.max("ordinal") + 1).cast("bigint").alias("n_entries"),
         F.count_if(F.col("kind") == FILE).alias("n_files"),
@@ -63,11 +70,24 @@ def archive_verdicts(members: DataFrame, max_members: int, max_bytes: int) -> Da
     )
     firsts = (
         members.where(F.col("ordinal") <= max_members)
-        .select("archive", "container", "ordinal", "name", "kind", running.alias("running"))
-        .select("archive", "ordinal", reason.alias("reason"))
-        .where("reason is not null")
+        .select(
+            "archive", "container", "ordinal", "name", "kind", "error_code", "error",
+            running.alias("running"),
+        )
+        .withColumn("reason", F.when(kind != UNREADABLE, reason))
+        .select(
+            "archive",
+            "ordinal",
+            F.when(F.col("reason").isNotNull(), F.struct(F.lit(INPUT_REJECTED).alias("code"), "reason"))
+            .when(
+                F.col("error_code").isNotNull(),
+                F.struct(F.col("error_code").alias("code"), F.col("error").alias("reason")),
+            )
+            .alias("first"),
+        )
+        .where("first is not null")
         .groupBy("archive")
-        .agg(F.min_by("reason", "ordinal").alias("reason"))
+        .agg(F.min_by("first", "ordinal").alias("first"))
     )
     too_many = F.when(
         ~is_tar & (F.col("n_entries") > max_members),
@@ -78,8 +98,10 @@ def archive_verdicts(members: DataFrame, max_members: int, max_bytes: int) -> Da
     )
     return (
         counts.join(firsts, "archive", "left")
-        .withColumn("error", F.coalesce(too_many, F.col("reason")))
-        .withColumn("error_code", F.when(F.col("error").isNotNull(), INPUT_REJECTED))
+        .withColumn("error", F.coalesce(too_many, F.col("first.reason")))
+        .withColumn(
+            "error_code", F.when(too_many.isNotNull(), INPUT_REJECTED).otherwise(F.col("first.code"))
+        )
         .select("archive", "container", "n_entries", "n_files", "error_code", "error")
     )
 

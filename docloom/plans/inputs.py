@@ -6,6 +6,11 @@ their number grows with the table and no archive does, whatever the skew.
 
 from __future__ import annotations
 
+import io
+import tarfile
+import zipfile
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -98,7 +103,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(doc % 15 == 7, F.concat(F.lit("/data/"), F.col("source"), F.lit("/../../etc/"), tail))
         .otherwise(F.concat(F.lit("/data/"), F.col("source"), F.lit("/"), tail))
     )
-    encoded = F.base64(F.col("text").cast("binary"))
+    encoded = F.translate(F.base64(F.col("text").cast("binary")), "\r\n", "")
     content = (
         F.when(doc % 38 == 0, F.concat(F.left(encoded, F.lit(5)), F.lit(" "), F.substring(encoded, 6, 1 << 30)))
         .when(doc % 46 == 0, F.rtrim(encoded, F.lit("=")))
@@ -186,7 +191,8 @@ def content_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_job_events(events: DataFrame) -> DataFrame:
+    """Works on the table and on a stream of it alike."""
     status = (
         F.when(F.col("event_type") == "view", "queued")
         .when(F.col("event_type") == "click", "running")
@@ -194,9 +200,46 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "error", "failed")
         .when(F.col("event_type") == "signup", "cancelled")
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         (F.col("user_id") * 31 + F.dayofmonth("ts")).alias("job_id"),
         "ts",
         F.col("event_id").alias("seq"),
         status.alias("status"),
     )
+
+
+def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_job_events(table(spark, sf_dir, "events"))
+
+
+def packed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``entries`` packed into real zip and tar files, one row per archive.
+
+    An archive holds at most a thousand documents, so no group can outgrow a task.
+    """
+    rows = entries(spark, sf_dir).select(
+        "archive", "container", "ordinal", "name", "kind", F.col("text").cast("binary").alias("content")
+    )
+    return rows.groupBy("archive", "container").applyInPandas(_pack, "path string, content binary")
+
+
+def _pack(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("ordinal")
+    container = rows["container"].iloc[0]
+    out = io.BytesIO()
+    if container == "zip":
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as target:
+            for name, kind, content in zip(rows["name"], rows["kind"], rows["content"]):
+                info = zipfile.ZipInfo(name + "/" if kind == "dir" else name)
+                info.external_attr = (0o120777 if kind == "symlink" else 0o100644) << 16
+                target.writestr(info, b"" if kind == "dir" else content)
+    else:
+        with tarfile.open(fileobj=out, mode="w:gz") as target:
+            for name, kind, content in zip(rows["name"], rows["kind"], rows["content"]):
+                info = tarfile.TarInfo(name)
+                info.type = {"dir": tarfile.DIRTYPE, "symlink": tarfile.SYMTYPE}.get(kind, tarfile.REGTYPE)
+                info.size = len(content) if kind == "file" else 0
+                target.addfile(info, io.BytesIO(content) if kind == "file" else None)
+    suffix = ".zip" if container == "zip" else ".tar.gz"
+    path = f"/data/{rows['archive'].iloc[0]}{suffix}"
+    return pd.DataFrame({"path": [path], "content": [out.getvalue()]})

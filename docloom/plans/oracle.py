@@ -286,6 +286,17 @@ def repeated_names() -> str:
       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS digest FROM entries"""
 
 
+PACKED = f"""{ENTRIES},
+packed AS (SELECT *, '/data/' || archive || CASE container WHEN 'zip' THEN '.zip' ELSE '.tar.gz' END AS path FROM guarded)"""
+
+
+def archive_expand() -> str:
+    return f"""WITH {PACKED} SELECT path AS archive, container, ordinal,
+  CASE WHEN kind = 'dir' AND container = 'zip' THEN name || '/' ELSE name END AS name, kind,
+  CASE WHEN kind = 'file' OR (kind = 'symlink' AND container = 'zip') THEN strlen(text) ELSE 0 END AS declared_size,
+  CASE WHEN kind = 'file' THEN md5(text) END AS digest, CAST(NULL AS VARCHAR) AS error FROM packed"""
+
+
 def _members() -> str:
     code, text, _ = preflight("name")
     return f"""
@@ -298,8 +309,8 @@ members AS (SELECT archive, name, body, string_split(name, '/') AS parts, doc_id
   FROM members1)"""
 
 
-def _assembled(budget: int) -> str:
-    return f"""{_members()},
+def _assembled(budget: int, members: str | None = None) -> str:
+    return f"""{members or _members()},
 costed AS (SELECT *, code IS NULL AND body <> '' AS good,
     '# ' || name || chr(10) || chr(10) || body AS section FROM members),
 walked AS (SELECT *, sum(CASE WHEN good THEN strlen(section) + 2 ELSE 0 END)
@@ -325,6 +336,54 @@ def _assembly(budget: int) -> str:
   over_budget, n_members, error_code, error FROM assembled"""
 
 
+def parse_job_archives() -> str:
+    code, text, _ = preflight("plain_name")
+    members = f"""{PACKED},
+refusals AS (SELECT path, arg_min(member_error, ordinal) FILTER (member_error IS NOT NULL) AS refused
+  FROM packed GROUP BY path),
+members AS (SELECT p.path AS archive, plain_name AS name, {strip('text')} AS body, string_split(plain_name, '/') AS parts,
+    0 AS pages, {code} AS code, {text} AS msg
+  FROM packed p JOIN refusals r ON r.path = p.path WHERE refused IS NULL AND kind = 'file')"""
+    return f"""WITH {_assembled(q.ARCHIVE_BUDGET, members)},
+ready AS (SELECT r.path, regexp_extract(r.path, '[^/]*$') AS filename, coalesce(markdown, '') AS markdown,
+    coalesce(warnings, '') AS notes, coalesce(sources, '') AS sources, page_count,
+    coalesce(over_budget, false) AS over_budget,
+    CASE WHEN refused IS NOT NULL THEN 'input_rejected' ELSE error_code END AS error_code,
+    coalesce(refused, error) AS error FROM refusals r LEFT JOIN assembled a ON a.archive = r.path),
+{_shaped(q.ARCHIVE_BUDGET, q.SHARED_MIN_TEXT, 'path')}"""
+
+
+def _single(key: str) -> str:
+    code, text, _ = preflight("filename")
+    return f"""WITH named AS (SELECT *, regexp_extract({FILE_NAME}, '[^/]*$') AS filename,
+    '/data/' || source || '/' || {FILE_NAME} AS path FROM documents),
+ready AS (SELECT doc_id, path, filename, {MARKDOWN} AS markdown, '' AS notes, filename AS sources,
+    CAST(NULL AS BIGINT) AS page_count, false AS over_budget, {code} AS error_code, {text} AS error FROM named),
+{_shaped(q.SHARED_BUDGET, q.SHARED_MIN_TEXT, key)}"""
+
+
+def result_sink() -> str:
+    code, _, _ = preflight("path")
+    return f"""WITH named AS (SELECT '/data/' || source || '/' || {FILE_NAME} AS path FROM documents)
+SELECT path, CASE WHEN {code} IS NULL THEN 'succeeded' ELSE 'failed' END AS status, {code} AS error_code FROM named"""
+
+
+def output_scan() -> str:
+    return """SELECT regexp_extract(url, '://([^/]+)', 1) AS parse_id,
+  CAST(sum(strlen(regexp_replace(html, '[\\r\\n]+', ' ', 'g')) + 1) AS BIGINT) AS n_bytes FROM pages GROUP BY 1"""
+
+
+def job_stream() -> str:
+    """The stream's clock stops ten seconds before its last event."""
+    due = f"started_at + INTERVAL {q.TIMEOUT_SECS} SECOND"
+    late = f"coalesce(coalesce(finished_at, clock) >= {due} AND coalesce(finished_at > {due}, true), false)"
+    return f"""WITH {_jobs()},
+timed AS (SELECT *, (SELECT max(ts) - INTERVAL 10 SECOND FROM events) AS clock FROM jobs)
+SELECT job_id, CASE WHEN {late} THEN 'failed' ELSE status END AS status, created_at, started_at,
+  CASE WHEN {late} THEN {due} ELSE finished_at END AS finished_at,
+  CASE WHEN {late} THEN 'timeout' END AS error_code FROM timed"""
+
+
 def _shaped(budget: int, min_text: int, key: str) -> str:
     """From ``ready`` (key, filename, markdown, notes, sources, page_count,
     over_budget, error_code, error) to flat results."""
@@ -524,13 +583,17 @@ def all_sql() -> dict[str, str]:
             option_cleanup, outcome_typing, member_guard, repeated_names, archive_result,
             plain_text_html, clip_bytes, shared_budget, error_tail, lossy_read, result_record,
             pick_markdown, page_count, page_window, no_output, job_snapshot, job_lookup,
-            job_deadline, job_cancel,
+            job_deadline, job_cancel, archive_expand, parse_job_archives, result_sink,
+            output_scan, job_stream,
         )
     }
     sql["archive_caps"] = _caps(49, 90_000)
     sql["archive_bytes_cap"] = _caps(q.MAX_MEMBERS, 90_000)
     sql["archive_assembly"] = _assembly(q.ARCHIVE_BUDGET)
     sql["archive_uncut"] = _assembly(8 * 1024 * 1024)
+    sql["archive_expand_sql"] = sql["archive_expand"]
+    sql["parse_job_documents"] = _single("path")
+    sql["doc_stream"] = _single("doc_id")
     sql["job_listing"] = f"WITH {_jobs()} SELECT job_id, status, created_at, started_at, finished_at FROM jobs"
     sql["job_retention"] = job_retention(q.MAX_JOBS_WIDE)
     sql["job_retention_default"] = job_retention(q.MAX_JOBS)

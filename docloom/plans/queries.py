@@ -12,14 +12,21 @@ from docloom.functions import names as N
 from docloom.functions import options as O
 from docloom.functions import payload as P
 from docloom.functions import text as T
-from docloom.limits import MIB
+from docloom.limits import MIB, Limits
 from docloom.operators import archive as A
 from docloom.operators import intake as I
 from docloom.operators import ledger as L
 from docloom.operators import outcomes as X
 from docloom.operators import outputs as G
 from docloom.operators import results as R
+from docloom.operators.hook import decode_text
 from docloom.plans import inputs as inp
+from docloom.plans.parse_job import parse_archives, parse_single
+from docloom.session import stage_path
+from docloom.sources import files, sinks
+from docloom.sources.containers import expand_archives, register_expand_archive
+from docloom.streaming.documents import shape_stream, write_stream
+from docloom.streaming.jobs import latest_jobs, live_jobs, start_live_jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -340,6 +347,106 @@ def job_retention_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.retain_jobs(_jobs(spark, sf_dir), MAX_JOBS)
 
 
+# --- files, containers, parser hook -----------------------------------------
+
+
+def document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table files themselves as binary files, listed and digested."""
+    found = files.scan(spark, sf_dir, "*.parquet")
+    return found.select(
+        N.base_name(F.col("path")).alias("name"), "length", F.md5("content").alias("digest")
+    )
+
+
+def output_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as parser output, one folder per host, and scanned back."""
+    host = F.regexp_extract("url", r"://([^/]+)", 1)
+    root = stage_path(spark, "outputs")
+    pages = inp.table(spark, sf_dir, "pages").select(
+        host.alias("host"), F.regexp_replace("html", r"[\r\n]+", " ").alias("value")
+    )
+    pages.write.partitionBy("host").text(root)
+    found = files.scan_outputs(spark, root, "*.txt")
+    return found.groupBy("parse_id").agg(F.sum("size").alias("n_bytes"))
+
+
+def archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = expand_archives(inp.packed_archives(spark, sf_dir))
+    return entries.select(
+        "archive", "container", "ordinal", "name", "kind", "declared_size",
+        F.md5("content").alias("digest"), "error",
+    )
+
+
+def archive_expand_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a table function."""
+    register_expand_archive(spark)
+    return spark.sql(
+        """SELECT f.path AS archive, e.container, e.ordinal, e.name, e.kind, e.declared_size,
+                  md5(e.content) AS digest, e.error
+           FROM {packed} f, LATERAL expand_archive(f.path, f.content) e""",
+        packed=inp.packed_archives(spark, sf_dir),
+    )
+
+
+def parse_job_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = inp.markdown_documents(spark, sf_dir).select(
+        F.concat(F.lit("/data/"), "source", F.lit("/"), inp.file_name()).alias("path"),
+        F.col("markdown").cast("binary").alias("content"),
+    )
+    limits = Limits(max_output_bytes=SHARED_BUDGET, min_text_bytes=SHARED_MIN_TEXT)
+    return flat_results(parse_single(docs, limits, decode_text, office_readable=False).drop("missing_dependencies"))
+
+
+def parse_job_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    limits = Limits(max_output_bytes=ARCHIVE_BUDGET, min_text_bytes=SHARED_MIN_TEXT)
+    results = parse_archives(inp.packed_archives(spark, sf_dir), limits, decode_text, office_readable=False)
+    return flat_results(results.drop("missing_dependencies"))
+
+
+def result_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results written by status; the listing reads everything but the payload."""
+    docs = inp.markdown_documents(spark, sf_dir).select(
+        F.concat(F.lit("/data/"), "source", F.lit("/"), inp.file_name()).alias("path"), "markdown"
+    )
+    path = stage_path(spark, "results")
+    sinks.write_results(sinks.with_status(shape_stream(docs, office_readable=False)), path)
+    return sinks.read_listing(spark, path).select("path", "status", "error_code")
+
+
+# --- streams ----------------------------------------------------------------
+
+
+def doc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = inp.table(spark, sf_dir, "documents").schema
+    arriving = (
+        spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    ).select(
+        "doc_id",
+        F.concat(F.lit("/data/"), "source", F.lit("/"), inp.file_name()).alias("path"),
+        inp.markdown().alias("markdown"),
+    )
+    limits = Limits(max_output_bytes=SHARED_BUDGET, min_text_bytes=SHARED_MIN_TEXT)
+    out = stage_path(spark, "doc-stream")
+    shaped = shape_stream(arriving, limits, office_readable=False)
+    write_stream(shaped, out, stage_path(spark, "doc-stream-log")).awaitTermination()
+    return flat_results(spark.read.parquet(out).select("doc_id", "error_code", "error", "result"))
+
+
+def job_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = inp.table(spark, sf_dir, "events").schema
+    arriving = (
+        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    )
+    changes = live_jobs(inp.as_job_events(arriving), TIMEOUT_SECS, retention_secs=86_400)
+    out = stage_path(spark, "job-stream")
+    start_live_jobs(spark, changes, out, stage_path(spark, "job-stream-log")).awaitTermination()
+    jobs = latest_jobs(spark.read.parquet(out))
+    return jobs.withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "started_at", "finished_at")}
+    )
+
+
 def all_queries() -> dict[str, Query]:
     named: dict[str, Query] = {
         f.__name__: f
@@ -350,6 +457,8 @@ def all_queries() -> dict[str, Query]:
             clip_bytes, shared_budget, error_tail, lossy_read, result_record, pick_markdown,
             page_count, page_window, no_output, job_snapshot, job_listing, job_lookup,
             job_deadline, job_cancel, job_retention, job_retention_default,
+            document_scan, output_scan, archive_expand, archive_expand_sql,
+            parse_job_documents, parse_job_archives, result_sink, doc_stream, job_stream,
         )
     }
     named.update({k: _text_query(f) for k, f in TEXT_STEPS.items()})
