@@ -369,7 +369,7 @@ SELECT path, CASE WHEN {code} IS NULL THEN 'succeeded' ELSE 'failed' END AS stat
 
 
 def output_scan() -> str:
-    return """SELECT regexp_extract(url, '://([^/]+)', 1) AS parse_id,
+    return """SELECT 'parse=' || (page_id % 32) AS parse_id,
   CAST(sum(strlen(regexp_replace(html, '[\\r\\n]+', ' ', 'g')) + 1) AS BIGINT) AS n_bytes FROM pages GROUP BY 1"""
 
 

@@ -359,13 +359,12 @@ def document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def output_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as parser output, one folder per host, and scanned back."""
-    host = F.regexp_extract("url", r"://([^/]+)", 1)
+    """Pages written as output of 32 parses, one folder each, and scanned back."""
     root = stage_path(spark, "outputs")
     pages = inp.table(spark, sf_dir, "pages").select(
-        host.alias("host"), F.regexp_replace("html", r"[\r\n]+", " ").alias("value")
+        (F.col("page_id") % 32).alias("parse"), F.regexp_replace("html", r"[\r\n]+", " ").alias("value")
     )
-    pages.write.partitionBy("host").text(root)
+    pages.write.partitionBy("parse").text(root)
     found = files.scan_outputs(spark, root, "*.txt")
     return found.groupBy("parse_id").agg(F.sum("size").alias("n_bytes"))
 

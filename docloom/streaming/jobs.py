@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -58,17 +58,13 @@ class JobState(StatefulProcessor):
         self.record = handle.getValueState("record", STATE_FIELDS)
 
     def _load(self) -> dict | None:
-        if not self.record.exists():
-            return None
-        return dict(zip(STATE_COLUMNS, self.record.get()))
+        stored = self.record.get()
+        return None if stored is None else dict(zip(STATE_COLUMNS, stored))
 
-    def _store(self, key, job: dict) -> pd.DataFrame:
+    def _store(self, key, job: dict) -> Row:
         job["revision"] += 1
-        values = tuple(job[c] for c in STATE_COLUMNS)
-        self.record.update(values)
-        return pd.DataFrame([(*key, *values)], columns=["job_id", *STATE_COLUMNS]).astype(
-            {"started_us": "Int64", "finished_us": "Int64"}
-        )
+        self.record.update(tuple(job[c] for c in STATE_COLUMNS))
+        return Row(job_id=key[0], **job)
 
     def _remind(self, at_us: int) -> None:
         """A timer at the first millisecond that is not before ``at_us``."""
@@ -78,18 +74,18 @@ class JobState(StatefulProcessor):
         job["status"], job["finished_us"], job["error_code"] = status, at_us, code
         self._remind(at_us + self.retention)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         job = self._load()
         if job is not None and job["status"] in TERMINAL:
             return
         created, run, end = None, None, None
-        for batch in rows:
-            for here in zip(batch["at_us"].tolist(), batch["seq"].tolist(), batch["status"]):
-                created = here[0] if created is None else min(created, here[0])
-                if here[2] in TERMINAL:
-                    end = here if end is None else min(end, here)
-                elif here[2] == RUNNING:
-                    run = here if run is None else min(run, here)
+        for row in rows:
+            here = (row.at_us, row.seq, row.status)
+            created = here[0] if created is None else min(created, here[0])
+            if row.status in TERMINAL:
+                end = here if end is None else min(end, here)
+            elif row.status == RUNNING:
+                run = here if run is None else min(run, here)
         if created is None:
             return
         if job is None:
@@ -98,16 +94,17 @@ class JobState(StatefulProcessor):
         before = dict(job)
         if job["started_us"] is None and run is not None and (end is None or run < end):
             job["status"], job["started_us"] = RUNNING, run[0]
-            self._remind(run[0] + self.timeout)
         due = None if job["started_us"] is None else job["started_us"] + self.timeout
         if end is not None and due is not None and end[0] > due:
             self._close(job, "failed", due, TIMEOUT)
         elif end is not None:
             self._close(job, end[2], end[0])
+        elif due is not None and before["started_us"] is None:
+            self._remind(due)
         if job != before or before["revision"] == 0:
             yield self._store(key, job)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         job = self._load()
         if job is None:
             return
@@ -130,7 +127,7 @@ def live_jobs(
         first_events(events)
         .withWatermark("ts", delay)
         .groupBy("job_id")
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=JobState(timeout_secs, retention_secs),
             outputStructType=f"job_id bigint, {STATE_FIELDS}",
             outputMode="Append",
