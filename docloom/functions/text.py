@@ -6,7 +6,9 @@ they are spelled out, and every pattern runs with Unix line mode.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The 29 characters that count as whitespace.
@@ -18,9 +20,16 @@ WHITESPACE = (
 # The single characters that end a line besides "\n".
 LINE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
-_BLANKS = "".join(c for c in WHITESPACE if c != "\n" and c not in LINE_BREAKS)
-_W = f"[{WHITESPACE}]"
-_H = f"[{_BLANKS}]"
+LINE_BLANKS = "".join(c for c in WHITESPACE if c != "\n" and c not in LINE_BREAKS)
+
+# The same sets as pattern classes.  A class with characters past Latin-1 is
+# several times slower per character, so where one is tried at every character
+# the ASCII form is used for text that has none of the others.
+_W = r"[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_BLANK = r"[\t\x1f \xa0\u1680\u2000-\u200a\u202f\u205f\u3000]"
+_BREAK = r"[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+_ASCII_BLANK = r"[\t\x1f ]"
+_ASCII_BREAK = r"[\r\x0b\x0c\x1c-\x1e]"
 
 
 def _replace(c: Column, pattern: str, to: str) -> Column:
@@ -71,38 +80,79 @@ def strip_bullets(c: Column) -> Column:
 
 
 def strip_emphasis(c: Column) -> Column:
-    """Every ``*``, ``_`` and back-tick goes, so one translate is enough."""
-    return F.translate(c, "*_`", "")
+    """Every ``*``, ``_`` and back-tick goes, alone or doubled."""
+    return _replace(c, "[*_`]++", "")
 
 
-def trim_line_ends(c: Column) -> Column:
-    folded = F.translate(
-        F.replace(c, F.lit("\r\n"), F.lit("\n")), LINE_BREAKS, "\n" * len(LINE_BREAKS)
+def _has_any(c: Column, marks: str | tuple[str, ...]) -> Column:
+    found = F.contains(c, F.lit(marks[0]))
+    for mark in marks[1:]:
+        found = found | F.contains(c, F.lit(mark))
+    return found
+
+
+_WIDE = "".join(c for c in WHITESPACE if ord(c) > 127)
+
+
+def _by_width(c: Column, pattern: Callable[[str, str], str]) -> Column:
+    wide = (F.octet_length(c) != F.length(c)) & _has_any(c, _WIDE)
+    return F.when(wide, _replace(c, pattern(_BLANK, _BREAK), "\n")).otherwise(
+        _replace(c, pattern(_ASCII_BLANK, _ASCII_BREAK), "\n")
     )
-    return _replace(folded, f"(?<!{_H}){_H}++(?=\\n|\\z)", "")
+
+
+def fold_pairs(c: Column) -> Column:
+    return F.replace(c, F.lit("\r\n"), F.lit("\n"))
+
+
+def fold_breaks(c: Column) -> Column:
+    return _by_width(c, lambda blank, line_break: line_break)
+
+
+def trim_lines(c: Column) -> Column:
+    """Blanks before a newline go.
+
+    The look-behind lets a run of blanks be tried from its first one only.
+    """
+    return _by_width(c, lambda blank, line_break: f"{blank}(?<!{blank}{blank}){blank}*+\\n")
+
+
+def trim_line_ends(c: Column) -> Column:
+    """Every line break becomes a newline and every line loses its end blanks."""
+    return F.rtrim(trim_lines(fold_breaks(fold_pairs(c))), F.lit(LINE_BLANKS))
 
 
 def squeeze_blank_lines(c: Column) -> Column:
-    return _replace(c, r"\n{3,}+", "\n\n")
+    return _replace(c, "\n\n\n++", "\n\n")
 
 
 # The order is part of the result: a later step sees what earlier ones left.
+# Beside each step, what a text must contain for the step to change it.
 PLAIN_TEXT_STEPS = (
-    strip_code_fences,
-    strip_images,
-    strip_links,
-    strip_html_tags,
-    strip_headings,
-    strip_block_quotes,
-    strip_bullets,
-    strip_emphasis,
-    trim_line_ends,
-    squeeze_blank_lines,
-    py_strip,
+    (strip_code_fences, ("```",)),
+    (strip_images, ("![",)),
+    (strip_links, ("](",)),
+    (strip_html_tags, ("<",)),
+    (strip_headings, ("#",)),
+    (strip_block_quotes, (">",)),
+    (strip_bullets, ("-", "*", "+")),
+    (strip_emphasis, ("*", "_", "`")),
+    (fold_pairs, ("\r\n",)),
+    (fold_breaks, tuple(LINE_BREAKS)),
+    (trim_lines, tuple(blank + "\n" for blank in LINE_BLANKS)),
+    (squeeze_blank_lines, ("\n\n\n",)),
 )
 
 
-def to_plain_text(c: Column) -> Column:
-    for step in PLAIN_TEXT_STEPS:
-        c = step(c)
-    return c
+def with_plain_text(df: DataFrame, source: str, target: str) -> DataFrame:
+    """Adds ``target``: the markup-free form of ``source``.
+
+    One projection per step, so each step's text is a value that its guard and
+    its pattern both read.  The guards are byte searches, far cheaper than the
+    patterns; prose without markup passes through untouched.
+    """
+    df = df.withColumn(target, F.col(source))
+    text = F.col(target)
+    for step, marks in PLAIN_TEXT_STEPS:
+        df = df.withColumn(target, F.when(_has_any(text, marks), step(text)).otherwise(text))
+    return df.withColumn(target, py_strip(text))

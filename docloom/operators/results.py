@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import budget as B
-from docloom.functions.text import is_blank, to_plain_text
+from docloom.functions.text import is_blank, with_plain_text
 from docloom.limits import MIB
 from docloom.operators.outcomes import empty_failure
 
@@ -26,15 +26,18 @@ def share_budget(df: DataFrame, budget: int, min_text: int) -> DataFrame:
     the costly value of the one before by name, so it is computed once.
     """
     left = F.col("_left")
-    return (
+    split = (
         df.withColumn("whole_markdown", B.fits(F.col("markdown"), budget))
         .withColumn("_clipped", B.clip_bytes(F.col("markdown"), budget))
         .withColumn("_left", F.lit(budget) - F.octet_length("_clipped"))
-        .withColumn("_plain", F.when(left >= min_text, to_plain_text(F.col("markdown"))))
+        .withColumn("_source", F.when(left >= min_text, F.col("markdown")))
+    )
+    return (
+        with_plain_text(split, "_source", "_plain")
         .withColumn("whole_text", F.coalesce(F.octet_length("_plain") <= left, F.lit(False)))
         .withColumn("text", F.coalesce(B.clip_bytes(F.col("_plain"), left), F.lit("")))
         .withColumn("markdown", F.col("_clipped"))
-        .drop("_clipped", "_left", "_plain")
+        .drop("_clipped", "_left", "_source", "_plain")
     )
 
 

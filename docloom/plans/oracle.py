@@ -433,7 +433,14 @@ ready AS (SELECT doc_id, filename, CASE WHEN doc_id % 29 = 0 THEN chr(10) || chr
 
 
 def text_step(name: str) -> str:
-    expr = plain("markdown") if name == "plain_text" else STEPS[name]("markdown")
+    return _on_markdown(STEPS[name]("markdown"))
+
+
+def plain_text() -> str:
+    return _on_markdown(plain("markdown"))
+
+
+def _on_markdown(expr: str) -> str:
     return f"WITH d AS (SELECT doc_id, {MARKDOWN} AS markdown FROM documents) SELECT doc_id, {expr} AS result FROM d"
 
 
@@ -581,7 +588,7 @@ def all_sql() -> dict[str, str]:
         for f in (
             intake_requests, inline_decode, root_confinement, size_cap, format_routing,
             option_cleanup, outcome_typing, member_guard, repeated_names, archive_result,
-            plain_text_html, clip_bytes, shared_budget, error_tail, lossy_read, result_record,
+            plain_text, plain_text_html, clip_bytes, shared_budget, error_tail, lossy_read, result_record,
             pick_markdown, page_count, page_window, no_output, job_snapshot, job_lookup,
             job_deadline, job_cancel, archive_expand, parse_job_archives, result_sink,
             output_scan, job_stream,

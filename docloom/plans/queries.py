@@ -224,13 +224,17 @@ TEXT_STEPS = {
     "trim_line_ends": T.trim_line_ends,
     "squeeze_blank_lines": T.squeeze_blank_lines,
     "strip_ends": T.py_strip,
-    "plain_text": T.to_plain_text,
 }
 
 
+def plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = inp.markdown_documents(spark, sf_dir).select("doc_id", "markdown")
+    return T.with_plain_text(docs, "markdown", "result").select("doc_id", "result")
+
+
 def plain_text_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = inp.table(spark, sf_dir, "pages")
-    return pages.select("page_id", T.to_plain_text(F.col("html")).alias("result"))
+    pages = inp.table(spark, sf_dir, "pages").select("page_id", "html")
+    return T.with_plain_text(pages, "html", "result").select("page_id", "result")
 
 
 def clip_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,7 +456,7 @@ def all_queries() -> dict[str, Query]:
         for f in (
             intake_requests, inline_decode, root_confinement, size_cap, format_routing,
             option_cleanup, outcome_typing, member_guard, archive_caps, archive_bytes_cap,
-            repeated_names, archive_result, archive_assembly, archive_uncut, plain_text_html,
+            repeated_names, archive_result, archive_assembly, archive_uncut, plain_text, plain_text_html,
             clip_bytes, shared_budget, error_tail, lossy_read, result_record, pick_markdown,
             page_count, page_window, no_output, job_snapshot, job_listing, job_lookup,
             job_deadline, job_cancel, job_retention, job_retention_default,
