@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docloom.session import spread
+
 EXTENSIONS = (".pdf", ".PDF", ".docx", ".png", ".tiff", ".xlsx", ".doc", ".xyz", ".zip", ".tar.gz")
 ARCHIVE_BLOCK = 1000
 
@@ -22,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """For queries whose work is all per row."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _pick(values: tuple[str, ...], key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values)).cast("int") + 1)
 
@@ -42,7 +49,7 @@ def markdown() -> Column:
 
 
 def markdown_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").withColumn("markdown", markdown())
+    return dealt_table(spark, sf_dir, "documents").withColumn("markdown", markdown())
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,18 +75,21 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parsed_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members after parsing: routed by format, some blank, a few timed out."""
+    """Members after parsing: routed by format, some blank, a few timed out.
+
+    The place within the block serves as ordinal, so no window is needed for it.
+    """
     from docloom.operators.outcomes import TIMEOUT, preflight
 
     doc = F.col("doc_id")
-    in_order = Window.partitionBy("archive").orderBy("doc_id")
     block = F.floor(doc / ARCHIVE_BLOCK).cast("string")
     failure = preflight(F.col("name"), office_readable=False)
     late = F.col("failure").isNull() & (doc % 331 == 8)
     return (
-        markdown_documents(spark, sf_dir)
+        table(spark, sf_dir, "documents")
+        .withColumn("markdown", markdown())
         .withColumn("archive", F.concat("source", F.lit("-"), block))
-        .withColumn("ordinal", F.row_number().over(in_order).cast("bigint") - 1)
+        .withColumn("ordinal", doc % ARCHIVE_BLOCK)
         .withColumn("name", file_name())
         .withColumn("failure", failure)
         .select(
@@ -103,7 +113,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(doc % 15 == 7, F.concat(F.lit("/data/"), F.col("source"), F.lit("/../../etc/"), tail))
         .otherwise(F.concat(F.lit("/data/"), F.col("source"), F.lit("/"), tail))
     )
-    encoded = F.translate(F.base64(F.col("text").cast("binary")), "\r\n", "")
+    encoded = F.replace(F.base64(F.col("text").cast("binary")), F.lit("\r\n"), F.lit(""))
     content = (
         F.when(doc % 38 == 0, F.concat(F.left(encoded, F.lit(5)), F.lit(" "), F.substring(encoded, 6, 1 << 30)))
         .when(doc % 46 == 0, F.rtrim(encoded, F.lit("=")))
@@ -112,7 +122,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     filename = F.when(doc % 6 == 0, F.concat(F.lit("C:\\in.dir\\"), file_name())).when(
         doc % 6 == 2, F.lit("noext")
     ).when(doc % 6 == 4, file_name())
-    return table(spark, sf_dir, "documents").select(
+    return dealt_table(spark, sf_dir, "documents").select(
         doc.alias("request_id"),
         F.when(by_path & (doc % 77 != 0), path).alias("path"),
         F.when(by_content, content).alias("content_base64"),
@@ -139,7 +149,7 @@ OPTION_TEXTS = (
 
 def option_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
+    return dealt_table(spark, sf_dir, "events").select(
         event, F.parse_json(_pick(OPTION_TEXTS, event)).alias("options")
     )
 
@@ -175,20 +185,20 @@ def content_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One content list per event, three to a parse, of mixed item types."""
     event = F.col("event_id")
     k = F.get_json_object("props", "$.k")
-    bodies = (
-        F.concat(F.lit('[{"page_idx": '), k, F.lit('}, {"page_idx": "900"}, 5, {"page_idx": true}]')),
-        F.concat(F.lit('[{"page_idx": "'), k, F.lit('"}, {"page_idx": 2.5}, {"page_idx": null}, []]')),
-        F.concat(F.lit('{"page_idx": '), k, F.lit("}")),
-        F.concat(F.lit('[{"page_idx": '), k, F.lit("}, {")),
-        F.concat(F.lit('[{"type": "text", "page_idx": 0}, {"page_idx": '), k, F.lit("}]")),
-    )
-    body = F.element_at(F.array(*bodies), (event % 5).cast("int") + 1)
-    return table(spark, sf_dir, "events").select(
+    shape = event % 5
+    body = (
+        F.when(shape == 0, F.concat(F.lit('[{"page_idx": '), k, F.lit('}, {"page_idx": "900"}, 5, {"page_idx": true}]')))
+        .when(shape == 1, F.concat(F.lit('[{"page_idx": "'), k, F.lit('"}, {"page_idx": 2.5}, {"page_idx": null}, []]')))
+        .when(shape == 2, F.concat(F.lit('{"page_idx": '), k, F.lit("}")))
+        .when(shape == 3, F.concat(F.lit('[{"page_idx": '), k, F.lit("}, {")))
+        .otherwise(F.concat(F.lit('[{"type": "text", "page_idx": 0}, {"page_idx": '), k, F.lit("}]")))
+    )
+    lists = dealt_table(spark, sf_dir, "events").select(
         F.floor(event / 3).cast("bigint").alias("parse_id"),
         F.concat(F.lit("p"), event.cast("string"), F.lit("_content_list.json")).alias("file"),
         body.alias("json"),
-        F.octet_length(body).cast("bigint").alias("size"),
     )
+    return lists.withColumn("size", F.octet_length("json").cast("bigint"))
 
 
 def as_job_events(events: DataFrame) -> DataFrame:

@@ -34,7 +34,8 @@ ROOTS = [f"/data/src{i}" for i in (0, 1, 2, 3, 5, 8, 13)]
 MAX_INPUT = 20_000
 CAP_BYTES = 3_000
 ARCHIVE_BUDGET = 60_000
-MAX_MEMBERS = 512
+# An archive of the derived inputs is a block of at most this many documents.
+MAX_MEMBERS = inp.ARCHIVE_BLOCK
 CLIP = 200
 SHARED_BUDGET, SHARED_MIN_TEXT = 3_000, 500
 TIMEOUT_SECS = 600
@@ -233,7 +234,7 @@ def plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plain_text_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = inp.table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = inp.dealt_table(spark, sf_dir, "pages").select("page_id", "html")
     return T.with_plain_text(pages, "html", "result").select("page_id", "result")
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 STAGE_CONF = "spark.checkpoint.dir"
 
@@ -37,6 +37,16 @@ def build_session(app: str = "docloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals the rows of a scan out when it has fewer splits than there are cores.
+
+    One small file is one split however dear its rows are to work on.  A scan
+    with at least a split per core, as every large one is, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder the cluster shares for written stages.
 
