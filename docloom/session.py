@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -57,6 +58,10 @@ def stage_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {STAGE_CONF} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="docloom-")
-        spark.conf.set(STAGE_CONF, root)
+        root = _local_root()
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+
+
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="docloom-")
