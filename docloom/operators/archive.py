@@ -16,10 +16,11 @@ from docloom.functions import names as N
 from docloom.functions.text import is_blank, py_strip
 from docloom.operators.outcomes import INPUT_REJECTED, TIMEOUT, message
 
-# Kinds an entry can have; the last stands for a container that
-# could not be read on from this point.
-FILE, DIRECTORY, SYMLINK, HARDLINK = "file", "dir", "symlink", "hardlink"
-SPECIAL, UNREADABLE = "special", "unreadable"
+# Kinds an entry can have.
+FILE, DIRECTORY, SYMLINK, HARDLINK, SPECIAL = "file", "dir", "symlink", "hardlink", "special"
+# Rows that are no entry: a container that could not be read on from this point,
+# and one (at ordinal -1) without any entries.
+UNREADABLE, EMPTY = "unreadable", "empty"
 
 EMPTY_MEMBER = "parsed to an empty document"
 
@@ -74,7 +75,7 @@ def archive_verdicts(members: DataFrame, max_members: int, max_bytes: int) -> Da
             "archive", "container", "ordinal", "name", "kind", "error_code", "error",
             running.alias("running"),
         )
-        .withColumn("reason", F.when(kind != UNREADABLE, reason))
+        .withColumn("reason", F.when(~kind.isin(UNREADABLE, EMPTY), reason))
         .select(
             "archive",
             "ordinal",

@@ -17,7 +17,10 @@ PARSED_FIELDS = "markdown string, page_count bigint, error_code string, error st
 
 
 class ParseFailure(Exception):
-    """Raised by a parser to give its failure a code of its own."""
+    """Raised by a parser to give its failure a code of its own.
+
+    Any exception with a text ``code`` does the same.
+    """
 
     def __init__(self, code: str, message: str):
         super().__init__(message)
@@ -33,11 +36,12 @@ def _attempt(parser: Parser, name: str, content: bytes, options: str | None) ->
     try:
         markdown, pages = parser(name, content, json.loads(options) if options else {})
         return markdown, pages, None, None
-    except ParseFailure as exc:
-        return None, None, exc.code, str(exc)
     except TimeoutError:
         return None, None, TIMEOUT, TIMEOUT_MESSAGE
     except Exception as exc:  # one bad document must not fail the job
+        code = getattr(exc, "code", None)
+        if isinstance(code, str):
+            return None, None, code, str(exc)
         return None, None, PARSE_FAILED, f"{type(exc).__name__}: {exc}"
 
 

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.functions import udtf
 
 from docloom.limits import Limits
-from docloom.operators.archive import DIRECTORY, FILE, HARDLINK, SPECIAL, SYMLINK, UNREADABLE
+from docloom.operators.archive import (
+    DIRECTORY, EMPTY, FILE, HARDLINK, SPECIAL, SYMLINK, UNREADABLE,
+)
 from docloom.operators.outcomes import INPUT_REJECTED, PARSE_FAILED
 
 ENTRY_FIELDS = (
@@ -112,6 +114,8 @@ def read_entries(
                     code, error = _failed(exc)
             yield (container, ordinal, name, kind, size, data, code, error)
             ordinal += 1
+        if ordinal == 0:
+            yield (container, -1, "", EMPTY, 0, None, None, None)
     except Exception as exc:  # the container breaks off here
         yield (container, ordinal, "", UNREADABLE, 0, None, *_failed(exc))
 
