@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import names as N
+from docloom.functions.budget import lossy_text
 from docloom.functions.options import DEFAULT_BACKEND
 from docloom.limits import Limits
 from docloom.operators import archive as A
@@ -50,16 +51,27 @@ def _routed(df: DataFrame, office_readable: bool) -> DataFrame:
     )
 
 
+def _capped(parsed: DataFrame, max_bytes: int) -> DataFrame:
+    """A parser's output is not trusted for size: one byte over the budget is kept,
+    enough to see that it was longer."""
+    raw = F.col("markdown").cast("binary")
+    return parsed.withColumn("markdown", lossy_text(raw, max_bytes))
+
+
 def parse_single(
     documents: DataFrame, limits: Limits, parser: Parser, office_readable: bool = True,
     options: str | None = None, parse_backend: str = DEFAULT_BACKEND,
 ) -> DataFrame:
-    """``path, content`` to results.  No shuffle: every step is row-local."""
+    """``path, content`` to results.  No shuffle: every step is row-local, so the
+    same plan runs on a stream of files."""
     named = documents.withColumn("name", N.base_name(F.col("path"))).withColumn(
         "options", F.lit(options).cast("string")
     )
     routed = _routed(named, office_readable)
-    parsed = parse_documents(routed, ["path", "name", "missing_dependencies"], parser)
+    parsed = _capped(
+        parse_documents(routed, ["path", "name", "missing_dependencies"], parser),
+        limits.max_output_bytes,
+    )
     ready = (
         parsed.withColumnRenamed("name", "filename")
         .withColumn("warnings", _no_missing())
@@ -92,7 +104,8 @@ def parse_archives(
     routed = _routed(A.last_copies(members), office_readable).withColumn(
         "options", F.lit(options).cast("string")
     )
-    parsed = staged(parse_documents(routed, ["archive", "ordinal", "name"], parser), "parsed")
+    members = parse_documents(routed, ["archive", "ordinal", "name"], parser)
+    parsed = staged(_capped(members, limits.max_output_bytes), "parsed")
     joined = A.assemble_archives(parsed, limits.max_output_bytes, cap)
     empty = F.array().cast("array<string>")
     ready = (

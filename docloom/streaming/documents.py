@@ -10,7 +10,9 @@ from docloom.functions.names import base_name
 from docloom.functions.options import DEFAULT_BACKEND
 from docloom.limits import Limits
 from docloom.operators import outcomes as X
+from docloom.operators.hook import Parser, decode_text
 from docloom.operators.results import shape_results
+from docloom.plans.parse_job import parse_archives
 
 
 def shape_stream(
@@ -47,3 +49,29 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         .trigger(availableNow=True)
         .start(path)
     )
+
+
+def write_archive_stream(
+    arriving: DataFrame,
+    path: str,
+    checkpoint: str,
+    limits: Limits = Limits(),
+    parser: Parser = decode_text,
+    office_readable: bool = True,
+) -> StreamingQuery:
+    """Archives (``path, content``) as they arrive, each batch a whole job.
+
+    An archive arrives in one file, so its members never span batches.  Every
+    batch owns a folder named after it, which a rerun replaces.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        results = parse_archives(batch.select("path", "content"), limits, parser, office_readable)
+        results.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        arriving.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

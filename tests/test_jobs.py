@@ -3,8 +3,8 @@ import os
 from pyspark.sql import functions as F
 
 from docloom.limits import Limits
-from docloom.operators.hook import ParseFailure
-from docloom.plans.parse_job import parse_folder
+from docloom.operators.hook import ParseFailure, decode_text
+from docloom.plans.parse_job import parse_folder, parse_single
 from docloom.sources import files, sinks
 from test_archive import tarred, zipped
 
@@ -61,6 +61,12 @@ def test_parse_folder(spark, tmp_path):
     assert joined.warnings == ["c.xyz: no reader for `.xyz`", "inner.tar.gz: no reader for `.gz`"]
 
 
+def test_long_output_is_clipped(spark):
+    docs = spark.createDataFrame([("/r/a.pdf", bytearray("é".encode() * 500))], "path string, content binary")
+    row = parse_single(docs, Limits(max_output_bytes=101, min_text_bytes=1), decode_text).first()
+    assert row.result.markdown == "é" * 50 and row.result.truncated
+
+
 def test_sink_and_listing(spark, tmp_path):
     rows = [("a", None, None, "payload"), ("b", "timeout", "late", None)]
     df = spark.createDataFrame(rows, "path string, error_code string, error string, result string")

@@ -1,9 +1,13 @@
 import datetime as dt
 
+from docloom.limits import Limits
+from docloom.operators.hook import decode_text
+from docloom.plans.parse_job import parse_single
 from docloom.sources import files
 from docloom.streaming import documents as D
 from docloom.streaming import jobs as J
 from pyspark.sql import functions as F
+from test_archive import zipped
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -28,6 +32,29 @@ def test_document_stream_takes_each_file_once(spark, tmp_path):
     assert drain() == ["One", "Two"]
 
 
+def test_files_are_parsed_as_they_arrive(spark, tmp_path):
+    inbox, out, log = (str(tmp_path / d) for d in ("in", "out", "log"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.pdf").write_text("# One")
+    (tmp_path / "in" / "b.docx").write_text("# Two")
+    arriving = files.stream_documents(spark, inbox).select("path", "content")
+    D.write_stream(parse_single(arriving, Limits(), decode_text, office_readable=False), out, log).awaitTermination()
+    got = {r.path[-6:]: (r.error_code, r.result and r.result.text) for r in spark.read.parquet(out).collect()}
+    assert got == {"/a.pdf": (None, "One"), "b.docx": ("missing_dependency", None)}
+
+
+def test_archives_are_joined_as_they_arrive(spark, tmp_path):
+    inbox, out, log = (str(tmp_path / d) for d in ("in", "out", "log"))
+    (tmp_path / "in").mkdir()
+    for turn, name in enumerate(("a.zip", "b.zip")):
+        (tmp_path / "in" / name).write_bytes(zipped(("2.pdf", b"two"), ("1.pdf", b"one")))
+        arriving = files.stream_documents(spark, inbox, files.ARCHIVE_GLOB)
+        D.write_archive_stream(arriving, out, log).awaitTermination()
+        rows = spark.read.parquet(out).collect()
+        assert len(rows) == turn + 1
+        assert all(r.result.markdown == "# 1.pdf\n\none\n\n# 2.pdf\n\ntwo" for r in rows)
+
+
 def test_job_stream(spark, tmp_path):
     inbox, out, log = (str(tmp_path / d) for d in ("in", "out", "log"))
     schema = "job_id bigint, ts timestamp, seq bigint, status string"
