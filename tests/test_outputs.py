@@ -87,3 +87,24 @@ def test_limits():
     got = Limits.from_overrides({"max_jobs": "1", "timeout_secs": " 900 ", "max_archive_members": "junk", "x": 1})
     assert (got.max_jobs, got.timeout_secs, got.max_archive_members) == (4, 900, 512)
     assert Limits.from_overrides({"max_output_bytes": ""}).max_output_bytes == 8 << 20
+
+
+def test_collect_output_trees(spark, tmp_path):
+    from docloom.plans.collect_outputs import collect_outputs
+
+    def put(path, data):
+        target = tmp_path / path
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_bytes(data)
+
+    put("p1/doc/auto/DOC.md", b"# Hi \xff")
+    put("p1/doc/auto/bigger.md", b"#" * 50)
+    put("p1/doc/auto/doc_content_list.json", b'[{"page_idx": 0}, {"page_idx": 1}]')
+    put("p2/a_content_list.json", b'[{"page_idx": 4}]')
+    put("p3/x.md", b"other name")
+    put("p3/x_content_list.json", b'\xff[{"page_idx": 4}]')
+    parses = spark.createDataFrame([(f"p{i}", "doc.pdf", b"boom") for i in (1, 2, 3, 4)], "parse_id string, filename string, log binary")
+    got = {r.parse_id: r for r in collect_outputs(spark, str(tmp_path), parses).collect()}
+    assert (got["p1"].markdown, got["p1"].page_count, got["p1"].error_code) == ("# Hi �", 2, None)
+    assert got["p2"].error == got["p4"].error == "the parser wrote no markdown for `doc.pdf`: boom"
+    assert got["p2"].page_count is None and got["p3"].markdown == "other name" and got["p3"].page_count is None
