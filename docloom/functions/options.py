@@ -5,10 +5,10 @@ Unknown keys and values are ignored, never an error.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.text import is_blank, py_strip
+from docloom.functions.text import py_strip
 
 # What each option accepts.
 BACKENDS = (
@@ -30,77 +30,95 @@ LANG_PATTERN = r"^[a-z][a-z_]{1,19}\z"
 DEVICE_PATTERN = r"^(cpu|cuda|npu|mps|xpu)(:[0-9]{1,2})?\z"
 
 
-def _field(options: Column, key: str) -> Column:
-    return F.try_variant_get(options, f"$.{key}", "variant")
+TEXT_KEYS = ("backend", "method", "effort", "lang", "device")
+FLAG_KEYS = ("formula", "table")
+PAGE_KEYS = ("start_page", "end_page")
 
 
-def _type(options: Column, key: str) -> Column:
-    return F.schema_of_variant(_field(options, key))
+def _known_backend(name: str | None) -> str:
+    name = (name or "").strip().lower()
+    return name if name in BACKENDS else DEFAULT_BACKEND
 
 
-def text_option(options: Column, key: str) -> Column:
-    """Trimmed string value; null when absent, blank or not a string."""
-    value = F.try_variant_get(options, f"$.{key}", "string")
-    return F.when((_type(options, key) == "STRING") & ~is_blank(value), py_strip(value))
-
-
-def flag_option(options: Column, key: str) -> Column:
+def _truth(field: Column, kind: Column) -> Column:
     """Truth of any non-null value: zero and empty are false, all else true."""
-    kind = _type(options, key)
-    shown = F.try_variant_get(options, f"$.{key}", "string")
-    number = F.try_variant_get(options, f"$.{key}", "double")
+    shown = F.try_variant_get(field, "$", "string")
     return (
         F.when(kind.isNull() | (kind == "VOID"), F.lit(None).cast("boolean"))
-        .when(kind == "BOOLEAN", F.try_variant_get(options, f"$.{key}", "boolean"))
+        .when(kind == "BOOLEAN", F.try_variant_get(field, "$", "boolean"))
         .when(kind == "STRING", shown != "")
         .when(F.startswith(kind, F.lit("ARRAY")), shown != "[]")
         .when(F.startswith(kind, F.lit("OBJECT")), shown != "{}")
-        .otherwise(number != 0)
+        .otherwise(F.try_variant_get(field, "$", "double") != 0)
     )
 
 
-def page_option(options: Column, key: str) -> Column:
-    """Page number; only integers of at most 64 bits from 0 up count."""
-    value = F.try_variant_get(options, f"$.{key}", "bigint")
-    return F.when((_type(options, key) == "BIGINT") & (value >= 0), value)
-
-
-def backend_option(options: Column, host_backend: str | None = None) -> Column:
-    host = (host_backend or "").strip().lower()
-    asked = F.lower(text_option(options, "backend"))
-    fallback = host if host in BACKENDS else DEFAULT_BACKEND
-    return F.when(asked.isin(*BACKENDS), asked).otherwise(F.lit(fallback))
-
-
-def _patterned(options: Column, key: str, host: str | None, pattern: str) -> Column:
-    # A request value hides the host default even when it turns out invalid.
-    host = (host or "").strip() or None
-    asked = F.lower(F.coalesce(text_option(options, key), F.lit(host).cast("string")))
-    return F.when(asked.rlike(pattern), asked)
-
-
-def clean_options(
-    options: Column,
+def with_clean_options(
+    df: DataFrame,
+    options: str,
     host_backend: str | None = None,
     host_lang: str | None = None,
     host_device: str | None = None,
-) -> dict[str, Column]:
-    """One typed column per option; null means the option is not passed on."""
-    backend = backend_option(options, host_backend)
-    method = F.lower(text_option(options, "method"))
-    effort = F.lower(text_option(options, "effort"))
-    return {
-        "backend": backend,
-        "method": F.when(
-            method.isin(*METHODS) & ~F.startswith(backend, F.lit("vlm")), method
-        ),
-        "effort": F.when(
-            effort.isin(*EFFORTS) & F.startswith(backend, F.lit("hybrid")), effort
-        ),
-        "lang": _patterned(options, "lang", host_lang, LANG_PATTERN),
-        "device": _patterned(options, "device", host_device, DEVICE_PATTERN),
-        "formula": flag_option(options, "formula"),
-        "table": flag_option(options, "table"),
-        "start_page": page_option(options, "start_page"),
-        "end_page": page_option(options, "end_page"),
-    }
+) -> DataFrame:
+    """Adds one typed ``opt_`` column per option; null means it is not passed on.
+
+    Staged, so that each field is looked up and typed once: first the fields, then
+    their types, then cleaned texts, then the rules that look at several of them.
+    """
+    keys = (*TEXT_KEYS, *FLAG_KEYS, *PAGE_KEYS)
+    looked_up = df.withColumns(
+        {f"_{k}": F.try_variant_get(F.col(options), f"$.{k}", "variant") for k in keys}
+    )
+    typed = looked_up.withColumns({f"_{k}_type": F.schema_of_variant(f"_{k}") for k in keys})
+    # A text option is a string that is not blank; anything else counts as absent.
+    trimmed = typed.withColumns(
+        {
+            f"_{k}": F.when(
+                F.col(f"_{k}_type") == "STRING",
+                F.lower(py_strip(F.try_variant_get(F.col(f"_{k}"), "$", "string"))),
+            )
+            for k in TEXT_KEYS
+        }
+    )
+    # A request value hides the host default even when it turns out invalid.
+    hosts = {"lang": host_lang, "device": host_device}
+    texts = trimmed.withColumns(
+        {
+            f"_{k}": F.coalesce(
+                F.when(F.col(f"_{k}") != "", F.col(f"_{k}")),
+                F.lit((hosts.get(k) or "").strip().lower() or None).cast("string"),
+            )
+            for k in TEXT_KEYS
+        }
+    )
+    asked = {k: F.col(f"_{k}") for k in TEXT_KEYS}
+    fallback = F.lit(_known_backend(host_backend))
+    resolved = texts.withColumn(
+        "opt_backend", F.when(asked["backend"].isin(*BACKENDS), asked["backend"]).otherwise(fallback)
+    )
+    backend = F.col("opt_backend")
+
+    def page(key: str) -> Column:
+        # Only integers of at most 64 bits, from 0 up.
+        number = F.when(
+            F.col(f"_{key}_type") == "BIGINT", F.try_variant_get(F.col(f"_{key}"), "$", "bigint")
+        )
+        return F.when(number >= 0, number)
+
+    cleaned = resolved.withColumns(
+        {
+            "opt_method": F.when(
+                asked["method"].isin(*METHODS) & ~F.startswith(backend, F.lit("vlm")),
+                asked["method"],
+            ),
+            "opt_effort": F.when(
+                asked["effort"].isin(*EFFORTS) & F.startswith(backend, F.lit("hybrid")),
+                asked["effort"],
+            ),
+            "opt_lang": F.when(asked["lang"].rlike(LANG_PATTERN), asked["lang"]),
+            "opt_device": F.when(asked["device"].rlike(DEVICE_PATTERN), asked["device"]),
+            **{f"opt_{k}": _truth(F.col(f"_{k}"), F.col(f"_{k}_type")) for k in FLAG_KEYS},
+            **{f"opt_{k}": page(k) for k in PAGE_KEYS},
+        }
+    )
+    return cleaned.drop(*[f"_{k}" for k in keys], *[f"_{k}_type" for k in keys])

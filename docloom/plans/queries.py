@@ -95,10 +95,8 @@ def format_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def option_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = O.clean_options(F.col("options"), host_lang="en", host_device="cpu")
-    return inp.option_requests(spark, sf_dir).select(
-        "event_id", *[c.alias(f"opt_{k}") for k, c in cleaned.items()]
-    )
+    asked = inp.option_requests(spark, sf_dir)
+    return O.with_clean_options(asked, "options", host_lang="en", host_device="cpu").drop("options")
 
 
 def outcome_typing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,12 +46,12 @@ def test_options_match_rules(spark):
         ["pipeline", "VLM-engine", "hybrid-engine", "nope"], ["auto", "TXT", "bad"], ["high", "low"])]
     for lang, device in [(None, None), ("fr", "mps"), ("BAD1", "gpu")]:
         df = spark.createDataFrame([(i, json.dumps(o)) for i, o in enumerate(made)], "id int, o string").withColumn("o", F.parse_json("o"))
-        cols = O.clean_options(F.col("o"), host_lang=lang, host_device=device)
-        for r in df.select("id", *[c.alias(k) for k, c in cols.items()]).collect():
+        cleaned = O.with_clean_options(df, "o", host_lang=lang, host_device=device)
+        for r in cleaned.select("id", *[f"opt_{k}" for k in keys]).collect():
             assert tuple(r)[1:] == expected(made[r.id], lang, device), made[r.id]
 
 
 def test_host_backend(spark):
     df = spark.range(1).select(F.parse_json(F.lit('{"backend": "nope"}')).alias("o"))
     for host, want in [(" Hybrid-Engine", "hybrid-engine"), ("zzz", "pipeline"), (None, "pipeline")]:
-        assert df.select(O.backend_option(F.col("o"), host)).first()[0] == want
+        assert O.with_clean_options(df, "o", host_backend=host).first().opt_backend == want
