@@ -354,11 +354,16 @@ def job_retention_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table files themselves as binary files, listed and digested."""
+    """The table files themselves, digested where they are within the input cap.
+
+    The length filters reach the listing: a file over the cap is never opened.
+    """
     found = files.scan(spark, sf_dir, "*.parquet")
-    return found.select(
-        N.base_name(F.col("path")).alias("name"), "length", F.md5("content").alias("digest")
-    )
+    cap = Limits.max_input_bytes
+    name = N.base_name(F.col("path")).alias("name")
+    opened = found.where(F.col("length") <= cap).select(name, "length", F.md5("content").alias("digest"))
+    refused = found.where(F.col("length") > cap).select(name, "length", F.lit(None).cast("string").alias("digest"))
+    return opened.unionByName(refused)
 
 
 def output_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
