@@ -33,6 +33,7 @@ DEVICE_PATTERN = r"^(cpu|cuda|npu|mps|xpu)(:[0-9]{1,2})?\z"
 TEXT_KEYS = ("backend", "method", "effort", "lang", "device")
 FLAG_KEYS = ("formula", "table")
 PAGE_KEYS = ("start_page", "end_page")
+OPTION_NAMES = (*TEXT_KEYS, *FLAG_KEYS, *PAGE_KEYS)
 
 
 def _known_backend(name: str | None) -> str:
@@ -65,7 +66,7 @@ def with_clean_options(
     Staged, so that each field is looked up and typed once: first the fields, then
     their types, then cleaned texts, then the rules that look at several of them.
     """
-    keys = (*TEXT_KEYS, *FLAG_KEYS, *PAGE_KEYS)
+    keys = OPTION_NAMES
     looked_up = df.withColumns(
         {f"_{k}": F.try_variant_get(F.col(options), f"$.{k}", "variant") for k in keys}
     )
@@ -122,3 +123,8 @@ def with_clean_options(
         }
     )
     return cleaned.drop(*[f"_{k}" for k in keys], *[f"_{k}_type" for k in keys])
+
+
+def options_json() -> Column:
+    """The cleaned options of a row as JSON, without those that are not passed on."""
+    return F.to_json(F.struct(*[F.col(f"opt_{k}").alias(k) for k in OPTION_NAMES]))

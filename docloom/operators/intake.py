@@ -71,3 +71,20 @@ def check_requests(
         .withColumn("error", F.coalesce("_shape", "_rejected"))
         .drop("_shape", "_rejected")
     )
+
+
+def inline_files(requests: DataFrame, max_input_bytes: int) -> DataFrame:
+    """Accepted inline requests as files: ``request_id, path, content``.
+
+    Of the caller's file name only the suffix is kept; it decides how the bytes
+    are read.
+    """
+    path, content = F.col("path"), F.col("content_base64")
+    passed = request_shape_error(path, content).isNull() & (F.length(content) > 0)
+    return requests.where(passed & inline_error(content, max_input_bytes).isNull()).select(
+        "request_id",
+        F.concat(
+            F.lit("inline/"), F.col("request_id").cast("string"), P.inline_suffix(F.col("filename"))
+        ).alias("path"),
+        P.decode_inline(content).alias("content"),
+    )

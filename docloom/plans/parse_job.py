@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import names as N
+from docloom.functions import options as O
 from docloom.functions.budget import lossy_text
-from docloom.functions.options import DEFAULT_BACKEND
 from docloom.limits import Limits
 from docloom.operators import archive as A
 from docloom.operators import intake as I
@@ -51,6 +51,20 @@ def _routed(df: DataFrame, office_readable: bool) -> DataFrame:
     )
 
 
+def _with_options(df: DataFrame, options: str | None) -> DataFrame:
+    """Adds the cleaned ``options`` and the ``parse_backend`` they choose.
+
+    The text is one literal for the job, so all of this folds to constants.
+    """
+    asked = df.withColumn("_asked", F.try_parse_json(F.lit(options or "{}")))
+    cleaned = O.with_clean_options(asked, "_asked")
+    return (
+        cleaned.withColumn("options", O.options_json())
+        .withColumn("parse_backend", F.col("opt_backend"))
+        .drop("_asked", *[f"opt_{k}" for k in O.OPTION_NAMES])
+    )
+
+
 def _capped(parsed: DataFrame, max_bytes: int) -> DataFrame:
     """A parser's output is not trusted for size: one byte over the budget is kept,
     enough to see that it was longer."""
@@ -60,16 +74,16 @@ def _capped(parsed: DataFrame, max_bytes: int) -> DataFrame:
 
 def parse_single(
     documents: DataFrame, limits: Limits, parser: Parser, office_readable: bool = True,
-    options: str | None = None, parse_backend: str = DEFAULT_BACKEND,
+    options: str | None = None,
 ) -> DataFrame:
     """``path, content`` to results.  No shuffle: every step is row-local, so the
     same plan runs on a stream of files."""
-    named = documents.withColumn("name", N.base_name(F.col("path"))).withColumn(
-        "options", F.lit(options).cast("string")
-    )
-    routed = _routed(named, office_readable)
+    named = documents.withColumn("name", N.base_name(F.col("path")))
+    routed = _routed(_with_options(named, options), office_readable)
     parsed = _capped(
-        parse_documents(routed, ["path", "name", "missing_dependencies"], parser),
+        parse_documents(
+            routed, ["path", "name", "missing_dependencies", "parse_backend"], parser
+        ),
         limits.max_output_bytes,
     )
     ready = (
@@ -77,7 +91,6 @@ def parse_single(
         .withColumn("warnings", _no_missing())
         .withColumn("sources", F.array("filename"))
         .withColumn("over_budget", F.lit(False))
-        .withColumn("parse_backend", F.lit(parse_backend))
     )
     shaped = shape_results(ready, limits.max_output_bytes, limits.min_text_bytes)
     return shaped.select(*RESULT_COLUMNS)
@@ -85,7 +98,7 @@ def parse_single(
 
 def parse_archives(
     archives: DataFrame, limits: Limits, parser: Parser, office_readable: bool = True,
-    options: str | None = None, parse_backend: str = DEFAULT_BACKEND,
+    options: str | None = None,
 ) -> DataFrame:
     """``path, content`` of archives to one result each.
 
@@ -101,9 +114,7 @@ def parse_archives(
         .select("archive", "ordinal", N.member_name(F.col("name")).alias("name"), "content")
         .join(safe, "archive", "left_semi")
     )
-    routed = _routed(A.last_copies(members), office_readable).withColumn(
-        "options", F.lit(options).cast("string")
-    )
+    routed = _with_options(_routed(A.last_copies(members), office_readable), options)
     members = parse_documents(routed, ["archive", "ordinal", "name"], parser)
     parsed = staged(_capped(members, limits.max_output_bytes), "parsed")
     joined = A.assemble_archives(parsed, limits.max_output_bytes, cap)
@@ -119,13 +130,13 @@ def parse_archives(
             F.coalesce("sources", empty).alias("sources"),
             "page_count",
             F.coalesce("over_budget", F.lit(False)).alias("over_budget"),
-            F.lit(parse_backend).alias("parse_backend"),
             F.coalesce("refused_code", "error_code").alias("error_code"),
             F.coalesce("refused", "error").alias("error"),
             _no_missing().alias("missing_dependencies"),
         )
     )
-    shaped = shape_results(ready, limits.max_output_bytes, limits.min_text_bytes)
+    chosen = _with_options(ready, options).drop("options")
+    shaped = shape_results(chosen, limits.max_output_bytes, limits.min_text_bytes)
     return shaped.select(*RESULT_COLUMNS)
 
 
@@ -139,6 +150,18 @@ def _refused(listing: DataFrame, error_code: Column, error: Column, missing: Col
     )
 
 
+def parse_inline(
+    requests: DataFrame, limits: Limits = Limits(), parser: Parser = decode_text,
+    office_readable: bool = True, options: str | None = None,
+) -> DataFrame:
+    """Results of the accepted inline requests (``operators.intake.inline_files``)."""
+    given = I.inline_files(requests, limits.max_input_bytes).select("path", "content")
+    packed = N.is_archive_name(F.col("path"))
+    singles = parse_single(given.where(~packed), limits, parser, office_readable, options)
+    archives = parse_archives(given.where(packed), limits, parser, office_readable, options)
+    return singles.unionByName(archives)
+
+
 def parse_folder(
     spark: SparkSession, root: str, limits: Limits = Limits(), parser: Parser = decode_text,
     office_readable: bool = True, options: str | None = None,

@@ -1,10 +1,11 @@
+import base64
 import os
 
 from pyspark.sql import functions as F
 
 from docloom.limits import Limits
 from docloom.operators.hook import ParseFailure, decode_text
-from docloom.plans.parse_job import parse_folder, parse_single
+from docloom.plans.parse_job import parse_folder, parse_inline, parse_single
 from docloom.sources import files, sinks
 from test_archive import tarred, zipped
 
@@ -61,6 +62,23 @@ def test_parse_folder(spark, tmp_path):
     assert joined.warnings == ["c.xyz: no reader for `.xyz`", "inner.tar.gz: no reader for `.gz`"]
 
 
+def test_inline_requests(spark):
+    def encoded(data):
+        return base64.b64encode(data).decode()
+
+    rows = [
+        (1, None, encoded(b"one"), "x.PDF"), (2, "/a.pdf", None, None), (3, None, "not base64", None),
+        (4, None, encoded(zipped(("a.pdf", b"in zip"))), "C:\\dir\\up.zip"), (5, None, encoded(b"five"), None),
+    ]
+    df = spark.createDataFrame(rows, "request_id int, path string, content_base64 string, filename string")
+    options = '{"backend": "hybrid-engine", "lang": " EN ", "effort": "wild", "hint": 1}'
+    seen = {r.path: r.result for r in parse_inline(df, Limits(), make_parser(), options=options).collect()}
+    assert {k: v.markdown for k, v in seen.items()} == {
+        "inline/1.PDF": "# en\n\none", "inline/4.zip": "# a.pdf\n\n# en\n\nin zip", "inline/5.pdf": "# en\n\nfive",
+    }
+    assert {v.metadata.parse_backend for v in seen.values()} == {"hybrid-engine"}
+
+
 def test_long_output_is_clipped(spark):
     docs = spark.createDataFrame([("/r/a.pdf", bytearray("é".encode() * 500))], "path string, content binary")
     row = parse_single(docs, Limits(max_output_bytes=101, min_text_bytes=1), decode_text).first()
