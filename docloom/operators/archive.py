@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import names as N
-from docloom.functions.text import is_blank, py_strip
+from docloom.functions.text import py_strip
 from docloom.operators.outcomes import INPUT_REJECTED, TIMEOUT, message
 
 # Kinds an entry can have.
@@ -119,12 +119,22 @@ def last_copies(members: DataFrame, value: str = "content") -> DataFrame:
     return members.withColumn(value, F.last(value).over(copies))
 
 
+def with_body_bytes(members: DataFrame) -> DataFrame:
+    """Adds the size of each member's trimmed text, unless a stage has stored it.
+
+    With it stored, deciding what fits does not read any text.
+    """
+    if "body_bytes" in members.columns:
+        return members
+    return members.withColumn("body_bytes", F.octet_length(py_strip(F.col("markdown"))))
+
+
 def _note() -> Column:
     """The warning a member gives instead of a section, or null."""
     return F.when(
         F.col("error_code").isNotNull(), message(F.col("name"), ": ", F.col("error"))
     ).when(
-        F.col("markdown").isNull() | is_blank(F.col("markdown")),
+        F.coalesce(F.col("body_bytes"), F.lit(0)) == 0,
         message(F.col("name"), f": {EMPTY_MEMBER}"),
     )
 
@@ -138,9 +148,10 @@ def assembly_plan(members: DataFrame, budget: int, max_members: int) -> DataFram
     first section that does not fit".
     """
     note = F.col("note")
-    cost = F.octet_length("name") + F.octet_length(py_strip(F.col("markdown"))) + 6
+    cost = F.octet_length("name") + F.col("body_bytes") + 6
     slim = (
-        members.where(F.col("ordinal") <= max_members)
+        with_body_bytes(members)
+        .where(F.col("ordinal") <= max_members)
         .withColumn("note", _note())
         .select(
             "archive", "ordinal", "name", "page_count", "error_code", "note",

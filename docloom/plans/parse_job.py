@@ -116,7 +116,8 @@ def parse_archives(
     )
     routed = _with_options(_routed(A.last_copies(members), office_readable), options)
     members = parse_documents(routed, ["archive", "ordinal", "name"], parser)
-    parsed = staged(_capped(members, limits.max_output_bytes), "parsed")
+    capped = A.with_body_bytes(_capped(members, limits.max_output_bytes))
+    parsed = staged(capped, "parsed")
     joined = A.assemble_archives(parsed, limits.max_output_bytes, cap)
     empty = F.array().cast("array<string>")
     ready = (

@@ -36,6 +36,17 @@ def test_text_never_leaves_its_stage(spark, small):
     assert "markdown" not in beyond
 
 
+def test_stored_sizes_spare_the_text(spark, small, tmp_path):
+    from docloom.plans import inputs as inp
+
+    stage = str(tmp_path / "parsed")
+    A.with_body_bytes(inp.parsed_members(spark, small)).write.parquet(stage)
+    members = spark.read.parquet(stage)
+    assert "markdown" not in plan(A.assembly_plan(members, 60_000, 1000))
+    fresh = A.assemble_archives(inp.parsed_members(spark, small), 20_000, 1000)
+    assert sorted(map(str, A.assemble_archives(members, 20_000, 1000).collect())) == sorted(map(str, fresh.collect()))
+
+
 def test_row_local_queries_do_not_shuffle(spark, small):
     from docloom.functions.text import with_plain_text
     from docloom.operators.results import share_budget
