@@ -47,13 +47,12 @@ def held_out() -> Column:
 # --- Sieve: which ids are wanted, in a bit set of fixed size -----------------------------
 
 
-def sieve(ids: Column, rows: DataFrame, bits: int = SIEVE_BITS) -> np.ndarray:
-    """A Bloom filter of fixed size over ``ids``.
+def sieve(h: Column, rows: DataFrame, bits: int = SIEVE_BITS) -> np.ndarray:
+    """A Bloom filter of fixed size over the 64-bit hashes ``h``.
 
     It lets a scan drop most unwanted rows before their texts are shuffled; an exact
     join follows.  The driver sees ``bits / 64`` words at most, whatever the row count.
     """
-    h = F.xxhash64(ids)
     spots = F.array(F.pmod(h, F.lit(bits)), F.pmod(F.shiftrightunsigned(h, 31), F.lit(bits)))
     words = (
         rows.select(F.explode(spots).alias("spot"))
@@ -67,7 +66,7 @@ def sieve(ids: Column, rows: DataFrame, bits: int = SIEVE_BITS) -> np.ndarray:
 
 
 def in_sieve(filt: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether each ``xxhash64`` value may be in the sieve."""
+    """Whether each hash may be in the sieve."""
     bits = np.uint64(filt.size << 6)
     h = hashes.view(np.uint64) if hashes.dtype != np.uint64 else hashes
     # pmod of a signed value by a power of two is its low bits.

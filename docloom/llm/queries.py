@@ -7,6 +7,37 @@ from pyspark.sql import DataFrame, SparkSession
 from docloom.llm.common import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.decontaminate import find_contamination
+
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return find_contamination(docs, benchmark).drop("mark")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.linededup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.tokencount import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op8_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.bpe import encode_documents
+
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.quality import score_quality
 
@@ -24,4 +55,6 @@ def all_queries() -> dict:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    from docloom.llm import linededup
+
+    return {"op3_line_dedup": linededup.SQL}
