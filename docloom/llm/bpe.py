@@ -61,7 +61,9 @@ class MergeAutomaton:
             born_a, born_b = self.born[a], self.born[b]
             if born_a == 0 and born_b == 0:
                 return True
-            if born_b > born_a:  # b came in beside its left part
+            if a == b:  # both ends of one gadget
+                upto, a, b = born_a, self.right[a], self.left[b]
+            elif born_b > born_a:  # b came in beside its left part
                 if self.left[b] == self.right[b] == a:
                     return False  # of three equal tokens the first two are joined
                 upto, b = born_b, self.left[b]

@@ -9,11 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import staged, text_mark, text_or_empty
+from docloom.llm.common import staged, text_or_empty
 
 BLANK = "▁"
-# The most frequent pre-tokens, whose counts every task holds; the others are joined.
-COMMON = 100_000
+# At most so many of the most frequent pre-tokens, whose counts every task holds; all
+# others are joined.
+COMMON = 300_000
 FLUSH = 400_000
 # A pre-token starts where a blank follows anything else, and around line ends: in this
 # vocabulary no piece has a blank after another character, and none holds a line end.
@@ -85,9 +86,8 @@ def _frequencies(frames):
 def count_tokens(docs: DataFrame, model_path: str | None = None, limit: int = 4096) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row of ``docs``.
 
-    A null text counts as empty and has no tokens.  Rows are told apart by id and text, so
-    repeated rows each get the same counts and a null id keeps its row; further columns are
-    ignored.  The pieces of the ``COMMON`` most frequent pre-tokens go to every task (a
+    A null text counts as empty and has no tokens.  Repeated rows and
+    null ids each keep their row; further columns are ignored.  The pieces of the ``COMMON`` most frequent pre-tokens go to every task (a
     table of that many rows at most); those of all others meet the documents in a join.
     """
     texts = docs.select("doc_id", text_or_empty().alias("text"))
@@ -107,64 +107,63 @@ def count_tokens(docs: DataFrame, model_path: str | None = None, limit: int = 40
             )
 
     pieces = staged(distinct.mapInArrow(count, "token string, n long, pieces long"), "token-pieces")
-    top = pieces.orderBy(F.desc("n"), "token").limit(COMMON).select("token", "pieces").collect()
-    common = docs.sparkSession.sparkContext.broadcast({r.token: r.pieces for r in top})
+    common = docs.sparkSession.sparkContext.broadcast(_most_frequent(pieces))
 
     def tally(batches):
         from collections import Counter
 
         for b in batches:
-            ids, marks, parts, tokens, times = [], [], [], [], []
+            parts, tokens, times = [], [], []
             known = common.value
             get = known.get
-            for doc, mark, value in zip(b.column(0), b.column(1), b.column(2)):
+            for value in b.column(2):
                 here = pre_tokens(value.as_py())
                 found = [get(t, 0) for t in here]
                 rest = Counter(t for t, n in zip(here, found) if not n)
-                ids.append(doc.as_py())
-                marks.append(mark.as_py())
                 parts.append(sum(found))
                 tokens.append(list(rest.keys()))
                 times.append(list(rest.values()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()),
-                    pa.array(marks, pa.int64()),
+                    b.column(0),
+                    b.column(1),
                     pa.array(parts, pa.int64()),
                     pa.array(tokens, pa.list_(pa.string())),
                     pa.array(times, pa.list_(pa.int32())),
                 ],
-                ["doc_id", "mark", "n_common", "tokens", "times"],
+                ["doc_id", "n_bytes", "n_common", "tokens", "times"],
             )
 
-    tallied = staged(
-        texts.withColumn("mark", text_mark())
-        .select("doc_id", "mark", "text", F.octet_length("text").cast("long").alias("n_bytes"))
-        .mapInArrow(lambda it: _with_bytes(tally, it), TALLY_FIELDS),
+    tallied = texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
+    tallied = staged(  # written once, so the row numbers stay as they are
+        tallied.mapInArrow(tally, TALLY_FIELDS).withColumn("row", F.monotonically_increasing_id()),
         "token-tallies",
     )
     rest = (
-        tallied.select("doc_id", "mark", F.explode(F.arrays_zip("tokens", "times")).alias("t"))
-        .select("doc_id", "mark", F.col("t.tokens").alias("token"), F.col("t.times").alias("times"))
-        .distinct()  # repeated rows say the same
+        tallied.select("row", F.explode(F.arrays_zip("tokens", "times")).alias("t"))
+        .select("row", F.col("t.tokens").alias("token"), F.col("t.times").alias("times"))
         .join(pieces.select("token", "pieces"), "token")
-        .groupBy("doc_id", "mark")
+        .groupBy("row")
         .agg(F.sum(F.col("times") * F.col("pieces")).alias("n_rest"))
-        .withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
     )
-    slim = tallied.select("doc_id", "mark", "n_bytes", "n_common")
-    same = slim["doc_id"].eqNullSafe(rest["_id"]) & (slim["mark"] == rest["_mark"])
     n = F.col("n_common") + F.coalesce("n_rest", F.lit(0))
-    return slim.join(rest, same, "left").select(
+    return tallied.select("row", "doc_id", "n_bytes", "n_common").join(rest, "row", "left").select(
         "doc_id", "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit")
     )
 
 
-TALLY_FIELDS = "doc_id long, mark long, n_common long, tokens array<string>, times array<int>, n_bytes long"
+TALLY_FIELDS = "doc_id long, n_bytes long, n_common long, tokens array<string>, times array<int>"
 
 
-def _with_bytes(tally, batches):
-    """Carries the byte sizes past ``tally``, which adds its columns batch by batch."""
-    for b in batches:
-        for out in tally([b]):
-            yield pa.RecordBatch.from_arrays([*out.columns, b.column(3)], [*out.schema.names, "n_bytes"])
+def _most_frequent(pieces: DataFrame) -> dict[str, int]:
+    """Pieces of the pre-tokens that occur often enough for at most ``COMMON`` to do so."""
+    counts = pieces.groupBy("n").count().orderBy(F.desc("n")).limit(COMMON).collect()
+    total, least = 0, None
+    for n, tokens in counts:
+        total += tokens
+        if total > COMMON:
+            break
+        least = n
+    if least is None:
+        return {}
+    return {t: p for t, p in pieces.filter(F.col("n") >= least).select("token", "pieces").collect()}
