@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from docloom.llm.common import table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.ngramjoin import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.decontaminate import find_contamination
 
@@ -20,6 +26,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.htmltext import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.tokencount import count_tokens
 
@@ -32,6 +44,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from docloom.llm.neighbours import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op8_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.bpe import encode_documents
 
