@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -189,17 +190,16 @@ class WordCoder:
         return out
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str | None = None, text: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer_path: str | None = None, ids: bool = False, decoded: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row of ``docs``.
 
-    With ``text`` also ``ids`` and ``decoded`` themselves.  ``tokenizer_path`` is read where
+    ``ids`` and ``decoded`` ask for these themselves as well.  ``tokenizer_path`` is read where
     the tasks run; by default the 49k word vocabulary of the installed public tokenizers.
     A null or blank text has no tokens and decodes to the empty text; repeated rows and null
     ids each keep their row; further columns are ignored; texts of any length are coded whole.
     """
     fields = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    if text:
-        fields += ", ids array<int>, decoded string"
+    fields += ", ids array<int>" * ids + ", decoded string" * decoded
 
     def run(batches):
         path = tokenizer_path
@@ -209,20 +209,24 @@ def encode_documents(docs: DataFrame, tokenizer_path: str | None = None, text: b
             path = public_tokenizers.path("word_bpe_49k.json")
         coder = WordCoder(path)
         for batch in batches:
-            n, a, b, ids, decoded = [], [], [], [], []
+            n, id_sums, text_sums, lists, texts = [], [], [], [], []
             for value in batch.column(1):
                 count, joined, labels = coder.code(value.as_py())
                 n.append(count)
-                a.append(hashlib.sha256(joined.encode()).hexdigest())
-                b.append(hashlib.sha256(labels.encode()).hexdigest())
-                if text:
-                    ids.append([int(i) for i in joined.split()])
-                    decoded.append(labels)
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)]
+                id_sums.append(hashlib.sha256(joined.encode()).hexdigest())
+                text_sums.append(hashlib.sha256(labels.encode()).hexdigest())
+                if ids:
+                    lists.append(np.fromstring(joined, np.int32, sep=" "))
+                if decoded:
+                    texts.append(labels)
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(id_sums, pa.string()), pa.array(text_sums, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if text:
-                columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded)]
-                names += ["ids", "decoded"]
+            if ids:
+                columns.append(pa.array(lists, pa.list_(pa.int32())))
+                names.append("ids")
+            if decoded:
+                columns.append(pa.array(texts, pa.string()))
+                names.append("decoded")
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, fields)

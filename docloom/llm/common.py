@@ -39,6 +39,13 @@ def text_mark(column: str = "text") -> Column:
     return F.xxhash64(F.col(column))
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows of ``gone (doc_id, mark)``, all columns kept."""
+    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("mark").alias("_gone_mark")).distinct()
+    same = docs["doc_id"].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs["text"]) == gone["_gone_mark"])
+    return docs.join(gone.hint("shuffle_hash"), same, "left_anti")
+
+
 def held_out() -> Column:
     """Rows whose labels may not be learnt from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))

@@ -15,7 +15,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import alnum_words, in_sieve, sieve, staged, text_mark, text_or_empty, word_hashes
+from docloom.llm.common import (
+    alnum_words,
+    in_sieve,
+    sieve,
+    staged,
+    text_mark,
+    text_or_empty,
+    without,
+    word_hashes,
+)
 
 WINDOW = 10
 NEAR = 8
@@ -257,3 +266,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "mark",
         n("n_near"),
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark window, all columns kept."""
+    found = find_contamination(docs.select("doc_id", "text"), benchmark)
+    return without(docs, found.filter("contaminated").select("doc_id", "mark"))

@@ -91,15 +91,19 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with ``_n_lines, _n_dropped, _kept`` (the text left) beside its columns."""
     maps = bitmaps.select(
-        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "n_dropped", "keep"
+        F.col("doc_id").alias("_map_id"),
+        F.col("mark").alias("_map_mark"),
+        F.col("n_dropped").alias("_map_dropped"),
+        F.col("keep").alias("_map_keep"),
     ).hint("shuffle_hash")
-    own = docs.withColumns({"_text": text_or_empty(), "_own": text_mark()})
-    joined = own.join(maps, own["doc_id"].eqNullSafe(maps["_id"]) & (own["_own"] == maps["_mark"]), "left")
+    same = docs["doc_id"].eqNullSafe(maps["_map_id"]) & (F.xxhash64(docs["text"]) == maps["_map_mark"])
     dense = F.expr(
-        "transform(sequence(0, array_max(keep).word),"
-        " w -> coalesce(try_element_at(map_from_entries(keep), w), -1L))"
+        "transform(sequence(0, array_max(_map_keep).word),"
+        " w -> coalesce(try_element_at(map_from_entries(_map_keep), w), -1L))"
+    )
+    joined = docs.join(maps, same, "left").withColumns(
+        {"_text": text_or_empty(), "_dense": F.when(F.col("_map_keep").isNotNull(), dense)}
     )
-    joined = joined.withColumn("_dense", F.when(F.col("keep").isNotNull(), dense))
     kept = F.filter(
         lines_of(F.col("_text")),
         lambda _, i: F.getbit(
@@ -111,10 +115,25 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     return joined.withColumns(
         {
             "_n_lines": n_lines.cast("long"),
-            "_n_dropped": F.coalesce("n_dropped", F.lit(0)).cast("long"),
-            "_kept": F.when(F.col("keep").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n")),
+            "_n_dropped": F.coalesce("_map_dropped", F.lit(0)).cast("long"),
+            "_kept": F.when(F.col("_map_keep").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n")),
         }
-    ).select(*[docs[c] for c in docs.columns], "_n_lines", "_n_dropped", "_kept")
+    ).select(*docs.columns, "_n_lines", "_n_dropped", "_kept")
+
+
+def without_repeated_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with the texts that are left and, where there is one, their ``n_chars``.
+
+    Every row and column stays; a null text stays null.
+    """
+    done = apply_bitmaps(docs, keep_bitmaps(docs.select("doc_id", "text")))
+    changed = {"text": F.when(F.col("text").isNotNull(), F.col("_kept"))}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(
+            F.col("_n_dropped") > 0, F.char_length("_kept").cast(kind)
+        ).otherwise(F.col("n_chars"))
+    return done.withColumns(changed).select(*docs.columns)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

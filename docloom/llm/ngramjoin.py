@@ -13,10 +13,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import in_sieve, mix64, sieve, space_words, staged, text_or_empty, word_hashes
+from docloom.llm.common import (
+    in_sieve,
+    mix64,
+    sieve,
+    space_words,
+    staged,
+    text_mark,
+    text_or_empty,
+    without,
+    word_hashes,
+)
 from docloom.llm.components import components
 
 WORDS = 5
@@ -38,7 +48,7 @@ def shingle_set(data: bytes, member: np.ndarray) -> np.ndarray:
     if not n:
         return w
     if n < WORDS:
-        return mix64((w * _ODD[:n]).sum(keepdims=True) + _ODD[WORDS] * np.uint64(n))
+        return mix64((w * _ODD[:n]).sum(keepdims=True) + _ODD[WORDS] * np.array([n], np.uint64))
     total = np.zeros(n - WORDS + 1, np.uint64)
     for i in range(WORDS):
         total += w[i : n - WORDS + 1 + i] * _ODD[i]
@@ -80,7 +90,7 @@ def _sets(batch_texts, member):
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, key, node, sig`` per row; and tokens frequent within the batch, once each."""
+    """``doc_id, mark, n, key, node, sig`` per row; and tokens frequent within the batch, once each."""
 
     def run(batches):
         member = space_words()
@@ -102,6 +112,7 @@ def profiles(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0),
+                    b.column(2),
                     pa.array(n, pa.int32()),
                     pa.array(key, pa.int64()),
                     pa.array(node, pa.binary()),
@@ -109,11 +120,11 @@ def profiles(docs: DataFrame) -> DataFrame:
                     pa.array(some, pa.list_(pa.int64())),
                     pa.array(often, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "key", "node", "sig", "some", "often"],
+                ["doc_id", "mark", "n", "key", "node", "sig", "some", "often"],
             )
 
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id long, n int, key long, node binary, sig binary, some array<long>, often array<long>"
+    return docs.select("doc_id", text_or_empty().alias("text"), text_mark().alias("mark")).mapInArrow(
+        run, "doc_id long, mark long, n int, key long, node binary, sig binary, some array<long>, often array<long>"
     )
 
 
@@ -397,7 +408,7 @@ def _labelled(classes: DataFrame, links: DataFrame, label: str) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, class_id, class_links`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, class_id, class_links, mark`` for every row of ``docs``.
 
     Rows with equal sets form a class, named by its smallest id; ``class_links`` counts the
     links of the class that the search kept, enough to connect every component.  A text
@@ -421,16 +432,27 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     per = labelled.join(names, "root").join(degree, "node", "left").select(
         "node", "component_id", F.col("rep").alias("class_id"), F.coalesce("class_links", F.lit(0)).alias("class_links")
     )
-    rows = profile.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+    rows = profile.select("doc_id", "mark", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
     return rows.join(per, "node", "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("class_links", F.lit(0)).alias("class_links"),
+        "mark",
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with the smallest id of every component only, all columns and empty texts kept.
+
+    Rows of one id are one document, and stay or go together if their texts are equal.
+    """
+    found = jaccard_join(docs.select("doc_id", "text"))
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "mark")
+    return without(docs, gone)
+
+
 def find_links(docs: DataFrame, profile: DataFrame, classes: DataFrame) -> DataFrame:
     """``a, b``: links between classes that connect every component."""
     hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(profile))

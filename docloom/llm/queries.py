@@ -10,7 +10,7 @@ from docloom.llm.common import table
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.ngramjoin import jaccard_join
 
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("mark")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
