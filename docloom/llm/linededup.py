@@ -76,7 +76,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     for line ``64 w + i``; absent words, and documents without a row, keep every line.
     """
     occ = staged(occurrences(docs, min_chars), "line-keys")
-    gone = occ.join(repeated_keys(occ, min_docs), ["h1", "h2"]).filter(
+    # Written, so that both sides of the join are plain exchanges and a frequent key's can be split.
+    repeated = staged(repeated_keys(occ, min_docs), "line-repeated")
+    gone = occ.join(repeated, ["h1", "h2"]).filter(
         ~F.col("doc_id").eqNullSafe(F.col("keeper"))
     )
     words = gone.groupBy("doc_id", "mark", F.shiftright("pos", 6).alias("word")).agg(
