@@ -9,20 +9,20 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import staged
 
-SAMPLE = 8192
+SAMPLE_PER_PART = 128
 GRAPH_DEGREE = 20
 PART_ROWS = 1024
-MAX_PARTS = 64
+MAX_PARTS = 256
 HIDDEN = 128
 STEPS = 600
 TARGET = 0.97
 CHUNK_ROWS = 4096
+BLOCK_QUERIES = 2048
 SLACK = 1e-9
 
 
@@ -154,20 +154,17 @@ def top_of(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k: in
     return np.concatenate(out_q), np.concatenate(out_x), np.concatenate(out_s)
 
 
-def _matrix(column) -> np.ndarray:
-    return np.array(column.tolist(), float) if len(column) else np.zeros((0, 1))
-
-
-def nearest(vectors: DataFrame, queries, k: int = 20, part_rows: int = PART_ROWS, sample_rows: int = SAMPLE) -> DataFrame:
+def nearest(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = PART_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` best rows found for each query row.
 
-    ``queries`` is a condition on ``vec_id``.  The model is fitted on at most
-    ``sample_rows`` vectors, those with the smallest hash of their id; every vector is
-    indexed.  Vectors that are null, zero or hold null or non-finite components, and rows
-    without id, take no part; of rows that repeat an id the one with the smallest vector
-    counts; vectors of another length than most are padded with zeros or take no part if
-    longer.  Parts are cut into chunks of at most about ``CHUNK_ROWS`` rows by id, so many
-    copies of one vector meet no task together.
+    ``queries`` is a condition on ``vec_id``.  There are ``n / part_rows`` parts, at most
+    ``MAX_PARTS``, and the model is fitted on at most ``SAMPLE_PER_PART`` vectors for each,
+    those with the smallest hash of their id; every vector is indexed.  Vectors that are
+    null, zero or hold null or non-finite components, and rows without id, take no part; of
+    rows that repeat an id the one with the smallest vector counts; vectors shorter than the
+    longest of the sample are padded with zeros, longer ones take no part.  A part is cut
+    into chunks of rows and its queries into blocks, by hash of the id, and each chunk meets
+    each block: a group is bounded however many copies of a vector there are.
     """
     usable = F.col("vec_id").isNotNull() & F.coalesce(
         F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -175,13 +172,12 @@ def nearest(vectors: DataFrame, queries, k: int = 20, part_rows: int = PART_ROWS
         F.lit(False),
     )
     base = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).filter(usable)
-    base = base.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    base = staged(base, "ann-vectors")
+    base = staged(base.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "ann-vectors")
     n = base.count()
-    picked = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).collect()
+    parts = min(MAX_PARTS, max(1, n // part_rows))
+    picked = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_PER_PART * parts).collect()
     width = max((len(r.embedding) for r in picked), default=1)
-    sample = np.array([r.embedding + [0.0] * (width - len(r.embedding)) for r in picked]).reshape(len(picked), width)
-    parts = int(min(MAX_PARTS, max(1, n // part_rows), max(1, len(sample) // 32)))
+    sample = _padded([r.embedding for r in picked], width)
     router, probes = learn(sample, parts, k)
 
     def assign(top: int):
@@ -194,42 +190,45 @@ def nearest(vectors: DataFrame, queries, k: int = 20, part_rows: int = PART_ROWS
         return run
 
     fields = "vec_id long, embedding array<double>, parts array<int>"
-    fits = F.size("embedding") <= width
-    rows = staged(base.filter(fits).mapInPandas(assign(1), fields).withColumn("part", F.get("parts", 0)), "ann-index")
-    chunks = (
-        rows.groupBy("part")
-        .count()
-        .select("part", F.ceil(F.col("count") / CHUNK_ROWS).cast("int").alias("chunks"))
+    base = base.filter(F.size("embedding") <= width)
+    rows = base.mapInPandas(assign(1), fields).select("vec_id", "embedding", F.get("parts", 0).alias("part"))
+    rows = staged(rows, "ann-index")
+    sizes = rows.groupBy("part").count().collect()  # a row per part
+    smallest = np.cumsum(sorted(r["count"] for r in sizes))
+    while probes < len(sizes) and smallest[probes - 1] <= k:
+        probes += 1
+    asked = base.filter(queries).mapInPandas(assign(probes), fields)
+    asked = staged(asked.select("vec_id", "embedding", F.explode("parts").alias("part")), "ann-queries")
+    blocks = {r.part: -(-r["count"] // BLOCK_QUERIES) for r in asked.groupBy("part").count().collect()}
+    cuts = vectors.sparkSession.createDataFrame(
+        [(r.part, -(-r["count"] // CHUNK_ROWS), blocks[r.part]) for r in sizes if r.part in blocks],
+        "part int, chunks int, blocks int",
     )
-    # At most MAX_PARTS rows.
-    chunks = F.broadcast(chunks)
-    own = rows.join(chunks, "part").select(
-        "part",
-        F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"),
-        F.lit(0).alias("block"),
-        F.lit(False).alias("asks"),
-        "vec_id",
-        "embedding",
-    )
-    asked = base.filter(fits & queries).mapInPandas(assign(probes), fields)
-    asked = (
-        asked.select("vec_id", "embedding", F.explode("parts").alias("part"))
-        .join(chunks, "part")
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("part", "chunk", F.lit(0).alias("block"), F.lit(True).alias("asks"), "vec_id", "embedding")
+    cuts = F.broadcast(cuts)  # at most MAX_PARTS rows
+    mine = lambda c: F.pmod(F.xxhash64("vec_id"), F.col(c)).cast("int")
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    own = rows.join(cuts, "part").withColumn("chunk", mine("chunks")).withColumn("block", each("blocks"))
+    asks = asked.join(cuts, "part").withColumn("block", mine("blocks")).withColumn("chunk", each("chunks"))
+    keys = ["part", "chunk", "block"]
+    met = own.select(*keys, F.lit(False).alias("asks"), "vec_id", "embedding").unionAll(
+        asks.select(*keys, F.lit(True).alias("asks"), "vec_id", "embedding")
     )
 
-    def search(key, frame: pd.DataFrame) -> pd.DataFrame:
-        asks = frame["asks"].to_numpy()
-        q, x = frame[asks], frame[~asks]
+    def search(frame: pd.DataFrame) -> pd.DataFrame:
+        is_query = frame["asks"].to_numpy()
+        q, x = frame[is_query], frame[~is_query]
         if not len(q) or not len(x):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        found = top_of(_matrix(q["embedding"]), q["vec_id"].to_numpy(), _matrix(x["embedding"]), x["vec_id"].to_numpy(), k)
+        found = top_of(
+            _padded(q["embedding"], width),
+            q["vec_id"].to_numpy(),
+            _padded(x["embedding"], width),
+            x["vec_id"].to_numpy(),
+            k,
+        )
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found)))
 
-    found = own.unionByName(asked).groupBy("part", "chunk").applyInPandas(
-        search, "query_id long, vec_id long, score double"
-    )
+    found = met.groupBy(*keys).applyInPandas(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))

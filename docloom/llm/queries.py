@@ -49,7 +49,7 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from docloom.llm.neighbours import nearest
 
-    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 def op8_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:

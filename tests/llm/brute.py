@@ -129,3 +129,19 @@ def bpe(docs: list[tuple]) -> dict:
         ids = tok.encode(t or "", add_special_tokens=False).ids
         out[d] = (len(ids), sha(" ".join(map(str, ids))), sha(tok.decode(ids, skip_special_tokens=False)))
     return out
+
+
+def nearest(rows: list[tuple], k: int = 20) -> dict:
+    """query -> [(vec_id, score)] by exact search."""
+    import numpy as np
+
+    usable = [(i, np.array(v, float)) for i, v in rows if v is not None and None not in v]
+    usable = [(i, v) for i, v in usable if np.isfinite(v).all() and v.any()]
+    ids = np.array([i for i, _ in usable])
+    x = np.array([v for _, v in usable])
+    out = {}
+    for q in np.flatnonzero(ids % 20 == 0):
+        s = (x * x[q]).sum(axis=1)
+        order = [j for j in np.lexsort((ids, -s)) if j != q][:k]
+        out[int(ids[q])] = [(int(ids[j]), float(s[j])) for j in order]
+    return out
