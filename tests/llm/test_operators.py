@@ -1,0 +1,347 @@
+"""Each operator against its plain restatement: odd rows, empty tables, clashing columns."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import sys, os  # noqa: E401
+
+sys.path.insert(0, os.path.dirname(__file__))
+import brute  # noqa: E402
+
+DOCS = "doc_id long, text string"
+CLASHES = "mark n key node root keep pos line row token tokens n_lines word mask kind start end item_id terms part rank h text_hash features score"
+
+
+def _word(r: random.Random) -> str:
+    return "".join(r.choice("abcdeé") for _ in range(r.randint(1, 7)))
+
+
+def _documents() -> list[tuple]:
+    r = random.Random(4)
+    base = [" ".join(_word(r) for _ in range(r.randint(30, 120))) for _ in range(12)]
+    shared = "this line stands in a good many documents"
+    docs: list[tuple] = []
+    for i in range(90):
+        words = r.choice(base).split(" ")
+        for _ in range(r.choice([0, 0, 1, 2, 4, 8])):
+            words[r.randrange(len(words))] = _word(r)
+        text = " ".join(words)
+        if i % 3 == 0:
+            text += f"\n\t{shared.upper() if i % 2 else shared} \r\n" + ("Short\n" if i % 2 else "")
+        if i % 7 == 0:
+            text += "\npassword: 'hunter22' and AKIA" + "A1B2" * 4 + " token=abc secret=\"x/y+z==12\" " + "0a1b" * 8
+        docs.append((i + 100, text))
+    docs += [(1, None), (2, ""), (3, " \t\n "), (4, "one"), (5, "one two three"), (6, "One  two\nthree")]
+    docs += [(7, "a <s> ▁b </s>\n\n  c\t\x0bd  <|endoftext|>x<|startoftext|>"), (8, "İstanbul ſecret: ßabcdefgh Kelvin")]
+    docs += [(9, "x" * 5000 + " " + "y z " * 3000), (10, "\U0001f600 token:=abcdefg\U0001f600 token=token: abcdefgh")]
+    docs += [(11, base[0]), (12, base[0]), (13, base[0].upper())]
+    docs += [(400, base[1][:200]), (401, base[1][:200])]
+    return docs
+
+
+DOCUMENTS = _documents()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Two partitions, extra columns whose names the operators use themselves."""
+    df = spark.createDataFrame(DOCUMENTS, DOCS).repartition(2)
+    return df.withColumns({c: F.lit(7) for c in CLASHES.split()})
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def agree(df, columns, want, rows=DOCUMENTS):
+    got = df.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert tuple(r[c] for c in columns) == tuple(want[r.doc_id]), r.doc_id
+
+
+def test_jaccard_join(docs, none):
+    from docloom.llm.ngramjoin import jaccard_join, one_of_each
+
+    want = brute.jaccard_components(DOCUMENTS)
+    assert len({c for _, c in want.values()}) < len(want) - 20
+    agree(jaccard_join(docs), ["n_shingles", "component_id"], want)
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, (_, c) in want.items() if c == d)
+    assert jaccard_join(none).count() == 0
+
+
+def test_jaccard_rows_without_id_or_repeated(spark):
+    from docloom.llm.ngramjoin import jaccard_join
+
+    text = "a b c d e f g"
+    rows = [(None, text), (5, text), (5, text), (None, "z y x"), (6, None), (6, "")]
+    got = jaccard_join(spark.createDataFrame(rows, DOCS)).collect()
+    found = sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in got)
+    assert found == sorted(
+        [("None", 3, "5"), ("5", 3, "5"), ("5", 3, "5"), ("None", 1, "None"), ("6", 0, "6"), ("6", 0, "6")]
+    )
+
+
+def test_signature_tree_loses_no_pair():
+    from docloom.llm import ngramjoin as J
+
+    rng = np.random.default_rng(0)
+    sets = []
+    for _ in range(40):
+        core = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+        for _ in range(10):
+            own = core.copy()
+            own[: rng.integers(0, 14)] = rng.integers(0, 1 << 63, 1, dtype=np.uint64)
+            sets.append(np.unique(own))
+    nodes = [str(i).encode().zfill(4) for i in range(len(sets))]
+    out = J.block_candidates(
+        nodes,
+        np.array(nodes, object),
+        np.array([s.size for s in sets]),
+        [J.signature(s) for s in sets],
+        np.ones(len(sets), bool),
+    )
+    found = {(a, b) for a, b, _ in out}
+    real = {
+        (nodes[i], nodes[j])
+        for i in range(len(sets))
+        for j in range(i + 1, len(sets))
+        if J.linked_sets(sets[i], sets[j])
+    }
+    assert real and real <= found
+    assert len(found) < len(sets) ** 2 / 10
+    for s in sets[:50]:
+        for t in sets[:50]:
+            if J.linked_sets(s, t):
+                assert np.intersect1d(J.prefix(s, sets[0]), J.prefix(t, sets[0])).size
+
+
+def test_hot_blocks_in_pages(spark, monkeypatch):
+    """A block over the page size is cut up, and no likely pair is lost."""
+    from docloom.llm import ngramjoin as J
+
+    rng = np.random.default_rng(3)
+    core = rng.integers(0, 1 << 63, 50, dtype=np.uint64)
+    rows = []
+    for i in range(60):
+        s = core.copy()
+        s[: i % 5] = rng.integers(0, 1 << 63, i % 5, dtype=np.uint64)
+        s = np.unique(s)
+        name = str(i).zfill(3).encode()
+        rows.append((1, bytearray(name), bytearray(name), int(s.size), bytearray(J.signature(s))))
+    df = spark.createDataFrame(rows, "token long, node binary, root binary, n int, sig binary")
+    whole = {(bytes(r.a), bytes(r.b)) for r in J.tree_candidates(df).collect()}
+    monkeypatch.setattr(J, "PAGE", 8)
+    paged = {(bytes(r.a), bytes(r.b)) for r in J.tree_candidates(df).collect()}
+    assert paged == whole and len(whole) == 60 * 59 // 2
+
+
+def test_components(spark):
+    from docloom.llm.components import components
+
+    r = random.Random(2)
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
+    edges += [(b, a) for a, b in edges]
+    r.shuffle(edges)
+    got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_decontamination(spark, docs, none):
+    from docloom.llm.decontaminate import find_contamination, without_contaminated
+
+    source = [t for _, t in DOCUMENTS if t and len(t) > 300]
+    items = [(i, " ".join(source[3 * i].split()[5 : 5 + 4 * i + 3])) for i in range(12)]
+    items += [(50, "one"), (51, None), (52, " .. "), (9, source[0]), (9, source[0]), (60, "no such words here at all")]
+    items += [(None, source[1])]
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("terms", F.lit(1))
+    want = brute.contamination(DOCUMENTS, [i for i in items if i[0] is not None])
+    assert sum(v[-1] for v in want.values()) > 5
+    columns = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    agree(find_contamination(docs, bench), columns, want)
+    kept = without_contaminated(docs, bench)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, v in want.items() if not v[-1])
+    assert find_contamination(none, bench).count() == 0
+    empty = bench.filter("false")
+    assert find_contamination(docs, empty).filter("contaminated").count() == 0
+
+
+def test_near_matches(spark):
+    from docloom.llm.decontaminate import find_contamination
+
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    near = item.replace("delta", "other")
+    rows = spark.createDataFrame([(1, f"x {near} y"), (2, f"x {item}"), (3, "delta other delta delta")], DOCS)
+    got = {r.doc_id: (r.n_items, r.n_near) for r in find_contamination(rows, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert got == {1: (0, 1), 2: (1, 0), 3: (0, 0)}
+
+
+def test_line_dedup(spark, docs, none):
+    from docloom.llm.linededup import dedup_lines, without_repeated_lines
+
+    want = brute.lines(DOCUMENTS)
+    assert sum(n for _, n, _ in want.values()) > 20
+    agree(dedup_lines(docs), ["n_lines", "n_dropped", "kept_sha256"], want)
+    done = without_repeated_lines(docs)
+    assert done.columns == docs.columns
+    for r in done.collect():
+        assert brute.sha(r.text or "") == want[r.doc_id][2]
+    assert dedup_lines(none).count() == 0
+    line = "a line of more than twenty characters"
+    rows = [(1, line), (1, line), (2, line), (None, line), (None, "\n" * 200 + line)]
+    got = sorted((repr(r.doc_id), r.n_lines, r.n_dropped) for r in dedup_lines(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == [("1", 1, 1), ("1", 1, 1), ("2", 1, 0), ("None", 1, 1), ("None", 201, 1)]
+
+
+def test_native_plans(docs):
+    from docloom.llm.linededup import dedup_lines
+    from docloom.llm.secrets import find_secrets
+
+    for df in (dedup_lines(docs), find_secrets(docs)):
+        plan = df._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_token_counts(docs, none, monkeypatch):
+    from docloom.llm import tokencount
+
+    want = brute.piece_counts(DOCUMENTS)
+    agree(tokencount.count_tokens(docs), ["n_bytes", "n_tokens", "over_limit"], want)
+    monkeypatch.setattr(tokencount, "COMMON", 5)
+    agree(tokencount.count_tokens(docs), ["n_bytes", "n_tokens", "over_limit"], want)
+    assert tokencount.count_tokens(none).count() == 0
+
+
+def test_secrets(spark, docs, none):
+    from docloom.llm.secrets import find_secrets
+
+    want = brute.secrets(DOCUMENTS)
+    assert all(sum(v[i] for v in want.values()) > 5 for i in range(3))
+    agree(find_secrets(docs), ["n_assign", "n_access", "n_hex", "base_sha256"], want)
+    assert find_secrets(none).count() == 0
+
+
+def test_linked_credentials(spark):
+    from docloom.llm.secrets import find_secrets
+
+    weak = "Zm9vYmFy0123abcdEFGHijklMNOPqrstUVWXyz99"
+    key = "AKIA" + "A1B2" * 4
+    rows = [
+        (1, f"{key} then {weak} at https://db.example.com/x"),
+        (2, f"only {weak} here"),
+        (3, key + " " * 3000 + weak),
+        (4, "see https://db.example.com/x alone"),
+        (5, f"username: admin password: hunter22"),
+        (None, f"{key} {weak}"),
+        (1, f"{key} then {weak} at https://db.example.com/x"),
+    ]
+    got = [(r.doc_id, [s.split(":")[0] for s in r.spans.split(",") if s]) for r in find_secrets(spark.createDataFrame(rows, DOCS)).collect()]
+    assert sorted(got, key=repr) == sorted(
+        [
+            (1, ["access", "weak_secret", "endpoint"]),
+            (1, ["access", "weak_secret", "endpoint"]),
+            (2, []),
+            (3, ["access"]),
+            (4, []),
+            (5, ["weak_id", "assign"]),
+            (None, ["access", "weak_secret"]),
+        ],
+        key=repr,
+    )
+
+
+def test_bpe(docs, none):
+    from docloom.llm.bpe import encode_documents
+
+    want = brute.bpe(DOCUMENTS)
+    got = encode_documents(docs, ids=True, decoded=True)
+    agree(got, ["n_tokens", "ids_sha256", "decoded_sha256"], want)
+    for r in got.collect():
+        assert brute.sha(r.decoded) == r.decoded_sha256 and len(r.ids) == r.n_tokens
+    assert encode_documents(none).count() == 0
+
+
+def test_bpe_automaton_equals_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from docloom.llm.bpe import WordCoder
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, coder, r = Tokenizer.from_file(path), WordCoder(path), random.Random(1)
+    for _ in range(4000):
+        letters = r.choice(["ab", "cc", "lo", "thereinhe", "0123", "!.?-", "éèñ", "😀ß漢字", "ABC'stre "])
+        word = "".join(r.choice(letters) for _ in range(r.randint(1, 14)))
+        ids = library.encode(word, add_special_tokens=False).ids
+        assert coder.code(word)[1] == " ".join(map(str, ids)), word
+
+
+def test_nearest(spark):
+    from docloom.llm.neighbours import nearest
+
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(400)]
+    rows += [(i, rows[40][1]) for i in range(400, 600)]  # copies
+    rows += [(1000, None), (1020, [0.0] * 8), (1040, [float("nan")] * 8), (1060, [None] * 8), (1080, [float("inf")] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"part": F.lit(1), "rank": F.lit(2)})
+    want = brute.nearest(rows)
+    found = nearest(df, F.col("vec_id") % 20 == 0).collect()
+    got: dict = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == want
+    found = nearest(df, F.col("vec_id") % 20 == 0, part_rows=60).collect()
+    hits = sum(r.vec_id in {i for i, _ in want[r.query_id]} for r in found)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+    few = nearest(df.limit(3), F.col("vec_id") == 0)
+    assert [r.rank for r in few.collect()] == [1, 2]
+    assert nearest(df.filter("false"), F.col("vec_id") == 0).count() == 0
+    repeated = spark.createDataFrame(rows[:30] + rows[:30] + [(None, rows[0][1])], "vec_id long, embedding array<double>")
+    assert nearest(repeated, F.col("vec_id") == 0).count() == 20
+
+
+def test_pages(spark):
+    from docloom.llm.htmltext import extract_pages
+
+    frame = "<html><body><nav><a href=/>Home</a></nav><div class='story{i}'>{body}</div><div class='side'><p>{side}</p></div><footer>f</footer>"
+    long = "A paragraph with quite some words in it, and a comma or two."
+    pages = [
+        (i, "http://a.example/x", frame.format(i=i, body=f"<p>{long}</p><p>No&nbsp;{i} &lt;b&gt;</p>", side="read more"))
+        for i in range(5)
+    ]
+    # Alone, this page's side would win; its host's path decides.
+    pages.append((9, "http://a.example/y", frame.format(i=3, body="<p>Short.</p>", side=long * 3)))
+    pages += [(10, None, None), (11, "", ""), (12, "odd", "just text &amp; more <"), (9, "http://b.example", "<p>x</p>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({"text": F.lit(1), "path": F.lit(2), "host": F.lit(3)})
+    got = [(r.page_id, r.text, r.n_chars) for r in extract_pages(df).collect()]
+    want = [(i, f"{long}\nNo {i} <b>") for i in range(5)] + [(9, "Short."), (9, "x"), (10, ""), (11, ""), (12, "just text & more <")]
+    assert sorted(got) == sorted((i, t, len(t)) for i, t in want)
+    assert extract_pages(df.filter("false")).count() == 0
+
+
+def test_classifiers_on_odd_tables(spark, docs, none):
+    from docloom.llm.quality import keep_good, score_quality
+    from docloom.llm.toxicity import score_toxicity
+
+    labels = spark.createDataFrame(
+        [(d, int(d % 2), int(d % 5 == 0)) for d, _ in DOCUMENTS[:40]] + [(1, None, None), (None, 1, 1)],
+        "doc_id long, quality int, toxic int",
+    )
+    nothing = labels.filter("false")
+    odd = docs.select("doc_id", "text").union(spark.createDataFrame([(None, "x y"), (1, None)], DOCS))
+    for score in (score_quality, score_toxicity):
+        for table, marks in ((docs, labels), (odd, labels), (docs, nothing), (none, labels)):
+            got = score(table, marks).collect()
+            assert len(got) == table.count()
+            assert all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in got)
+    assert keep_good(docs, labels).columns == docs.columns
+    assert keep_good(docs, nothing).count() == len(DOCUMENTS)
