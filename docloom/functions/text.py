@@ -27,9 +27,7 @@ LINE_BLANKS = "".join(c for c in WHITESPACE if c != "\n" and c not in LINE_BREAK
 # the ASCII form is used for text that has none of the others.
 _W = r"[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _BLANK = r"[\t\x1f \xa0\u1680\u2000-\u200a\u202f\u205f\u3000]"
-_BREAK = r"[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 _ASCII_BLANK = r"[\t\x1f ]"
-_ASCII_BREAK = r"[\r\x0b\x0c\x1c-\x1e]"
 
 
 def _replace(c: Column, pattern: str, to: str) -> Column:
@@ -55,16 +53,33 @@ def strip_code_fences(c: Column) -> Column:
     return _replace(c, f"(?md)^(?<!\\n\\n){_W}*+```.*$", "")
 
 
+def _before_last(c: Column, mark: str, change: Callable[[Column], Column]) -> Column:
+    """Changes the text up to the last ``mark`` and leaves the rest.
+
+    For patterns that end with the mark: none can match later, and up to there each
+    start finds an end, so no start scans the rest of the text in vain.
+    """
+    rest = F.substring_index(c, mark, -1)
+    head = F.substring(c, F.lit(1), F.length(c) - F.length(rest))
+    return F.concat(change(head), rest)
+
+
+# A bracket that leads nowhere is taken with its whole run and put back: all brackets of
+# the run end at the same place, so none of them leads anywhere either.
+
+
 def strip_images(c: Column) -> Column:
-    return _replace(c, r"!\[([^\]]*+)\]\([^)]*+\)", "$1")
+    pattern = r"!\[([^\]]*+)\]\([^)]*+\)|(!\[[^\]]*+)"
+    return _before_last(c, ")", lambda head: _replace(head, pattern, "$1$2"))
 
 
 def strip_links(c: Column) -> Column:
-    return _replace(c, r"\[([^\]]*+)\]\([^)]*+\)", "$1")
+    pattern = r"\[([^\]]*+)\]\([^)]*+\)|(\[[^\]]*+)"
+    return _before_last(c, ")", lambda head: _replace(head, pattern, "$1$2"))
 
 
 def strip_html_tags(c: Column) -> Column:
-    return _replace(c, r"<[^>]++>", " ")
+    return _before_last(c, ">", lambda head: _replace(head, r"<[^>]++>", " "))
 
 
 def strip_headings(c: Column) -> Column:
@@ -81,7 +96,7 @@ def strip_bullets(c: Column) -> Column:
 
 def strip_emphasis(c: Column) -> Column:
     """Every ``*``, ``_`` and back-tick goes, alone or doubled."""
-    return _replace(c, "[*_`]++", "")
+    return F.translate(c, "*_`", "")
 
 
 def _has_any(c: Column, marks: str | tuple[str, ...]) -> Column:
@@ -94,10 +109,10 @@ def _has_any(c: Column, marks: str | tuple[str, ...]) -> Column:
 _WIDE = "".join(c for c in WHITESPACE if ord(c) > 127)
 
 
-def _by_width(c: Column, pattern: Callable[[str, str], str]) -> Column:
+def _by_width(c: Column, pattern: Callable[[str], str]) -> Column:
     wide = (F.octet_length(c) != F.length(c)) & _has_any(c, _WIDE)
-    return F.when(wide, _replace(c, pattern(_BLANK, _BREAK), "\n")).otherwise(
-        _replace(c, pattern(_ASCII_BLANK, _ASCII_BREAK), "\n")
+    return F.when(wide, _replace(c, pattern(_BLANK), "\n")).otherwise(
+        _replace(c, pattern(_ASCII_BLANK), "\n")
     )
 
 
@@ -106,7 +121,7 @@ def fold_pairs(c: Column) -> Column:
 
 
 def fold_breaks(c: Column) -> Column:
-    return _by_width(c, lambda blank, line_break: line_break)
+    return F.translate(c, LINE_BREAKS, "\n" * len(LINE_BREAKS))
 
 
 def trim_lines(c: Column) -> Column:
@@ -114,7 +129,7 @@ def trim_lines(c: Column) -> Column:
 
     The look-behind lets a run of blanks be tried from its first one only.
     """
-    return _by_width(c, lambda blank, line_break: f"{blank}(?<!{blank}{blank}){blank}*+\\n")
+    return _by_width(c, lambda blank: f"{blank}(?<!{blank}{blank}){blank}*+\\n")
 
 
 def trim_line_ends(c: Column) -> Column:

@@ -1,42 +1,83 @@
 """The job ledger: one row per job, folded from an event log.
 
-Events: ``job_id, ts, seq, status`` and optionally ``filename, error_code,
-error``.  ``(ts, seq)`` orders the events of a job.
+Events: ``job_id, ts, seq, status`` and optionally ``filename, error_code, error,
+missing_dependencies, result``.  ``(ts, seq)`` orders the events of a job.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators.outcomes import TIMEOUT, TIMEOUT_MESSAGE
+from docloom.session import staged
 
 # The states of a job.
 QUEUED, RUNNING = "queued", "running"
 TERMINAL = ("succeeded", "failed", "cancelled")
 
 
+# What an event may also tell of its job: the file, and how the job ended.
+FILE_DETAIL = "filename"
+END_DETAILS = ("error_code", "error", "missing_dependencies", "result")
+_CODES = ("", *TERMINAL)
+
+
+def _place(ts: Column, seq: Column, status: Column) -> Column:
+    """Time, sequence number and state in one number, ordered as the pair is.
+
+    A minimum over a number is kept in a hash table; over a struct it takes a sort.
+    """
+    code = F.lit(0)
+    for n, name in enumerate(TERMINAL, 1):
+        code = F.when(status == name, n).otherwise(code)
+    micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(38,0)")
+    return micros * F.lit(Decimal(10) ** 20).cast("decimal(21,0)") + (
+        seq.cast("decimal(19,0)") * F.lit(10).cast("decimal(2,0)") + code
+    ).cast("decimal(38,0)")
+
+
 def job_snapshots(events: DataFrame) -> DataFrame:
     """Folds each job's events: the first terminal state wins, later ones are void.
 
     Only minima are kept, so the fold combines before the shuffle and one job
-    with a huge log is spread over the map side.
+    with a huge log is spread over the map side.  ``seq`` is not negative.  Where the
+    events carry them, the first ``filename`` told comes along, and ``error_code, error,
+    missing_dependencies, result`` of the terminal event.
     """
-    at = F.struct("ts", "seq", "status")
-    first_end = F.min(F.when(F.col("status").isin(*TERMINAL), at))
-    first_run = F.min(F.when(F.col("status") == RUNNING, at))
-    folded = events.groupBy("job_id").agg(
-        F.min("ts").alias("created_at"), first_run.alias("run"), first_end.alias("end")
+    at = _place(F.col("ts"), F.col("seq"), F.col("status"))
+    ending = F.col("status").isin(*TERMINAL)
+    placed = events.withColumn("_at", at)
+    folded = placed.groupBy("job_id").agg(
+        F.min("ts").alias("created_at"),
+        F.min(F.when(F.col("status") == RUNNING, F.col("_at"))).alias("run"),
+        F.min(F.when(F.col("status") == RUNNING, F.col("ts"))).alias("run_ts"),
+        F.min(F.when(ending, F.col("_at"))).alias("end"),
+        F.min(F.when(ending, F.col("ts"))).alias("end_ts"),
+        *[
+            F.min_by(FILE_DETAIL, F.when(F.col(FILE_DETAIL).isNotNull(), F.col("_at"))).alias(FILE_DETAIL)
+            for c in events.columns
+            if c == FILE_DETAIL
+        ],
     )
+    told = [c for c in END_DETAILS if c in events.columns]
+    if told:  # the details of the winning events only, not a fold over all of them
+        ends = placed.filter(ending).select("job_id", F.col("_at").alias("end"), *told)
+        ends = ends.dropDuplicates(["job_id", "end"])
+        folded = folded.join(ends, ["job_id", "end"], "left")
     started = F.col("run").isNotNull() & (F.col("end").isNull() | (F.col("run") < F.col("end")))
+    ended = F.element_at(F.array(*[F.lit(c) for c in _CODES]), (F.col("end") % 10).cast("int") + 1)
     return folded.select(
         "job_id",
         F.coalesce(
-            F.col("end.status"), F.when(started, F.lit(RUNNING)), F.lit(QUEUED)
+            F.when(F.col("end").isNotNull(), ended), F.when(started, F.lit(RUNNING)), F.lit(QUEUED)
         ).alias("status"),
         "created_at",
-        F.when(started, F.col("run.ts")).alias("started_at"),
-        F.col("end.ts").alias("finished_at"),
+        F.when(started, F.col("run_ts")).alias("started_at"),
+        F.col("end_ts").alias("finished_at"),
+        *[c for c in (FILE_DETAIL, *END_DETAILS) if c in events.columns],
     )
 
 
@@ -60,16 +101,23 @@ def seconds(c: Column) -> Column:
 
 
 def apply_deadline(jobs: DataFrame, now: Column, timeout_secs: int) -> DataFrame:
-    """Jobs past their budget become ``failed``; it runs from start, not submit."""
+    """Jobs past their budget become ``failed``; it runs from start, not submit.
+
+    Errors that other jobs carry stay as they are.
+    """
     ran = seconds(F.coalesce("finished_at", now)) - seconds(F.col("started_at"))
     late = F.coalesce(ran > timeout_secs, F.lit(False))
     due = F.col("started_at") + F.expr(f"interval {int(timeout_secs)} seconds")
+
+    def told(name: str) -> Column:
+        return F.col(name) if name in jobs.columns else F.lit(None).cast("string")
+
     return (
         jobs.withColumn("_late", late)
         .withColumn("status", F.when(F.col("_late"), "failed").otherwise(F.col("status")))
         .withColumn("finished_at", F.when(F.col("_late"), due).otherwise(F.col("finished_at")))
-        .withColumn("error_code", F.when(F.col("_late"), TIMEOUT))
-        .withColumn("error", F.when(F.col("_late"), TIMEOUT_MESSAGE))
+        .withColumn("error_code", F.when(F.col("_late"), TIMEOUT).otherwise(told("error_code")))
+        .withColumn("error", F.when(F.col("_late"), TIMEOUT_MESSAGE).otherwise(told("error")))
         .drop("_late")
     )
 
@@ -105,21 +153,23 @@ def apply_cancels(jobs: DataFrame, cancels: DataFrame) -> DataFrame:
 def retain_jobs(jobs: DataFrame, max_jobs: int) -> DataFrame:
     """Drops the oldest terminal jobs while over ``max_jobs``; live ones stay.
 
-    Dropping the oldest ``n - max_jobs`` terminal jobs keeps the newest
-    ``max_jobs - live`` of them.  That number is at most ``max_jobs``, so the
-    survivors come from a bounded top-k instead of a sort of the whole ledger.
+    The ledger is written first, as it is read twice.  Dropping the oldest
+    ``n - max_jobs`` terminal jobs keeps the newest ``max_jobs - live`` of them, so a
+    bounded top-k of slim ``(created_at, job_id)`` keys finds the oldest key that stays;
+    rows with payload are only filtered by it.
     """
+    jobs = staged(jobs, "ledger")
     terminal = F.col("status").isin(*TERMINAL)
-    live = jobs.where(~terminal)
-    room = live.select(F.greatest(F.lit(max_jobs) - F.count("*"), F.lit(0)).cast("int"))
+    live = jobs.agg(F.count_if(~terminal)).first()[0]
+    room = max(max_jobs - live, 0)
+    if not room:
+        return jobs.where(~terminal)
     newest = (
         jobs.where(terminal)
-        .orderBy(F.col("created_at").desc(), F.col("job_id").desc())
-        .limit(max_jobs)
-        .select(F.struct(F.col("created_at"), F.col("job_id"), F.struct(*jobs.columns).alias("row")).alias("x"))
-        .agg(F.sort_array(F.collect_list("x"), asc=False).alias("xs"))
+        .select("created_at", "job_id")
+        .orderBy(F.desc("created_at"), F.desc("job_id"))
+        .limit(room)
     )
-    kept = newest.select(
-        F.explode(F.slice("xs", F.lit(1), room.scalar())).alias("x")
-    ).select("x.row.*")
-    return live.unionByName(kept)
+    oldest = newest.agg(F.min(F.struct("created_at", "job_id")).alias("key"))
+    key = oldest.select("key").scalar()
+    return jobs.where(~terminal | (F.struct("created_at", "job_id") >= key))

@@ -14,8 +14,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.session import spread
-
 EXTENSIONS = (".pdf", ".PDF", ".docx", ".png", ".tiff", ".xlsx", ".doc", ".xyz", ".zip", ".tar.gz")
 ARCHIVE_BLOCK = 1000
 
@@ -24,11 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """For queries whose work is all per row."""
-    return spread(table(spark, sf_dir, name))
-
-
 def _pick(values: tuple[str, ...], key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values)).cast("int") + 1)
 
@@ -49,7 +42,7 @@ def markdown() -> Column:
 
 
 def markdown_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dealt_table(spark, sf_dir, "documents").withColumn("markdown", markdown())
+    return table(spark, sf_dir, "documents").withColumn("markdown", markdown())
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +115,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     filename = F.when(doc % 6 == 0, F.concat(F.lit("C:\\in.dir\\"), file_name())).when(
         doc % 6 == 2, F.lit("noext")
     ).when(doc % 6 == 4, file_name())
-    return dealt_table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         doc.alias("request_id"),
         F.when(by_path & (doc % 77 != 0), path).alias("path"),
         F.when(by_content, content).alias("content_base64"),
@@ -149,7 +142,7 @@ OPTION_TEXTS = (
 
 def option_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
-    return dealt_table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         event, F.parse_json(_pick(OPTION_TEXTS, event)).alias("options")
     )
 
@@ -193,7 +186,7 @@ def content_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 3, F.concat(F.lit('[{"page_idx": '), k, F.lit("}, {")))
         .otherwise(F.concat(F.lit('[{"type": "text", "page_idx": 0}, {"page_idx": '), k, F.lit("}]")))
     )
-    lists = dealt_table(spark, sf_dir, "events").select(
+    lists = table(spark, sf_dir, "events").select(
         F.floor(event / 3).cast("bigint").alias("parse_id"),
         F.concat(F.lit("p"), event.cast("string"), F.lit("_content_list.json")).alias("file"),
         body.alias("json"),
@@ -201,7 +194,7 @@ def content_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.withColumn("size", F.octet_length("json").cast("bigint"))
 
 
-def as_job_events(events: DataFrame) -> DataFrame:
+def as_job_events(events: DataFrame, *more: str) -> DataFrame:
     """Works on the table and on a stream of it alike."""
     status = (
         F.when(F.col("event_type") == "view", "queued")
@@ -215,6 +208,7 @@ def as_job_events(events: DataFrame) -> DataFrame:
         "ts",
         F.col("event_id").alias("seq"),
         status.alias("status"),
+        *more,
     )
 
 
@@ -222,6 +216,21 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_job_events(table(spark, sf_dir, "events"))
 
 
+def told_job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with what its events tell: the file, the error, the result."""
+    events = table(spark, sf_dir, "events")
+    number = F.col("event_id").cast("string")
+    failed, done = F.col("event_type") == "error", F.col("event_type") == "purchase"
+    told = {
+        "filename": F.when(F.col("event_type") != "click", F.concat(F.lit("d"), number, F.lit(".pdf"))),
+        "error_code": F.when(failed, F.when(F.col("event_id") % 3 == 0, "missing_dependency").otherwise("parse_failed")),
+        "error": F.when(failed, F.concat(F.lit("failed at "), number)),
+        "missing_dependencies": F.when(failed & (F.col("event_id") % 3 == 0), F.array(F.lit("libreoffice"))),
+        "result": F.when(done, F.concat(F.lit("result of "), number)),
+    }
+    return as_job_events(events.withColumns(told), *told)
+
+
 def packed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``entries`` packed into real zip and tar files, one row per archive.
 

@@ -544,8 +544,23 @@ jobs AS (SELECT job_id,
     max(ts) FILTER (place = end_place) AS finished_at FROM live GROUP BY job_id)"""
 
 
+def _told_jobs() -> str:
+    """Jobs with what their terminal event tells, and the first file name told."""
+    return f"""{_jobs()},
+files AS (SELECT l.job_id, 'd' || arg_min(l.seq, l.place) || '.pdf' AS filename
+  FROM seen l WHERE l.status <> 'running' GROUP BY l.job_id),
+told AS (SELECT j.*, f.filename, s.seq AS end_seq, s.status AS end_status
+  FROM jobs j LEFT JOIN files f USING (job_id) LEFT JOIN ends e USING (job_id)
+  LEFT JOIN seen s ON s.job_id = j.job_id AND s.place = e.end_place),
+detailed AS (SELECT job_id, status, created_at, started_at, finished_at, filename,
+  CASE WHEN end_status = 'failed' THEN CASE WHEN end_seq % 3 = 0 THEN 'missing_dependency' ELSE 'parse_failed' END END AS error_code,
+  CASE WHEN end_status = 'failed' THEN 'failed at ' || end_seq END AS error,
+  CASE WHEN end_status = 'failed' AND end_seq % 3 = 0 THEN 'libreoffice' END AS missing_dependencies,
+  CASE WHEN end_status = 'succeeded' THEN 'result of ' || end_seq END AS result FROM told)"""
+
+
 def job_snapshot() -> str:
-    return f"WITH {_jobs()} SELECT * FROM jobs"
+    return f"WITH {_told_jobs()} SELECT * FROM detailed"
 
 
 def job_lookup() -> str:
@@ -555,10 +570,11 @@ def job_lookup() -> str:
 
 def job_deadline() -> str:
     late = f"coalesce(coalesce(finished_at, TIMESTAMP '2024-01-31 00:00:00') > started_at + INTERVAL {q.TIMEOUT_SECS} SECOND, false)"
-    return f"""WITH {_jobs()} SELECT job_id, CASE WHEN {late} THEN 'failed' ELSE status END AS status, created_at, started_at,
-  CASE WHEN {late} THEN started_at + INTERVAL {q.TIMEOUT_SECS} SECOND ELSE finished_at END AS finished_at,
-  CASE WHEN {late} THEN 'timeout' END AS error_code,
-  CASE WHEN {late} THEN 'the parse exceeded its time budget' END AS error FROM jobs"""
+    return f"""WITH {_told_jobs()} SELECT job_id, CASE WHEN {late} THEN 'failed' ELSE status END AS status, created_at, started_at,
+  CASE WHEN {late} THEN started_at + INTERVAL {q.TIMEOUT_SECS} SECOND ELSE finished_at END AS finished_at, filename,
+  CASE WHEN {late} THEN 'timeout' ELSE error_code END AS error_code,
+  CASE WHEN {late} THEN 'the parse exceeded its time budget' ELSE error END AS error,
+  missing_dependencies, result FROM detailed"""
 
 
 def job_cancel() -> str:

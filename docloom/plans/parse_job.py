@@ -14,25 +14,13 @@ from docloom.operators import intake as I
 from docloom.operators import outcomes as X
 from docloom.operators.hook import Parser, decode_text, parse_documents
 from docloom.operators.results import shape_results
-from docloom.session import stage_path
+from docloom.session import staged
 from docloom.sources import files
 from docloom.sources.containers import expand_archives
 
 RESULT_COLUMNS = ("path", "error_code", "error", "missing_dependencies", "result")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Writes a stage to the shared folder and reads it back.
-
-    What opens archives or runs the parser is far too dear to run once per
-    reader, and a written stage outlives lost executors; later readers also get
-    column pruning.
-    """
-    path = stage_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _no_missing() -> Column:
     return F.array().cast("array<string>")
 

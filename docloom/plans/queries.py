@@ -232,7 +232,7 @@ def plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plain_text_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = inp.dealt_table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = inp.table(spark, sf_dir, "pages").select("page_id", "html")
     return T.with_plain_text(pages, "html", "result").select("page_id", "result")
 
 
@@ -316,8 +316,16 @@ def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.job_snapshots(inp.job_events(spark, sf_dir))
 
 
+def _told_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.job_snapshots(inp.told_job_events(spark, sf_dir))
+
+
+def _flat_jobs(jobs: DataFrame) -> DataFrame:
+    return jobs.withColumn("missing_dependencies", F.array_join("missing_dependencies", ","))
+
+
 def job_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _jobs(spark, sf_dir)
+    return _flat_jobs(_told_jobs(spark, sf_dir))
 
 
 def job_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,7 +340,7 @@ def job_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
-    return L.apply_deadline(_jobs(spark, sf_dir), now, TIMEOUT_SECS)
+    return _flat_jobs(L.apply_deadline(_told_jobs(spark, sf_dir), now, TIMEOUT_SECS))
 
 
 def job_cancel(spark: SparkSession, sf_dir: str) -> DataFrame:

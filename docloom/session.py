@@ -22,6 +22,8 @@ def build_session(app: str = "docloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # One batch of archives handed to Python holds about one of them.
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     }
     if master:
         builder = builder.master(master)
@@ -38,16 +40,6 @@ def build_session(app: str = "docloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deals the rows of a scan out when it has fewer splits than there are cores.
-
-    One small file is one split however dear its rows are to work on.  A scan
-    with at least a split per core, as every large one is, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder the cluster shares for written stages.
 
@@ -62,6 +54,17 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Writes a stage to the shared folder and reads it back.
+
+    For what is too dear to run once per reader; a written stage outlives lost
+    executors, and later readers get column pruning.
+    """
+    path = stage_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="docloom-")

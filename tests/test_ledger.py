@@ -84,3 +84,23 @@ def test_listing_and_lookup(spark):
     assert "result" not in listed.columns and [r.job_id for r in listed.collect()] == [3, 1, 2]
     wanted = spark.createDataFrame([(1,), (7,)], "job_id bigint")
     assert {r.job_id: r.unknown for r in L.job_lookup(wanted, df).collect()} == {1: False, 7: True}
+
+
+def test_details_come_along_and_survive_the_deadline(spark):
+    rows = [
+        (1, at(0), 0, "queued", "a.pdf", None, None, None),
+        (1, at(5), 1, "failed", None, "parse_failed", "boom", None),
+        (1, at(6), 2, "failed", None, "timeout", "late", None),
+        (2, at(0), 0, "queued", None, None, None, None),
+        (2, at(1), 1, "running", "b.pdf", None, None, None),
+        (2, at(9), 2, "succeeded", "c.pdf", None, None, "text"),
+        (3, at(1), 1, "running", None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, f"{EVENT}, filename string, error_code string, error string, result string")
+    late = L.apply_deadline(L.job_snapshots(df), F.lit(at(701)).cast("timestamp_ntz"), 600)
+    got = {r.job_id: (r.status, r.filename, r.error_code, r.error, r.result) for r in late.collect()}
+    assert got == {
+        1: ("failed", "a.pdf", "parse_failed", "boom", None),
+        2: ("succeeded", "b.pdf", None, None, "text"),
+        3: ("failed", None, "timeout", "the parse exceeded its time budget", None),
+    }

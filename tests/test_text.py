@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -70,6 +71,18 @@ def test_long_runs_stay_linear(spark):
     assert [got[i] for i in range(4)] == ["x", "x", worst[2].strip(), worst[3]]
 
 
+def test_a_megabyte_of_openers_stays_linear(spark):
+    size = 1 << 20
+    worst = [mark * (size // len(mark)) for mark in ("<", "[", "![", "[a](", "![a](", "[a]", "<a ", "*_", "\r")]
+    worst += [w + end for w in worst[:6] for end in (">", "]", ")", "](b)")]
+    df = spark.createDataFrame(list(enumerate(worst)), "id int, s string").repartition(4)
+    began = time.monotonic()
+    got = {r.id: r.p for r in T.with_plain_text(df, "s", "p").collect()}
+    assert time.monotonic() - began < 60
+    assert got[0] == worst[0] and got[1] == worst[1] and got[8] == ""
+    assert got[9] == ""  # one tag
+
+
 def test_shaping_sample(spark):
     sample = (
         "# Heading\n\nSome **bold** text with a [link](http://x) and "
