@@ -28,7 +28,8 @@ NEGATIVES = 6000
 LANDMARKS = 512
 ROUNDS = 3
 SLOPE = 6.0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
+ROWS_AT_ONCE = 500
 # Single characters set apart by blanks are read as one word.
 SPACED = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)")
 SENTENCE = re.compile(r"[.!?\n]+\s*")
@@ -166,13 +167,13 @@ def fit_machine(
     bent = [w[:WINDOW] for w in bent]
     half = LANDMARKS // 2
     marks = list(dict.fromkeys(positive[:half] + negative[:: max(1, len(negative) // half)][:half]))
+    found = list(kernel_features(marks))
+    active = np.unique(np.concatenate([code.ravel() for _, code, _ in found]))
     triples = np.zeros(ALPHABET**3, np.int64)
-    base = np.zeros((len(marks), ALPHABET**3), np.float32)
-    for rows, code, value in kernel_features(marks):
-        np.add.at(base, (rows[:, None], code), value.astype(np.float32))
-    active = np.flatnonzero(base.any(axis=0))
     triples[active] = np.arange(1, active.size + 1)
-    base = base[:, active]
+    base = np.zeros((len(marks), active.size), np.float32)
+    for rows, code, value in found:
+        np.add.at(base, (rows[:, None], triples[code] - 1), value.astype(np.float32))
 
     def near(words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(marks)))
@@ -274,14 +275,16 @@ def document_margins(docs: DataFrame, model) -> DataFrame:
         table, bias = model
         seen: dict[str, float] = {}
         for f in frames:
-            texts = [ascii_lower(t) for t in f["text"]]
-            words = [{*t.split(), *spaced_words(t)} for t in texts]
-            new = list(set().union(*words).difference(seen)) if words else []
-            seen.update(zip(new, margins(new, table, bias).tolist()))
-            best = [max(map(seen.__getitem__, w), default=bias) for w in words]
+            best: list[float] = []
+            for start in range(0, len(f), ROWS_AT_ONCE):
+                texts = [ascii_lower(t) for t in f["text"].iloc[start : start + ROWS_AT_ONCE]]
+                words = [{*t.split(), *spaced_words(t)} for t in texts]
+                new = list(set().union(*words).difference(seen))
+                seen.update(zip(new, margins(new, table, bias).tolist()))
+                best += [max(map(seen.__getitem__, w), default=bias) for w in words]
+                if len(seen) > CACHE_WORDS:
+                    seen.clear()
             yield f[["doc_id", "held_out"]].assign(margin=best)
-            if len(seen) > CACHE_WORDS:
-                seen.clear()
 
     return docs.select("doc_id", held_out().alias("held_out"), text_or_empty().alias("text")).mapInPandas(
         run, "doc_id long, held_out boolean, margin double"
