@@ -39,34 +39,26 @@ def _place(ts: Column, seq: Column, status: Column) -> Column:
     ).cast("decimal(38,0)")
 
 
-def job_snapshots(events: DataFrame) -> DataFrame:
-    """Folds each job's events: the first terminal state wins, later ones are void.
+def fold_events(events: DataFrame, *more: Column) -> DataFrame:
+    """The minima of each job's events that decide its state.
 
-    Only minima are kept, so the fold combines before the shuffle and one job
-    with a huge log is spread over the map side.  ``seq`` is not negative.  Where the
-    events carry them, the first ``filename`` told comes along, and ``error_code, error,
-    missing_dependencies, result`` of the terminal event.
+    They combine before the shuffle, so one job with a huge log is spread over the map
+    side, and in any order, so folds of parts can be merged.  ``seq`` is not negative.
     """
     at = _place(F.col("ts"), F.col("seq"), F.col("status"))
-    ending = F.col("status").isin(*TERMINAL)
-    placed = events.withColumn("_at", at)
-    folded = placed.groupBy("job_id").agg(
+    running, ending = F.col("status") == RUNNING, F.col("status").isin(*TERMINAL)
+    return events.withColumn("_at", at).groupBy("job_id").agg(
         F.min("ts").alias("created_at"),
-        F.min(F.when(F.col("status") == RUNNING, F.col("_at"))).alias("run"),
-        F.min(F.when(F.col("status") == RUNNING, F.col("ts"))).alias("run_ts"),
+        F.min(F.when(running, F.col("_at"))).alias("run"),
+        F.min(F.when(running, F.col("ts"))).alias("run_ts"),
         F.min(F.when(ending, F.col("_at"))).alias("end"),
         F.min(F.when(ending, F.col("ts"))).alias("end_ts"),
-        *[
-            F.min_by(FILE_DETAIL, F.when(F.col(FILE_DETAIL).isNotNull(), F.col("_at"))).alias(FILE_DETAIL)
-            for c in events.columns
-            if c == FILE_DETAIL
-        ],
+        *more,
     )
-    told = [c for c in END_DETAILS if c in events.columns]
-    if told:  # the details of the winning events only, not a fold over all of them
-        ends = placed.filter(ending).select("job_id", F.col("_at").alias("end"), *told)
-        ends = ends.dropDuplicates(["job_id", "end"])
-        folded = folded.join(ends, ["job_id", "end"], "left")
+
+
+def finish(folded: DataFrame, *more: str) -> DataFrame:
+    """Job states from their minima: the first terminal state wins, later ones are void."""
     started = F.col("run").isNotNull() & (F.col("end").isNull() | (F.col("run") < F.col("end")))
     ended = F.element_at(F.array(*[F.lit(c) for c in _CODES]), (F.col("end") % 10).cast("int") + 1)
     return folded.select(
@@ -77,10 +69,30 @@ def job_snapshots(events: DataFrame) -> DataFrame:
         "created_at",
         F.when(started, F.col("run_ts")).alias("started_at"),
         F.col("end_ts").alias("finished_at"),
-        *[c for c in (FILE_DETAIL, *END_DETAILS) if c in events.columns],
+        *more,
     )
 
 
+def job_snapshots(events: DataFrame) -> DataFrame:
+    """One row per job.
+
+    Where the events carry them, the first ``filename`` told comes along, and ``error_code,
+    error, missing_dependencies, result`` of the terminal event.
+    """
+    first_told = [
+        F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_at"))).alias(c)
+        for c in events.columns
+        if c == FILE_DETAIL
+    ]
+    folded = fold_events(events, *first_told)
+    told = [c for c in END_DETAILS if c in events.columns]
+    if told:  # the details of the winning events only, not a fold over all of them
+        at = _place(F.col("ts"), F.col("seq"), F.col("status"))
+        ends = events.filter(F.col("status").isin(*TERMINAL)).select("job_id", at.alias("end"), *told)
+        folded = folded.join(ends.dropDuplicates(["job_id", "end"]), ["job_id", "end"], "left")
+    return finish(folded, *[c for c in (FILE_DETAIL, *END_DETAILS) if c in events.columns])
+
+
 def job_listing(jobs: DataFrame) -> DataFrame:
     """All jobs in submission order, without their results."""
     return jobs.drop("result").orderBy("created_at", "job_id")

@@ -184,6 +184,7 @@ def content_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 1, F.concat(F.lit('[{"page_idx": "'), k, F.lit('"}, {"page_idx": 2.5}, {"page_idx": null}, []]')))
         .when(shape == 2, F.concat(F.lit('{"page_idx": '), k, F.lit("}")))
         .when(shape == 3, F.concat(F.lit('[{"page_idx": '), k, F.lit("}, {")))
+        .when(event % 3 == 0, F.concat(F.lit('[{"page_idx": 0, "score": NaN}, {"page_idx": 1, "page_idx": '), k, F.lit("}]")))
         .otherwise(F.concat(F.lit('[{"type": "text", "page_idx": 0}, {"page_idx": '), k, F.lit("}]")))
     )
     lists = table(spark, sf_dir, "events").select(

@@ -384,6 +384,11 @@ SELECT job_id, CASE WHEN {late} THEN 'failed' ELSE status END AS status, created
   CASE WHEN {late} THEN 'timeout' END AS error_code FROM timed"""
 
 
+def job_stream_retained() -> str:
+    return f"""SELECT * FROM ({job_stream()}) WHERE NOT coalesce(finished_at + INTERVAL {q.RETAINED_SECS} SECOND
+  <= (SELECT max(ts) - INTERVAL 10 SECOND FROM events), false)"""
+
+
 def _shaped(budget: int, min_text: int, key: str) -> str:
     """From ``ready`` (key, filename, markdown, notes, sources, page_count,
     over_budget, error_code, error) to flat results."""
@@ -607,7 +612,7 @@ def all_sql() -> dict[str, str]:
             plain_text, plain_text_html, clip_bytes, shared_budget, error_tail, lossy_read, result_record,
             pick_markdown, page_count, page_window, no_output, job_snapshot, job_lookup,
             job_deadline, job_cancel, archive_expand, parse_job_archives, result_sink,
-            output_scan, job_stream,
+            output_scan, job_stream, job_stream_retained,
         )
     }
     sql["archive_caps"] = _caps(49, 90_000)

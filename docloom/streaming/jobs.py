@@ -1,171 +1,99 @@
-"""Live job state: one record per job, a deadline timer and a clean-up timer."""
+"""Live job state: the ledger's fold kept up to date batch by batch.
 
-from __future__ import annotations
+A batch is reduced to its minima per job and merged with the state before it.  Minima do
+not depend on the order of events or on how they were cut into batches, so the state after
+any number of batches is the fold of all their events.  Deadlines and retention are columns
+against the stream's clock: the newest event time less a delay.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from docloom.operators.ledger import QUEUED, RUNNING, TERMINAL
+from docloom.operators import ledger as L
 from docloom.operators.outcomes import TIMEOUT
+from docloom.session import delete, exists
+
+FOLD = ("created_at", "run", "run_ts", "end", "end_ts")
+
+
+def merge_folds(folds: DataFrame) -> DataFrame:
+    """One row per job from any number of partial folds."""
+    return folds.groupBy("job_id").agg(*[F.min(c).alias(c) for c in FOLD])
+
+
+def timed(jobs: DataFrame, clock: Column, timeout_secs: int) -> DataFrame:
+    """Snapshots with the deadlines that have passed by ``clock``."""
+    due = F.col("started_at") + F.expr(f"interval {int(timeout_secs)} seconds")
+    open_late = F.col("finished_at").isNull() & (clock >= due)
+    late = F.coalesce(open_late | (F.col("finished_at") > due), F.lit(False))
+    return jobs.select(
+        "job_id",
+        F.when(late, "failed").otherwise(F.col("status")).alias("status"),
+        "created_at",
+        "started_at",
+        F.when(late, due).otherwise(F.col("finished_at")).alias("finished_at"),
+        F.when(late, TIMEOUT).alias("error_code"),
+    )
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 
-# Times are kept as microseconds since the epoch, so no session time zone can
-# shift them on their way through Python.
-STATE_FIELDS = (
-    "status string, created_us bigint, started_us bigint, finished_us bigint, "
-    "error_code string, revision bigint"
-)
-STATE_COLUMNS = [f.split()[0] for f in STATE_FIELDS.split(", ")]
-EVENT_FIELDS = "job_id bigint, ts timestamp, at_us bigint, seq bigint, status string"
+def _state(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """The state that the newest batch before ``batch_id`` left, if any."""
+    for earlier in range(batch_id - 1, -1, -1):
+        if exists(spark, f"{path}/{earlier}/_SUCCESS"):
+            return spark.read.parquet(f"{path}/{earlier}")
+    return None
 
 
-def first_events(events: DataFrame) -> DataFrame:
-    """Map-side reduction: per job and batch the first event of each kind, and the last.
+def start_job_fold(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    timeout_secs: int,
+    retention_secs: int | None = None,
+    delay_secs: int = 10,
+) -> StreamingQuery:
+    """Keeps the state of ``job_id, ts, seq, status`` events under ``path``, a folder a batch.
 
-    The fold below reads nothing else, so a job with most of the events sends
-    a few rows per batch through the shuffle.
+    A rerun of a batch replaces its folder; the one two batches back goes.  With
+    ``retention_secs`` a job goes that long after its end by the clock, which bounds the
+    state; ``delay_secs`` must then cover how late events come, as a job that is gone starts
+    afresh with its next event.
     """
+    spark = events.sparkSession
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        fresh = L.fold_events(batch)
+        before = _state(spark, path, batch_id)
+        newest = batch.agg((F.max("ts") - F.expr(f"interval {int(delay_secs)} seconds")).alias("clock"))
+        if before is not None:
+            newest = newest.unionByName(before.agg(F.max("clock").alias("clock")))
+            fresh = fresh.unionByName(before.drop("clock"))
+        clock = F.lit(newest.agg(F.max("clock")).first()[0]).cast(batch.schema["ts"].dataType)
+        merged = merge_folds(fresh).withColumn("clock", clock)
+        if retention_secs is not None:
+            gone = timed(L.finish(merged), clock, timeout_secs).filter(
+                F.col("finished_at") + F.expr(f"interval {int(retention_secs)} seconds") <= clock
+            )
+            merged = merged.join(gone.select("job_id"), "job_id", "left_anti")
+        merged.write.mode("overwrite").parquet(f"{path}/{batch_id}")
+        delete(spark, f"{path}/{batch_id - 2}")
 
-    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ordered = batch.sort_values(["at_us", "seq"])
-            kind = ordered["status"].where(~ordered["status"].isin(TERMINAL), "end")
-            first = ~pd.DataFrame({"job": ordered["job_id"], "kind": kind}).duplicated()
-            last = ~ordered["job_id"].duplicated(keep="last")
-            yield ordered[(first | last).to_numpy()]
-
-    at = F.col("ts").cast("timestamp")
-    return events.select(
-        "job_id", at.alias("ts"), F.unix_micros(at).alias("at_us"), "seq", "status"
-    ).mapInPandas(reduce, schema=EVENT_FIELDS)
-
-
-class JobState(StatefulProcessor):
-    """Folds events into a record; a terminal record ignores later events."""
-
-    def __init__(self, timeout_secs: int, retention_secs: int):
-        self.timeout = timeout_secs * 1_000_000
-        self.retention = retention_secs * 1_000_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.record = handle.getValueState("record", STATE_FIELDS)
-
-    def _load(self) -> dict | None:
-        stored = self.record.get()
-        return None if stored is None else dict(zip(STATE_COLUMNS, stored))
-
-    def _store(self, key, job: dict) -> Row:
-        job["revision"] += 1
-        self.record.update(tuple(job[c] for c in STATE_COLUMNS))
-        return Row(job_id=key[0], **job)
-
-    def _remind(self, at_us: int) -> None:
-        """A timer at the first millisecond that is not before ``at_us``."""
-        self.handle.registerTimer(-(-at_us // 1000))
-
-    def _close(self, job: dict, status: str, at_us: int, code: str | None = None) -> None:
-        job["status"], job["finished_us"], job["error_code"] = status, at_us, code
-        self._remind(at_us + self.retention)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        job = self._load()
-        if job is not None and job["status"] in TERMINAL:
-            return
-        created, run, end = None, None, None
-        for row in rows:
-            here = (row.at_us, row.seq, row.status)
-            created = here[0] if created is None else min(created, here[0])
-            if row.status in TERMINAL:
-                end = here if end is None else min(end, here)
-            elif row.status == RUNNING:
-                run = here if run is None else min(run, here)
-        if created is None:
-            return
-        if job is None:
-            job = dict.fromkeys(STATE_COLUMNS)
-            job.update(status=QUEUED, created_us=created, revision=0)
-        before = dict(job)
-        if job["started_us"] is None and run is not None and (end is None or run < end):
-            job["status"], job["started_us"] = RUNNING, run[0]
-        due = None if job["started_us"] is None else job["started_us"] + self.timeout
-        if end is not None and due is not None and end[0] > due:
-            self._close(job, "failed", due, TIMEOUT)
-        elif end is not None:
-            self._close(job, end[2], end[0])
-        elif due is not None and before["started_us"] is None:
-            self._remind(due)
-        if job != before or before["revision"] == 0:
-            yield self._store(key, job)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        job = self._load()
-        if job is None:
-            return
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        if job["status"] == RUNNING and now >= job["started_us"] + self.timeout:
-            self._close(job, "failed", job["started_us"] + self.timeout, TIMEOUT)
-            yield self._store(key, job)
-        elif job["status"] in TERMINAL and now >= job["finished_us"] + self.retention:
-            self.record.clear()
-
-    def close(self) -> None:
-        pass
-
-
-def live_jobs(
-    events: DataFrame, timeout_secs: int, retention_secs: int, delay: str = "10 seconds"
-) -> DataFrame:
-    """Every change of a job's record, numbered by ``revision`` within the job."""
     return (
-        first_events(events)
-        .withWatermark("ts", delay)
-        .groupBy("job_id")
-        .transformWithState(
-            statefulProcessor=JobState(timeout_secs, retention_secs),
-            outputStructType=f"job_id bigint, {STATE_FIELDS}",
-            outputMode="Append",
-            timeMode="EventTime",
-        )
+        events.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
-def start_live_jobs(
-    spark: SparkSession, changes: DataFrame, path: str, checkpoint: str
-) -> StreamingQuery:
-    """Appends changes to a table.  Timers need the RocksDB state store."""
-    before = spark.conf.get(PROVIDER_CONF)
-    spark.conf.set(PROVIDER_CONF, ROCKSDB)
-    try:
-        return (
-            changes.writeStream.format("parquet")
-            .outputMode("append")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start(path)
-        )
-    finally:
-        spark.conf.set(PROVIDER_CONF, before)
-
-
-def latest_jobs(changes: DataFrame) -> DataFrame:
-    """The newest record of each job from its stored changes."""
-    record = F.struct(*[c for c in STATE_COLUMNS if c != "revision"])
-    newest = changes.groupBy("job_id").agg(
-        F.max_by(record, F.struct("created_us", "revision")).alias("job")
-    )
-    return newest.select(
-        "job_id",
-        "job.status",
-        *[
-            F.timestamp_micros(f"job.{c}_us").alias(f"{c}_at")
-            for c in ("created", "started", "finished")
-        ],
-        "job.error_code",
-    )
+def latest_jobs(spark: SparkSession, path: str, batches: int, timeout_secs: int) -> DataFrame:
+    """The jobs as of the newest of at most ``batches`` batches."""
+    state = _state(spark, path, batches)
+    if state is None:
+        raise FileNotFoundError(f"no batch has been written under {path}")
+    clock = F.col("clock")
+    jobs = L.finish(state)
+    return timed(jobs.withColumn("clock", F.lit(state.agg(F.max("clock")).first()[0])), clock, timeout_secs)

@@ -31,15 +31,17 @@ def test_page_count_and_window(spark):
         (4, "c_content_list.json"): '[{"page_idx": 80}]',
         (5, "other.json"): '[{"page_idx": 3}]',
         (6, "a_content_list.json"): '[{"page_idx": -4}]',
+        (8, "a_content_list.json"): '[{"page_idx": 0, "score": NaN}, {"page_idx": 4, "x": [-Infinity,NaN]}]',
+        (9, "a_content_list.json"): '[{"page_idx": 1, "page_idx": 5}]',
         (7, "a_content_list.json"): '[{"page_idx": 1, "pad": "' + "x" * 200 + '"}]',
     }
     rows = [(*k, v, len(v)) for k, v in bodies.items()]
     df = spark.createDataFrame(rows, "parse_id int, file string, json string, size bigint")
     got = {r.parse_id: r.page_count for r in G.page_count(df, max_bytes=200).collect()}
-    assert got == {1: 2, 2: 2, 3: None, 4: 9, 6: -3}
+    assert got == {1: 2, 2: 2, 3: None, 4: 9, 6: -3, 8: 5, 9: 6}
     kept = sorted((r.parse_id, r.item_no, r.page_idx) for r in G.page_window(df, 1, 8).collect())
-    assert kept == [(1, 1, 1), (2, 0, 1), (4, 0, 8), (4, 1, 3), (5, 0, 3), (7, 0, 1)]
-    assert G.page_window(df, None, 0).count() == 2
+    assert kept == [(1, 1, 1), (2, 0, 1), (4, 0, 8), (4, 1, 3), (5, 0, 3), (7, 0, 1), (8, 1, 4), (9, 0, 5)]
+    assert G.page_window(df, None, 0).count() == 3
 
 
 def shaped(spark, markdown, budget, min_text):

@@ -1,6 +1,8 @@
 import datetime as dt
+import random
 
 from docloom.limits import Limits
+from docloom.operators import ledger as L
 from docloom.operators.hook import decode_text
 from docloom.plans.parse_job import parse_single
 from docloom.sources import files
@@ -55,31 +57,54 @@ def test_archives_are_joined_as_they_arrive(spark, tmp_path):
         assert all(r.result.markdown == "# 1.pdf\n\none\n\n# 2.pdf\n\ntwo" for r in rows)
 
 
-def test_job_stream(spark, tmp_path):
+EVENT = "job_id bigint, ts timestamp, seq bigint, status string"
+
+
+def fold_stream(spark, tmp_path, batches, retention=None, delay=1):
+    """The jobs after each batch of events."""
     inbox, out, log = (str(tmp_path / d) for d in ("in", "out", "log"))
-    schema = "job_id bigint, ts timestamp, seq bigint, status string"
+    seen = []
+    for n, events in enumerate(batches):
+        rows = [(j, at(s), seq, status) for seq, (j, s, status) in events]
+        spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(inbox)
+        arriving = spark.readStream.schema(EVENT).parquet(inbox)
+        J.start_job_fold(arriving, out, log, 600, retention, delay).awaitTermination()
+        jobs = J.latest_jobs(spark, out, n + 1, 600)
+        seen.append({r.job_id: tuple(r)[1:] for r in jobs.collect()})
+    return seen
 
-    def feed(*events):
-        rows = [(j, at(s), n, status) for n, (j, s, status) in enumerate(events)]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
-        changes = J.live_jobs(spark.readStream.schema(schema).parquet(inbox), 600, 5_000, delay="1 second")
-        J.start_live_jobs(spark, changes, out, log).awaitTermination()
-        stored = spark.read.parquet(out)
-        return {r.job_id: (r.status, r.finished_at and r.finished_at.replace(tzinfo=None), r.error_code) for r in J.latest_jobs(stored).collect()}, stored
 
+def test_job_stream(spark, tmp_path):
     def when(s):
         return at(s).replace(tzinfo=None)
 
-    jobs, _ = feed((1, 0, "queued"), (1, 1, "running"), (2, 0, "queued"), (2, 5, "cancelled"), (2, 6, "running"), (3, 2, "running"), (3, 9, "succeeded"), (4, 3, "running"), (4, 700, "failed"))
-    assert jobs[2] == ("cancelled", when(5), None) and jobs[3] == ("succeeded", when(9), None)
-    # Job 4 ended past its budget; job 1 never ended and its timer fired.
-    assert jobs[4] == ("failed", when(603), "timeout") and jobs[1] == ("failed", when(601), "timeout")
-
-    jobs, stored = feed((1, 800, "succeeded"), (2, 801, "running"), (5, 802, "queued"))
-    assert jobs[1] == ("failed", when(601), "timeout") and jobs[2][0] == "cancelled" and jobs[5] == ("queued", None, None)
-    assert stored.groupBy("job_id", "revision").count().where("count > 1").count() == 0
-
-    feed((6, 9_000, "queued"))
-    # The clock has passed the retention of job 2, so the id starts afresh.
-    jobs, _ = feed((2, 9_001, "running"), (5, 9_002, "running"))
-    assert jobs[2] == ("running", None, None) and jobs[5] == ("running", None, None)
+    feeds = [
+        [(1, 0, "queued"), (1, 1, "running"), (2, 0, "queued"), (2, 5, "cancelled"), (2, 6, "running"), (3, 2, "running"), (3, 9, "succeeded"), (4, 3, "running"), (4, 700, "failed")],
+        [(1, 800, "succeeded"), (2, 801, "running"), (5, 802, "queued")],
+        [(6, 9_000, "queued")],
+        [(2, 9_001, "running"), (5, 9_002, "running")],
+    ]
+    first, second, third, fourth = fold_stream(spark, tmp_path, [list(enumerate(f)) for f in feeds], retention=5_000)
+    state = lambda jobs, j: (jobs[j][0], jobs[j][3] and jobs[j][3].replace(tzinfo=None), jobs[j][4])
+    assert state(first, 2) == ("cancelled", when(5), None) and state(first, 3) == ("succeeded", when(9), None)
+    # Job 4 ended past its budget; job 1 never ended and the clock has passed its deadline.
+    assert state(first, 4) == ("failed", when(603), "timeout") and state(first, 1) == ("failed", when(601), "timeout")
+    assert state(second, 1) == ("failed", when(601), "timeout") and state(second, 2)[0] == "cancelled"
+    assert state(second, 5) == ("queued", None, None)
+    # The clock has passed the retention of the first jobs, so job 2 starts afresh.
+    assert set(third) == {5, 6}
+    assert state(fourth, 2) == ("running", None, None) and state(fourth, 5) == ("running", None, None)
+
+
+def test_batches_do_not_matter(spark, tmp_path):
+    """The same events in any order and any cut give the state of the ledger."""
+    rng = random.Random(8)
+    kinds = ["queued", "running", "running", "succeeded", "failed", "cancelled"]
+    events = [(n, (rng.randint(1, 40), rng.randint(0, 4_000), rng.choice(kinds))) for n in range(300)]
+    rng.shuffle(events)
+    cut = [events[:20], events[20:21], events[21:200], events[200:]]
+    *_, last = fold_stream(spark, tmp_path, cut)
+    rows = [(j, at(s), seq, status) for seq, (j, s, status) in events]
+    clock = F.lit(max(at(s) for _, (_, s, _) in events) - dt.timedelta(seconds=1))
+    whole = J.timed(L.job_snapshots(spark.createDataFrame(rows, EVENT)), clock, 600)
+    assert last == {r.job_id: tuple(r)[1:] for r in whole.collect()}
