@@ -49,11 +49,8 @@ def archive_verdicts(members: DataFrame, max_members: int, max_bytes: int) -> Da
         members = members.withColumns(
             {c: F.lit(None).cast("string") for c in ("error_code", "error")}
         )
-    counts = members.groupBy("archive", "container").agg(
-        (F.max("ordinal") + 1).cast("bigint").alias("n_entries"),
-        F.count_if(F.col("kind") == FILE).alias("n_files"),
-    )
-    in_order = Window.partitionBy("archive").orderBy("ordinal").rowsBetween(
+    # Rows of names and sizes only; one task has listed the archive, so one can sort its list.
+    in_order = Window.partitionBy("archive", "container").orderBy("ordinal").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     kind, is_tar = F.col("kind"), F.col("container") != "zip"
@@ -69,26 +66,25 @@ def archive_verdicts(members: DataFrame, max_members: int, max_bytes: int) -> Da
             F.lit(f"archive expands past the {max_bytes}-byte limit"),
         ),
     )
-    firsts = (
-        members.where(F.col("ordinal") <= max_members)
-        .select(
-            "archive", "container", "ordinal", "name", "kind", "error_code", "error",
-            running.alias("running"),
+    first = F.when(
+        F.col("reason").isNotNull(), F.struct(F.lit(INPUT_REJECTED).alias("code"), "reason")
+    ).when(
+        F.col("error_code").isNotNull(),
+        F.struct(F.col("error_code").alias("code"), F.col("error").alias("reason")),
+    )
+    summed = (
+        members.select(
+            "archive", "container", "ordinal", "name", "kind", "declared_size", "error_code", "error"
         )
+        .withColumn("running", running)
         .withColumn("reason", F.when(~kind.isin(UNREADABLE, EMPTY), reason))
-        .select(
-            "archive",
-            "ordinal",
-            F.when(F.col("reason").isNotNull(), F.struct(F.lit(INPUT_REJECTED).alias("code"), "reason"))
-            .when(
-                F.col("error_code").isNotNull(),
-                F.struct(F.col("error_code").alias("code"), F.col("error").alias("reason")),
-            )
-            .alias("first"),
+        .withColumn("first", F.when(F.col("ordinal") <= max_members, first))
+        .groupBy("archive", "container")
+        .agg(
+            (F.max("ordinal") + 1).cast("bigint").alias("n_entries"),
+            F.count_if(kind == FILE).alias("n_files"),
+            F.min_by("first", F.when(F.col("first").isNotNull(), F.col("ordinal"))).alias("first"),
         )
-        .where("first is not null")
-        .groupBy("archive")
-        .agg(F.min_by("first", "ordinal").alias("first"))
     )
     too_many = F.when(
         ~is_tar & (F.col("n_entries") > max_members),
@@ -98,8 +94,7 @@ def archive_verdicts(members: DataFrame, max_members: int, max_bytes: int) -> Da
         ),
     )
     return (
-        counts.join(firsts, "archive", "left")
-        .withColumn("error", F.coalesce(too_many, F.col("first.reason")))
+        summed.withColumn("error", F.coalesce(too_many, F.col("first.reason")))
         .withColumn(
             "error_code", F.when(too_many.isNotNull(), INPUT_REJECTED).otherwise(F.col("first.code"))
         )
@@ -107,16 +102,21 @@ def archive_verdicts(members: DataFrame, max_members: int, max_bytes: int) -> Da
     )
 
 
-def last_copies(members: DataFrame, value: str = "content") -> DataFrame:
+def last_copies(
+    named: DataFrame, contents: DataFrame | None = None, value: str = "content"
+) -> DataFrame:
     """Every copy of a repeated name gets the value of the last copy.
 
-    Partitioned by archive and name, which also spreads one archive's members
-    over all tasks before they are parsed.
+    ``named`` has ``archive, ordinal, name`` and what else is slim; ``contents`` has
+    ``archive, ordinal`` and the value (by default both are in one frame).  Which copy is
+    the last is found on slim rows; the values are dealt out once, by archive and ordinal,
+    which also spreads one archive's members over all tasks, and are never sorted.
     """
-    copies = Window.partitionBy("archive", "name").orderBy("ordinal").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    return members.withColumn(value, F.last(value).over(copies))
+    source = named if contents is None else contents
+    copies = Window.partitionBy("archive", "name")
+    slim = named.drop(value).withColumn("_last", F.max("ordinal").over(copies))
+    values = source.select("archive", F.col("ordinal").alias("_last"), value)
+    return values.join(slim.hint("shuffle_hash"), ["archive", "_last"]).drop("_last")
 
 
 def with_body_bytes(members: DataFrame) -> DataFrame:
@@ -139,9 +139,14 @@ def _note() -> Column:
     )
 
 
-def assembly_plan(members: DataFrame, budget: int, max_members: int) -> DataFrame:
+def assembly_plan(
+    members: DataFrame, budget: int, max_members: int, timeout_ms: int | None = None
+) -> DataFrame:
     """What goes into each archive's result, decided without moving any text.
 
+    With ``timeout_ms`` the ``elapsed_ms`` of the members add up in path order, and an
+    archive is late when they pass it before the budget cut.
+
     Members count in path order.  A section costs its bytes plus two for the
     blank line after it; members without one cost nothing.  The running cost
     never falls, so "running cost within budget" is the same set as "stop at the
@@ -155,6 +160,7 @@ def assembly_plan(members: DataFrame, budget: int, max_members: int) -> DataFram
         .withColumn("note", _note())
         .select(
             "archive", "ordinal", "name", "page_count", "error_code", "note",
+            (F.col("elapsed_ms") if timeout_ms is not None else F.lit(0)).alias("elapsed_ms"),
             N.member_parts(F.col("name")).alias("parts"),
             F.when(note.isNull(), cost).otherwise(0).cast("bigint").alias("cost"),
         )
@@ -163,7 +169,11 @@ def assembly_plan(members: DataFrame, budget: int, max_members: int) -> DataFram
         Window.unboundedPreceding, Window.currentRow
     )
     kept = F.col("reached") & note.isNull()
+    late = F.col("error_code") == TIMEOUT
     rows = slim.withColumn("reached", F.sum("cost").over(by_path) <= budget)
+    if timeout_ms is not None:
+        rows = rows.withColumn("spent", F.sum("elapsed_ms").over(by_path))
+        late = late | (F.col("spent") > timeout_ms)
 
     def listed(keep: Column, field: str) -> Column:
         picked = F.collect_list(F.when(keep, F.struct("parts", "ordinal", field)))
@@ -180,8 +190,7 @@ def assembly_plan(members: DataFrame, budget: int, max_members: int) -> DataFram
             F.nullif(F.sum(F.when(kept, F.col("page_count"))), F.lit(0).cast("bigint")).alias(
                 "page_count"
             ),
-            F.bool_or(F.col("reached") & F.coalesce(F.col("error_code") == TIMEOUT, F.lit(False)))
-            .alias("timed_out"),
+            F.bool_or(F.col("reached") & F.coalesce(late, F.lit(False))).alias("timed_out"),
             listed(kept, "slot").alias("kept"),
             listed(kept, "name").alias("sources"),
             listed(F.col("reached") & note.isNotNull(), "note").alias("notes"),
@@ -207,37 +216,33 @@ def assembly_plan(members: DataFrame, budget: int, max_members: int) -> DataFram
     )
 
 
-def assemble_archives(members: DataFrame, budget: int, max_members: int) -> DataFrame:
+def assemble_archives(
+    members: DataFrame, budget: int, max_members: int, timeout_ms: int | None = None
+) -> DataFrame:
     """One row per archive with its joined markdown, warnings and sources.
 
     ``members``: ``archive, ordinal, name, markdown, page_count, error_code,
-    error``.  The text is shuffled once, by archive, next to the small plan; only
-    sections within the budget are ever gathered.
+    error``.  The kept sections are listed with their places; text meets that list by
+    archive and ordinal, so what is not kept is dropped before anything is gathered, and
+    only sections within the budget meet in a task.
     """
-    plan = assembly_plan(members, budget, max_members)
-    section = message("# ", F.col("name"), "\n\n", py_strip(F.col("markdown")))
-    text = members.where(F.col("ordinal") <= max_members).select(
-        "archive",
-        "ordinal",
-        N.member_parts(F.col("name")).alias("parts"),
-        F.when(F.col("error_code").isNull(), section).alias("section"),
+    plan = assembly_plan(members, budget, max_members, timeout_ms)
+    places = plan.where(~F.col("over_cap")).select(
+        "archive", F.posexplode("kept").alias("place", "ordinal")
     )
-    chosen = F.when(
-        F.array_contains("kept", F.col("ordinal")), F.struct("parts", "ordinal", "section")
+    section = message("# ", F.col("name"), "\n\n", py_strip(F.col("markdown")))
+    text = members.where((F.col("ordinal") <= max_members) & F.col("error_code").isNull()).select(
+        "archive", "ordinal", section.alias("section")
     )
-    carried = [
-        F.first(c).alias(c)
-        for c in (
-            "n_members", "over_cap", "page_count", "timed_out", "sources", "over_budget", "warnings",
-        )
-    ]
-    joined = text.join(plan, "archive").groupBy("archive").agg(
-        F.array_sort(F.collect_list(chosen)).alias("sections"), *carried
+    kept = text.join(places, ["archive", "ordinal"])
+    joined = kept.groupBy("archive").agg(
+        F.array_sort(F.collect_list(F.struct("place", "section"))).alias("sections")
     )
     refused = F.col("over_cap")
-    return joined.select(
+    body = F.array_join(F.transform("sections", lambda x: x["section"]), "\n\n")
+    return plan.join(joined, "archive", "left").select(
         "archive",
-        F.array_join(F.transform("sections", lambda x: x["section"]), "\n\n").alias("markdown"),
+        F.coalesce(body, F.lit("")).alias("markdown"),
         "warnings",
         "sources",
         F.col("page_count").cast("bigint").alias("page_count"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,7 +14,7 @@ from docloom.operators.outcomes import PARSE_FAILED, TIMEOUT, TIMEOUT_MESSAGE
 Parser = Callable[[str, bytes, dict], tuple[str, int | None]]
 
 FLUSH_CHARS = 16 * 1024 * 1024
-PARSED_FIELDS = "markdown string, page_count bigint, error_code string, error string"
+PARSED_FIELDS = "markdown string, page_count bigint, error_code string, error string, elapsed_ms bigint"
 
 
 class ParseFailure(Exception):
@@ -46,7 +47,7 @@ def _attempt(parser: Parser, name: str, content: bytes, options: str | None) ->
 
 
 def parse_documents(docs: DataFrame, keep: list[str], parser: Parser = decode_text) -> DataFrame:
-    """Adds ``markdown, page_count`` and the outcome to each document.
+    """Adds ``markdown, page_count``, the outcome and ``elapsed_ms`` to each document.
 
     ``docs`` has the ``keep`` columns and ``name, content, options, error_code,
     error``.  Rows that already carry an error skip the parser; hand them in with
@@ -54,7 +55,7 @@ def parse_documents(docs: DataFrame, keep: list[str], parser: Parser = decode_te
     """
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep]
     ordered = [f.name for f in docs.schema if f.name in keep]
-    columns = [*ordered, "markdown", "page_count", "error_code", "error"]
+    columns = [*ordered, "markdown", "page_count", "error_code", "error", "elapsed_ms"]
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
         made = pd.DataFrame(rows, columns=columns)
@@ -65,11 +66,13 @@ def parse_documents(docs: DataFrame, keep: list[str], parser: Parser = decode_te
         rows, held = [], 0
         for batch in batches:
             for row in batch.to_dict("records"):
+                began = time.monotonic()
                 if row["error_code"] is not None:
                     parsed = (None, None, row["error_code"], row["error"])
                 else:
                     parsed = _attempt(parser, row["name"], row["content"], row["options"])
-                rows.append((*[row[c] for c in ordered], *parsed))
+                spent = int(1000 * (time.monotonic() - began))
+                rows.append((*[row[c] for c in ordered], *parsed, spent))
                 held += len(parsed[0] or "")
                 if held >= FLUSH_CHARS or len(rows) >= 1000:
                     yield frame(rows)

@@ -45,7 +45,7 @@ def markdown_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").withColumn("markdown", markdown())
 
 
-def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def entries(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     """Archive entries with their text as content; some names and kinds are bad."""
     docs = table(spark, sf_dir, "documents")
     doc = F.col("doc_id")
@@ -59,11 +59,12 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         docs.withColumn("archive", F.concat("source", F.lit("-"), block))
-        .withColumn("ordinal", F.row_number().over(in_order).cast("bigint") - 1)
         .withColumn("container", F.when(F.floor(doc / ARCHIVE_BLOCK) % 2 == 0, "zip").otherwise("tar"))
         .withColumn("kind", F.when(doc % 499 == 11, "symlink").when(doc % 83 == 1, "dir").otherwise("file"))
         .withColumn("declared_size", F.octet_length("text").cast("bigint"))
         .withColumn("name", name)
+        .drop(*(() if with_text else ("text",)))  # before the window, so it is not sorted
+        .withColumn("ordinal", F.row_number().over(in_order).cast("bigint") - 1)
     )
 
 
@@ -263,3 +264,51 @@ def _pack(rows: pd.DataFrame) -> pd.DataFrame:
     suffix = ".zip" if container == "zip" else ".tar.gz"
     path = f"/data/{rows['archive'].iloc[0]}{suffix}"
     return pd.DataFrame({"path": [path], "content": [out.getvalue()]})
+
+
+def job_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd documents asked for by path, even ones sent along; some ask for neither."""
+    doc = F.col("doc_id")
+    given = doc % 77 != 0
+    backend = _pick(("pipeline", "vlm-engine", "hybrid-engine"), doc)
+    encoded = F.replace(F.base64(F.col("text").cast("binary")), F.lit("\r\n"), F.lit(""))
+    return table(spark, sf_dir, "documents").select(
+        doc.alias("request_id"),
+        F.when(given & (doc % 2 == 1), listed_path(doc % 9 == 4)).alias("path"),
+        F.when(given & (doc % 2 == 0), encoded).alias("content_base64"),
+        file_name().alias("filename"),
+        F.concat(F.lit('{"backend": "'), backend, F.lit('"}')).alias("options"),
+    )
+
+
+def listed_path(outside: Column) -> Column:
+    root = F.when(outside, F.lit("/etc/")).otherwise(F.lit("/data/"))
+    return F.concat(root, F.col("source"), F.lit("/"), file_name())
+
+
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a scan of the roots finds: most of the files asked for."""
+    docs = table(spark, sf_dir, "documents").where(F.col("doc_id") % 7 != 3)
+    content = F.col("text").cast("binary")
+    return docs.select(
+        listed_path(F.lit(False)).alias("path"),
+        F.octet_length(content).cast("bigint").alias("length"),
+        content.alias("content"),
+    )
+
+
+def output_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What parsers wrote: texts of documents and content lists of events."""
+    doc = F.col("doc_id")
+    parse = F.floor(doc / 4).cast("bigint")
+    written = F.when(parse % 9 == 4, ".json").otherwise(".md")
+    texts = table(spark, sf_dir, "documents").select(
+        parse.alias("parse_id"),
+        F.concat(F.lit("out/"), F.col("lang"), F.lit("/d"), doc.cast("string"), written).alias("file"),
+        F.octet_length("text").cast("bigint").alias("size"),
+        F.col("text").cast("binary").alias("content"),
+    )
+    lists = content_lists(spark, sf_dir).select(
+        "parse_id", "file", "size", F.col("json").cast("binary").alias("content")
+    )
+    return texts.unionByName(lists)

@@ -373,6 +373,56 @@ def output_scan() -> str:
   CAST(sum(strlen(regexp_replace(html, '[\\r\\n]+', ' ', 'g')) + 1) AS BIGINT) AS n_bytes FROM pages GROUP BY 1"""
 
 
+def document_scan() -> str:
+    return "SELECT doc_id, strlen(text) + 1 AS length, md5(text || chr(10)) AS digest FROM documents"
+
+
+def collect_outputs() -> str:
+    tail = "right(log, 800)"
+    return f"""WITH {CANDIDATES}, {LISTS},
+counted AS (SELECT *, CASE shape WHEN 0 THEN greatest(k, 1) + 1 WHEN 4 THEN greatest(k, 0) + 1 END AS pages FROM lists),
+pages AS (SELECT parse_id, arg_min(pages, file) FILTER (pages IS NOT NULL) AS page_count FROM counted GROUP BY parse_id),
+logs AS (SELECT parse_id, arg_min(text, doc_id) AS log FROM files GROUP BY parse_id),
+wanted AS (SELECT f.parse_id, f.text, row_number() OVER (PARTITION BY f.parse_id ORDER BY
+      CASE WHEN doc_id = f.parse_id THEN 0 ELSE 1 END, size DESC, file) AS place
+  FROM files f WHERE ends_with(file, '.md')),
+read AS (SELECT parse_id, {clip('text', str(q.SHARED_BUDGET + 1))} AS kept, text FROM wanted WHERE place = 1)
+SELECT l.parse_id, 'd' || l.parse_id || '.pdf' AS filename,
+  kept || CASE WHEN strlen(text) > {q.SHARED_BUDGET + 1} AND strlen(kept) < {q.SHARED_BUDGET + 1} THEN chr(65533) ELSE '' END AS markdown,
+  CASE WHEN kept IS NOT NULL THEN page_count END AS page_count,
+  CASE WHEN kept IS NULL THEN 'parse_failed' END AS error_code,
+  CASE WHEN kept IS NULL THEN 'the parser wrote no markdown for `d' || l.parse_id || '.pdf`' ||
+    CASE WHEN {strip(tail)} <> '' THEN ': ' || {tail} ELSE '' END END AS error
+FROM logs l LEFT JOIN read r USING (parse_id) LEFT JOIN pages p USING (parse_id)"""
+
+
+def parse_requests() -> str:
+    code, text, _ = preflight("name")
+    shape = "provide exactly one of `path` or `content_base64`"
+    return f"""WITH asked AS (SELECT *, {FILE_NAME} AS file_name, doc_id % 77 = 0 AS none, doc_id % 2 = 1 AS by_path,
+    CASE WHEN doc_id % 9 = 4 THEN '/etc/' ELSE '/data/' END || source || '/' || {FILE_NAME} AS path FROM documents),
+named AS (SELECT *, CASE WHEN by_path THEN regexp_extract(file_name, '[^/]*$')
+    ELSE doc_id || regexp_extract(file_name, '(\\.[^.]+)$', 1) END AS name FROM asked),
+routed AS (SELECT *, {code} AS code, {text} AS msg,
+    {ext_of('name')} IN ('.zip', '.tar', '.tar.gz', '.tgz') OR ends_with(name, '.tar.gz') AS packed FROM named),
+judged AS (SELECT *, CASE WHEN none THEN {lit(shape)}
+    WHEN by_path AND doc_id % 9 = 4 THEN '`' || path || '` resolves outside the allowed roots (/data)'
+    WHEN by_path AND doc_id % 7 = 3 THEN 'cannot open `' || path || '`'
+    WHEN strlen(text) > {q.MAX_INPUT} THEN CASE WHEN by_path THEN 'input' ELSE 'inline input' END || ' is ' || strlen(text)
+      || ' bytes, over the {q.MAX_INPUT}-byte limit' END AS refused FROM routed),
+ready AS (SELECT doc_id AS request_id, name AS filename, CASE WHEN packed OR refused IS NOT NULL THEN '' ELSE {lossy('text', q.SHARED_BUDGET + 1)} END AS markdown,
+    '' AS notes, name AS sources, CAST(NULL AS BIGINT) AS page_count, false AS over_budget,
+    CASE WHEN none THEN 'none' WHEN refused IS NOT NULL THEN 'input_rejected' WHEN packed THEN 'input_rejected' ELSE code END AS error_code,
+    coalesce(refused, CASE WHEN packed THEN '`' || name || '` is not a readable zip or tar archive' ELSE msg END) AS error FROM judged),
+{_shaped(q.SHARED_BUDGET, q.SHARED_MIN_TEXT, 'request_id')}"""
+
+
+def lossy(expr: str, n: int) -> str:
+    """At most n bytes; a cut character at the end becomes one replacement mark."""
+    kept = clip(expr, str(n))
+    return f"{kept} || CASE WHEN strlen({expr}) > {n} AND strlen({kept}) < {n} THEN chr(65533) ELSE '' END"
+
+
 def job_stream() -> str:
     """The stream's clock stops ten seconds before its last event."""
     due = f"started_at + INTERVAL {q.TIMEOUT_SECS} SECOND"
@@ -612,13 +662,19 @@ def all_sql() -> dict[str, str]:
             plain_text, plain_text_html, clip_bytes, shared_budget, error_tail, lossy_read, result_record,
             pick_markdown, page_count, page_window, no_output, job_snapshot, job_lookup,
             job_deadline, job_cancel, archive_expand, parse_job_archives, result_sink,
-            output_scan, job_stream, job_stream_retained,
+            output_scan, job_stream, job_stream_retained, document_scan, collect_outputs,
         )
     }
     sql["archive_caps"] = _caps(49, 90_000)
     sql["archive_bytes_cap"] = _caps(q.MAX_MEMBERS, 90_000)
     sql["archive_assembly"] = _assembly(q.ARCHIVE_BUDGET)
     sql["archive_uncut"] = _assembly(8 * 1024 * 1024)
+    sql["document_stream"] = sql["document_scan"]
+    backend = "CASE request_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'vlm-engine' ELSE 'hybrid-engine' END"
+    sql["parse_requests"] = (
+        f"SELECT * REPLACE (nullif(error_code, 'none') AS error_code, CASE WHEN parse_backend IS NOT NULL THEN {backend} END"
+        f" AS parse_backend) FROM ({parse_requests()})"
+    )
     sql["archive_expand_sql"] = sql["archive_expand"]
     sql["parse_job_documents"] = _single("path")
     sql["doc_stream"] = _single("doc_id")

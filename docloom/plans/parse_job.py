@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import names as N
 from docloom.functions import options as O
 from docloom.functions.budget import lossy_text
+from docloom.functions.text import py_strip
 from docloom.limits import Limits
 from docloom.operators import archive as A
 from docloom.operators import intake as I
@@ -39,13 +42,28 @@ def _routed(df: DataFrame, office_readable: bool) -> DataFrame:
     )
 
 
-def _with_options(df: DataFrame, options: str | None) -> DataFrame:
-    """Adds the cleaned ``options`` and the ``parse_backend`` they choose.
+@dataclass(frozen=True)
+class Host:
+    """What the host falls back to where a request leaves an option out."""
+
+    backend: str | None = None
+    lang: str | None = None
+    device: str | None = None
+
+
+def _with_options(df: DataFrame, options: str | None, host: Host) -> DataFrame:
+    """Adds the cleaned ``options`` of each row and the ``parse_backend`` they choose.
 
-    The text is one literal for the job, so all of this folds to constants.
+    A column ``options`` (JSON text or VARIANT) speaks for its row; where it is null or
+    absent the job's text does.
     """
-    asked = df.withColumn("_asked", F.try_parse_json(F.lit(options or "{}")))
-    cleaned = O.with_clean_options(asked, "_asked")
+    whole = F.try_parse_json(F.lit(options or "{}"))
+    if "options" in df.columns:
+        text = df.schema["options"].dataType.typeName() == "string"
+        own = F.try_parse_json("options") if text else F.col("options")
+        whole = F.when(F.col("options").isNull(), whole).otherwise(own)
+    asked = df.withColumn("_asked", whole)
+    cleaned = O.with_clean_options(asked, "_asked", host.backend, host.lang, host.device)
     return (
         cleaned.withColumn("options", O.options_json())
         .withColumn("parse_backend", F.col("opt_backend"))
@@ -53,6 +71,17 @@ def _with_options(df: DataFrame, options: str | None) -> DataFrame:
     )
 
 
+def _timed(parsed: DataFrame, limits: Limits) -> DataFrame:
+    """A document that took longer than its budget has timed out, whatever it gave."""
+    late = F.col("elapsed_ms") > 1000 * limits.timeout_secs
+    return parsed.withColumns(
+        {
+            "error_code": F.when(late, X.TIMEOUT).otherwise(F.col("error_code")),
+            "error": F.when(late, X.TIMEOUT_MESSAGE).otherwise(F.col("error")),
+        }
+    )
+
+
 def _capped(parsed: DataFrame, max_bytes: int) -> DataFrame:
     """A parser's output is not trusted for size: one byte over the budget is kept,
     enough to see that it was longer."""
@@ -62,12 +91,12 @@ def _capped(parsed: DataFrame, max_bytes: int) -> DataFrame:
 
 def parse_single(
     documents: DataFrame, limits: Limits, parser: Parser, office_readable: bool = True,
-    options: str | None = None,
+    options: str | None = None, host: Host = Host(),
 ) -> DataFrame:
-    """``path, content`` to results.  No shuffle: every step is row-local, so the
-    same plan runs on a stream of files."""
+    """``path, content`` and perhaps ``options`` to results.  No shuffle: every step is
+    row-local, so the same plan runs on a stream of files."""
     named = documents.withColumn("name", N.base_name(F.col("path")))
-    routed = _routed(_with_options(named, options), office_readable)
+    routed = _routed(_with_options(named, options, host), office_readable)
     parsed = _capped(
         parse_documents(
             routed, ["path", "name", "missing_dependencies", "parse_backend"], parser
@@ -75,7 +104,7 @@ def parse_single(
         limits.max_output_bytes,
     )
     ready = (
-        parsed.withColumnRenamed("name", "filename")
+        _timed(parsed, limits).withColumnRenamed("name", "filename")
         .withColumn("warnings", _no_missing())
         .withColumn("sources", F.array("filename"))
         .withColumn("over_budget", F.lit(False))
@@ -86,31 +115,35 @@ def parse_single(
 
 def parse_archives(
     archives: DataFrame, limits: Limits, parser: Parser, office_readable: bool = True,
-    options: str | None = None,
+    options: str | None = None, host: Host = Host(),
 ) -> DataFrame:
-    """``path, content`` of archives to one result each.
+    """``path, content`` and perhaps ``options`` of archives to one result each.
 
     Entries and parsed members are each written once; unsafe archives are out
-    before anything of them is parsed.
+    before anything of them is parsed.  The members of an archive share one time budget.
     """
     cap = limits.max_archive_members
     entries = staged(expand_archives(archives, cap, limits.max_archive_bytes), "entries")
     verdicts = staged(A.archive_verdicts(entries, cap, limits.max_archive_bytes), "verdicts")
-    safe = verdicts.where("error_code is null").select("archive")
-    members = (
+    asked = archives.select(F.col("path").alias("archive"), *[c for c in archives.columns if c == "options"])
+    safe = verdicts.where("error_code is null").select("archive").join(asked, "archive")
+    named = (
         entries.where((F.col("ordinal") <= cap) & (F.col("kind") == A.FILE))
-        .select("archive", "ordinal", N.member_name(F.col("name")).alias("name"), "content")
-        .join(safe, "archive", "left_semi")
-    )
-    routed = _with_options(_routed(A.last_copies(members), office_readable), options)
-    members = parse_documents(routed, ["archive", "ordinal", "name"], parser)
-    capped = A.with_body_bytes(_capped(members, limits.max_output_bytes))
-    parsed = staged(capped, "parsed")
-    joined = A.assemble_archives(parsed, limits.max_output_bytes, cap)
+        .select("archive", "ordinal", N.member_name(F.col("name")).alias("name"))
+        .join(safe, "archive")
+    )
+    members = A.last_copies(named, entries.select("archive", "ordinal", "content"))
+    routed = _with_options(_routed(members, office_readable), options, host)
+    parsed = parse_documents(routed, ["archive", "ordinal", "name"], parser)
+    parsed = staged(
+        A.with_body_bytes(_capped(_timed(parsed, limits), limits.max_output_bytes)), "parsed"
+    )
+    joined = A.assemble_archives(parsed, limits.max_output_bytes, cap, 1000 * limits.timeout_secs)
     empty = F.array().cast("array<string>")
     ready = (
         verdicts.select("archive", F.col("error_code").alias("refused_code"), F.col("error").alias("refused"))
         .join(joined, "archive", "left")
+        .join(asked, "archive", "left")
         .select(
             F.col("archive").alias("path"),
             N.base_name(F.col("archive")).alias("filename"),
@@ -122,9 +155,10 @@ def parse_archives(
             F.coalesce("refused_code", "error_code").alias("error_code"),
             F.coalesce("refused", "error").alias("error"),
             _no_missing().alias("missing_dependencies"),
+            *[c for c in archives.columns if c == "options"],
         )
     )
-    chosen = _with_options(ready, options).drop("options")
+    chosen = _with_options(ready, options, host).drop("options")
     shaped = shape_results(chosen, limits.max_output_bytes, limits.min_text_bytes)
     return shaped.select(*RESULT_COLUMNS)
 
@@ -139,33 +173,101 @@ def _refused(listing: DataFrame, error_code: Column, error: Column, missing: Col
     )
 
 
+def _parse_files(
+    found: DataFrame, limits: Limits, parser: Parser, office_readable: bool,
+    options: str | None, host: Host,
+) -> DataFrame:
+    """``path, content`` and perhaps ``options`` of documents and archives to results."""
+    packed = N.is_archive_name(F.col("path"))
+    singles = parse_single(found.where(~packed), limits, parser, office_readable, options, host)
+    archives = parse_archives(found.where(packed), limits, parser, office_readable, options, host)
+    return singles.unionByName(archives)
+
+
 def parse_inline(
     requests: DataFrame, limits: Limits = Limits(), parser: Parser = decode_text,
-    office_readable: bool = True, options: str | None = None,
+    office_readable: bool = True, options: str | None = None, host: Host = Host(),
 ) -> DataFrame:
     """Results of the accepted inline requests (``operators.intake.inline_files``)."""
-    given = I.inline_files(requests, limits.max_input_bytes).select("path", "content")
-    packed = N.is_archive_name(F.col("path"))
-    singles = parse_single(given.where(~packed), limits, parser, office_readable, options)
-    archives = parse_archives(given.where(packed), limits, parser, office_readable, options)
-    return singles.unionByName(archives)
+    given = I.inline_files(requests, limits.max_input_bytes)
+    if "options" in requests.columns:
+        given = given.join(requests.select("request_id", "options"), "request_id")
+    return _parse_files(given.drop("request_id"), limits, parser, office_readable, options, host)
+
+
+def parse_requests(
+    requests: DataFrame, listing: DataFrame, roots: list[str], limits: Limits = Limits(),
+    parser: Parser = decode_text, office_readable: bool = True, options: str | None = None,
+    host: Host = Host(),
+) -> DataFrame:
+    """One row per request: its result, or why there is none.
+
+    ``requests``: ``request_id`` (one row each), ``path``, ``content_base64``, ``filename``
+    and perhaps ``options``; ``listing``: ``path, length, content`` of the files under the
+    roots.  A path that the listing lacks cannot be opened.
+    """
+    cap = limits.max_input_bytes
+    real = N.fold_path(py_strip(F.col("path")))
+    lengths = listing.select(F.col("path").alias("_real"), F.col("length").alias("_length"))
+    sized = requests.withColumn("_real", real).join(lengths, "_real", "left")
+    checked = I.check_requests(sized, roots, cap, F.col("_length"))
+    by_path = F.col("accepted") & F.coalesce(F.length("path") > 0, F.lit(False))
+    gone = by_path & F.col("_length").isNull()
+    checked = staged(
+        checked.withColumns(
+            {
+                "error_code": F.when(gone, X.INPUT_REJECTED).otherwise(F.col("error_code")),
+                "error": F.when(gone, X.message("cannot open `", F.col("path"), "`")).otherwise(F.col("error")),
+                "accepted": F.col("accepted") & ~gone,
+            }
+        ).drop("_length"),
+        "requests",
+    )
+    # Each request gets a path of its own, as several may ask for one file.
+    label = F.concat(F.lit("request/"), F.col("request_id").cast("string"), F.lit("/"))
+    more = [c for c in requests.columns if c == "options"]
+    passed = checked.where("accepted")
+    opened = passed.where(F.length("path") > 0).select("request_id", "_real", *more).join(
+        listing.select(F.col("path").alias("_real"), "content"), "_real"
+    )
+    opened = opened.select(
+        F.concat(label, N.base_name(F.col("_real"))).alias("path"), "content", *more
+    )
+    sent = I.inline_files(passed, cap).join(passed.select("request_id", *more), "request_id")
+    sent = sent.select(F.concat(label, N.base_name(F.col("path"))).alias("path"), "content", *more)
+    results = _parse_files(opened.unionByName(sent), limits, parser, office_readable, options, host)
+    kind = requests.schema["request_id"].dataType
+    results = results.withColumn("request_id", F.split_part("path", F.lit("/"), F.lit(2)).cast(kind))
+    refused = checked.where("not accepted").select("request_id", "error_code", "error").withColumns(
+        {
+            "missing_dependencies": _no_missing(),
+            "result": F.lit(None).cast(results.schema["result"].dataType),
+        }
+    )
+    return results.select(*refused.columns).unionByName(refused)
 
 
 def parse_folder(
     spark: SparkSession, root: str, limits: Limits = Limits(), parser: Parser = decode_text,
-    office_readable: bool = True, options: str | None = None,
+    office_readable: bool = True, options: str | None = None, host: Host = Host(),
+    asked: DataFrame | None = None,
 ) -> DataFrame:
     """Results of all files under a folder: documents, archives and refusals.
 
-    Three scans, none of which opens what it does not need: over-long files and
-    unreadable formats are refused from the listing alone.
+    ``asked`` may give the options of single files (``path, options``).  Over-long files and
+    unreadable formats are refused from the listing alone, as are files whose names the
+    file source does not read.
     """
     cap = limits.max_input_bytes
+
+    def with_asked(found: DataFrame) -> DataFrame:
+        return found if asked is None else found.join(asked.select("path", "options"), "path", "left")
+
     singles = parse_single(
-        files.scan_documents(spark, root, cap), limits, parser, office_readable, options
+        with_asked(files.scan_documents(spark, root, cap)), limits, parser, office_readable, options, host
     )
     archives = parse_archives(
-        files.scan_archives(spark, root, cap), limits, parser, office_readable, options
+        with_asked(files.scan_archives(spark, root, cap)), limits, parser, office_readable, options, host
     )
     name = N.base_name(F.col("path"))
     route = X.preflight(name, office_readable)
@@ -174,7 +276,15 @@ def parse_folder(
         F.when(too_long.isNotNull(), X.failure(X.INPUT_REJECTED, too_long)),
         F.when(~N.is_archive_name(name) & N.format_class(N.extension(name)).isNull(), route),
     )
-    listing = files.list_documents(spark, root).withColumn("refusal", refusal).where("refusal is not null")
+    unread = X.failure(
+        X.INPUT_REJECTED, F.lit("a file or folder name that starts with `_` or `.` is not read")
+    )
+    listing = (
+        files.list_documents(spark, root)
+        .withColumn("refusal", refusal)
+        .where("refusal is not null")
+        .unionByName(files.hidden_files(spark, root).withColumn("refusal", unread))
+    )
     refused = _refused(
         listing, F.col("refusal.error_code"), F.col("refusal.error"),
         F.col("refusal.missing_dependencies"), singles,

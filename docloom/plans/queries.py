@@ -21,7 +21,9 @@ from docloom.operators import outputs as G
 from docloom.operators import results as R
 from docloom.operators.hook import decode_text
 from docloom.plans import inputs as inp
+from docloom.plans.collect_outputs import results_of_outputs
 from docloom.plans.parse_job import parse_archives, parse_single
+from docloom.plans.parse_job import parse_requests as run_requests
 from docloom.session import stage_path
 from docloom.sources import files, sinks
 from docloom.sources.containers import expand_archives, register_expand_archive
@@ -125,7 +127,7 @@ def outcome_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def member_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.col("name")
-    return inp.entries(spark, sf_dir).select(
+    return inp.entries(spark, sf_dir, with_text=False).select(
         "doc_id",
         "archive",
         N.member_name(name).alias("relative"),
@@ -134,11 +136,11 @@ def member_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archive_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.archive_verdicts(inp.entries(spark, sf_dir), max_members=49, max_bytes=90_000)
+    return A.archive_verdicts(inp.entries(spark, sf_dir, with_text=False), max_members=49, max_bytes=90_000)
 
 
 def archive_bytes_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.archive_verdicts(inp.entries(spark, sf_dir), max_members=MAX_MEMBERS, max_bytes=90_000)
+    return A.archive_verdicts(inp.entries(spark, sf_dir, with_text=False), max_members=MAX_MEMBERS, max_bytes=90_000)
 
 
 def repeated_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,17 +363,53 @@ def job_retention_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files, containers, parser hook -----------------------------------------
 
 
+def _document_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one text file per document."""
+    root = stage_path(spark, "document-files")
+    inp.table(spark, sf_dir, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(root)
+    return root
+
+
+def _file_digests(found: DataFrame) -> DataFrame:
+    doc = F.regexp_extract("path", r"doc_id=(\d+)/", 1).cast("bigint")
+    return found.select(doc.alias("doc_id"), "length", F.md5("content").alias("digest"))
+
+
 def document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table files themselves, digested where they are within the input cap.
+    """Files written from all documents, scanned back with their lengths and bytes."""
+    return _file_digests(files.scan(spark, _document_files(spark, sf_dir), "*.txt"))
+
+
+def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files as a stream of arrivals, some hundred a batch."""
+    arriving = files.stream_documents(spark, _document_files(spark, sf_dir), "*.txt", files_per_batch=400)
+    out = stage_path(spark, "document-stream")
+    write_stream(_file_digests(arriving), out, stage_path(spark, "document-stream-log")).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def collect_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Output trees of parses to results: markdown, page counts and failures."""
+    written = inp.output_files(spark, sf_dir)
+    parses = inp.parses(spark, sf_dir)
+    return results_of_outputs(
+        written.where(F.endswith("file", F.lit(".md"))),
+        written.where(F.endswith("file", F.lit("_content_list.json"))),
+        parses,
+        Limits(max_output_bytes=SHARED_BUDGET),
+    )
 
-    The length filters reach the listing: a file over the cap is never opened.
-    """
-    found = files.scan(spark, sf_dir, "*.parquet")
-    cap = Limits.max_input_bytes
-    name = N.base_name(F.col("path")).alias("name")
-    opened = found.where(F.col("length") <= cap).select(name, "length", F.md5("content").alias("digest"))
-    refused = found.where(F.col("length") > cap).select(name, "length", F.lit(None).cast("string").alias("digest"))
-    return opened.unionByName(refused)
+
+def parse_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests by path and inline, with options of their own, to results or refusals."""
+    limits = Limits(
+        max_input_bytes=MAX_INPUT, max_output_bytes=SHARED_BUDGET, min_text_bytes=SHARED_MIN_TEXT
+    )
+    results = run_requests(
+        inp.job_requests(spark, sf_dir), inp.listed_files(spark, sf_dir), ["/data"], limits,
+        decode_text, office_readable=False,
+    )
+    return flat_results(results.drop("missing_dependencies"))
 
 
 def output_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,7 +424,7 @@ def output_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = expand_archives(inp.packed_archives(spark, sf_dir))
+    entries = expand_archives(inp.packed_archives(spark, sf_dir), MAX_MEMBERS)
     return entries.select(
         "archive", "container", "ordinal", "name", "kind", "declared_size",
         F.md5("content").alias("digest"), "error",
@@ -399,8 +437,9 @@ def archive_expand_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         """SELECT f.path AS archive, e.container, e.ordinal, e.name, e.kind, e.declared_size,
                   md5(e.content) AS digest, e.error
-           FROM {packed} f, LATERAL expand_archive(f.path, f.content) e""",
+           FROM {packed} f, LATERAL expand_archive(f.path, f.content, {members}) e""",
         packed=inp.packed_archives(spark, sf_dir),
+        members=MAX_MEMBERS,
     )
 
 
@@ -414,7 +453,9 @@ def parse_job_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_job_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    limits = Limits(max_output_bytes=ARCHIVE_BUDGET, min_text_bytes=SHARED_MIN_TEXT)
+    limits = Limits(
+        max_output_bytes=ARCHIVE_BUDGET, min_text_bytes=SHARED_MIN_TEXT, max_archive_members=MAX_MEMBERS
+    )
     results = parse_archives(inp.packed_archives(spark, sf_dir), limits, decode_text, office_readable=False)
     return flat_results(results.drop("missing_dependencies"))
 
@@ -491,7 +532,7 @@ def all_queries() -> dict[str, Query]:
             clip_bytes, shared_budget, error_tail, lossy_read, result_record, pick_markdown,
             page_count, page_window, no_output, job_snapshot, job_listing, job_lookup,
             job_deadline, job_cancel, job_retention, job_retention_default,
-            document_scan, output_scan, archive_expand, archive_expand_sql,
+            document_scan, document_stream, collect_outputs, parse_requests, output_scan, archive_expand, archive_expand_sql,
             parse_job_documents, parse_job_archives, result_sink, doc_stream, job_stream, job_stream_retained,
         )
     }

@@ -65,20 +65,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _file_system(spark, path)
+    fs, where = file_system(spark, path)
     return fs.exists(where)
 
 
 def delete(spark: SparkSession, path: str) -> None:
     """Removes a stage that nothing reads any more."""
-    fs, where = _file_system(spark, path)
+    fs, where = file_system(spark, path)
     fs.delete(where, True)
 
 

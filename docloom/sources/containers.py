@@ -153,15 +153,17 @@ def expand_archives(
     )
 
 
-@udtf(returnType=ENTRY_FIELDS)
+@udtf(returnType=ENTRY_FIELDS, useArrow=True)
 class ExpandArchive:
-    """``SELECT e.* FROM files, LATERAL expand_archive(path, content) e``."""
+    """``SELECT e.* FROM files, LATERAL expand_archive(path, content) e``.
 
-    def eval(self, path: str, content: bytes):
-        label = path.rsplit("/", 1)[-1]
-        yield from read_entries(
-            label, content, Limits.max_archive_members, Limits.max_archive_bytes
-        )
+    The caps on members and bytes may follow as third and fourth argument.
+    """
+
+    def eval(self, path: str, content: bytes, max_members: int = None, max_bytes: int = None):
+        members = Limits.max_archive_members if max_members is None else int(max_members)
+        size = Limits.max_archive_bytes if max_bytes is None else int(max_bytes)
+        yield from read_entries(path.rsplit("/", 1)[-1], bytes(content), members, size)
 
 
 def register_expand_archive(spark: SparkSession, name: str = "expand_archive") -> None:

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators import archive as A
-from docloom.sources.containers import expand_archives, register_expand_archive
+from docloom.sources.containers import (
+    TooLarge, _bounded, _failed, expand_archives, register_expand_archive,
+)
 
 MEMBER = "archive string, ordinal bigint, name string, markdown string, page_count bigint, error_code string, error string"
 ENTRY = "archive string, container string, ordinal bigint, name string, kind string, declared_size bigint"
@@ -172,3 +174,20 @@ def test_table_function(spark):
     df = spark.createDataFrame([("/t.zip", bytearray(zipped(("a.pdf", b"x"))))], "path string, content binary")
     rows = spark.sql("SELECT e.name, e.content FROM {df} f, LATERAL expand_archive(f.path, f.content) e", df=df).collect()
     assert [(r.name, bytes(r.content)) for r in rows] == [("a.pdf", b"x")]
+    capped = spark.sql("SELECT e.content FROM {df} f, LATERAL expand_archive(f.path, f.content, 5, 0) e", df=df)
+    assert [r.content for r in capped.collect()] == [None]
+
+
+def test_a_member_over_the_ceiling_is_refused():
+    assert _bounded(io.BytesIO(b"x" * 10), 10) == b"x" * 10
+    with pytest.raises(TooLarge) as caught:
+        _bounded(io.BytesIO(b"x" * 11), 10)
+    assert _failed(caught.value)[0] == "input_rejected"
+
+
+def test_members_share_one_time_budget(spark):
+    rows = [("a", i, f"{i}.pdf", "x", None, None, None, 40) for i in range(3)]
+    rows += [("b", i, f"{i}.pdf", "x", None, None, None, 40) for i in range(2)]
+    df = spark.createDataFrame(rows, f"{MEMBER}, elapsed_ms bigint")
+    got = {r.archive: r.error_code for r in A.assemble_archives(df, 1000, 5, timeout_ms=100).collect()}
+    assert got == {"a": "timeout", "b": None}

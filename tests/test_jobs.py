@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from docloom.limits import Limits
 from docloom.operators.hook import ParseFailure, decode_text
-from docloom.plans.parse_job import parse_folder, parse_inline, parse_single
+from docloom.plans.parse_job import (
+    Host, parse_archives, parse_folder, parse_inline, parse_requests, parse_single,
+)
 from docloom.sources import files, sinks
 from test_archive import tarred, zipped
 
@@ -79,6 +81,61 @@ def test_inline_requests(spark):
     assert {v.metadata.parse_backend for v in seen.values()} == {"hybrid-engine"}
 
 
+def test_files_with_odd_names_are_refused_not_lost(spark, tmp_path):
+    for name in ("a.pdf", "_b.pdf", ".c.pdf", "_d/e.pdf"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    rows = {os.path.relpath(r.path.removeprefix("file:"), tmp_path): r.error_code for r in parse_folder(spark, str(tmp_path)).collect()}
+    assert rows == {"a.pdf": None, "_b.pdf": "input_rejected", ".c.pdf": "input_rejected", "_d/e.pdf": "input_rejected"}
+
+
+def test_options_by_row_and_host_defaults(spark):
+    rows = [
+        ("/a.pdf", bytearray(b"a"), '{"backend": "vlm-engine"}'), ("/b.pdf", bytearray(b"b"), None),
+        ("/c.pdf", bytearray(b"c"), "not json"),
+        ("/z.zip", bytearray(zipped(("m.pdf", b"m"))), '{"backend": "hybrid-engine", "lang": "de"}'),
+    ]
+    df = spark.createDataFrame(rows, "path string, content binary, options string")
+    host = Host(backend="vlm-http-client", lang="fr")
+    singles = parse_single(df.where("path != '/z.zip'"), Limits(), make_parser(), options='{"lang": "en"}', host=host)
+    got = {r.path: (r.result.markdown[:4], r.result.metadata.parse_backend) for r in singles.collect()}
+    assert got == {"/a.pdf": ("# fr", "vlm-engine"), "/b.pdf": ("# en", "vlm-http-client"), "/c.pdf": ("# fr", "vlm-http-client")}
+    packed = parse_archives(df.where("path = '/z.zip'"), Limits(), make_parser(), host=host).first()
+    assert packed.result.metadata.parse_backend == "hybrid-engine" and "# de" in packed.result.markdown
+
+
+def test_requests_end_to_end(spark):
+    listing = spark.createDataFrame(
+        [("/in/a.pdf", 5, bytearray(b"alpha")), ("/in/big.pdf", 99, bytearray(b"x")), ("/in/z.zip", 9, bytearray(zipped(("m.pdf", b"m"))))],
+        "path string, length bigint, content binary",
+    )
+    rows = [
+        (1, "/in/a.pdf", None, None, None), (2, "/in/x/../a.pdf", None, None, '{"lang": "de"}'), (3, "/in/none.pdf", None, None, None),
+        (4, "/etc/a.pdf", None, None, None), (5, "/in/z.zip", None, None, None), (6, None, None, None, None),
+        (7, None, base64.b64encode(b"seven").decode(), "s.pdf", None), (8, None, "?", None, None), (9, "/in/big.pdf", None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "request_id bigint, path string, content_base64 string, filename string, options string")
+    out = parse_requests(df, listing, ["/in"], Limits(max_input_bytes=50), make_parser())
+    got = {r.request_id: (r.error_code, r.result.markdown if r.result else r.error) for r in out.collect()}
+    assert {k: v[0] for k, v in got.items()} == {
+        1: None, 2: None, 3: "input_rejected", 4: "input_rejected", 5: None, 6: None, 7: None, 8: "input_rejected", 9: "input_rejected",
+    }
+    assert got[1][1] == "# none\n\nalpha" and got[2][1] == "# de\n\nalpha" and got[7][1] == "# none\n\nseven"
+    assert got[3][1] == "cannot open `/in/none.pdf`" and "exactly one" in got[6][1] and got[5][1].startswith("# m.pdf")
+
+
+def test_a_late_document_is_a_timeout(spark):
+    def sleepy(name, content, options):
+        import time
+
+        time.sleep(float(content))
+        return "done", 1
+
+    df = spark.createDataFrame([("/a.pdf", bytearray(b"1.5")), ("/b.pdf", bytearray(b"0"))], "path string, content binary")
+    got = {r.path: r.error_code for r in parse_single(df, Limits(timeout_secs=1), sleepy).collect()}
+    assert got == {"/a.pdf": "timeout", "/b.pdf": None}
+
+
 def test_long_output_is_clipped(spark):
     docs = spark.createDataFrame([("/r/a.pdf", bytearray("é".encode() * 500))], "path string, content binary")
     row = parse_single(docs, Limits(max_output_bytes=101, min_text_bytes=1), decode_text).first()

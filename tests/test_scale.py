@@ -12,7 +12,7 @@ from docloom.operators import ledger as L
 
 QUERIES = contract.queries()
 # These run a stream or write a stage first; what they return is a plain scan.
-STAGED = {"doc_stream", "job_stream", "job_stream_retained", "output_scan", "parse_job_archives", "result_sink"}
+STAGED = {"doc_stream", "job_stream", "job_stream_retained", "output_scan", "parse_job_archives", "result_sink", "document_scan", "document_stream", "parse_requests"}
 
 
 def plan(df):
@@ -47,6 +47,13 @@ def test_stored_sizes_spare_the_text(spark, small, tmp_path):
     assert sorted(map(str, A.assemble_archives(members, 20_000, 1000).collect())) == sorted(map(str, fresh.collect()))
 
 
+def test_contents_move_once_and_unsorted(spark):
+    rows = spark.range(10).selectExpr("'a' archive", "id ordinal", "'n' name", "cast(cast(id as string) as binary) content")
+    text = plan(A.last_copies(rows.select("archive", "ordinal", "name"), rows.select("archive", "ordinal", "content")))
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    assert not [line for line in text.split("\n") if "Sort [" in line and "content" in line]
+
+
 def test_row_local_queries_do_not_shuffle(spark, small):
     from docloom.functions.text import with_plain_text
     from docloom.operators.results import share_budget
