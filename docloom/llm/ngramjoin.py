@@ -35,6 +35,7 @@ HOT_SHARE = 2000
 HOT_TOKENS = 200_000
 FANOUT = 16
 PAGE = 1024
+MAX_BITS = 1 << 13
 _ODD = np.random.default_rng(21).integers(1, 1 << 63, WORDS + 3, dtype=np.uint64) | np.uint64(1)
 
 
@@ -65,7 +66,7 @@ def digest(s: np.ndarray) -> tuple[int, bytes]:
 def signature(s: np.ndarray) -> bytes:
     """Bitmap of the tokens' low bits, about three bits per token, a power of two wide."""
     width = 64
-    while width < 3 * s.size and width < 1 << 16:
+    while width < 3 * s.size and width < MAX_BITS:
         width *= 2
     bits = np.zeros(width, bool)
     bits[(s & np.uint64(width - 1)).astype(np.int64)] = True
@@ -324,21 +325,35 @@ def block_candidates(nodes, roots, sizes, sigs, home):
     return out
 
 
-def tree_candidates(members: DataFrame) -> DataFrame:
-    """``a, b, first`` for the members ``token, node, root, n, sig`` of the blocks.
+def tree_candidates(members: DataFrame, sigs: DataFrame) -> DataFrame:
+    """``a, b, first`` for the members ``token, node, root, n`` of the blocks.
 
     A block is cut by size bands, each set also visiting the band below, where it meets
-    smaller partners; a large band is cut into pages, and each pair of pages is a group.
+    smaller partners.  Cuts within one component, and all but one of those with the same
+    members (the tokens of one passage), are left out on slim rows; then the bitmaps of
+    ``sigs`` come in.  A large cut goes into pages, and each pair of pages is a group.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.25))).cast("int")
     placed = members.withColumn("band", band).withColumn(
         "slot", F.explode(F.array(F.col("band"), F.col("band") - 1))
     )
-    counts = placed.groupBy("token", "slot").agg(F.count("*").alias("rows"), F.count_if(F.col("band") == F.col("slot")).alias("at_home"))
-    counts = counts.filter("rows > 1 and at_home > 0").withColumn(
-        "pages", F.ceil(F.col("rows") / PAGE).cast("int")
+    placed = staged(placed.withColumn("home", F.col("band") == F.col("slot")), "jaccard-placed")
+    cuts = (
+        placed.groupBy("token", "slot")
+        .agg(
+            F.count("*").alias("rows"),
+            F.count_if("home").alias("at_home"),
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+            F.bit_xor(F.xxhash64("node", "home")).alias("one"),
+            F.bit_xor(F.xxhash64(F.lit(9), "node", "home")).alias("two"),
+        )
+        .filter("rows > 1 and at_home > 0 and low != high")
+        .groupBy("slot", "rows", "one", "two")
+        .agg(F.min("token").alias("token"))
+        .select("token", "slot", F.ceil(F.col("rows") / PAGE).cast("int").alias("pages"))
     )
-    placed = placed.join(counts.select("token", "slot", "pages"), ["token", "slot"])
+    placed = placed.join(cuts, ["token", "slot"]).join(sigs.select("node", "sig"), "node")
     page = F.pmod(F.xxhash64("node"), F.col("pages")).cast("int")
     placed = placed.withColumn("page", page).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
     placed = placed.select(
@@ -350,7 +365,7 @@ def tree_candidates(members: DataFrame) -> DataFrame:
         "root",
         "n",
         "sig",
-        (F.col("band") == F.col("slot")).alias("home"),
+        "home",
     )
     keys = ["token", "slot", "one", "two"]
 
@@ -481,13 +496,12 @@ def find_links(docs: DataFrame, profile: DataFrame, classes: DataFrame) -> DataF
     labelled = staged(_labelled(classes, links, "jaccard-stars"), "jaccard-labels")
 
     # Blocks that still hold several components.
-    members = blocks.select("token", "key").distinct().join(labelled.select("key", "node", "root"), "key")
+    members = blocks.select("token", "key").distinct().join(labelled.select("key", "node", "root", "n"), "key")
     mixed = members.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter(
         "_low != _high"
     )
     members = members.join(mixed.select("token"), "token", "left_semi").drop("key")
-    members = members.join(classes.select("node", "n", "sig"), "node")
-    candidates = staged(tree_candidates(members), "jaccard-candidates")
+    candidates = staged(tree_candidates(members, classes), "jaccard-candidates")
     # The likeliest pair of each two components first; the others only if those still differ.
     for early in (True, False):
         chosen = candidates.filter("first") if early else candidates.filter("not first")
