@@ -21,8 +21,9 @@ MAX_PARTS = 256
 HIDDEN = 128
 STEPS = 600
 TARGET = 0.97
-CHUNK_ROWS = 4096
+SHELF_ROWS = 16384
 BLOCK_QUERIES = 2048
+QUERIES_AT_ONCE = 256
 SLACK = 1e-9
 
 
@@ -134,26 +135,43 @@ def learn(sample: np.ndarray, parts: int, k: int):
     return router, probes
 
 
-def top_of(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k: int):
-    """For each query its ``k`` best rows: larger product first, then smaller id."""
-    rough = q @ x.T
+def top_of(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, allowed, k: int):
+    """For each query its ``k`` best rows: larger product first, then smaller id.
+
+    ``allowed(rows)`` says for some of the queries which rows they may take.
+    """
     out_q, out_x, out_s = [], [], []
-    for i in range(len(q)):
-        row = rough[i]
-        if len(row) > k + 1:
-            least = np.partition(row, len(row) - k - 1)[len(row) - k - 1]
-            some = np.flatnonzero(row >= least - SLACK * max(1.0, abs(least)))
-        else:
-            some = np.arange(len(row))
-        some = some[xid[some] != qid[i]]
-        exact = (x[some] * q[i]).sum(axis=1)  # row by row, so equal vectors score equal
-        best = np.lexsort((xid[some], -exact))[:k]
-        out_q.append(np.full(len(best), qid[i]))
-        out_x.append(xid[some][best])
-        out_s.append(exact[best])
+    for start in range(0, len(q), QUERIES_AT_ONCE):
+        rows = np.arange(start, min(start + QUERIES_AT_ONCE, len(q)))
+        rough = np.where(allowed(rows), q[rows] @ x.T, -np.inf)
+        rough[qid[rows][:, None] == xid[None, :]] = -np.inf
+        for i, row in zip(rows, rough):
+            n = np.isfinite(row).sum()
+            if n > k:
+                least = np.partition(row, len(row) - k)[len(row) - k]
+                some = np.flatnonzero(row >= least - SLACK * max(1.0, abs(least)))
+            else:
+                some = np.flatnonzero(np.isfinite(row))
+            exact = (x[some] * q[i]).sum(axis=1)  # row by row, so equal vectors score equal
+            best = np.lexsort((xid[some], -exact))[:k]
+            out_q.append(np.full(len(best), qid[i]))
+            out_x.append(xid[some][best])
+            out_s.append(exact[best])
     return np.concatenate(out_q), np.concatenate(out_x), np.concatenate(out_s)
 
 
+def shelve(sizes: dict[int, int], room: int) -> dict[int, tuple[int, int]]:
+    """``part -> (shelf, chunks)``: small parts share shelves, large ones are cut in chunks."""
+    out: dict[int, tuple[int, int]] = {}
+    shelf, held = -1, room
+    for part, size in sorted(sizes.items()):
+        if size > room or held + size > room:
+            shelf, held = shelf + 1, 0
+        held += size
+        out[part] = shelf, -(-size // room)
+    return out
+
+
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = PART_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` best rows found for each query row.
 
@@ -162,8 +180,9 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = P
     those with the smallest hash of their id; every vector is indexed.  Vectors that are
     null, zero or hold null or non-finite components, and rows without id, take no part; of
     rows that repeat an id the one with the smallest vector counts; vectors shorter than the
-    longest of the sample are padded with zeros, longer ones take no part.  A part is cut
-    into chunks of rows and its queries into blocks, by hash of the id, and each chunk meets
+    longest of the sample are padded with zeros, longer ones take no part.  Parts share
+    shelves of at most ``SHELF_ROWS`` rows, so a query answers once for several parts; a larger
+    part is cut into chunks, and queries into blocks, by hash of the id, and each chunk meets
     each block: a group is bounded however many copies of a vector there are.
     """
     usable = F.col("vec_id").isNotNull() & F.coalesce(
@@ -193,25 +212,41 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = P
     base = base.filter(F.size("embedding") <= width)
     rows = base.mapInPandas(assign(1), fields).select("vec_id", "embedding", F.get("parts", 0).alias("part"))
     rows = staged(rows, "ann-index")
-    sizes = rows.groupBy("part").count().collect()  # a row per part
-    smallest = np.cumsum(sorted(r["count"] for r in sizes))
+    sizes = {r.part: r["count"] for r in rows.groupBy("part").count().collect()}  # a row per part
+    smallest = np.cumsum(sorted(sizes.values()))
     while probes < len(sizes) and smallest[probes - 1] <= k:
         probes += 1
-    asked = base.filter(queries).mapInPandas(assign(probes), fields)
-    asked = staged(asked.select("vec_id", "embedding", F.explode("parts").alias("part")), "ann-queries")
-    blocks = {r.part: -(-r["count"] // BLOCK_QUERIES) for r in asked.groupBy("part").count().collect()}
+    shelves = shelve(sizes, SHELF_ROWS)
+
+    def ask(frames):
+        for f in assign(probes)(frames):
+            out = []
+            for i, v, best in zip(f["vec_id"], f["embedding"], f["parts"]):
+                wanted: dict[int, list[int]] = {}
+                for part in best:
+                    if int(part) in shelves:
+                        wanted.setdefault(shelves[int(part)][0], []).append(int(part))
+                out += [(shelf, i, v, some) for shelf, some in wanted.items()]
+            yield pd.DataFrame(out, columns=["shelf", "vec_id", "embedding", "parts"])
+
+    asked = base.filter(queries).mapInPandas(
+        ask, "shelf int, vec_id long, embedding array<double>, parts array<int>"
+    )
+    asked = staged(asked, "ann-queries")
+    blocks = {r.shelf: -(-r["count"] // BLOCK_QUERIES) for r in asked.groupBy("shelf").count().collect()}
     cuts = vectors.sparkSession.createDataFrame(
-        [(r.part, -(-r["count"] // CHUNK_ROWS), blocks[r.part]) for r in sizes if r.part in blocks],
-        "part int, chunks int, blocks int",
+        [(p, s, c, blocks[s]) for p, (s, c) in shelves.items() if s in blocks],
+        "part int, shelf int, chunks int, blocks int",
     )
     cuts = F.broadcast(cuts)  # at most MAX_PARTS rows
+    by_shelf = F.broadcast(cuts.groupBy("shelf").agg(F.max("chunks").alias("chunks"), F.max("blocks").alias("blocks")))
     mine = lambda c: F.pmod(F.xxhash64("vec_id"), F.col(c)).cast("int")
     each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     own = rows.join(cuts, "part").withColumn("chunk", mine("chunks")).withColumn("block", each("blocks"))
-    asks = asked.join(cuts, "part").withColumn("block", mine("blocks")).withColumn("chunk", each("chunks"))
-    keys = ["part", "chunk", "block"]
-    met = own.select(*keys, F.lit(False).alias("asks"), "vec_id", "embedding").unionAll(
-        asks.select(*keys, F.lit(True).alias("asks"), "vec_id", "embedding")
+    asks = asked.join(by_shelf, "shelf").withColumn("block", mine("blocks")).withColumn("chunk", each("chunks"))
+    keys = ["shelf", "chunk", "block"]
+    met = own.select(*keys, F.lit(False).alias("asks"), "vec_id", "embedding", F.array("part").alias("parts")).unionAll(
+        asks.select(*keys, F.lit(True).alias("asks"), "vec_id", "embedding", "parts")
     )
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
@@ -219,11 +254,16 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = P
         q, x = frame[is_query], frame[~is_query]
         if not len(q) or not len(x):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        probed = np.zeros((len(q), parts), bool)
+        for i, some in enumerate(q["parts"]):
+            probed[i, some] = True
+        part = np.array([p[0] for p in x["parts"]])
         found = top_of(
             _padded(q["embedding"], width),
             q["vec_id"].to_numpy(),
             _padded(x["embedding"], width),
             x["vec_id"].to_numpy(),
+            lambda rows: probed[rows][:, part],
             k,
         )
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found)))
