@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,13 @@ from pyspark.sql import DataFrame
 from docloom.llm.common import text_or_empty
 
 WORD_END = "</w>"
+# A word of Latin letters and perhaps marks after it, no apostrophe among them.
+PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
+# Fixed rule of byte-level vocabularies: bytes without a visible character of their own
+# stand as those from U+0100 on, in order.
+_HIDDEN = [*range(33), *range(127, 161), 173]
+_SYMBOLS = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
+LONG_WORD = 64
 CACHE_WORDS = 600_000
 CACHE_PREFIXES = 1_500_000
 
@@ -71,34 +79,35 @@ class MergeAutomaton:
             else:  # a's state began as that of its right part
                 upto, a = born_a, self.right[a]
 
-    def _last(self, text: str, start: int) -> int:
-        """The token that ends the path of ``text``, whose first ``start`` symbols are known."""
+    def _last(self, text: str) -> None:
+        """Learns the token that ends the path of each prefix of ``text``."""
         prefixes, vocab, arcs, size = self.prefixes, self.vocab, self.arcs, self.size
-        for end in range(start + 1, len(text) + 1):
-            head = text[:end]
-            if head in prefixes:
-                continue
-            for begin in range(max(0, end - self.longest), end):
+        known = len(text)
+        while text[:known] not in prefixes:
+            known -= 1
+        for end in range(known + 1, len(text) + 1):
+            for begin in range(end - 1, max(0, end - self.longest) - 1, -1):
                 token = vocab.get(text[begin:end])
                 if token is None:
                     continue
                 before = prefixes[text[:begin]]
                 if before < 0 or (arcs.get(before * size + token) or self.arc(before, token)):
-                    prefixes[head] = token
+                    prefixes[text[:end]] = token
                     break
             else:
-                raise ValueError(f"no path spells {head!r}")
-        return prefixes[text]
+                raise ValueError(f"no path spells {text[:end]!r}")
 
     def encode(self, word: str) -> list[int]:
         """Token ids of one word of byte symbols; its last symbol carries the word end."""
+        if len(word) > LONG_WORD:
+            return self._encode_long(word)
         if len(self.prefixes) > CACHE_PREFIXES:
             self.prefixes = {"": -1}
         body, prefixes, vocab = word[:-1], self.prefixes, self.vocab
         if body:
-            self._last(body, 0)
+            self._last(body)
         ended = word + WORD_END
-        for begin in range(max(0, len(word) - self.longest), len(word)):
+        for begin in range(len(word) - 1, max(0, len(word) - self.longest) - 1, -1):
             token = vocab.get(ended[begin:])
             if token is not None:
                 before = prefixes[word[:begin]]
@@ -113,6 +122,27 @@ class MergeAutomaton:
             at -= len(self.labels[token])
         return path[::-1]
 
+    def _encode_long(self, word: str) -> list[int]:
+        """The same by position and without remembering prefixes: linear in the word."""
+        vocab, size = self.vocab, len(word)
+        last = [-1] * (size + 1)
+        starts = [0] * (size + 1)
+        for end in range(1, size + 1):
+            tail = WORD_END if end == size else ""
+            for begin in range(end - 1, max(0, end - self.longest) - 1, -1):
+                token = vocab.get(word[begin:end] + tail)
+                if token is not None and (begin == 0 or self.arc(last[begin], token)):
+                    last[end], starts[end] = token, begin
+                    break
+            else:
+                # A prefix that ends inside the word always has a path without the word end.
+                raise ValueError(f"no path spells {size} symbols up to {end}")
+        path, at = [], size
+        while at > 0:
+            path.append(last[at])
+            at = starts[at]
+        return path[::-1]
+
     def decode(self, ids: list[int]) -> str:
         """The labels of the arcs, one blank between them."""
         return " ".join(self.labels[i] for i in ids)
@@ -140,7 +170,6 @@ class WordCoder:
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
         self.ids: dict[str, str] = {}
         self.labels: dict[str, str] = {}
-        self.counts: dict[str, int] = {}
         self.words: dict[str, list[int]] = {}
 
     def _pieces(self, chunk: str):
@@ -157,36 +186,44 @@ class WordCoder:
             chunk = chunk[at + len(s) :]
 
     def chunk_ids(self, chunk: str) -> list[int]:
+        plain = PLAIN.fullmatch(chunk)
+        if plain:  # what the library's normaliser and splitter make of the usual chunk
+            word = plain[1].lower().encode().decode("latin-1").translate(_SYMBOLS)
+            return self._word(word) + (self._word(plain[2]) if plain[2] else [])
         out: list[int] = []
         for piece, special in self._pieces(chunk):
             if special is not None:
                 out.append(special)
                 continue
             for word, _ in self.split(self.normalise(piece)):
-                known = self.words.get(word)
-                if known is None:
-                    known = self.words[word] = self.automaton.encode(word)
-                out += known
+                out += self._word(word)
         return out
 
+    def _word(self, word: str) -> list[int]:
+        known = self.words.get(word)
+        if known is None:
+            known = self.words[word] = self.automaton.encode(word)
+        return known
+
     def code(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, their ids and their labels, each joined by one blank."""
         chunks = text.replace("\n", " ").split(" ")
-        for chunk in set(chunks).difference(self.counts):
+        for chunk in set(chunks).difference(self.ids):
             ids = self.chunk_ids(chunk)
-            self.counts[chunk] = len(ids)
             self.ids[chunk] = " ".join(map(str, ids))
             self.labels[chunk] = self.automaton.decode(ids)
-        counts = list(map(self.counts.__getitem__, chunks))
-        if 0 in counts:  # chunks without a token, such as that between two blanks
-            chunks = [c for c, n in zip(chunks, counts) if n]
+        ids = " ".join(map(self.ids.__getitem__, chunks))
+        if "  " in ids or ids[:1] == " " or ids[-1:] == " ":
+            # Chunks without a token, such as that between two blanks.
+            chunks = [c for c in chunks if self.ids[c]]
+            ids = " ".join(map(self.ids.__getitem__, chunks))
         out = (
-            sum(counts),
-            " ".join(map(self.ids.__getitem__, chunks)),
+            ids.count(" ") + 1 if ids else 0,
+            ids,
             " ".join(map(self.labels.__getitem__, chunks)),
         )
-        if len(self.counts) > CACHE_WORDS:
-            self.ids, self.labels, self.counts, self.words = {}, {}, {}, {}
+        if len(self.ids) > CACHE_WORDS:
+            self.ids, self.labels, self.words = {}, {}, {}
         return out
 
 

@@ -285,6 +285,9 @@ def test_bpe_automaton_equals_the_library():
         word = "".join(r.choice(letters) for _ in range(r.randint(1, 14)))
         ids = library.encode(word, add_special_tokens=False).ids
         assert coder.code(word)[1] == " ".join(map(str, ids)), word
+    for word in ("x" * 70000, "ab" * 40000 + "c", "thereinhe" * 9000, "=" * 3001, "é" * 20000):
+        ids = library.encode(word, add_special_tokens=False).ids
+        assert coder.code(word)[1] == " ".join(map(str, ids)), word[:9]
 
 
 def test_nearest(spark):
