@@ -94,12 +94,12 @@ def member_name(c: Column) -> Column:
 def member_name_error(c: Column) -> Column:
     """Why a member name is refused, or null."""
     forward = F.translate(c, "\\", "/")
-    quoted = F.concat(F.lit("archive member `"), c)
+    quoted = F.concat(F.lit("entry `"), c)
     return (
-        F.when(c.isNull() | c.isin("", ".", "./"), F.lit("archive member with an empty name"))
-        .when(F.startswith(forward, F.lit("/")), F.concat(quoted, F.lit("` is an absolute path")))
+        F.when(c.isNull() | c.isin("", ".", "./"), F.lit("an entry has no name"))
+        .when(F.startswith(forward, F.lit("/")), F.concat(quoted, F.lit("` starts at the root")))
         .when(
             F.array_contains(F.split(forward, "/"), ".."),
-            F.concat(quoted, F.lit("` contains a parent-directory reference")),
+            F.concat(quoted, F.lit("` leads out of its folder")),
         )
     )

@@ -27,14 +27,14 @@ EMPTY_MEMBER = "parsed to an empty document"
 
 def member_error(container: Column, name: Column, kind: Column) -> Column:
     """Why one entry makes its archive unsafe, or null."""
-    quoted = message("archive member `", name, "` is ")
+    quoted = message("entry `", name, "` is ")
     is_zip = container == "zip"
     link = kind.isin(SYMLINK, HARDLINK)
     return F.coalesce(
         N.member_name_error(name),
-        F.when(is_zip & link, message(quoted, "a symlink"))
-        .when(link, message(quoted, "a link"))
-        .when(~is_zip & ~kind.isin(FILE, DIRECTORY), message(quoted, "not a regular file")),
+        F.when(is_zip & link, message(quoted, "a symbolic link"))
+        .when(link, message(quoted, "a link to elsewhere"))
+        .when(~is_zip & ~kind.isin(FILE, DIRECTORY), message(quoted, "no ordinary file")),
     )
 
 
@@ -58,12 +58,12 @@ def archive_verdicts(members: DataFrame, max_members: int, max_bytes: int) -> Da
     reason = F.coalesce(
         F.when(
             is_tar & (F.col("ordinal") >= max_members),
-            F.lit(f"archive has over {max_members} members"),
+            F.lit(f"archive lists more than {max_members} members"),
         ),
         member_error(F.col("container"), F.col("name"), kind),
         F.when(
             (kind == FILE) & (F.col("running") > max_bytes),
-            F.lit(f"archive expands past the {max_bytes}-byte limit"),
+            F.lit(f"archive unpacks beyond the {max_bytes}-byte limit"),
         ),
     )
     first = F.when(
@@ -89,8 +89,8 @@ def archive_verdicts(members: DataFrame, max_members: int, max_bytes: int) -> Da
     too_many = F.when(
         ~is_tar & (F.col("n_entries") > max_members),
         message(
-            "archive has ", F.col("n_entries").cast("string"),
-            f" members, over the {max_members} limit",
+            "archive lists ", F.col("n_entries").cast("string"),
+            f" entries, over the {max_members} limit",
         ),
     )
     return (
@@ -204,9 +204,9 @@ def assembly_plan(
                     skipped > 0,
                     F.array(
                         message(
-                            "output budget reached: ", skipped.cast("string"), " of ",
+                            "no room for more: ", skipped.cast("string"), " of ",
                             F.col("n_members").cast("string"),
-                            " archive members are not included in this result",
+                            " entries are left out",
                         )
                     ),
                 ).otherwise(F.array().cast("array<string>")),
@@ -249,7 +249,7 @@ def assemble_archives(
         "over_budget",
         "n_members",
         F.when(refused, INPUT_REJECTED).when(F.col("timed_out"), TIMEOUT).alias("error_code"),
-        F.when(refused, F.lit(f"archive has over {max_members} members"))
+        F.when(refused, F.lit(f"archive lists more than {max_members} members"))
         .when(F.col("timed_out"), F.lit("the parse exceeded its time budget"))
         .alias("error"),
     )

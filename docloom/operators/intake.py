@@ -10,7 +10,7 @@ from docloom.functions import payload as P
 from docloom.functions.text import is_blank, py_strip
 from docloom.operators.outcomes import message
 
-SHAPE_ERROR = "provide exactly one of `path` or `content_base64`"
+SHAPE_ERROR = "a request needs either `path` or `content_base64`, and not both"
 
 
 def request_shape_error(path: Column, content: Column) -> Column:
@@ -31,9 +31,9 @@ def inline_error(content: Column, max_bytes: int) -> Column:
     """Checked from the text's length, so nothing oversized is ever decoded."""
     size = P.inline_size(content)
     return (
-        F.when(size.isNull(), F.lit("`content_base64` is not valid base64"))
-        .when(size == 0, F.lit("`content_base64` decoded to zero bytes"))
-        .otherwise(size_error(size, max_bytes, "inline input"))
+        F.when(size.isNull(), F.lit("`content_base64` cannot be decoded"))
+        .when(size == 0, F.lit("`content_base64` holds no bytes"))
+        .otherwise(size_error(size, max_bytes, "sent content"))
     )
 
 
@@ -43,7 +43,7 @@ def confinement_error(path: Column, roots: list[str]) -> Column:
     shown = ", ".join(roots) or "(none)"
     return F.when(is_blank(path), F.lit("missing `path`")).when(
         ~N.within_roots(N.fold_path(asked), roots),
-        message("`", asked, f"` resolves outside the allowed roots ({shown})"),
+        message("`", asked, f"` is not under any allowed root ({shown})"),
     )
 
 

@@ -14,8 +14,8 @@ from docloom.operators.outcomes import empty_failure
 def mirror_warning(budget: int) -> str:
     size = f"{budget // MIB} MiB" if budget % MIB == 0 else f"{budget} bytes"
     return (
-        f"the plain-text mirror was clipped to keep the response under the {size} budget; "
-        "`markdown` is the complete payload"
+        f"plain text is cut so that the answer stays within {size}; "
+        "`markdown` holds everything"
     )
 
 

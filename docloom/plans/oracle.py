@@ -146,16 +146,16 @@ _INSIDE = "(" + " OR ".join(
 
 
 def intake_requests() -> str:
-    shape = "provide exactly one of `path` or `content_base64`"
+    shape = "a request needs either `path` or `content_base64`, and not both"
     roots = ", ".join(q.ROOTS)
     return f"""WITH {REQUESTS},
 checked AS (SELECT request_id,
   CASE WHEN (path IS NOT NULL) = (content_base64 IS NOT NULL) THEN {lit(shape)} END AS shape,
   CASE WHEN content_base64 IS NOT NULL THEN
-      CASE WHEN NOT {_STRICT} THEN '`content_base64` is not valid base64'
-           WHEN size > {q.MAX_INPUT} THEN 'inline input is ' || size || ' bytes, over the {q.MAX_INPUT}-byte limit' END
+      CASE WHEN NOT {_STRICT} THEN '`content_base64` cannot be decoded'
+           WHEN size > {q.MAX_INPUT} THEN 'sent content is ' || size || ' bytes, over the {q.MAX_INPUT}-byte limit' END
     WHEN path IS NULL THEN 'missing `path`'
-    WHEN NOT {_INSIDE} THEN '`' || path || {lit(f"` resolves outside the allowed roots ({roots})")}
+    WHEN NOT {_INSIDE} THEN '`' || path || {lit(f"` is not under any allowed root ({roots})")}
     WHEN size > {q.MAX_INPUT} THEN 'input is ' || size || ' bytes, over the {q.MAX_INPUT}-byte limit' END AS rejected
   FROM requests)
 SELECT request_id, shape IS NULL AND rejected IS NULL AS accepted,
@@ -250,10 +250,10 @@ entries AS (SELECT *, {ARCHIVE} AS archive,
          WHEN doc_id % 53 = 3 THEN './' || replace({FILE_NAME}, '/', '//') ELSE {FILE_NAME} END AS name
   FROM documents),
 guarded AS (SELECT *, CASE
-    WHEN doc_id % 397 = 5 THEN 'archive member `' || name || '` contains a parent-directory reference'
-    WHEN doc_id % 401 = 7 THEN 'archive member `' || name || '` is an absolute path'
-    WHEN kind = 'symlink' AND container = 'zip' THEN 'archive member `' || name || '` is a symlink'
-    WHEN kind = 'symlink' THEN 'archive member `' || name || '` is a link' END AS member_error FROM entries)"""
+    WHEN doc_id % 397 = 5 THEN 'entry `' || name || '` leads out of its folder'
+    WHEN doc_id % 401 = 7 THEN 'entry `' || name || '` starts at the root'
+    WHEN kind = 'symlink' AND container = 'zip' THEN 'entry `' || name || '` is a symbolic link'
+    WHEN kind = 'symlink' THEN 'entry `' || name || '` is a link to elsewhere' END AS member_error FROM entries)"""
 
 
 def member_guard() -> str:
@@ -267,15 +267,15 @@ def _caps(max_members: int, max_bytes: int) -> str:
 running AS (SELECT *, sum(CASE WHEN kind = 'file' THEN strlen(text) ELSE 0 END)
     OVER (PARTITION BY archive ORDER BY ordinal) AS used FROM guarded),
 reasons AS (SELECT *, CASE
-    WHEN container = 'tar' AND ordinal >= {max_members} THEN 'archive has over {max_members} members'
+    WHEN container = 'tar' AND ordinal >= {max_members} THEN 'archive lists more than {max_members} members'
     WHEN member_error IS NOT NULL THEN member_error
-    WHEN kind = 'file' AND used > {max_bytes} THEN 'archive expands past the {max_bytes}-byte limit' END AS reason
+    WHEN kind = 'file' AND used > {max_bytes} THEN 'archive unpacks beyond the {max_bytes}-byte limit' END AS reason
   FROM running),
 summed AS (SELECT archive, any_value(container) AS container, count(*) AS n_entries,
     count(*) FILTER (kind = 'file') AS n_files,
     arg_min(reason, ordinal) FILTER (reason IS NOT NULL) AS reason FROM reasons GROUP BY archive),
 said AS (SELECT *, CASE WHEN container = 'zip' AND n_entries > {max_members}
-    THEN 'archive has ' || n_entries || ' members, over the {max_members} limit' ELSE reason END AS error FROM summed)
+    THEN 'archive lists ' || n_entries || ' entries, over the {max_members} limit' ELSE reason END AS error FROM summed)
 SELECT archive, container, n_entries, n_files,
   CASE WHEN error IS NOT NULL THEN 'input_rejected' END AS error_code, error FROM said"""
 
@@ -324,10 +324,10 @@ gathered AS (SELECT archive, count(*) AS n_members, count(*) FILTER (NOT reached
     nullif(CAST(sum(pages) FILTER (reached AND good) AS BIGINT), 0) AS page_count FROM walked GROUP BY archive),
 assembled AS (SELECT archive, markdown, sources, page_count, n_members, skipped > 0 AS over_budget,
     notes || CASE WHEN skipped = 0 THEN '' ELSE CASE WHEN notes = '' THEN '' ELSE chr(10) END
-      || 'output budget reached: ' || skipped || ' of ' || n_members
-      || ' archive members are not included in this result' END AS warnings,
+      || 'no room for more: ' || skipped || ' of ' || n_members
+      || ' entries are left out' END AS warnings,
     CASE WHEN n_members > {q.MAX_MEMBERS} THEN 'input_rejected' WHEN late THEN 'timeout' END AS error_code,
-    CASE WHEN n_members > {q.MAX_MEMBERS} THEN 'archive has over {q.MAX_MEMBERS} members'
+    CASE WHEN n_members > {q.MAX_MEMBERS} THEN 'archive lists more than {q.MAX_MEMBERS} members'
          WHEN late THEN 'the parse exceeded its time budget' END AS error FROM gathered)"""
 
 
@@ -398,7 +398,7 @@ FROM logs l LEFT JOIN read r USING (parse_id) LEFT JOIN pages p USING (parse_id)
 
 def parse_requests() -> str:
     code, text, _ = preflight("name")
-    shape = "provide exactly one of `path` or `content_base64`"
+    shape = "a request needs either `path` or `content_base64`, and not both"
     return f"""WITH asked AS (SELECT *, {FILE_NAME} AS file_name, doc_id % 77 = 0 AS none, doc_id % 2 = 1 AS by_path,
     CASE WHEN doc_id % 9 = 4 THEN '/etc/' ELSE '/data/' END || source || '/' || {FILE_NAME} AS path FROM documents),
 named AS (SELECT *, CASE WHEN by_path THEN regexp_extract(file_name, '[^/]*$')
@@ -406,14 +406,14 @@ named AS (SELECT *, CASE WHEN by_path THEN regexp_extract(file_name, '[^/]*$')
 routed AS (SELECT *, {code} AS code, {text} AS msg,
     {ext_of('name')} IN ('.zip', '.tar', '.tar.gz', '.tgz') OR ends_with(name, '.tar.gz') AS packed FROM named),
 judged AS (SELECT *, CASE WHEN none THEN {lit(shape)}
-    WHEN by_path AND doc_id % 9 = 4 THEN '`' || path || '` resolves outside the allowed roots (/data)'
+    WHEN by_path AND doc_id % 9 = 4 THEN '`' || path || '` is not under any allowed root (/data)'
     WHEN by_path AND doc_id % 7 = 3 THEN 'cannot open `' || path || '`'
-    WHEN strlen(text) > {q.MAX_INPUT} THEN CASE WHEN by_path THEN 'input' ELSE 'inline input' END || ' is ' || strlen(text)
+    WHEN strlen(text) > {q.MAX_INPUT} THEN CASE WHEN by_path THEN 'input' ELSE 'sent content' END || ' is ' || strlen(text)
       || ' bytes, over the {q.MAX_INPUT}-byte limit' END AS refused FROM routed),
 ready AS (SELECT doc_id AS request_id, name AS filename, CASE WHEN packed OR refused IS NOT NULL THEN '' ELSE {lossy('text', q.SHARED_BUDGET + 1)} END AS markdown,
     '' AS notes, name AS sources, CAST(NULL AS BIGINT) AS page_count, false AS over_budget,
     CASE WHEN none THEN 'none' WHEN refused IS NOT NULL THEN 'input_rejected' WHEN packed THEN 'input_rejected' ELSE code END AS error_code,
-    coalesce(refused, CASE WHEN packed THEN '`' || name || '` is not a readable zip or tar archive' ELSE msg END) AS error FROM judged),
+    coalesce(refused, CASE WHEN packed THEN '`' || name || '` opens neither as zip nor as tar' ELSE msg END) AS error FROM judged),
 {_shaped(q.SHARED_BUDGET, q.SHARED_MIN_TEXT, 'request_id')}"""
 
 
@@ -443,8 +443,8 @@ def _shaped(budget: int, min_text: int, key: str) -> str:
     """From ``ready`` (key, filename, markdown, notes, sources, page_count,
     over_budget, error_code, error) to flat results."""
     mirror = (
-        f"the plain-text mirror was clipped to keep the response under the {budget} bytes budget; "
-        "`markdown` is the complete payload"
+        f"plain text is cut so that the answer stays within {budget} bytes; "
+        "`markdown` holds everything"
     )
     return f"""
 typed AS (SELECT * REPLACE (

@@ -54,7 +54,7 @@ def _bounded(source, ceiling: int) -> bytes:
     with source:
         data = source.read(ceiling + 1)
     if len(data) > ceiling:
-        raise TooLarge("archive member is larger than its declared size")
+        raise TooLarge("an entry is longer than it says")
     return data
 
 
@@ -94,10 +94,10 @@ def read_entries(
         try:
             known = tarfile.is_tarfile(blob)
         except (OSError, tarfile.TarError) as exc:
-            yield ("none", 0, "", UNREADABLE, 0, None, INPUT_REJECTED, f"unreadable archive: {exc}")
+            yield ("none", 0, "", UNREADABLE, 0, None, INPUT_REJECTED, f"archive cannot be opened: {exc}")
             return
         if not known:
-            text = f"`{label}` is not a readable zip or tar archive"
+            text = f"`{label}` opens neither as zip nor as tar"
             yield ("none", 0, "", UNREADABLE, 0, None, INPUT_REJECTED, text)
             return
         container, listing = "tar", _tar_listing

@@ -64,7 +64,7 @@ def test_expand_keeps_order_and_bytes(spark):
         ("/d.zip", "none", "unreadable", "", b""),
         ("/e.zip", "tar", "file", "y.pdf", b"z"),
     ]
-    assert rows[7].error == "`d.zip` is not a readable zip or tar archive"
+    assert rows[7].error == "`d.zip` opens neither as zip nor as tar"
 
 
 def test_verdicts(spark):
@@ -82,16 +82,16 @@ def test_verdicts(spark):
     said = {k: (got[k].error_code, got[k].error) if k in got else None for k in blobs}
     rejected = "input_rejected"
     assert said["ok"] == said["fits"] == said["dirs"] == (None, None)
-    assert said["up"] == (rejected, "archive member `../escaped.txt` contains a parent-directory reference")
-    assert said["abs"] == (rejected, "archive member `/etc/passwd` is an absolute path")
-    assert said["link"] == (rejected, "archive member `l` is a symlink")
-    assert said["sym"] == said["hard"] == (rejected, "archive member `l` is a link")
-    assert said["fifo"] == (rejected, "archive member `p` is not a regular file")
-    assert said["many"] == (rejected, "archive has 6 members, over the 5 limit")
-    assert said["tmany"] == (rejected, "archive has over 5 members")
-    assert said["big"] == said["bigbad"] == (rejected, "archive expands past the 100-byte limit")
-    assert "parent-directory" in said["badbig"][1]
-    assert said["junk"][0] == rejected and "not a readable" in said["junk"][1]
+    assert said["up"] == (rejected, "entry `../escaped.txt` leads out of its folder")
+    assert said["abs"] == (rejected, "entry `/etc/passwd` starts at the root")
+    assert said["link"] == (rejected, "entry `l` is a symbolic link")
+    assert said["sym"] == said["hard"] == (rejected, "entry `l` is a link to elsewhere")
+    assert said["fifo"] == (rejected, "entry `p` is no ordinary file")
+    assert said["many"] == (rejected, "archive lists 6 entries, over the 5 limit")
+    assert said["tmany"] == (rejected, "archive lists more than 5 members")
+    assert said["big"] == said["bigbad"] == (rejected, "archive unpacks beyond the 100-byte limit")
+    assert "leads out" in said["badbig"][1]
+    assert said["junk"][0] == rejected and "opens neither" in said["junk"][1]
     assert said["cut"][0] == "parse_failed"
     assert said["empty"] == (None, None) and got["empty"].n_entries == 0
     assert got["dirs"].n_files == 0 and got["dirs"].n_entries == 2
@@ -127,7 +127,7 @@ def loop(members, budget):
         else:
             section = f"# {name}\n\n{markdown.strip()}"
             if used + len(section.encode()) + 2 > budget:
-                warnings.append(f"output budget reached: {len(ordered) - at} of {len(ordered)} archive members are not included in this result")
+                warnings.append(f"no room for more: {len(ordered) - at} of {len(ordered)} entries are left out")
                 over = True
                 break
             used += len(section.encode()) + 2

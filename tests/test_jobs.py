@@ -121,7 +121,7 @@ def test_requests_end_to_end(spark):
         1: None, 2: None, 3: "input_rejected", 4: "input_rejected", 5: None, 6: None, 7: None, 8: "input_rejected", 9: "input_rejected",
     }
     assert got[1][1] == "# none\n\nalpha" and got[2][1] == "# de\n\nalpha" and got[7][1] == "# none\n\nseven"
-    assert got[3][1] == "cannot open `/in/none.pdf`" and "exactly one" in got[6][1] and got[5][1].startswith("# m.pdf")
+    assert got[3][1] == "cannot open `/in/none.pdf`" and "not both" in got[6][1] and got[5][1].startswith("# m.pdf")
 
 
 def test_a_late_document_is_a_timeout(spark):

@@ -65,14 +65,14 @@ def test_budget_is_shared(spark):
     r = shaped(spark, "# Title\n\n" + "lorem ipsum " * 33_000, 100_000, 1000)
     md, text = len(r.result.markdown.encode()), len(r.result.text.encode())
     assert md <= 100_000 and md + text <= 100_000
-    assert r.result.truncated and "plain-text mirror" in r.result.warnings[-1]
+    assert r.result.truncated and "plain text is cut" in r.result.warnings[-1]
 
 
 def test_text_takes_what_is_left(spark):
     body = "é" * 400
     r = shaped(spark, body, 1000, 100)
     assert not r.result.truncated and r.result.markdown == body
-    assert r.result.text == "é" * 100 and "plain-text mirror" in r.result.warnings[-1]
+    assert r.result.text == "é" * 100 and "plain text is cut" in r.result.warnings[-1]
     assert shaped(spark, body, 1000, 201).result.text == ""
 
 
