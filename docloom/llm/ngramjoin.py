@@ -36,6 +36,8 @@ HOT_TOKENS = 200_000
 FANOUT = 16
 PAGE = 1024
 MAX_BITS = 1 << 13
+ROUNDS = (1, 8, None)
+SEEN_PAIRS = 500_000
 _ODD = np.random.default_rng(21).integers(1, 1 << 63, WORDS + 3, dtype=np.uint64) | np.uint64(1)
 
 
@@ -301,10 +303,10 @@ class SignatureTree:
         return a[keep], b[keep]
 
 
-def block_candidates(nodes, roots, sizes, sigs, home):
+def block_candidates(nodes, roots, sizes, sigs, home, top: int | None = None):
     """Likely pairs of one block between different components, at least one set at home.
 
-    The pair of largest possible overlap comes first for each pair of components.
+    With ``top`` only those among the ``top`` likeliest of one of their sets.
     """
     order = np.argsort(sizes, kind="stable")
     width = 8 * min(len(s) for s in sigs)
@@ -314,30 +316,37 @@ def block_candidates(nodes, roots, sizes, sigs, home):
     i, j = order[i], order[j]
     keep = (roots[i] != roots[j]) & (home[i] | home[j])
     i, j, best = i[keep], j[keep], best[keep]
-    gain = best / (sizes[i] + sizes[j])
-    rank = np.argsort(-gain, kind="stable")
-    seen, out = set(), []
-    for k in rank:
-        a, b = sorted((nodes[i[k]], nodes[j[k]]))
-        between = frozenset((roots[i[k]], roots[j[k]]))
-        out.append((a, b, between not in seen))
-        seen.add(between)
-    return out
-
-
-def tree_candidates(members: DataFrame, sigs: DataFrame) -> DataFrame:
-    """``a, b, first`` for the members ``token, node, root, n`` of the blocks.
-
-    A block is cut by size bands, each set also visiting the band below, where it meets
-    smaller partners.  Cuts within one component, and all but one of those with the same
-    members (the tokens of one passage), are left out on slim rows; then the bitmaps of
-    ``sigs`` come in.  A large cut goes into pages, and each pair of pages is a group.
+    if top is not None and i.size:
+        gain = best / (sizes[i] + sizes[j])
+        ends = np.concatenate([i, j])
+        rank = np.lexsort((-np.concatenate([gain, gain]), ends))
+        first = np.flatnonzero(np.append(True, np.diff(ends[rank]) != 0))
+        place = np.arange(rank.size) - np.repeat(first, np.diff(np.append(first, rank.size)))
+        chosen = np.zeros(rank.size, bool)
+        chosen[rank[place < top]] = True
+        keep = chosen[: i.size] | chosen[i.size :]
+        i, j = i[keep], j[keep]
+    return [tuple(sorted((nodes[x], nodes[y]))) for x, y in zip(i.tolist(), j.tolist())]
+
+
+def block_cuts(members: DataFrame) -> DataFrame:
+    """``token, slot, node, n, home``: blocks ``token, node, n`` cut by size bands.
+
+    Each set also visits the band below its own, where it meets smaller partners.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.25))).cast("int")
-    placed = members.withColumn("band", band).withColumn(
-        "slot", F.explode(F.array(F.col("band"), F.col("band") - 1))
+    placed = members.withColumn("_band", band).withColumn(
+        "slot", F.explode(F.array(F.col("_band"), F.col("_band") - 1))
     )
-    placed = staged(placed.withColumn("home", F.col("band") == F.col("slot")), "jaccard-placed")
+    return placed.select("token", "slot", "node", "n", (F.col("_band") == F.col("slot")).alias("home"))
+
+
+def open_cuts(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the cuts that hold several components by ``roots (node, root)``, with the roots.
+
+    Of cuts with the same members (the tokens of one passage) one is kept.
+    """
+    placed = placed.select("token", "slot", "node", "n", "home").join(roots.select("node", "root"), "node")
     cuts = (
         placed.groupBy("token", "slot")
         .agg(
@@ -351,9 +360,19 @@ def tree_candidates(members: DataFrame, sigs: DataFrame) -> DataFrame:
         .filter("rows > 1 and at_home > 0 and low != high")
         .groupBy("slot", "rows", "one", "two")
         .agg(F.min("token").alias("token"))
-        .select("token", "slot", F.ceil(F.col("rows") / PAGE).cast("int").alias("pages"))
+        .select("token", "slot", "rows")
     )
-    placed = placed.join(cuts, ["token", "slot"]).join(sigs.select("node", "sig"), "node")
+    return placed.join(cuts, ["token", "slot"])
+
+
+def tree_candidates(cuts: DataFrame, sigs: DataFrame, top: int | None = None) -> DataFrame:
+    """``a, b`` for the rows of ``open_cuts``, by a tree in each cut.
+
+    Only now the bitmaps of ``sigs`` come in.  A large cut goes into pages, and each pair of
+    pages is a group, so no task holds more than two pages.
+    """
+    pages = F.ceil(F.col("rows") / PAGE).cast("int")
+    placed = cuts.withColumn("pages", pages).join(sigs.select("node", "sig"), "node")
     page = F.pmod(F.xxhash64("node"), F.col("pages")).cast("int")
     placed = placed.withColumn("page", page).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
     placed = placed.select(
@@ -370,27 +389,30 @@ def tree_candidates(members: DataFrame, sigs: DataFrame) -> DataFrame:
     keys = ["token", "slot", "one", "two"]
 
     def run(batches):
+        seen: set = set()  # the blocks of one task often bring the same pair
         for rows in _groups(batches, len(keys)):
             node, root, n, sig, home = (rows.column(c) for c in ("node", "root", "n", "sig", "home"))
             roots = np.array(root.to_pylist(), object)
-            if len(set(roots)) > 1:
-                out = block_candidates(
-                    node.to_pylist(),
-                    roots,
-                    n.to_numpy().astype(np.int64),
-                    sig.to_pylist(),
-                    home.to_numpy(zero_copy_only=False),
-                )
-                if out:
-                    a, b, first = zip(*out)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(first)], ["a", "b", "first"]
-                    )
+            if len(set(roots)) < 2:
+                continue
+            out = block_candidates(
+                node.to_pylist(),
+                roots,
+                n.to_numpy().astype(np.int64),
+                sig.to_pylist(),
+                home.to_numpy(zero_copy_only=False),
+                top,
+            )
+            out = [p for p in out if p not in seen]
+            if out:
+                a, b = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+                seen.update(out)
+                if len(seen) > SEEN_PAIRS:
+                    seen.clear()
 
     dealt = placed.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(run, "a binary, b binary, first boolean").groupBy("a", "b").agg(
-        F.max("first").alias("first")
-    )
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def _groups(batches, n_keys: int):
@@ -495,22 +517,24 @@ def find_links(docs: DataFrame, profile: DataFrame, classes: DataFrame) -> DataF
     links = staged(verify(docs, classes, stars), "jaccard-links")
     labelled = staged(_labelled(classes, links, "jaccard-stars"), "jaccard-labels")
 
-    # Blocks that still hold several components.
+    # Blocks that still hold several components go into trees: first for the likeliest pairs
+    # of each set, which join most of what belongs together, then for all that are left.
     members = blocks.select("token", "key").distinct().join(labelled.select("key", "node", "root", "n"), "key")
     mixed = members.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter(
         "_low != _high"
     )
-    members = members.join(mixed.select("token"), "token", "left_semi").drop("key")
-    candidates = staged(tree_candidates(members, classes), "jaccard-candidates")
-    # The likeliest pair of each two components first; the others only if those still differ.
-    for early in (True, False):
-        chosen = candidates.filter("first") if early else candidates.filter("not first")
-        roots = labelled.select("node", "root")
-        left = roots.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
-        right = roots.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
-        apart = chosen.join(left, "a").join(right, "b").filter("_ra != _rb")
-        more = staged(verify(docs, classes, apart), "jaccard-links")
-        links = staged(links.unionAll(more), "jaccard-links")
-        if early:
+    members = members.join(mixed.select("token"), "token", "left_semi")
+    placed = block_cuts(members.select("token", "node", "n"))
+    tried = None
+    for top in ROUNDS:
+        placed = staged(open_cuts(placed, labelled), "jaccard-cuts")
+        pairs = staged(tree_candidates(placed, classes, top), "jaccard-candidates")
+        if pairs.isEmpty():
+            break
+        fresh = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        more = staged(verify(docs, classes, fresh), "jaccard-links")
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        links = links.unionAll(more)
+        if top is not None:
             labelled = staged(_labelled(classes, links, "jaccard-roots"), "jaccard-labels")
-    return links
+    return links.distinct()

@@ -109,7 +109,19 @@ def test_signature_tree_loses_no_pair():
         [J.signature(s) for s in sets],
         np.ones(len(sets), bool),
     )
-    found = {(a, b) for a, b, _ in out}
+    found = set(out)
+    likeliest = set(
+        J.block_candidates(
+            nodes,
+            np.array(nodes, object),
+            np.array([s.size for s in sets]),
+            [J.signature(s) for s in sets],
+            np.ones(len(sets), bool),
+            top=1,
+        )
+    )
+    assert likeliest < found and len(likeliest) <= len(sets)
+    assert {x for p in likeliest for x in p} == {x for p in found for x in p}
     real = {
         (nodes[i], nodes[j])
         for i in range(len(sets))
@@ -139,11 +151,15 @@ def test_hot_blocks_in_pages(spark, monkeypatch):
         rows.append((1, bytearray(name), bytearray(name), int(s.size), bytearray(J.signature(s))))
     df = spark.createDataFrame(rows, "token long, node binary, root binary, n int, sig binary")
     # The same members under a second token give nothing new.
-    slim = df.drop("sig").union(df.drop("sig").withColumn("token", F.lit(2).cast("long")))
-    whole = {(bytes(r.a), bytes(r.b)) for r in J.tree_candidates(slim, df).collect()}
+    slim = df.select("token", "node", "n")
+    cuts = J.open_cuts(J.block_cuts(slim.union(slim.withColumn("token", F.lit(2).cast("long")))), df)
+    assert {r.token for r in cuts.collect()} == {1}
+    whole = {(bytes(r.a), bytes(r.b)) for r in J.tree_candidates(cuts, df).collect()}
     monkeypatch.setattr(J, "PAGE", 8)
-    paged = {(bytes(r.a), bytes(r.b)) for r in J.tree_candidates(slim, df).collect()}
+    paged = {(bytes(r.a), bytes(r.b)) for r in J.tree_candidates(cuts, df).collect()}
     assert paged == whole and len(whole) == 60 * 59 // 2
+    one = df.withColumn("root", F.lit(b"x"))
+    assert J.open_cuts(J.block_cuts(slim), one).count() == 0
 
 
 def test_components(spark):
