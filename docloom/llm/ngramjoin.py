@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import (
@@ -36,7 +36,9 @@ HOT_TOKENS = 200_000
 FANOUT = 16
 PAGE = 1024
 MAX_BITS = 1 << 13
-ROUNDS = (1, 8, None)
+# Rounds of trees: in how many of its cuts a set takes part, largest first, and how many of
+# its likeliest pairs are tried.  The last takes all cuts and pairs that are still open.
+ROUNDS = ((4, 1), (16, 8), (None, None))
 SEEN_PAIRS = 500_000
 _ODD = np.random.default_rng(21).integers(1, 1 << 63, WORDS + 3, dtype=np.uint64) | np.uint64(1)
 
@@ -526,11 +528,15 @@ def find_links(docs: DataFrame, profile: DataFrame, classes: DataFrame) -> DataF
     members = members.join(mixed.select("token"), "token", "left_semi")
     placed = block_cuts(members.select("token", "node", "n"))
     tried = None
-    for top in ROUNDS:
+    for cuts, top in ROUNDS:
         placed = staged(open_cuts(placed, labelled), "jaccard-cuts")
-        pairs = staged(tree_candidates(placed, classes, top), "jaccard-candidates")
-        if pairs.isEmpty():
+        if placed.isEmpty():
             break
+        here = placed
+        if cuts is not None:
+            largest = Window.partitionBy("node").orderBy(F.desc("rows"), "token", "slot")
+            here = placed.withColumn("_nth", F.row_number().over(largest)).filter(F.col("_nth") <= cuts)
+        pairs = staged(tree_candidates(here, classes, top), "jaccard-candidates")
         fresh = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         more = staged(verify(docs, classes, fresh), "jaccard-links")
         tried = pairs if tried is None else tried.unionAll(pairs)
