@@ -5,15 +5,16 @@ each, in an order common to all.  Within a block a signature tree holds OR-combi
 bitmaps and size ranges; a dual traversal drops node pairs whose largest possible overlap
 is too small, and what is left is compared exactly.
 
-Links inside one component need not be found again.  So a first round links each set to
-one likely partner, and only blocks that still hold several components go into trees.
+Every link between different sets is found and counted once, in the block of the smallest
+token the two have in common.  Only counts per set leave a block, so a group of near copies
+costs rows by its sets, not by its links.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import (
@@ -36,10 +37,8 @@ HOT_TOKENS = 200_000
 FANOUT = 16
 PAGE = 1024
 MAX_BITS = 1 << 13
-# Rounds of trees: in how many of its cuts a set takes part, largest first, and how many of
-# its likeliest pairs are tried.  The last takes all cuts and pairs that are still open.
-ROUNDS = ((4, 1), (16, 8), (None, None))
-SEEN_PAIRS = 500_000
+PAGE_BYTES = 16 << 20
+MAP_WORDS = 1 << 23
 _ODD = np.random.default_rng(21).integers(1, 1 << 63, WORDS + 3, dtype=np.uint64) | np.uint64(1)
 
 
@@ -195,15 +194,13 @@ def linked_sets(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= 80 * (a.size + b.size - both)
 
 
-def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs of nodes ``(a, b)`` that link.
+def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, tokens`` for ``nodes (node)``.
 
     The sets are made again from the texts of the classes' first documents; a sieve of
     their ids keeps most other rows out of the shuffle.
     """
-    pairs = staged(pairs.select("a", "b").distinct(), "jaccard-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    needed = staged(nodes.join(classes.select("node", "rep"), "node"), "jaccard-needed")
+    needed = staged(nodes.distinct().join(classes.select("node", "rep"), "node"), "jaccard-needed")
     held = docs.sparkSession.sparkContext.broadcast(sieve(F.xxhash64("rep"), needed))
 
     def run(batches):
@@ -222,21 +219,60 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     made = docs.select(text_or_empty().alias("text"), F.xxhash64("doc_id").alias("h")).mapInArrow(
         run, "node binary, tokens binary"
     )
-    made = staged(made.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
-
-    def compare(batches):
-        for b in batches:
-            ok = [
-                linked_sets(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
-                for x, y in zip(b.column(2), b.column(3))
-            ]
-            yield b.filter(pa.array(ok, pa.bool_())).select([0, 1])
-
-    left = made.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
-    right = made.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
-    return (
-        pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(compare, "a binary, b binary")
-    )
+    return made.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
+
+
+def shared_bits(sets: list[np.ndarray]) -> np.ndarray | None:
+    """A row of bits per set, one for each token that several have; None if that is too large."""
+    tokens, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    words = max(1, -(-int((times > 1).sum()) // 64))
+    if words * len(sets) > MAP_WORDS:
+        return None
+    column = np.cumsum(times > 1) - 1
+    keep = times[where] > 1
+    rows = np.repeat(np.arange(len(sets)), [s.size for s in sets])[keep]
+    cols = column[where[keep]]
+    maps = np.zeros((len(sets), words), np.uint64)
+    np.bitwise_or.at(maps, (rows, cols >> 6), np.uint64(1) << (cols & 63).astype(np.uint64))
+    return maps
+
+
+def overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The number of common tokens of each pair."""
+    if not i.size:
+        return np.zeros(0, np.int64)
+    maps = shared_bits(sets)
+    if maps is None:
+        return np.array([np.intersect1d(sets[x], sets[y], True).size for x, y in zip(i.tolist(), j.tolist())])
+    out = np.zeros(i.size, np.int64)
+    step = max(1, (1 << 20) // maps.shape[1])
+    for s in range(0, i.size, step):
+        out[s : s + step] = np.bitwise_count(maps[i[s : s + step]] & maps[j[s : s + step]]).sum(axis=1)
+    return out
+
+
+def owned_links(token: int, sets: list[np.ndarray], hot: np.ndarray, i: np.ndarray, j: np.ndarray):
+    """Those of the pairs of a block that link and have no common first token before the block's."""
+    before = [p[p.view(np.int64) < token] for p in (prefix(s, hot) for s in sets)]
+    own = overlaps(before, i, j) == 0
+    i, j = i[own], j[own]
+    n = np.array([s.size for s in sets], np.int64)
+    both = overlaps(sets, i, j)
+    links = 100 * both >= 80 * (n[i] + n[j] - both)
+    return i[links], j[links]
+
+
+def least_reached(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest index each of ``n`` is connected with by the pairs."""
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, label[i])
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
 
 # --- Signature trees --------------------------------------------------------------------
@@ -305,18 +341,25 @@ class SignatureTree:
         return a[keep], b[keep]
 
 
-def block_candidates(nodes, roots, sizes, sigs, home, top: int | None = None):
-    """Likely pairs of one block between different components, at least one set at home.
-
-    With ``top`` only those among the ``top`` likeliest of one of their sets.
-    """
+def likely_pairs(sizes, sigs, home):
+    """Likely pairs of one block, at least one set at home, with their largest overlap."""
     order = np.argsort(sizes, kind="stable")
     width = 8 * min(len(s) for s in sigs)
     maps = np.array([fold(sigs[k], width) for k in order])
     maps = np.ascontiguousarray(maps).view(np.uint64)
     i, j, best = SignatureTree(sizes[order], maps).pairs()
     i, j = order[i], order[j]
-    keep = (roots[i] != roots[j]) & (home[i] | home[j])
+    keep = home[i] | home[j]
+    return i[keep], j[keep], best[keep]
+
+
+def block_candidates(nodes, roots, sizes, sigs, home, top: int | None = None):
+    """Likely pairs of one block between different components, at least one set at home.
+
+    With ``top`` only those among the ``top`` likeliest of one of their sets.
+    """
+    i, j, best = likely_pairs(sizes, sigs, home)
+    keep = roots[i] != roots[j]
     i, j, best = i[keep], j[keep], best[keep]
     if top is not None and i.size:
         gain = best / (sizes[i] + sizes[j])
@@ -367,14 +410,14 @@ def open_cuts(placed: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(cuts, ["token", "slot"])
 
 
-def tree_candidates(cuts: DataFrame, sigs: DataFrame, top: int | None = None) -> DataFrame:
-    """``a, b`` for the rows of ``open_cuts``, by a tree in each cut.
+def _dealt(cuts: DataFrame, sigs: DataFrame) -> DataFrame:
+    """The rows of ``open_cuts`` with bitmaps, a large cut in pages and each pair of pages a group.
 
-    Only now the bitmaps of ``sigs`` come in.  A large cut goes into pages, and each pair of
-    pages is a group, so no task holds more than two pages.
+    Only now the bitmaps of ``sigs`` come in.  No task holds more than two pages.
     """
-    pages = F.ceil(F.col("rows") / PAGE).cast("int")
-    placed = cuts.withColumn("pages", pages).join(sigs.select("node", "sig"), "node")
+    most = F.col("rows") * F.pow(F.lit(1.25), F.col("slot") + 2) * 8 / PAGE_BYTES
+    pages = F.ceil(F.greatest(F.col("rows") / PAGE, most)).cast("int")
+    placed = cuts.withColumn("pages", F.least(pages, F.col("rows").cast("int"))).join(sigs.select("node", "sig"), "node")
     page = F.pmod(F.xxhash64("node"), F.col("pages")).cast("int")
     placed = placed.withColumn("page", page).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
     placed = placed.select(
@@ -382,39 +425,95 @@ def tree_candidates(cuts: DataFrame, sigs: DataFrame, top: int | None = None) ->
         "slot",
         F.least("page", "other").alias("one"),
         F.greatest("page", "other").alias("two"),
+        "page",
         "node",
         "root",
         "n",
         "sig",
         "home",
     )
-    keys = ["token", "slot", "one", "two"]
+    return placed.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+
+GROUP = ["token", "slot", "one", "two"]
+
+
+def tree_candidates(cuts: DataFrame, sigs: DataFrame, top: int | None = None) -> DataFrame:
+    """``a, b`` for the rows of ``open_cuts``, by a tree in each cut: the pairs by name."""
 
     def run(batches):
-        seen: set = set()  # the blocks of one task often bring the same pair
-        for rows in _groups(batches, len(keys)):
+        for rows in _groups(batches, len(GROUP)):
             node, root, n, sig, home = (rows.column(c) for c in ("node", "root", "n", "sig", "home"))
-            roots = np.array(root.to_pylist(), object)
-            if len(set(roots)) < 2:
-                continue
             out = block_candidates(
                 node.to_pylist(),
-                roots,
+                np.array(root.to_pylist(), object),
                 n.to_numpy().astype(np.int64),
                 sig.to_pylist(),
                 home.to_numpy(zero_copy_only=False),
                 top,
             )
-            out = [p for p in out if p not in seen]
             if out:
                 a, b = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-                seen.update(out)
-                if len(seen) > SEEN_PAIRS:
-                    seen.clear()
 
-    dealt = placed.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    return _dealt(cuts, sigs).mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _across(pages: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Pairs inside a page belong to its own group, others to the group of their two pages."""
+    return (pages[i] != pages[j]) if (pages != pages[0]).any() else np.ones(i.size, bool)
+
+
+def paired_sets(cuts: DataFrame, sigs: DataFrame) -> DataFrame:
+    """``token, slot, one, two, page, node, home``: the sets with a likely partner in their group."""
+
+    def run(batches):
+        for rows in _groups(batches, len(GROUP)):
+            pages = rows.column("page").to_numpy()
+            i, j, _ = likely_pairs(
+                rows.column("n").to_numpy().astype(np.int64),
+                rows.column("sig").to_pylist(),
+                rows.column("home").to_numpy(zero_copy_only=False),
+            )
+            keep = _across(pages, i, j)
+            at = np.unique(np.concatenate([i[keep], j[keep]]))
+            if at.size:
+                out = rows.select([*GROUP, "page", "node", "home"]).take(pa.array(at)).combine_chunks()
+                yield from out.to_batches()
+
+    form = "token long, slot int, one int, two int, page int, node binary, home boolean"
+    return _dealt(cuts, sigs).mapInArrow(run, form)
+
+
+def count_in_groups(paired: DataFrame, sets: DataFrame, hot) -> DataFrame:
+    """``node, root, links``: a set's links that its group owns, and the least set they lead to there."""
+    placed = paired.join(sets, "node").select(*GROUP, "page", "home", "node", "tokens")
+
+    def run(batches):
+        for rows in _groups(batches, len(GROUP)):
+            node = rows.column("node").to_pylist()
+            pages = rows.column("page").to_numpy()
+            home = rows.column("home").to_numpy(zero_copy_only=False)
+            tokens = [np.frombuffer(t, np.uint64) for t in rows.column("tokens").to_pylist()]
+            n = np.array([t.size for t in tokens], np.int64)
+            i, j, _ = likely_pairs(n, [signature(t) for t in tokens], home)
+            keep = _across(pages, i, j)
+            i, j = owned_links(rows.column("token")[0].as_py(), tokens, hot.value, i[keep], j[keep])
+            if i.size:
+                links = np.bincount(np.concatenate([i, j]), minlength=len(node))
+                root = least_reached(len(node), i, j)
+                at = np.flatnonzero(links)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([node[k] for k in at], pa.binary()),
+                        pa.array([node[k] for k in root[at]], pa.binary()),
+                        pa.array(links[at], pa.int64()),
+                    ],
+                    ["node", "root", "links"],
+                )
+
+    dealt = placed.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return dealt.mapInArrow(run, "node binary, root binary, links long")
 
 
 def _groups(batches, n_keys: int):
@@ -450,7 +549,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id, class_links, mark`` for every row of ``docs``.
 
     Rows with equal sets form a class, named by its smallest id; ``class_links`` counts the
-    links of the class that the search kept, enough to connect every component.  A text
+    other classes that the class links with, all of them.  A text
     without words, or null, has the empty set and links with nothing, not even its like:
     its component is its own id.  Repeated rows of an id each keep their row, in the
     component of their text; a null id has a row, and names no component unless no other
@@ -464,10 +563,10 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
         "jaccard-classes",
     )
     links = find_links(docs, profile, classes)
-    labelled = staged(_labelled(classes, links, "jaccard-roots").select("node", "root", "rep"), "jaccard-labels")
+    edges = links.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    labelled = staged(_labelled(classes, edges, "jaccard-roots").select("node", "root", "rep"), "jaccard-labels")
     names = labelled.groupBy("root").agg(F.min("rep").alias("component_id"))
-    ends = links.select(F.col("a").alias("node")).unionAll(links.select("b"))
-    degree = ends.groupBy("node").agg(F.count("*").alias("class_links"))
+    degree = links.groupBy("node").agg(F.sum("links").alias("class_links"))
     per = labelled.join(names, "root").join(degree, "node", "left").select(
         "node", "component_id", F.col("rep").alias("class_id"), F.coalesce("class_links", F.lit(0)).alias("class_links")
     )
@@ -493,54 +592,23 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def find_links(docs: DataFrame, profile: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b``: links between classes that connect every component."""
+    """``node, root, links``: for each class, the numbers of its links add up to all it has.
+
+    ``root`` is a class of the same component; together they connect every component.
+    """
     hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(profile))
     tokens = prefix_tokens(docs, hot)
     shared = (
         tokens.groupBy("token")
-        .agg(F.min("key").alias("leader"), F.max("key").alias("_last"))
-        .filter("leader != _last")
-        .select("token", "leader")
+        .agg(F.min("key").alias("_first"), F.max("key").alias("_last"))
+        .filter("_first != _last")
+        .select("token")
     )
     blocks = staged(tokens.join(shared.hint("shuffle_hash"), "token"), "jaccard-blocks")
-
-    # First round: each set against the set that leads most of its blocks.
-    best = (
-        blocks.filter("key != leader")
-        .groupBy("key", "leader")
-        .count()
-        .groupBy("key")
-        .agg(F.max_by("leader", F.struct("count", "leader")).alias("leader"))
-    )
-    one = classes.select(F.col("key"), F.col("node").alias("a"), F.col("n").alias("n"))
-    two = classes.select(F.col("key").alias("leader"), F.col("node").alias("b"), F.col("n").alias("m"))
-    sized = F.expr("5 * least(n, m) >= 4 * greatest(n, m)")
-    stars = best.join(one, "key").join(two, "leader").filter(sized)
-    links = staged(verify(docs, classes, stars), "jaccard-links")
-    labelled = staged(_labelled(classes, links, "jaccard-stars"), "jaccard-labels")
-
-    # Blocks that still hold several components go into trees: first for the likeliest pairs
-    # of each set, which join most of what belongs together, then for all that are left.
-    members = blocks.select("token", "key").distinct().join(labelled.select("key", "node", "root", "n"), "key")
-    mixed = members.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter(
-        "_low != _high"
-    )
-    members = members.join(mixed.select("token"), "token", "left_semi")
-    placed = block_cuts(members.select("token", "node", "n"))
-    tried = None
-    for cuts, top in ROUNDS:
-        placed = staged(open_cuts(placed, labelled), "jaccard-cuts")
-        if placed.isEmpty():
-            break
-        here = placed
-        if cuts is not None:
-            largest = Window.partitionBy("node").orderBy(F.desc("rows"), "token", "slot")
-            here = placed.withColumn("_nth", F.row_number().over(largest)).filter(F.col("_nth") <= cuts)
-        pairs = staged(tree_candidates(here, classes, top), "jaccard-candidates")
-        fresh = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        more = staged(verify(docs, classes, fresh), "jaccard-links")
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        links = links.unionAll(more)
-        if top is not None:
-            labelled = staged(_labelled(classes, links, "jaccard-roots"), "jaccard-labels")
-    return links.distinct()
+    # Each class is its own root: no pair is passed over because other links connect it.
+    own = classes.select("key", "node", "n", F.col("node").alias("root"))
+    members = blocks.distinct().join(own, "key").select("token", "node", "n")
+    cuts = staged(open_cuts(block_cuts(members), own), "jaccard-cuts")
+    paired = staged(paired_sets(cuts, classes), "jaccard-paired")
+    sets = staged(sets_of(docs, classes, paired.select("node")), "jaccard-sets")
+    return staged(count_in_groups(paired, sets, hot), "jaccard-links")

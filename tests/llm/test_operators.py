@@ -78,6 +78,37 @@ def test_jaccard_join(docs, none):
     assert jaccard_join(none).count() == 0
 
 
+def test_jaccard_counts_every_link(spark, monkeypatch):
+    """Near copies of one text, all linked with each other or in chains: no link is left out."""
+    from docloom.llm import ngramjoin as J
+
+    r = random.Random(8)
+    rows = []
+    for base in range(3):
+        words = [f"w{base}x{i}" for i in range(150)]
+        for i in range(40):
+            mine = list(words)
+            for _ in range(1 + base):
+                mine[r.randrange(150)] = f"own{i}"
+            rows.append((1000 * base + i, " ".join(mine)))
+    sets = {d: brute.shingles(t) for d, t in rows}
+    linked = lambda s, t: s != t and 100 * len(s & t) >= 80 * len(s | t)
+    want = {d: len({t for t in sets.values() if linked(s, t)}) for d, s in sets.items()}
+    assert max(want.values()) == 39 and len(set(want.values())) > 5
+    components = brute.jaccard_components(rows)
+    docs = spark.createDataFrame(rows, DOCS)
+    for parts, page in ((1, 1024), (5, 8)):
+        monkeypatch.setattr(J, "PAGE", page)
+        got = J.jaccard_join(docs.repartition(parts)).collect()
+        assert {x.doc_id: x.class_links for x in got} == want
+        assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == components
+    some = [np.unique(np.array([hash(x) for x in s], np.int64).view(np.uint64)) for s in list(sets.values())[::5]]
+    i, j = np.triu_indices(len(some), 1)
+    whole = J.overlaps(some, i, j).tolist()
+    monkeypatch.setattr(J, "MAP_WORDS", 0)
+    assert J.overlaps(some, i, j).tolist() == whole == [len({*some[x].tolist()} & {*some[y].tolist()}) for x, y in zip(i, j)]
+
+
 def test_jaccard_rows_without_id_or_repeated(spark):
     from docloom.llm.ngramjoin import jaccard_join
 
