@@ -20,7 +20,8 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # the least length of 20 as part of the pattern
 HEX = r"[0-9a-f]{24,}"  # runs are maximal either way
 ASSIGN_VALUE = 6
 # Weak parts.
-WEAK_SECRET = r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]*[0-9])(?=[^A-Z\s]*[A-Z])(?=[^a-z\s]*[a-z])[A-Za-z0-9+/_-]{32,88}(?![A-Za-z0-9+/_-])"
+# It may follow NAME= directly, and has no greatest length.
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[^A-Z\s]*[A-Z])(?=[^a-z\s]*[a-z])[A-Za-z0-9+/_-]{32,}+"
 WEAK_ID = r"""(?i)\b(?:user_?name|login|account_?id|client_?id|access_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
 ENDPOINT = r"""\b(?:https?|postgres|postgresql|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+"""
 

@@ -308,6 +308,22 @@ def test_linked_credentials(spark):
     )
 
 
+def test_credentials_after_names_and_long(spark):
+    from docloom.llm.secrets import find_secrets
+
+    key = "AKIA" + "A1B2" * 4
+    some = lambda n: ("aB3xY9qLm7" * 17)[:n]
+    lead = f"aws_access_key_id={key}\naws_secret_access_key="
+    rows = [(n, lead + some(n)) for n in (31, 32, 40, 88, 89, 93, 164)]
+    rows += [(1, f"https://db.example.com/?sig={some(40)}"), (2, f"x={some(93)}")]
+    got = {r.doc_id: r.spans for r in find_secrets(spark.createDataFrame(rows, DOCS)).collect()}
+    access, at = f"access:18:{18 + len(key)}", len(lead)
+    assert got == {n: access + (f",weak_secret:{at}:{at + n}" if n >= 32 else "") for n in (31, 32, 40, 88, 89, 93, 164)} | {
+        1: "endpoint:0:68,weak_secret:28:68",
+        2: "",
+    }
+
+
 def test_bpe(docs, none):
     from docloom.llm.bpe import encode_documents
 
