@@ -1,8 +1,9 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-Only terms that some benchmark window needs are indexed: a window's two rarest terms decide
-where it can stand.  Their postings, shifted by the terms' offsets in the item, are
-intersected; where both fall on one diagonal the whole window is compared word by word.
+Only terms that some benchmark window needs are indexed: two more of a window's rarest terms
+than it may lack words decide where it can stand.  Their postings, shifted by the terms'
+offsets in the item, are intersected; where two fall on one diagonal or up to two words
+apart, the whole window is compared word by word.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from docloom.llm.common import (
 
 WINDOW = 10
 NEAR = 8
+SHIFT = 2
+STRIP = 64
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
@@ -85,10 +88,11 @@ def term_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
 
 
 def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
-    """``item_id, imark, offset, term, pairs``: the rarest terms of the windows.
+    """``item_id, imark, offset, term, windows``: the rarest terms of the windows.
 
-    Windows with a term that the corpus lacks cannot occur and ask for nothing.  ``pairs``
-    lists the windows' two offsets, the same on every row of an item.
+    A near window lacks up to ``free`` words.  Terms that the corpus lacks are among them; of
+    the others the ``free + 2`` rarest are taken, ``need`` of which must stand.  ``windows``
+    lists these offsets and numbers, the same on every row of an item.
     """
     spread = items.select("item_id", "imark", F.posexplode("terms").alias("offset", "term"))
     rated = spread.join(counts, "term", "left").groupBy("item_id", "imark").agg(
@@ -101,19 +105,22 @@ def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
             for item, mark, words in zip(f["item_id"], f["imark"], f["w"]):
                 n = np.array([w["n"] for w in words])
                 size = min(WINDOW, len(n))
-                pairs = set()
+                windows = set()
                 for start in range(len(n) - size + 1):
                     here = n[start : start + size]
-                    if here.min() > 0:
-                        two = np.argsort(here, kind="stable")[:2] + start
-                        pairs.add((int(two[0]), int(two[-1])))
-                pairs = sorted(pairs)
-                for offset in sorted({o for p in pairs for o in p}):
-                    rows.append((item, mark, offset, int(words[offset]["term"]), [p[0] for p in pairs], [p[1] for p in pairs]))
-            yield pd.DataFrame(rows, columns=["item_id", "imark", "offset", "term", "ones", "twos"])
+                    free = size - -(-size * NEAR // WINDOW) - int((here == 0).sum())
+                    if free >= 0:
+                        order = [k for k in np.argsort(here, kind="stable") if here[k] > 0][: free + 2]
+                        if len(order) > free:
+                            windows.add((tuple(sorted(int(k) + start for k in order)), len(order) - free))
+                listed = [{"offsets": list(o), "need": need} for o, need in sorted(windows)]
+                for offset in sorted({o for w in windows for o in w[0]}):
+                    rows.append((item, mark, offset, int(words[offset]["term"]), listed))
+            yield pd.DataFrame(rows, columns=["item_id", "imark", "offset", "term", "windows"])
 
     return rated.mapInPandas(
-        run, "item_id long, imark long, offset int, term long, ones array<int>, twos array<int>"
+        run,
+        "item_id long, imark long, offset int, term long, windows array<struct<offsets: array<int>, need: int>>",
     )
 
 
@@ -157,37 +164,96 @@ def postings(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     )
 
 
+def standing(diagonals: np.ndarray, offsets: np.ndarray, windows: list) -> list[int]:
+    """Diagonals from which on, within the shift, enough terms of some window stand."""
+    out = []
+    for low in np.unique(diagonals).tolist():
+        here = set(offsets[(diagonals >= low) & (diagonals <= low + SHIFT)].tolist())
+        if any(len(here.intersection(w["offsets"])) >= w["need"] for w in windows):
+            out.append(low)
+    return out
+
+
 def intersect(index: DataFrame, anchor: DataFrame) -> DataFrame:
-    """``doc_id, mark, item_id, imark, diagonal`` where both terms of some window stand right."""
+    """``doc_id, mark, item_id, imark, diagonal`` where enough terms of some window stand right.
+
+    Diagonals are met in strips; those at the start of one also count for the strip before.
+    """
+    diagonal = F.col("at") - F.col("offset")
+    strip = F.floor(diagonal / STRIP)
+    strips = F.array_distinct(F.array(strip, F.floor((diagonal - SHIFT) / STRIP)))
     hits = (
         index.filter("term is not null")
         .select("term", "doc_id", "mark", "positions")
         .distinct()
         .join(anchor.select("term", "item_id", "imark", "offset"), "term")
         .select("doc_id", "mark", "item_id", "imark", "offset", F.explode("positions").alias("at"))
-        .groupBy("doc_id", "mark", "item_id", "imark", (F.col("at") - F.col("offset")).alias("diagonal"))
-        .agg(F.collect_set("offset").alias("offsets"))
+        .select("doc_id", "mark", "item_id", "imark", F.explode(strips).alias("strip"), diagonal.alias("diagonal"), "offset")
+        .groupBy("doc_id", "mark", "item_id", "imark", "strip")
+        .agg(
+            F.collect_set(F.struct("diagonal", "offset")).alias("hits"),
+            F.min("offset").alias("_first"),
+            F.max("offset").alias("_last"),
+        )
     )
-    windows = anchor.select("item_id", "imark", "ones", "twos").distinct()
-    both = F.exists(
-        F.arrays_zip("ones", "twos"),
-        lambda p: F.array_contains("offsets", p["ones"]) & F.array_contains("offsets", p["twos"]),
+    windows = anchor.select("item_id", "imark", "windows").distinct()
+    # A window that needs two terms has them at different offsets.
+    alone = F.exists("windows", lambda w: w["need"] < 2)
+    met = hits.join(windows, ["item_id", "imark"]).filter((F.col("_first") < F.col("_last")) | alone)
+
+    def run(batches):
+        for b in batches:
+            keep, found = [], []
+            for k, (hits, windows) in enumerate(zip(b.column(4).to_pylist(), b.column(5).to_pylist())):
+                at = standing(np.array([h["diagonal"] for h in hits]), np.array([h["offset"] for h in hits]), windows)
+                keep += [k] * len(at)
+                found += at
+            some = b.select([0, 1, 2, 3]).take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*some.columns, pa.array(found, pa.int32())], ["doc_id", "mark", "item_id", "imark", "diagonal"]
+            )
+
+    return (
+        met.select("doc_id", "mark", "item_id", "imark", "hits", "windows")
+        .mapInArrow(run, "doc_id long, mark long, item_id long, imark long, diagonal int")
+        .distinct()
     )
-    return hits.join(windows, ["item_id", "imark"]).filter(both).drop("offsets", "ones", "twos")
+
+
+def stands_nearly(words: np.ndarray, terms: np.ndarray, diagonal: int) -> bool:
+    """Whether 8 of 10 words of a window stand in order, on diagonals at most the shift apart.
+
+    The bands of diagonals that hold the given one are tried: longest common subsequences of
+    all windows at once.
+    """
+    size, wide = min(WINDOW, terms.size), SHIFT + 1
+    low = np.arange(diagonal - SHIFT, diagonal + 1)
+    at = low[:, None, None] + np.arange(terms.size)[None, :, None] + np.arange(wide)
+    inside = (at >= 0) & (at < words.size)
+    same = inside & (words[np.where(inside, at, 0)] == terms[None, :, None])
+    starts = terms.size - size + 1
+    best = np.zeros((wide, starts, wide), np.int64)
+    for i in range(size):
+        here = best + same[:, i : i + starts]
+        here[:, :, :-1] = np.maximum(here[:, :, :-1], best[:, :, 1:])
+        here[:, :, -1] = np.maximum(here[:, :, -1], best[:, :, -1])
+        best = np.maximum.accumulate(here, axis=2)
+    return bool((best[:, :, -1] * WINDOW >= size * NEAR).any())
 
 
 def compare(words: np.ndarray, terms: np.ndarray, diagonal: int, hit: np.ndarray) -> tuple[bool, bool]:
     """Marks the words inside windows that stand on the diagonal; whether any does, exactly or nearly."""
     size = min(WINDOW, terms.size)
     low, high = max(0, -diagonal), min(terms.size, words.size - diagonal)
-    if high - low < size:
-        return False, False
-    same = words[diagonal + low : diagonal + high] == terms[low:high]
-    sums = np.concatenate([[0], np.cumsum(same)])
-    matched = sums[size:] - sums[:-size]
-    for start in np.flatnonzero(matched == size):
-        hit[diagonal + low + start : diagonal + low + start + size] = True
-    return bool((matched == size).any()), bool((matched * WINDOW >= size * NEAR).any())
+    exact = False
+    if high - low >= size:
+        same = words[diagonal + low : diagonal + high] == terms[low:high]
+        sums = np.concatenate([[0], np.cumsum(same)])
+        matched = sums[size:] - sums[:-size]
+        for start in np.flatnonzero(matched == size):
+            hit[diagonal + low + start : diagonal + low + start + size] = True
+        exact = bool((matched == size).any())
+    return exact, exact or (words.size > 0 and stands_nearly(words, terms, diagonal))
 
 
 def _verify(batches):
@@ -219,8 +285,8 @@ def _verify(batches):
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` per row, and ``mark, n_near``.
 
-    ``n_near`` counts items without an exact window of which some window has both rarest
-    terms in place and at least 8 of 10 words.  A null text has no words.  Items without id
+    ``n_near`` counts items without an exact window of which at least 8 of 10 words of some
+    window stand in order, shifted against each other by two words at most.  A null text has no words.  Items without id
     or words ask for nothing; rows of one item id count as one item with all their windows.
     Document rows are told apart by id and text, so repeated rows get equal results; a null
     id keeps its row; further columns are ignored.

@@ -234,6 +234,27 @@ def test_near_matches(spark):
     assert got == {1: (0, 1), 2: (1, 0), 3: (0, 0)}
 
 
+def test_near_matches_of_changed_rare_and_shifted_words(spark):
+    from docloom.llm.decontaminate import find_contamination
+
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    item = " ".join(words)
+    texts = {k: " ".join(words[:k] + ["never"] + words[k + 1 :]) for k in range(10)}  # each word changed
+    texts |= {20 + k: " ".join(words[:k] + ["more"] + words[k:]) for k in range(1, 10)}  # one inserted
+    texts |= {40 + k: " ".join(words[:k] + words[k + 1 :]) for k in range(10)}  # one left out
+    texts |= {60: " ".join(["more", *words[:3], "and", "more", *words[3:8]]), 61: "x x " + item.replace("beta", "b").replace("iota", "i")}
+    texts |= {80: " ".join(words[:7]), 81: " ".join(words[:5] + ["a", "b", "c"] + words[5:]), 82: " ".join(reversed(words))}
+    filler = [(100 + k, w) for k, w in enumerate(words) for _ in range(k)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = spark.createDataFrame([*texts.items(), *filler], DOCS)
+    got = {r.doc_id: (r.n_items, r.n_near) for r in find_contamination(rows, bench).collect()}
+    assert {k: got[k] for k in texts} == {k: (0, 0 if k >= 80 else 1) for k in texts}
+    # Terms that the corpus lacks take up the free words.
+    one = spark.createDataFrame([(1, item), (2, item.replace("zeta", "other"))], DOCS)
+    lacks = spark.createDataFrame([(2, item.replace("gamma", "absentword").replace("delta", "missing"))], "item_id long, text string")
+    assert {r.doc_id: r.n_near for r in find_contamination(one, lacks).collect()} == {1: 1, 2: 0}
+
+
 def test_line_dedup(spark, docs, none):
     from docloom.llm.linededup import dedup_lines, without_repeated_lines
 
