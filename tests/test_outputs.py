@@ -110,3 +110,31 @@ def test_collect_output_trees(spark, tmp_path):
     assert (got["p1"].markdown, got["p1"].page_count, got["p1"].error_code) == ("# Hi �", 2, None)
     assert got["p2"].error == got["p4"].error == "the parser wrote no markdown for `doc.pdf`: boom"
     assert got["p2"].page_count is None and got["p3"].markdown == "other name" and got["p3"].page_count is None
+
+
+def test_collect_hidden_outputs(spark, tmp_path):
+    from docloom.plans.collect_outputs import collect_outputs
+
+    def put(path, data):
+        target = tmp_path / path
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_bytes(data)
+
+    for name in ("_b", "p1/.c/d/_e", "p2"):
+        put(f"{name}/sub/doc.md", name.encode())
+        put(f"{name}/sub/doc_content_list.json", b'[{"page_idx": 2}]')
+    put("p2/._doc.md", b"not chosen")
+    put("p3/_doc.md", b"alone")
+    put("p4/doc.md", b"kept")
+    put("p4/_content_list.json", b'[{"page_idx": 2}]')
+    parses = spark.createDataFrame([(p, "doc.pdf", b"") for p in ("_b", "p1", "p2", "p3", "p4", "p5")], "parse_id string, filename string, log binary")
+    got = {r.parse_id: tuple(r)[2:] for r in collect_outputs(spark, str(tmp_path), parses).collect()}
+    unread = "a file name that starts with `_` or `.` is not read: `%s`"
+    assert got == {
+        "_b": ("_b", 3, None, None),
+        "p1": ("p1/.c/d/_e", 3, None, None),
+        "p2": ("p2", 3, None, None),
+        "p3": (None, None, "input_rejected", unread % "p3/_doc.md"),
+        "p4": ("kept", None, "input_rejected", unread % "p4/_content_list.json"),
+        "p5": (None, None, "parse_failed", "the parser wrote no markdown for `doc.pdf`"),
+    }
