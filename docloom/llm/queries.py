@@ -70,11 +70,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.vectorcodes import compress
+
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.idfiles import token_files
+
+    return token_files(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.runs import periodic_runs
+
+    return periodic_runs(table(spark, sf_dir, "documents"), plant=True, outputs=False)
+
+
 def all_queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2:3].isdigit()}
 
 
 def all_sql() -> dict[str, str]:
-    from docloom.llm import linededup
+    from docloom.llm import linededup, vectorcodes
 
-    return {"op3_line_dedup": linededup.SQL}
+    return {"op3_line_dedup": linededup.SQL, "op11_vector_codes": vectorcodes.SQL}
