@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import functools
+import sys
+import types
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +33,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` gives, once for each Python process that runs tasks.
+
+    Functions travel with their module's code, so its globals live as long as a task; this
+    outlives it.  What is kept bounds its own size.
+    """
+    held = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

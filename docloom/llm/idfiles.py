@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.bpe import _SYMBOLS, PLAIN
-from docloom.llm.common import staged, text_or_empty
+from docloom.llm.common import kept_by_worker, staged, text_or_empty
 from docloom.session import stage_path
 
 # Fixed values of the format: bits and number of ids by selector, 0 being the exception.
@@ -38,7 +39,7 @@ BLOCK = 1024
 SEGMENT = 256 * BLOCK
 SHARD_BYTES = 32 << 20
 END_ID = 2
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 192 << 20
 PIECE_CHARS = 1 << 20
 
 
@@ -236,18 +237,35 @@ class ChunkIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.size = 0
 
-    def _ask(self, chunk: str) -> bytes:
-        plain = PLAIN.fullmatch(chunk)
-        if plain:  # what the library's normaliser and splitter make of the usual chunk
-            tokenize = self.tokenizer.model.tokenize
-            ids = [t.id for t in tokenize(plain[1].lower().encode().decode("latin-1").translate(_SYMBOLS))]
-            if plain[2]:
-                ids += [t.id for t in tokenize(plain[2])]
-        else:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+    def _word(self, word: str) -> bytes:
+        """The ids of a normalised word of byte symbols."""
+        found = self.words[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+        return found
+
+    def _learn(self, chunks: set[str]) -> None:
+        known, words, match = self.known, self.words, PLAIN.fullmatch
+        size = 0
+        for chunk in chunks:
+            tail = b""
+            if chunk.isascii() and chunk.isalpha():
+                word = chunk.lower()
+            elif plain := match(chunk):  # what the library's normaliser and splitter make of the usual chunk
+                word, end = plain.groups()
+                word = word.lower()
+                if not word.isascii():
+                    word = word.encode().decode("latin-1").translate(_SYMBOLS)
+                if end:
+                    tail = words.get(end) or self._word(end)
+            else:
+                known[chunk] = ids = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+                size += 4 * len(chunk) + len(ids)
+                continue
+            known[chunk] = (words.get(word) or self._word(word)) + tail
+            size += 2 * len(chunk) + len(word)
+        self.size += size + 400 * len(chunks)
 
     def ids(self, text: str):
         """The ids of a text, as arrays of a bounded number of chunks."""
@@ -261,12 +279,13 @@ class ChunkIds:
             chunks = text[at:end].replace("\n", " ").split(" ")
             at = end
             if self.size > CACHE_BYTES:
-                self.known, self.size = {}, 0
-            known = self.known
-            for chunk in set(chunks).difference(known):
-                known[chunk] = ids = self._ask(chunk)
-                self.size += 200 + 2 * len(chunk) + len(ids)
-            yield np.frombuffer(b"".join(map(known.__getitem__, chunks)), "<u4")
+                self.known, self.words, self.size = {}, {}, 0
+            try:
+                found = b"".join(map(self.known.__getitem__, chunks))
+            except KeyError:
+                self._learn(set(chunks).difference(self.known))
+                found = b"".join(map(self.known.__getitem__, chunks))
+            yield np.frombuffer(found, np.uint32)
 
 
 # --- Jobs --------------------------------------------------------------------------------
@@ -287,7 +306,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str | None = None, end
             import public_tokenizers
 
             source = public_tokenizers.path("word_bpe_49k.json")
-        coder, part = ChunkIds(source), TaskContext.get().partitionId()
+        coder = kept_by_worker(("ids", source), lambda: ChunkIds(source))
+        part = TaskContext.get().partitionId()
         end = np.array([end_id], "<u4")
         shard = Shard(part, 0)
 
