@@ -87,6 +87,17 @@ def sieve(h: Column, rows: DataFrame, bits: int = SIEVE_BITS) -> np.ndarray:
     return out
 
 
+def sieve_bits(n: int) -> int:
+    """A size at which a sieve over ``n`` hashes lets one in some hundred others through.
+
+    From 1 to 64 MB; beyond 30 million hashes more pass, which costs time, not rows.
+    """
+    bits = SIEVE_BITS
+    while bits < 16 * n and bits < 1 << 29:
+        bits *= 2
+    return bits
+
+
 def in_sieve(filt: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether each hash may be in the sieve."""
     bits = np.uint64(filt.size << 6)

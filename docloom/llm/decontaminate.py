@@ -1,9 +1,10 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
 Only terms that some benchmark window needs are indexed: two more of a window's rarest terms
-than it may lack words decide where it can stand.  Their postings, shifted by the terms'
-offsets in the item, are intersected; where two fall on one diagonal or up to two words
-apart, the whole window is compared word by word.
+than it may lack words decide where it can stand.  Two of them must stand there about as far
+apart as in the window, so postings keep positions with such a partner only.  The postings,
+shifted by the terms' offsets in the item, are intersected; where two fall on one diagonal or
+up to two words apart, the whole window is compared word by word.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 from docloom.llm.common import (
     alnum_words,
     in_sieve,
+    mix64,
     sieve,
+    sieve_bits,
     staged,
     text_mark,
     text_or_empty,
@@ -31,6 +34,7 @@ WINDOW = 10
 NEAR = 8
 SHIFT = 2
 STRIP = 64
+SLICE_WORDS = 400_000
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
@@ -38,6 +42,27 @@ def _words(value, member: np.ndarray) -> np.ndarray:
     return word_hashes(value.as_py().encode("utf-8", "surrogatepass"), member).view(np.int64)
 
 
+def _together(texts):
+    """The sizes of some texts in words and their words behind each other, slice by slice."""
+    member = alnum_words()
+    parts, size = [], 0
+    for value in texts:
+        parts.append(_words(value, member))
+        size += parts[-1].size
+        if size >= SLICE_WORDS:
+            yield np.array([p.size for p in parts]), np.concatenate(parts)
+            parts, size = [], 0
+    if parts:
+        yield np.array([p.size for p in parts]), np.concatenate(parts)
+
+
+def pair_keys(first: np.ndarray, second: np.ndarray, apart) -> np.ndarray:
+    """A hash of two terms and how many words the second stands after the first."""
+    with np.errstate(over="ignore"):
+        x = first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.view(np.uint64)
+        return mix64(x * np.uint64(0xD6E8FEB86659FD93) + np.asarray(apart, np.uint64)).view(np.int64)
+
+
 def item_words(benchmark: DataFrame) -> DataFrame:
     """``item_id, imark, terms``: the word hashes of each item, in order."""
 
@@ -63,36 +88,24 @@ def term_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        member = alnum_words()
         for b in batches:
-            parts, size = [], 0
-
-            def out(parts):
-                terms, n = np.unique(np.concatenate(parts), return_counts=True)
-                return pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n)], ["term", "n"])
-
-            for value in b.column(0):
-                w = _words(value, member)
-                w = w[in_sieve(held.value, w)]
-                if w.size:
-                    parts.append(w)
-                    size += w.size
-                if size > 2_000_000:
-                    yield out(parts)
-                    parts, size = [], 0
-            if parts:
-                yield out(parts)
+            for _, words in _together(b.column(0)):
+                words = words[in_sieve(held.value, words)]
+                terms, n = np.unique(words, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n)], ["term", "n"])
 
     found = docs.select(text_or_empty().alias("text")).mapInArrow(run, "term long, n long")
     return found.groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
-    """``item_id, imark, offset, term, windows``: the rarest terms of the windows.
+    """``item_id, imark, offset, term, windows, pairs, alone``: the rarest terms of the windows.
 
     A near window lacks up to ``free`` words.  Terms that the corpus lacks are among them; of
     the others the ``free + 2`` rarest are taken, ``need`` of which must stand.  ``windows``
-    lists these offsets and numbers, the same on every row of an item.
+    lists these offsets and numbers, the same on every row of an item.  ``pairs`` are the keys
+    of this term and each later one of a window at every distance the shift allows; ``alone``
+    marks a term that is enough by itself.
     """
     spread = items.select("item_id", "imark", F.posexplode("terms").alias("offset", "term"))
     rated = spread.join(counts, "term", "left").groupBy("item_id", "imark").agg(
@@ -114,50 +127,74 @@ def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
                         if len(order) > free:
                             windows.add((tuple(sorted(int(k) + start for k in order)), len(order) - free))
                 listed = [{"offsets": list(o), "need": need} for o, need in sorted(windows)]
-                for offset in sorted({o for w in windows for o in w[0]}):
-                    rows.append((item, mark, offset, int(words[offset]["term"]), listed))
-            yield pd.DataFrame(rows, columns=["item_id", "imark", "offset", "term", "windows"])
+                terms = np.array([w["term"] for w in words], np.int64)
+                alone = {o for w, need in windows if need < 2 for o in w}
+                after: dict[int, set] = {}
+                for w, _ in windows:
+                    for i, o in enumerate(w):
+                        after.setdefault(o, set()).update((later, later - o) for later in w[i + 1 :])
+                for offset in sorted(after):
+                    pairs = {(k, far + s) for k, far in after[offset] for s in range(-SHIFT, SHIFT + 1) if far + s > 0}
+                    later, far = (np.array(x, np.int64) for x in zip(*sorted(pairs))) if pairs else (np.zeros(0, np.int64),) * 2
+                    keys = pair_keys(np.full(later.size, terms[offset]), terms[later], far)
+                    rows.append((item, mark, offset, int(terms[offset]), listed, keys.tolist(), offset in alone))
+            yield pd.DataFrame(rows, columns=["item_id", "imark", "offset", "term", "windows", "pairs", "alone"])
 
     return rated.mapInPandas(
         run,
-        "item_id long, imark long, offset int, term long, windows array<struct<offsets: array<int>, need: int>>",
+        "item_id long, imark long, offset int, term long, windows array<struct<offsets: array<int>, need: int>>, "
+        "pairs array<long>, alone boolean",
     )
 
 
-def postings(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+def partnered(words: np.ndarray, wanted: np.ndarray, pairs: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Positions of wanted terms that are enough alone or have a partner at a fitting distance.
+
+    In texts behind each other a partner may stand in the next one, which only keeps more.
+    """
+    here = in_sieve(wanted, words)
+    keep = np.zeros(words.size, bool)
+    at = np.flatnonzero(here)
+    keep[at] = in_sieve(alone, words[at])
+    for apart in range(1, WINDOW + SHIFT):
+        first = at[: np.searchsorted(at, words.size - apart)]
+        first = first[here[first + apart]]
+        first = first[in_sieve(pairs, pair_keys(words[first], words[first + apart], apart))]
+        keep[first] = keep[first + apart] = True
+    return np.flatnonzero(keep)
+
+
+def postings(docs: DataFrame, anchor: DataFrame) -> DataFrame:
     """The index: ``term, doc_id, mark, positions, n_words``; a row without term per document."""
-    held = docs.sparkSession.sparkContext.broadcast(wanted)
+    pairs = anchor.select(F.explode("pairs").alias("pair"))
+    held = docs.sparkSession.sparkContext.broadcast(
+        (
+            sieve(F.col("term"), anchor),
+            sieve(F.col("pair"), pairs, sieve_bits(pairs.count())),
+            sieve(F.col("term"), anchor.filter("alone")),
+        )
+    )
 
     def run(batches):
-        member = alnum_words()
         for b in batches:
-            term, doc, mark, places, total = [], [], [], [], []
-            for d, m, value in zip(b.column(0), b.column(1), b.column(2)):
-                d, m = d.as_py(), m.as_py()
-                w = _words(value, member)
-                at = np.flatnonzero(in_sieve(held.value, w))
-                order = np.argsort(w[at], kind="stable")
-                at = at[order]
-                edges = np.flatnonzero(np.diff(w[at])) + 1 if at.size else []
-                for part in np.split(at, edges) if at.size else []:
-                    term.append(int(w[part[0]]))
-                    places.append(part)
-                term.append(None)
-                places.append(None)
-                more = len(term) - len(doc)
-                doc += [d] * more
-                mark += [m] * more
-                total += [None] * (more - 1) + [w.size]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(term, pa.int64()),
-                    pa.array(doc, pa.int64()),
-                    pa.array(mark, pa.int64()),
-                    pa.array(places, pa.list_(pa.int32())),
-                    pa.array(total, pa.int64()),
-                ],
-                ["term", "doc_id", "mark", "positions", "n_words"],
-            )
+            done = 0
+            for sizes, words in _together(b.column(2)):
+                own = b.slice(done, len(sizes))
+                done += len(sizes)
+                starts = np.cumsum(sizes) - sizes
+                at = partnered(words, *held.value)
+                doc = np.searchsorted(starts, at, "right") - 1
+                order = np.lexsort((words[at], doc))
+                at, doc = at[order], doc[order]
+                term, place = words[at], (at - starts[doc]).astype(np.int32)
+                first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])]) if at.size else at
+                index = own.take(pa.array(doc[first])).select([0, 1])
+                none = pa.nulls(first.size, pa.int64())
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[first, at.size], pa.int32()), pa.array(place))
+                names = ["term", "doc_id", "mark", "positions", "n_words"]
+                yield pa.RecordBatch.from_arrays([pa.array(term[first]), *index.columns, lists, none], names)
+                gone, lists = pa.nulls(len(sizes), pa.int64()), pa.nulls(len(sizes), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([gone, own.column(0), own.column(1), lists, pa.array(sizes)], names)
 
     return docs.select("doc_id", text_mark().alias("mark"), text_or_empty().alias("text")).mapInArrow(
         run, "term long, doc_id long, mark long, positions array<int>, n_words long"
@@ -265,11 +302,19 @@ def _verify(batches):
             hit = np.zeros(words.size, bool)
             items, near = set(), set()
             for c in found.as_py():
-                exact, close = compare(words, np.array(c["terms"], np.int64), c["diagonal"], hit)
-                if exact:
-                    items.add(str(c["item_id"]))
-                if close:
-                    near.add(str(c["item_id"]))
+                item, terms = str(c["item_id"]), np.array(c["terms"], np.int64)
+                if terms.size == 1:
+                    same = words == terms[0]
+                    hit |= same
+                    if same.any():
+                        items.add(item)
+                    continue
+                for diagonal in c["diagonals"]:
+                    exact, close = compare(words, terms, diagonal, hit)
+                    if exact:
+                        items.add(item)
+                    if close:
+                        near.add(item)
             listed = ",".join(sorted(items))
             rows.append(
                 (doc.as_py(), mark.as_py(), int(hit.sum()), len(items), hashlib.sha256(listed.encode()).hexdigest(), len(near - items))
@@ -295,12 +340,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     terms = items.select(F.explode("terms").alias("term"))
     counts = staged(term_counts(docs, sieve(F.col("term"), terms)), "bench-terms")
     anchor = staged(anchors(items, counts), "bench-anchors")
-    index = staged(postings(docs, sieve(F.col("term"), anchor)), "bench-postings")
+    index = staged(postings(docs, anchor), "bench-postings")
     found = staged(intersect(index, anchor), "bench-diagonals")
     lists = (
-        found.join(items, ["item_id", "imark"])
+        found.groupBy("doc_id", "mark", "item_id", "imark")
+        .agg(F.collect_list("diagonal").alias("diagonals"))
+        .join(items, ["item_id", "imark"])
         .groupBy("doc_id", "mark")
-        .agg(F.collect_list(F.struct("item_id", "diagonal", "terms")).alias("found"))
+        .agg(F.collect_list(F.struct("item_id", "diagonals", "terms")).alias("found"))
         .withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
     )
     held = docs.sparkSession.sparkContext.broadcast(sieve(F.xxhash64("doc_id"), found))
