@@ -28,8 +28,11 @@ PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:
 _HIDDEN = [*range(33), *range(127, 161), 173]
 _SYMBOLS = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
 LONG_WORD = 64
-CACHE_WORDS = 600_000
-CACHE_PREFIXES = 1_500_000
+# What a worker remembers, in entries of some hundred bytes each.
+CACHE_CHUNKS = 400_000
+CACHE_PREFIXES = 800_000
+CACHE_ARCS = 600_000
+SLICE_TOKENS = 1_000_000
 
 
 class MergeAutomaton:
@@ -58,6 +61,8 @@ class MergeAutomaton:
         key = a * self.size + b
         found = self.arcs.get(key)
         if found is None:
+            if len(self.arcs) >= CACHE_ARCS:
+                self.arcs.clear()
             found = self.arcs[key] = self._allowed(a, b, len(self.born) + len(self.blocked))
         return found
 
@@ -170,7 +175,7 @@ class WordCoder:
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
         self.ids: dict[str, str] = {}
         self.labels: dict[str, str] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[str, str]] = {}
 
     def _pieces(self, chunk: str):
         """The chunk cut at special strings: ``(text, special id or None)``."""
@@ -185,33 +190,36 @@ class WordCoder:
             yield s, self.special[s]
             chunk = chunk[at + len(s) :]
 
-    def chunk_ids(self, chunk: str) -> list[int]:
+    def chunk_words(self, chunk: str) -> list[tuple[str, str]]:
+        """The ids and labels, each joined by one blank, of the words of a chunk."""
         plain = PLAIN.fullmatch(chunk)
         if plain:  # what the library's normaliser and splitter make of the usual chunk
-            word = plain[1].lower().encode().decode("latin-1").translate(_SYMBOLS)
-            return self._word(word) + (self._word(plain[2]) if plain[2] else [])
-        out: list[int] = []
+            word = plain[1].lower()
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(_SYMBOLS)
+            return [self._word(word), self._word(plain[2])] if plain[2] else [self._word(word)]
+        out: list[tuple[str, str]] = []
         for piece, special in self._pieces(chunk):
             if special is not None:
-                out.append(special)
+                out.append((str(special), self.automaton.labels[special]))
                 continue
-            for word, _ in self.split(self.normalise(piece)):
-                out += self._word(word)
+            out += [self._word(word) for word, _ in self.split(self.normalise(piece))]
         return out
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> tuple[str, str]:
         known = self.words.get(word)
         if known is None:
-            known = self.words[word] = self.automaton.encode(word)
+            ids = self.automaton.encode(word)
+            known = self.words[word] = (" ".join(map(str, ids)), self.automaton.decode(ids))
         return known
 
     def code(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, their ids and their labels, each joined by one blank."""
         chunks = text.replace("\n", " ").split(" ")
         for chunk in set(chunks).difference(self.ids):
-            ids = self.chunk_ids(chunk)
-            self.ids[chunk] = " ".join(map(str, ids))
-            self.labels[chunk] = self.automaton.decode(ids)
+            words = self.chunk_words(chunk)
+            self.ids[chunk] = " ".join([w[0] for w in words])
+            self.labels[chunk] = " ".join([w[1] for w in words])
         ids = " ".join(map(self.ids.__getitem__, chunks))
         if "  " in ids or ids[:1] == " " or ids[-1:] == " ":
             # Chunks without a token, such as that between two blanks.
@@ -222,7 +230,7 @@ class WordCoder:
             ids,
             " ".join(map(self.labels.__getitem__, chunks)),
         )
-        if len(self.ids) > CACHE_WORDS:
+        if len(self.ids) > CACHE_CHUNKS or len(self.words) > CACHE_CHUNKS:
             self.ids, self.labels, self.words = {}, {}, {}
         return out
 
@@ -246,24 +254,36 @@ def encode_documents(docs: DataFrame, tokenizer_path: str | None = None, ids: bo
             path = public_tokenizers.path("word_bpe_49k.json")
         coder = WordCoder(path)
         for batch in batches:
-            n, id_sums, text_sums, lists, texts = [], [], [], [], []
-            for value in batch.column(1):
-                count, joined, labels = coder.code(value.as_py())
-                n.append(count)
-                id_sums.append(hashlib.sha256(joined.encode()).hexdigest())
-                text_sums.append(hashlib.sha256(labels.encode()).hexdigest())
+            done, rows, held = 0, [], 0
+
+            def out():
+                n, id_sums, text_sums, lists, texts = zip(*rows)
+                columns = [batch.column(0).slice(done, len(rows)), pa.array(n, pa.int64()), pa.array(id_sums, pa.string()), pa.array(text_sums, pa.string())]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if ids:
-                    lists.append(np.fromstring(joined, np.int32, sep=" "))
+                    columns.append(pa.array(lists, pa.list_(pa.int32())))
+                    names.append("ids")
                 if decoded:
-                    texts.append(labels)
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(id_sums, pa.string()), pa.array(text_sums, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if ids:
-                columns.append(pa.array(lists, pa.list_(pa.int32())))
-                names.append("ids")
-            if decoded:
-                columns.append(pa.array(texts, pa.string()))
-                names.append("decoded")
-            yield pa.RecordBatch.from_arrays(columns, names)
+                    columns.append(pa.array(texts, pa.string()))
+                    names.append("decoded")
+                return pa.RecordBatch.from_arrays(columns, names)
+
+            for value in batch.column(1):
+                count, joined, labels = coder.code(value.as_py())
+                rows.append(
+                    (
+                        count,
+                        hashlib.sha256(joined.encode()).hexdigest(),
+                        hashlib.sha256(labels.encode()).hexdigest(),
+                        np.fromstring(joined, np.int32, sep=" ") if ids else None,
+                        labels if decoded else None,
+                    )
+                )
+                held += count
+                if held >= SLICE_TOKENS:
+                    yield out()
+                    done, rows, held = done + len(rows), [], 0
+            if rows:
+                yield out()
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, fields)
