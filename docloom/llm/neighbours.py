@@ -7,6 +7,8 @@ where an exact rerank follows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -16,11 +18,11 @@ from docloom.llm.common import staged
 
 SAMPLE_PER_PART = 128
 GRAPH_DEGREE = 20
-PART_ROWS = 1024
 MAX_PARTS = 256
+HELD_ROWS = 2000
 HIDDEN = 128
 STEPS = 600
-TARGET = 0.97
+TARGET = 0.96
 SHELF_ROWS = 16384
 BLOCK_QUERIES = 2048
 QUERIES_AT_ONCE = 256
@@ -111,26 +113,43 @@ def route(x: np.ndarray, router, top: int) -> np.ndarray:
 
 
 def learn(sample: np.ndarray, parts: int, k: int):
-    """Router and number of probes that reach ``TARGET`` recall on the sample itself."""
+    """Router, and the number of probes that reach ``TARGET`` on rows kept out of the fit.
+
+    Those rows, every fifth different one, ask for their ``k`` nearest of the whole sample by
+    the raw inner product; two standard errors of their mean recall must lie above the target.  A sample's
+    neighbours are farther than those of the whole table, so the whole does no worse.
+    """
     x = unit(sample)
-    degree = min(GRAPH_DEGREE, len(x) - 1)
+    different = np.sort(np.unique(sample, axis=0, return_index=True)[1])
+    held = different[::5][:HELD_ROWS]
+    fit = np.ones(len(x), bool)
+    fit[held] = False
+    degree = min(GRAPH_DEGREE, int(fit.sum()) - 1)
     if parts < 2 or degree < 1:
         return None, 1
-    graph = neighbour_graph(x, degree)
-    label = balanced_parts(x, graph, parts)
-    target = np.zeros((len(x), parts))
-    target[np.arange(len(x)), label] += degree / 2
+    graph = neighbour_graph(x[fit], degree)
+    label = balanced_parts(x[fit], graph, parts)
+    rows = np.arange(len(label))
+    target = np.zeros((len(label), parts))
+    target[rows, label] += degree / 2
     for j in range(degree):
-        np.add.at(target, (np.arange(len(x)), label[graph[:, j]]), 1)
-    router = fit_router(x, target / target.sum(axis=1, keepdims=True))
-    order = route(x, router, parts)
-    # Recall of the sample's own neighbours by number of probed parts; vectors nearest in a
-    # sample are farther than those of the whole table, so the whole does no worse.
+        np.add.at(target, (rows, label[graph[:, j]]), 1)
+    router = fit_router(x[fit], target / target.sum(axis=1, keepdims=True))
+    part = route(x, router, 1)[:, 0]
+    order = route(x[held], router, parts)
     place = np.empty_like(order)
-    np.put_along_axis(place, order, np.arange(parts)[None, :].repeat(len(x), 0), axis=1)
-    near = np.take_along_axis(place, order[:, 0][graph[:, : min(k, degree)]], axis=1)
+    np.put_along_axis(place, order, np.arange(parts)[None, :].repeat(len(held), 0), axis=1)
+    k = min(k, len(x) - 1)
+    near = np.empty((len(held), k), np.int64)
+    for start in range(0, len(held), QUERIES_AT_ONCE):
+        own = held[start : start + QUERIES_AT_ONCE]
+        sims = sample[own] @ sample.T
+        sims[np.arange(len(own)), own] = -np.inf
+        best = np.argsort(-sims, axis=1, kind="stable")[:, :k]  # ties by the sample's order
+        near[start : start + len(own)] = np.take_along_axis(place[start : start + len(own)], part[best], axis=1)
     for probes in range(1, parts + 1):
-        if (near < probes).mean() >= TARGET:
+        recall = (near < probes).mean(axis=1)
+        if recall.mean() - 2 * recall.std() / len(recall) ** 0.5 >= TARGET:
             break
     return router, probes
 
@@ -172,15 +191,15 @@ def shelve(sizes: dict[int, int], room: int) -> dict[int, tuple[int, int]]:
     return out
 
 
-def nearest(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = PART_ROWS) -> DataFrame:
+def nearest(vectors: DataFrame, queries: Column, k: int = 20, parts: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` best rows found for each query row.
 
-    ``queries`` is a condition on ``vec_id``.  There are ``n / part_rows`` parts, at most
-    ``MAX_PARTS``, and the model is fitted on at most ``SAMPLE_PER_PART`` vectors for each,
-    those with the smallest hash of their id; every vector is indexed.  Vectors that are
-    null, zero or hold null or non-finite components, and rows without id, take no part; of
-    rows that repeat an id the one with the smallest vector counts; vectors shorter than the
-    longest of the sample are padded with zeros, longer ones take no part.  Parts share
+    ``queries`` is a condition on ``vec_id``.  There are a quarter as many ``parts`` as the
+    root of the number of rows, at most ``MAX_PARTS``, and the model is fitted on at most
+    ``SAMPLE_PER_PART`` vectors for each, those with the smallest hash of their id; every
+    vector is indexed.  Vectors that are null, zero or hold null or non-finite components, and
+    rows without id, take no part; of rows that repeat an id the one with the smallest vector
+    counts; vectors shorter than the longest of the table are padded with zeros.  Parts share
     shelves of at most ``SHELF_ROWS`` rows, so a query answers once for several parts; a larger
     part is cut into chunks, and queries into blocks, by hash of the id, and each chunk meets
     each block: a group is bounded however many copies of a vector there are.
@@ -192,10 +211,10 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = P
     )
     base = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).filter(usable)
     base = staged(base.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "ann-vectors")
-    n = base.count()
-    parts = min(MAX_PARTS, max(1, n // part_rows))
+    n, longest = base.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    parts = parts or min(MAX_PARTS, max(1, -(-math.isqrt(n) // 4)))
     picked = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_PER_PART * parts).collect()
-    width = max((len(r.embedding) for r in picked), default=1)
+    width = longest or 1
     sample = _padded([r.embedding for r in picked], width)
     router, probes = learn(sample, parts, k)
 
@@ -209,7 +228,6 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = P
         return run
 
     fields = "vec_id long, embedding array<double>, parts array<int>"
-    base = base.filter(F.size("embedding") <= width)
     rows = base.mapInPandas(assign(1), fields).select("vec_id", "embedding", F.get("parts", 0).alias("part"))
     rows = staged(rows, "ann-index")
     sizes = {r.part: r["count"] for r in rows.groupBy("part").count().collect()}  # a row per part
