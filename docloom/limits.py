@@ -19,6 +19,7 @@ DEFAULTS = {
 }
 MAX_CONTENT_LIST_BYTES = 32 * MIB
 MIN_TEXT_BYTES = 64 * KIB
+KILL_GRACE_SECS = 5
 LOG_TAIL_BYTES = 4000
 LOG_TAIL_CHARS = 800
 

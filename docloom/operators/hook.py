@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+from docloom.limits import KILL_GRACE_SECS
 from docloom.operators.outcomes import PARSE_FAILED, TIMEOUT, TIMEOUT_MESSAGE
+from docloom.operators.supervise import Supervised
 
 Parser = Callable[[str, bytes, dict], tuple[str, int | None]]
 
@@ -46,13 +50,23 @@ def _attempt(parser: Parser, name: str, content: bytes, options: str | None) ->
         return None, None, PARSE_FAILED, f"{type(exc).__name__}: {exc}"
 
 
-def parse_documents(docs: DataFrame, keep: list[str], parser: Parser = decode_text) -> DataFrame:
+def parse_documents(
+    docs: DataFrame, keep: list[str], parser: Parser = decode_text,
+    timeout_secs: float | None = None, grace_secs: float = KILL_GRACE_SECS,
+) -> DataFrame:
     """Adds ``markdown, page_count``, the outcome and ``elapsed_ms`` to each document.
 
     ``docs`` has the ``keep`` columns and ``name, content, options, error_code,
     error``.  Rows that already carry an error skip the parser; hand them in with
     null content, as no filter is pushed through a Python stage.
+
+    With ``timeout_secs`` the parser runs in a child of the task, which is ended with all it
+    has started when a document takes longer, or ``grace_secs`` after that; its death costs that document only.
+    The built-in decoder needs no child.
     """
+    attempt = functools.partial(_attempt, parser)
+    hard = timeout_secs is not None and parser is not decode_text
+    packed = cloudpickle.dumps(attempt) if hard else b""
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep]
     ordered = [f.name for f in docs.schema if f.name in keep]
     columns = [*ordered, "markdown", "page_count", "error_code", "error", "elapsed_ms"]
@@ -63,14 +77,26 @@ def parse_documents(docs: DataFrame, keep: list[str], parser: Parser = decode_te
         return made
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if not hard:
+            yield from parsed_frames(batches, attempt)
+            return
+        child = Supervised(packed, timeout_secs, grace_secs)
+        try:
+            yield from parsed_frames(batches, child)
+        finally:
+            child.stop()
+
+    def parsed_frames(batches: Iterator[pd.DataFrame], one: Callable) -> Iterator[pd.DataFrame]:
         rows, held = [], 0
         for batch in batches:
             for row in batch.to_dict("records"):
+                if hard and row["error_code"] is None:
+                    one.ready()
                 began = time.monotonic()
                 if row["error_code"] is not None:
                     parsed = (None, None, row["error_code"], row["error"])
                 else:
-                    parsed = _attempt(parser, row["name"], row["content"], row["options"])
+                    parsed = one(row["name"], row["content"], row["options"])
                 spent = int(1000 * (time.monotonic() - began))
                 rows.append((*[row[c] for c in ordered], *parsed, spent))
                 held += len(parsed[0] or "")

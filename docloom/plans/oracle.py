@@ -297,6 +297,14 @@ def archive_expand() -> str:
   CASE WHEN kind = 'file' THEN md5(text) END AS digest, CAST(NULL AS VARCHAR) AS error FROM packed"""
 
 
+def archive_ceiling() -> str:
+    """The sizes of files up to and with this one decide whether it is read."""
+    return f"""WITH {PACKED}, sized AS (SELECT *, sum(CASE WHEN kind = 'file' THEN strlen(text) ELSE 0 END)
+    OVER (PARTITION BY path ORDER BY ordinal) AS used FROM packed)
+SELECT path AS archive, ordinal, CASE WHEN kind = 'dir' AND container = 'zip' THEN name || '/' ELSE name END AS name,
+  CASE WHEN kind = 'file' AND used <= {q.CEILING} THEN md5(text) END AS digest, CAST(NULL AS VARCHAR) AS error_code FROM sized"""
+
+
 def _members() -> str:
     code, text, _ = preflight("name")
     return f"""
@@ -353,8 +361,21 @@ ready AS (SELECT r.path, regexp_extract(r.path, '[^/]*$') AS filename, coalesce(
 {_shaped(q.ARCHIVE_BUDGET, q.SHARED_MIN_TEXT, 'path')}"""
 
 
-def _single(key: str) -> str:
+def _supervised() -> str:
+    """Of the documents that reach the parser, some hang and some end it."""
+    odd = f"doc_id % {q.ODD_PARSES}"
+    died = "'the parser exited with code 3 on `' || filename || '`: cannot go on with ' || doc_id"
+    return _single(
+        "path",
+        f"CASE {odd} WHEN 0 THEN 'timeout' WHEN 1 THEN 'parse_failed' END",
+        f"CASE {odd} WHEN 0 THEN 'the parse exceeded its time budget' WHEN 1 THEN {died} END",
+    )
+
+
+def _single(key: str, odd_code: str | None = None, odd_text: str | None = None) -> str:
     code, text, _ = preflight("filename")
+    if odd_code:
+        code, text = f"coalesce({code}, {odd_code})", f"CASE WHEN {code} IS NULL THEN {odd_text} ELSE {text} END"
     return f"""WITH named AS (SELECT *, regexp_extract({FILE_NAME}, '[^/]*$') AS filename,
     '/data/' || source || '/' || {FILE_NAME} AS path FROM documents),
 ready AS (SELECT doc_id, path, filename, {MARKDOWN} AS markdown, '' AS notes, filename AS sources,
@@ -633,7 +654,7 @@ def job_deadline() -> str:
 
 
 def job_cancel() -> str:
-    keep = "status <> 'cancelled' AND seq % 3 <> 0"
+    keep = "status <> 'cancelled'"
     hit = "(asked IS NOT NULL AND j.job_id IS NOT NULL AND (finished_at IS NULL OR asked < finished_at))"
     return f"""WITH {_jobs(keep)},
 asks AS (SELECT job_id, min(ts) AS asked FROM log WHERE status = 'cancelled' GROUP BY job_id)
@@ -661,7 +682,7 @@ def all_sql() -> dict[str, str]:
             option_cleanup, outcome_typing, member_guard, repeated_names, archive_result,
             plain_text, plain_text_html, clip_bytes, shared_budget, error_tail, lossy_read, result_record,
             pick_markdown, page_count, page_window, no_output, job_snapshot, job_lookup,
-            job_deadline, job_cancel, archive_expand, parse_job_archives, result_sink,
+            job_deadline, job_cancel, archive_expand, archive_ceiling, parse_job_archives, result_sink,
             output_scan, job_stream, job_stream_retained, document_scan, collect_outputs,
         )
     }
@@ -677,7 +698,9 @@ def all_sql() -> dict[str, str]:
     )
     sql["archive_expand_sql"] = sql["archive_expand"]
     sql["parse_job_documents"] = _single("path")
+    sql["parse_job_supervised"] = _supervised()
     sql["doc_stream"] = _single("doc_id")
+    sql["job_stream_timers"] = job_stream()
     sql["job_listing"] = f"WITH {_jobs()} SELECT job_id, status, created_at, started_at, finished_at FROM jobs"
     sql["job_retention"] = job_retention(q.MAX_JOBS_WIDE)
     sql["job_retention_default"] = job_retention(q.MAX_JOBS)

@@ -99,7 +99,7 @@ def parse_single(
     routed = _routed(_with_options(named, options, host), office_readable)
     parsed = _capped(
         parse_documents(
-            routed, ["path", "name", "missing_dependencies", "parse_backend"], parser
+            routed, ["path", "name", "missing_dependencies", "parse_backend"], parser, limits.timeout_secs
         ),
         limits.max_output_bytes,
     )
@@ -134,7 +134,7 @@ def parse_archives(
     )
     members = A.last_copies(named, entries.select("archive", "ordinal", "content"))
     routed = _with_options(_routed(members, office_readable), options, host)
-    parsed = parse_documents(routed, ["archive", "ordinal", "name"], parser)
+    parsed = parse_documents(routed, ["archive", "ordinal", "name"], parser, limits.timeout_secs)
     parsed = staged(
         A.with_body_bytes(_capped(_timed(parsed, limits), limits.max_output_bytes)), "parsed"
     )

@@ -28,7 +28,8 @@ from docloom.session import stage_path
 from docloom.sources import files, sinks
 from docloom.sources.containers import expand_archives, register_expand_archive
 from docloom.streaming.documents import shape_stream, write_stream
-from docloom.streaming.jobs import latest_jobs, start_job_fold
+from docloom.streaming.jobs import compact_folds, latest_jobs, start_job_fold
+from docloom.streaming.timers import current_jobs, start_job_timers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +42,9 @@ MAX_MEMBERS = inp.ARCHIVE_BLOCK
 CLIP = 200
 SHARED_BUDGET, SHARED_MIN_TEXT = 3_000, 500
 TIMEOUT_SECS, RETAINED_SECS = 600, 86_400
+# One document in so many hangs, the next one's parser dies.
+ODD_PARSES, HANG_SECS = 389, 3
+CEILING = 30_000
 # Bounded ledgers: the default of 64, and one larger than the live jobs.
 MAX_JOBS, MAX_JOBS_WIDE = 64, 2_500
 
@@ -348,7 +352,7 @@ def job_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_cancel(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inp.job_events(spark, sf_dir)
     ask = F.col("status") == "cancelled"
-    jobs = L.job_snapshots(events.where(~ask & (F.col("seq") % 3 != 0)))
+    jobs = L.job_snapshots(events.where(~ask))
     return L.apply_cancels(jobs, events.where(ask).select("job_id", "ts"))
 
 
@@ -452,6 +456,42 @@ def parse_job_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_results(parse_single(docs, limits, decode_text, office_readable=False).drop("missing_dependencies"))
 
 
+def _odd_parser():
+    """Decodes, but for some documents: one kind hangs for good, one takes its process along."""
+
+    def parser(name, content, options):
+        import os
+        import sys
+        import time
+
+        number = int(name.split(".")[0][1:])
+        if number % ODD_PARSES == 0:
+            time.sleep(3600)
+        if number % ODD_PARSES == 1:
+            print(f"cannot go on with {number}", file=sys.stderr, flush=True)
+            os._exit(3)
+        return content.decode("utf-8", errors="replace"), None
+
+    return parser
+
+
+def parse_job_supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A parser that hangs or dies on some documents; all others get their results."""
+    docs = inp.markdown_documents(spark, sf_dir).select(
+        F.concat(F.lit("/data/"), "source", F.lit("/"), inp.file_name()).alias("path"),
+        F.col("markdown").cast("binary").alias("content"),
+    )
+    limits = Limits(max_output_bytes=SHARED_BUDGET, min_text_bytes=SHARED_MIN_TEXT, timeout_secs=HANG_SECS)
+    results = parse_single(docs.repartition(8, "path"), limits, _odd_parser(), office_readable=False)
+    return flat_results(results.drop("missing_dependencies"))
+
+
+def archive_ceiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members are read until the archive has expanded past its ceiling."""
+    entries = expand_archives(inp.packed_archives(spark, sf_dir), MAX_MEMBERS, CEILING)
+    return entries.select("archive", "ordinal", "name", F.md5("content").alias("digest"), "error_code")
+
+
 def parse_job_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = Limits(
         max_output_bytes=ARCHIVE_BUDGET, min_text_bytes=SHARED_MIN_TEXT, max_archive_members=MAX_MEMBERS
@@ -489,19 +529,16 @@ def doc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_results(spark.read.parquet(out).select("doc_id", "error_code", "error", "result"))
 
 
-def _drained_jobs(spark: SparkSession, batches: list[DataFrame], retention_secs: int | None) -> DataFrame:
-    """The job stream over files written one frame after the other, two a batch."""
-    inbox, out = stage_path(spark, "job-events"), stage_path(spark, "job-stream")
+def _arriving(spark: SparkSession, batches: list[DataFrame]) -> DataFrame:
+    """A stream over files written one frame after the other, two a batch."""
+    inbox = stage_path(spark, "job-events")
     for part in batches:
         part.write.mode("append").parquet(inbox)
-    arriving = (
-        spark.readStream.schema(batches[0].schema).option("maxFilesPerTrigger", 2).parquet(inbox)
-    )
-    query = start_job_fold(
-        inp.as_job_events(arriving), out, stage_path(spark, "job-stream-log"), TIMEOUT_SECS, retention_secs
-    )
-    query.awaitTermination()
-    jobs = latest_jobs(spark, out, query.lastProgress["batchId"] + 1, TIMEOUT_SECS)
+    files_of = spark.readStream.schema(batches[0].schema).option("maxFilesPerTrigger", 2)
+    return inp.as_job_events(files_of.parquet(inbox))
+
+
+def _without_zone(jobs: DataFrame) -> DataFrame:
     return jobs.withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "started_at", "finished_at")}
     )
@@ -510,16 +547,37 @@ def _drained_jobs(spark: SparkSession, batches: list[DataFrame], retention_secs:
 def job_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in shuffled order over several batches; the result is the fold of them all."""
     events = inp.table(spark, sf_dir, "events")
-    return _drained_jobs(spark, [events.repartition(6, F.xxhash64("event_id"))], None)
+    arriving = _arriving(spark, [events.repartition(6, F.xxhash64("event_id"))])
+    out = stage_path(spark, "job-stream")
+    start_job_fold(arriving, out, stage_path(spark, "job-stream-log")).awaitTermination()
+    compact_folds(spark, out)
+    return _without_zone(latest_jobs(spark, out, TIMEOUT_SECS))
 
 
-def job_stream_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in order of time; a job is forgotten a day after its end."""
-    events = inp.table(spark, sf_dir, "events")
+def _by_day(events: DataFrame) -> list[DataFrame]:
+    """The events in order of time, in four parts of two files each."""
     day = F.dayofmonth("ts")
     parts = [events.filter((day > 10 * i) & (day <= 10 * i + 10)).repartition(2) for i in range(3)]
-    parts.append(events.filter(day > 30).repartition(2))
-    return _drained_jobs(spark, parts, RETAINED_SECS)
+    return [*parts, events.filter(day > 30).repartition(2)]
+
+
+def _timed_jobs(spark: SparkSession, sf_dir: str, retention_secs: int | None) -> DataFrame:
+    out = stage_path(spark, "job-timers")
+    arriving = _arriving(spark, _by_day(inp.table(spark, sf_dir, "events")))
+    start_job_timers(
+        arriving, out, stage_path(spark, "job-timers-log"), TIMEOUT_SECS, retention_secs
+    ).awaitTermination()
+    return _without_zone(current_jobs(spark, out))
+
+
+def job_stream_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deadlines that fire on the stream's own clock, for jobs that tell nothing more."""
+    return _timed_jobs(spark, sf_dir, None)
+
+
+def job_stream_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in order of time; a job is forgotten a day after its end."""
+    return _timed_jobs(spark, sf_dir, RETAINED_SECS)
 
 
 def all_queries() -> dict[str, Query]:
@@ -533,7 +591,7 @@ def all_queries() -> dict[str, Query]:
             page_count, page_window, no_output, job_snapshot, job_listing, job_lookup,
             job_deadline, job_cancel, job_retention, job_retention_default,
             document_scan, document_stream, collect_outputs, parse_requests, output_scan, archive_expand, archive_expand_sql,
-            parse_job_documents, parse_job_archives, result_sink, doc_stream, job_stream, job_stream_retained,
+            parse_job_documents, parse_job_supervised, parse_job_archives, archive_ceiling, result_sink, doc_stream, job_stream, job_stream_timers, job_stream_retained,
         )
     }
     named.update({k: _text_query(f) for k, f in TEXT_STEPS.items()})

@@ -37,8 +37,10 @@ def shape_stream(
     return shape_results(ready, limits.max_output_bytes, limits.min_text_bytes)
 
 
-def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Takes everything that has arrived and stops.
+def write_stream(
+    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Takes everything that has arrived and stops, or runs under ``trigger``.
 
     The file sink's own log makes a restarted batch replace itself.
     """
@@ -46,7 +48,7 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger or {"availableNow": True})
         .start(path)
     )
 
@@ -58,6 +60,7 @@ def write_archive_stream(
     limits: Limits = Limits(),
     parser: Parser = decode_text,
     office_readable: bool = True,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Archives (``path, content``) as they arrive, each batch a whole job.
 
@@ -72,6 +75,6 @@ def write_archive_stream(
     return (
         arriving.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger or {"availableNow": True})
         .start()
     )
