@@ -33,7 +33,6 @@ from docloom.llm.common import (
 WINDOW = 10
 NEAR = 8
 SHIFT = 2
-STRIP = 64
 SLICE_WORDS = 400_000
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -99,11 +98,10 @@ def term_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
 
 
 def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
-    """``item_id, imark, offset, term, windows, pairs, alone``: the rarest terms of the windows.
+    """``item_id, imark, offset, term, pairs, alone``: the rarest terms of the windows.
 
     A near window lacks up to ``free`` words.  Terms that the corpus lacks are among them; of
-    the others the ``free + 2`` rarest are taken, ``need`` of which must stand.  ``windows``
-    lists these offsets and numbers, the same on every row of an item.  ``pairs`` are the keys
+    the others the ``free + 2`` rarest are taken, two of which must stand.  ``pairs`` are the keys
     of this term and each later one of a window at every distance the shift allows; ``alone``
     marks a term that is enough by itself.
     """
@@ -126,7 +124,6 @@ def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
                         order = [k for k in np.argsort(here, kind="stable") if here[k] > 0][: free + 2]
                         if len(order) > free:
                             windows.add((tuple(sorted(int(k) + start for k in order)), len(order) - free))
-                listed = [{"offsets": list(o), "need": need} for o, need in sorted(windows)]
                 terms = np.array([w["term"] for w in words], np.int64)
                 alone = {o for w, need in windows if need < 2 for o in w}
                 after: dict[int, set] = {}
@@ -137,13 +134,12 @@ def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
                     pairs = {(k, far + s) for k, far in after[offset] for s in range(-SHIFT, SHIFT + 1) if far + s > 0}
                     later, far = (np.array(x, np.int64) for x in zip(*sorted(pairs))) if pairs else (np.zeros(0, np.int64),) * 2
                     keys = pair_keys(np.full(later.size, terms[offset]), terms[later], far)
-                    rows.append((item, mark, offset, int(terms[offset]), listed, keys.tolist(), offset in alone))
-            yield pd.DataFrame(rows, columns=["item_id", "imark", "offset", "term", "windows", "pairs", "alone"])
+                    rows.append((item, mark, offset, int(terms[offset]), keys.tolist(), offset in alone))
+            yield pd.DataFrame(rows, columns=["item_id", "imark", "offset", "term", "pairs", "alone"])
 
     return rated.mapInPandas(
         run,
-        "item_id long, imark long, offset int, term long, windows array<struct<offsets: array<int>, need: int>>, "
-        "pairs array<long>, alone boolean",
+        "item_id long, imark long, offset int, term long, pairs array<long>, alone boolean",
     )
 
 
@@ -201,60 +197,39 @@ def postings(docs: DataFrame, anchor: DataFrame) -> DataFrame:
     )
 
 
-def standing(diagonals: np.ndarray, offsets: np.ndarray, windows: list) -> list[int]:
-    """Diagonals from which on, within the shift, enough terms of some window stand."""
-    out = []
-    for low in np.unique(diagonals).tolist():
-        here = set(offsets[(diagonals >= low) & (diagonals <= low + SHIFT)].tolist())
-        if any(len(here.intersection(w["offsets"])) >= w["need"] for w in windows):
-            out.append(low)
-    return out
-
-
 def intersect(index: DataFrame, anchor: DataFrame) -> DataFrame:
-    """``doc_id, mark, item_id, imark, diagonal`` where enough terms of some window stand right.
+    """``doc_id, mark, item_id, imark, diagonal``: where terms of an item stand right to each other.
 
-    Diagonals are met in strips; those at the start of one also count for the strip before.
+    These are the diagonals from which on, within the shift, two terms of the item stand, or
+    one that is enough alone.  Each hit counts for its own diagonal and for those before it
+    that the shift reaches, so no group gathers its hits.
     """
-    diagonal = F.col("at") - F.col("offset")
-    strip = F.floor(diagonal / STRIP)
-    strips = F.array_distinct(F.array(strip, F.floor((diagonal - SHIFT) / STRIP)))
+    at = F.col("at") - F.col("offset")
+    shifts = F.explode(F.array(*[F.lit(s) for s in range(SHIFT + 1)]))
     hits = (
         index.filter("term is not null")
         .select("term", "doc_id", "mark", "positions")
         .distinct()
-        .join(anchor.select("term", "item_id", "imark", "offset"), "term")
-        .select("doc_id", "mark", "item_id", "imark", "offset", F.explode("positions").alias("at"))
-        .select("doc_id", "mark", "item_id", "imark", F.explode(strips).alias("strip"), diagonal.alias("diagonal"), "offset")
-        .groupBy("doc_id", "mark", "item_id", "imark", "strip")
-        .agg(
-            F.collect_set(F.struct("diagonal", "offset")).alias("hits"),
-            F.min("offset").alias("_first"),
-            F.max("offset").alias("_last"),
-        )
+        .join(anchor.select("term", "item_id", "imark", "offset", "alone"), "term")
+        .select("doc_id", "mark", "item_id", "imark", "offset", "alone", F.explode("positions").alias("at"))
+        .select("doc_id", "mark", "item_id", "imark", "offset", "alone", at.alias("at"), shifts.alias("shift"))
     )
-    windows = anchor.select("item_id", "imark", "windows").distinct()
-    # A window that needs two terms has them at different offsets.
-    alone = F.exists("windows", lambda w: w["need"] < 2)
-    met = hits.join(windows, ["item_id", "imark"]).filter((F.col("_first") < F.col("_last")) | alone)
+    met = hits.groupBy("doc_id", "mark", "item_id", "imark", (F.col("at") - F.col("shift")).alias("diagonal")).agg(
+        F.min("offset").alias("first"),
+        F.max("offset").alias("last"),
+        F.max(F.col("shift") == 0).alias("own"),
+        F.max("alone").alias("alone"),
+    )
+    return met.filter("own and (alone or first < last)").select("doc_id", "mark", "item_id", "imark", "diagonal")
 
-    def run(batches):
-        for b in batches:
-            keep, found = [], []
-            for k, (hits, windows) in enumerate(zip(b.column(4).to_pylist(), b.column(5).to_pylist())):
-                at = standing(np.array([h["diagonal"] for h in hits]), np.array([h["offset"] for h in hits]), windows)
-                keep += [k] * len(at)
-                found += at
-            some = b.select([0, 1, 2, 3]).take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*some.columns, pa.array(found, pa.int32())], ["doc_id", "mark", "item_id", "imark", "diagonal"]
-            )
 
-    return (
-        met.select("doc_id", "mark", "item_id", "imark", "hits", "windows")
-        .mapInArrow(run, "doc_id long, mark long, item_id long, imark long, diagonal int")
-        .distinct()
-    )
+def may_stand(words: np.ndarray, terms: np.ndarray, diagonal: int) -> bool:
+    """Whether 8 of 10 words of some window stand on diagonals up to the shift away, in any order."""
+    size = min(WINDOW, terms.size)
+    at = np.arange(diagonal - SHIFT, diagonal + SHIFT + 1)[:, None] + np.arange(terms.size)
+    np.clip(at, 0, words.size - 1, out=at)  # beyond the ends more may match, none less
+    sums = np.concatenate([[0], np.cumsum((words[at] == terms).any(axis=0))])
+    return bool(((sums[size:] - sums[:-size]) * WINDOW >= size * NEAR).any())
 
 
 def stands_nearly(words: np.ndarray, terms: np.ndarray, diagonal: int) -> bool:
@@ -280,6 +255,8 @@ def stands_nearly(words: np.ndarray, terms: np.ndarray, diagonal: int) -> bool:
 
 def compare(words: np.ndarray, terms: np.ndarray, diagonal: int, hit: np.ndarray) -> tuple[bool, bool]:
     """Marks the words inside windows that stand on the diagonal; whether any does, exactly or nearly."""
+    if not words.size or not may_stand(words, terms, diagonal):
+        return False, False
     size = min(WINDOW, terms.size)
     low, high = max(0, -diagonal), min(terms.size, words.size - diagonal)
     exact = False
@@ -290,7 +267,7 @@ def compare(words: np.ndarray, terms: np.ndarray, diagonal: int, hit: np.ndarray
         for start in np.flatnonzero(matched == size):
             hit[diagonal + low + start : diagonal + low + start + size] = True
         exact = bool((matched == size).any())
-    return exact, exact or (words.size > 0 and stands_nearly(words, terms, diagonal))
+    return exact, exact or stands_nearly(words, terms, diagonal)
 
 
 def _verify(batches):
