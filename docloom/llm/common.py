@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import sys
 import types
 from collections.abc import Callable
@@ -11,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.session import stage_path
+from docloom.session import delete, stage_path
 
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 PIECE_BYTES = 1 << 16
@@ -30,7 +31,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     path = stage_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stage = path
+    return out
+
+
+def unstage(*stages: DataFrame) -> None:
+    """Removes written stages that nothing reads any more, and shuffle files with them.
+
+    Spark drops the files of a shuffle once the driver's garbage collector has found that no
+    plan needs it, so it is asked to look.
+    """
+    for df in stages:
+        delete(df.sparkSession, df._stage)
+    gc.collect()
+    stages[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:

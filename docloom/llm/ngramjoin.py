@@ -25,6 +25,7 @@ from docloom.llm.common import (
     staged,
     text_mark,
     text_or_empty,
+    unstage,
     without,
     word_hashes,
 )
@@ -182,6 +183,41 @@ def prefix_tokens(docs: DataFrame, hot) -> DataFrame:
     return docs.select(text_or_empty().alias("text")).mapInArrow(run, "token long, key long")
 
 
+def shared_tokens(tokens: DataFrame) -> DataFrame:
+    """``token, key`` once each, of tokens that several sets have: one shuffle by token.
+
+    In rows sorted by token and key, those of one token lie together; while only one key of
+    it has come, a single row waits.
+    """
+
+    def run(batches):
+        last = np.zeros((2, 0), np.int64)  # the newest row, and whether it is out already
+        out = True
+        for b in batches:
+            token, key = (np.concatenate([last[i], b.column(i).to_numpy()]) for i in (0, 1))
+            fresh = np.ones(token.size, bool)
+            fresh[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+            waited = bool(last.size)
+            at = np.flatnonzero(fresh)
+            token, key = token[at], key[at]
+            same = token[1:] == token[:-1]
+            keep = np.zeros(token.size, bool)
+            keep[1:] |= same
+            keep[:-1] |= same
+            told = bool(keep[-1]) if token.size else False
+            if waited and token.size == 1:
+                told = out
+            if waited and out:
+                keep[0] = False  # handed out with its batch
+                told = told or token.size == 1
+            last, out = np.array([token[-1:], key[-1:]]), told
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(key[keep])], ["token", "key"])
+
+    dealt = tokens.repartition("token").sortWithinPartitions("token", "key")
+    return dealt.mapInArrow(run, "token long, key long")
+
+
 # --- Exact comparison -------------------------------------------------------------------
 
 
@@ -194,8 +230,8 @@ def linked_sets(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= 80 * (a.size + b.size - both)
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, tokens`` for ``nodes (node)``.
+def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, hot) -> DataFrame:
+    """``node, tokens, first`` for ``nodes (node)``: the set and its first tokens.
 
     The sets are made again from the texts of the classes' first documents; a sieve of
     their ids keeps most other rows out of the shuffle.
@@ -207,17 +243,17 @@ def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
         member = space_words()
         for b in batches:
             keep = in_sieve(held.value, b.column(1).to_numpy(zero_copy_only=False))
-            names, sets = [], []
+            names, sets, first = [], [], []
             for s in _sets(b.column(0).filter(pa.array(keep)), member):
                 if s.size:
                     names.append(digest(s)[1])
                     sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["node", "tokens"]
-            )
+                    first.append(prefix(s, hot.value).tobytes())
+            columns = [pa.array(c, pa.binary()) for c in (names, sets, first)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "tokens", "first"])
 
     made = docs.select(text_or_empty().alias("text"), F.xxhash64("doc_id").alias("h")).mapInArrow(
-        run, "node binary, tokens binary"
+        run, "node binary, tokens binary, first binary"
     )
     return made.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
@@ -251,10 +287,14 @@ def overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray
     return out
 
 
+def owned(token: int, first: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the pairs of a block have no common first token before the block's."""
+    return overlaps([p[p.view(np.int64) < token] for p in first], i, j) == 0
+
+
 def owned_links(token: int, sets: list[np.ndarray], hot: np.ndarray, i: np.ndarray, j: np.ndarray):
-    """Those of the pairs of a block that link and have no common first token before the block's."""
-    before = [p[p.view(np.int64) < token] for p in (prefix(s, hot) for s in sets)]
-    own = overlaps(before, i, j) == 0
+    """Those of the pairs of a block that link and that the block owns."""
+    own = owned(token, [prefix(s, hot) for s in sets], i, j)
     i, j = i[own], j[own]
     n = np.array([s.size for s in sets], np.int64)
     both = overlaps(sets, i, j)
@@ -353,27 +393,6 @@ def likely_pairs(sizes, sigs, home):
     return i[keep], j[keep], best[keep]
 
 
-def block_candidates(nodes, roots, sizes, sigs, home, top: int | None = None):
-    """Likely pairs of one block between different components, at least one set at home.
-
-    With ``top`` only those among the ``top`` likeliest of one of their sets.
-    """
-    i, j, best = likely_pairs(sizes, sigs, home)
-    keep = roots[i] != roots[j]
-    i, j, best = i[keep], j[keep], best[keep]
-    if top is not None and i.size:
-        gain = best / (sizes[i] + sizes[j])
-        ends = np.concatenate([i, j])
-        rank = np.lexsort((-np.concatenate([gain, gain]), ends))
-        first = np.flatnonzero(np.append(True, np.diff(ends[rank]) != 0))
-        place = np.arange(rank.size) - np.repeat(first, np.diff(np.append(first, rank.size)))
-        chosen = np.zeros(rank.size, bool)
-        chosen[rank[place < top]] = True
-        keep = chosen[: i.size] | chosen[i.size :]
-        i, j = i[keep], j[keep]
-    return [tuple(sorted((nodes[x], nodes[y]))) for x, y in zip(i.tolist(), j.tolist())]
-
-
 def block_cuts(members: DataFrame) -> DataFrame:
     """``token, slot, node, n, home``: blocks ``token, node, n`` cut by size bands.
 
@@ -386,19 +405,19 @@ def block_cuts(members: DataFrame) -> DataFrame:
     return placed.select("token", "slot", "node", "n", (F.col("_band") == F.col("slot")).alias("home"))
 
 
-def open_cuts(placed: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of the cuts that hold several components by ``roots (node, root)``, with the roots.
+def open_cuts(placed: DataFrame) -> DataFrame:
+    """Rows of the cuts that hold several sets.
 
     Of cuts with the same members (the tokens of one passage) one is kept.
     """
-    placed = placed.select("token", "slot", "node", "n", "home").join(roots.select("node", "root"), "node")
+    placed = placed.select("token", "slot", "node", "n", "home", F.xxhash64("node").alias("_h")).repartition("token", "slot")
     cuts = (
         placed.groupBy("token", "slot")
         .agg(
             F.count("*").alias("rows"),
             F.count_if("home").alias("at_home"),
-            F.min("root").alias("low"),
-            F.max("root").alias("high"),
+            F.min("_h").alias("low"),
+            F.max("_h").alias("high"),
             F.bit_xor(F.xxhash64("node", "home")).alias("one"),
             F.bit_xor(F.xxhash64(F.lit(9), "node", "home")).alias("two"),
         )
@@ -407,7 +426,7 @@ def open_cuts(placed: DataFrame, roots: DataFrame) -> DataFrame:
         .agg(F.min("token").alias("token"))
         .select("token", "slot", "rows")
     )
-    return placed.join(cuts, ["token", "slot"])
+    return placed.drop("_h").join(cuts, ["token", "slot"])
 
 
 def _dealt(cuts: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -427,7 +446,6 @@ def _dealt(cuts: DataFrame, sigs: DataFrame) -> DataFrame:
         F.greatest("page", "other").alias("two"),
         "page",
         "node",
-        "root",
         "n",
         "sig",
         "home",
@@ -438,27 +456,6 @@ def _dealt(cuts: DataFrame, sigs: DataFrame) -> DataFrame:
 GROUP = ["token", "slot", "one", "two"]
 
 
-def tree_candidates(cuts: DataFrame, sigs: DataFrame, top: int | None = None) -> DataFrame:
-    """``a, b`` for the rows of ``open_cuts``, by a tree in each cut: the pairs by name."""
-
-    def run(batches):
-        for rows in _groups(batches, len(GROUP)):
-            node, root, n, sig, home = (rows.column(c) for c in ("node", "root", "n", "sig", "home"))
-            out = block_candidates(
-                node.to_pylist(),
-                np.array(root.to_pylist(), object),
-                n.to_numpy().astype(np.int64),
-                sig.to_pylist(),
-                home.to_numpy(zero_copy_only=False),
-                top,
-            )
-            if out:
-                a, b = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
-    return _dealt(cuts, sigs).mapInArrow(run, "a binary, b binary").distinct()
-
-
 def _across(pages: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Pairs inside a page belong to its own group, others to the group of their two pages."""
     return (pages[i] != pages[j]) if (pages != pages[0]).any() else np.ones(i.size, bool)
@@ -485,6 +482,35 @@ def paired_sets(cuts: DataFrame, sigs: DataFrame) -> DataFrame:
     return _dealt(cuts, sigs).mapInArrow(run, form)
 
 
+def owned_sets(paired: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of ``paired`` whose group owns a likely pair of theirs.
+
+    First tokens, a fifth of a set, decide that: near copies meet in many groups, one of which
+    owns the pair, and only there the whole sets are needed.
+    """
+    placed = paired.join(classes.select("node", "n", "sig"), "node").join(sets.select("node", "first"), "node")
+
+    def run(batches):
+        for rows in _groups(batches, len(GROUP)):
+            pages = rows.column("page").to_numpy()
+            first = [np.frombuffer(t, np.uint64) for t in rows.column("first").to_pylist()]
+            i, j, _ = likely_pairs(
+                rows.column("n").to_numpy().astype(np.int64),
+                rows.column("sig").to_pylist(),
+                rows.column("home").to_numpy(zero_copy_only=False),
+            )
+            keep = _across(pages, i, j)
+            i, j = i[keep], j[keep]
+            keep = owned(rows.column("token")[0].as_py(), first, i, j)
+            at = np.unique(np.concatenate([i[keep], j[keep]]))
+            if at.size:
+                out = rows.select([*GROUP, "page", "node", "home"]).take(pa.array(at)).combine_chunks()
+                yield from out.to_batches()
+
+    dealt = placed.select(*GROUP, "page", "node", "n", "sig", "first", "home").repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return dealt.mapInArrow(run, "token long, slot int, one int, two int, page int, node binary, home boolean")
+
+
 def count_in_groups(paired: DataFrame, sets: DataFrame, hot) -> DataFrame:
     """``node, root, links``: a set's links that its group owns, and the least set they lead to there."""
     placed = paired.join(sets, "node").select(*GROUP, "page", "home", "node", "tokens")
@@ -597,18 +623,15 @@ def find_links(docs: DataFrame, profile: DataFrame, classes: DataFrame) -> DataF
     ``root`` is a class of the same component; together they connect every component.
     """
     hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(profile))
-    tokens = prefix_tokens(docs, hot)
-    shared = (
-        tokens.groupBy("token")
-        .agg(F.min("key").alias("_first"), F.max("key").alias("_last"))
-        .filter("_first != _last")
-        .select("token")
-    )
-    blocks = staged(tokens.join(shared.hint("shuffle_hash"), "token"), "jaccard-blocks")
-    # Each class is its own root: no pair is passed over because other links connect it.
-    own = classes.select("key", "node", "n", F.col("node").alias("root"))
-    members = blocks.distinct().join(own, "key").select("token", "node", "n")
-    cuts = staged(open_cuts(block_cuts(members), own), "jaccard-cuts")
+    blocks = staged(shared_tokens(prefix_tokens(docs, hot)), "jaccard-blocks")
+    members = blocks.join(classes.select("key", "node", "n"), "key").select("token", "node", "n")
+    cuts = staged(open_cuts(block_cuts(members)), "jaccard-cuts")
+    unstage(blocks)
     paired = staged(paired_sets(cuts, classes), "jaccard-paired")
-    sets = staged(sets_of(docs, classes, paired.select("node")), "jaccard-sets")
-    return staged(count_in_groups(paired, sets, hot), "jaccard-links")
+    unstage(cuts)
+    sets = staged(sets_of(docs, classes, paired.select("node"), hot), "jaccard-sets")
+    own = staged(owned_sets(paired, classes, sets), "jaccard-owned")
+    unstage(paired)
+    links = staged(count_in_groups(own, sets, hot), "jaccard-links")
+    unstage(own, sets)
+    return links

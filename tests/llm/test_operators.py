@@ -133,26 +133,9 @@ def test_signature_tree_loses_no_pair():
             own[: rng.integers(0, 14)] = rng.integers(0, 1 << 63, 1, dtype=np.uint64)
             sets.append(np.unique(own))
     nodes = [str(i).encode().zfill(4) for i in range(len(sets))]
-    out = J.block_candidates(
-        nodes,
-        np.array(nodes, object),
-        np.array([s.size for s in sets]),
-        [J.signature(s) for s in sets],
-        np.ones(len(sets), bool),
-    )
-    found = set(out)
-    likeliest = set(
-        J.block_candidates(
-            nodes,
-            np.array(nodes, object),
-            np.array([s.size for s in sets]),
-            [J.signature(s) for s in sets],
-            np.ones(len(sets), bool),
-            top=1,
-        )
-    )
-    assert likeliest < found and len(likeliest) <= len(sets)
-    assert {x for p in likeliest for x in p} == {x for p in found for x in p}
+    sizes, sigs = np.array([s.size for s in sets]), [J.signature(s) for s in sets]
+    i, j, _ = J.likely_pairs(sizes, sigs, np.ones(len(sets), bool))
+    found = {tuple(sorted((nodes[x], nodes[y]))) for x, y in zip(i, j)}
     real = {
         (nodes[i], nodes[j])
         for i in range(len(sets))
@@ -173,24 +156,56 @@ def test_hot_blocks_in_pages(spark, monkeypatch):
 
     rng = np.random.default_rng(3)
     core = rng.integers(0, 1 << 63, 50, dtype=np.uint64)
-    rows = []
+    sets = []
     for i in range(60):
         s = core.copy()
-        s[: i % 5] = rng.integers(0, 1 << 63, i % 5, dtype=np.uint64)
-        s = np.unique(s)
-        name = str(i).zfill(3).encode()
-        rows.append((1, bytearray(name), bytearray(name), int(s.size), bytearray(J.signature(s))))
-    df = spark.createDataFrame(rows, "token long, node binary, root binary, n int, sig binary")
+        s[: i % 9] = rng.integers(0, 1 << 63, i % 9, dtype=np.uint64)
+        sets.append(np.unique(s))
+    names = [str(i).zfill(3).encode() for i in range(60)]
+    hot = spark.sparkContext.broadcast(np.zeros(0, np.uint64))
+    classes = spark.createDataFrame(
+        [(bytearray(k), int(s.size), bytearray(J.signature(s))) for k, s in zip(names, sets)], "node binary, n int, sig binary"
+    )
+    whole = spark.createDataFrame(
+        [(bytearray(k), bytearray(s.tobytes()), bytearray(J.prefix(s, hot.value).tobytes())) for k, s in zip(names, sets)],
+        "node binary, tokens binary, first binary",
+    )
+    members = spark.createDataFrame(
+        [(int(t), bytearray(k), int(s.size)) for k, s in zip(names, sets) for t in J.prefix(s, hot.value).view(np.int64)],
+        "token long, node binary, n int",
+    )
+    cuts = J.open_cuts(J.block_cuts(members)).cache()
     # The same members under a second token give nothing new.
-    slim = df.select("token", "node", "n")
-    cuts = J.open_cuts(J.block_cuts(slim.union(slim.withColumn("token", F.lit(2).cast("long")))), df)
-    assert {r.token for r in cuts.collect()} == {1}
-    whole = {(bytes(r.a), bytes(r.b)) for r in J.tree_candidates(cuts, df).collect()}
-    monkeypatch.setattr(J, "PAGE", 8)
-    paged = {(bytes(r.a), bytes(r.b)) for r in J.tree_candidates(cuts, df).collect()}
-    assert paged == whole and len(whole) == 60 * 59 // 2
-    one = df.withColumn("root", F.lit(b"x"))
-    assert J.open_cuts(J.block_cuts(slim), one).count() == 0
+    twice = J.block_cuts(members.union(members.withColumn("token", F.col("token") + 1)))
+    assert J.open_cuts(twice).count() == cuts.count() > 0
+    assert J.open_cuts(J.block_cuts(members.filter(F.col("node") == bytearray(names[0])))).count() == 0
+    want = {k: sum(J.linked_sets(s, t) for t in sets) - 1 for k, s in zip(names, sets)}
+    for page in (1024, 8):
+        monkeypatch.setattr(J, "PAGE", page)
+        paired = J.paired_sets(cuts, classes)
+        own = J.owned_sets(paired, classes, whole)
+        assert own.count() <= paired.count()
+        counted = J.count_in_groups(own, whole, hot).groupBy("node").agg(F.sum("links").alias("links"))
+        assert {bytes(r.node): r.links for r in counted.collect()} == {k: n for k, n in want.items() if n}
+
+
+def test_tokens_of_one_set_are_dropped(spark):
+    """Whatever the batches: rows once each, of tokens with several keys."""
+    from docloom.llm import ngramjoin as J
+
+    r = random.Random(5)
+    rows = [(r.randrange(60), r.randrange(4)) for _ in range(300)] + [(100, 7)] * 50 + [(101, i) for i in range(40)] + [(102, 1)]
+    df = spark.createDataFrame(rows, "token long, key long").repartition(4)
+    keys: dict = {}
+    for t, k in rows:
+        keys.setdefault(t, set()).add(k)
+    want = sorted((t, k) for t, ks in keys.items() if len(ks) > 1 for k in ks)
+    for size in (10_000, 7, 1):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            assert sorted(tuple(x) for x in J.shared_tokens(df).collect()) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_components(spark):
