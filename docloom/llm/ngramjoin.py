@@ -230,8 +230,8 @@ def linked_sets(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= 80 * (a.size + b.size - both)
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, hot) -> DataFrame:
-    """``node, tokens, first`` for ``nodes (node)``: the set and its first tokens.
+def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, hot=None) -> DataFrame:
+    """``node, tokens`` for ``nodes (node)``; with ``hot`` the first tokens only.
 
     The sets are made again from the texts of the classes' first documents; a sieve of
     their ids keeps most other rows out of the shuffle.
@@ -243,17 +243,17 @@ def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, hot) -> DataF
         member = space_words()
         for b in batches:
             keep = in_sieve(held.value, b.column(1).to_numpy(zero_copy_only=False))
-            names, sets, first = [], [], []
+            names, sets = [], []
             for s in _sets(b.column(0).filter(pa.array(keep)), member):
                 if s.size:
                     names.append(digest(s)[1])
-                    sets.append(s.tobytes())
-                    first.append(prefix(s, hot.value).tobytes())
-            columns = [pa.array(c, pa.binary()) for c in (names, sets, first)]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "tokens", "first"])
+                    sets.append((s if hot is None else prefix(s, hot.value)).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["node", "tokens"]
+            )
 
     made = docs.select(text_or_empty().alias("text"), F.xxhash64("doc_id").alias("h")).mapInArrow(
-        run, "node binary, tokens binary, first binary"
+        run, "node binary, tokens binary"
     )
     return made.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
@@ -292,6 +292,27 @@ def owned(token: int, first: list[np.ndarray], i: np.ndarray, j: np.ndarray) ->
     return overlaps([p[p.view(np.int64) < token] for p in first], i, j) == 0
 
 
+def most_common(first: list[np.ndarray], n: np.ndarray, hot: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The largest possible overlap of pairs by their first tokens.
+
+    Up to where the shorter reach of the two ends, in the common order, both sides are known;
+    beyond it the one that ends there has only the rest of its tokens.
+    """
+    last = np.array([p[-1] for p in first], np.uint64)
+    at = np.minimum(np.searchsorted(hot, last), max(hot.size - 1, 0))
+    frequent = hot[at] == last if hot.size else np.zeros(last.size, bool)
+    reach = np.empty(last.size, np.int64)
+    reach[np.lexsort((last, frequent))] = np.arange(last.size)
+    # Equal ends have equal reach.
+    same = np.unique(last, return_inverse=True)[1]
+    reach = np.minimum.reduceat(reach[np.argsort(same, kind="stable")], np.searchsorted(np.sort(same), np.arange(same.max() + 1)))[same]
+    rest = n - np.array([p.size for p in first], np.int64)
+    beyond = np.where(
+        reach[i] == reach[j], np.minimum(rest[i], rest[j]), np.where(reach[i] < reach[j], rest[i], rest[j])
+    )
+    return overlaps(first, i, j) + beyond
+
+
 def owned_links(token: int, sets: list[np.ndarray], hot: np.ndarray, i: np.ndarray, j: np.ndarray):
     """Those of the pairs of a block that link and that the block owns."""
     own = owned(token, [prefix(s, hot) for s in sets], i, j)
@@ -482,25 +503,26 @@ def paired_sets(cuts: DataFrame, sigs: DataFrame) -> DataFrame:
     return _dealt(cuts, sigs).mapInArrow(run, form)
 
 
-def owned_sets(paired: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+def owned_sets(paired: DataFrame, classes: DataFrame, firsts: DataFrame, hot) -> DataFrame:
     """The rows of ``paired`` whose group owns a likely pair of theirs.
 
     First tokens, a fifth of a set, decide that: near copies meet in many groups, one of which
-    owns the pair, and only there the whole sets are needed.
+    owns the pair, and only there the whole sets are needed.  They also bound the overlap.
     """
-    placed = paired.join(classes.select("node", "n", "sig"), "node").join(sets.select("node", "first"), "node")
+    firsts = firsts.select("node", F.col("tokens").alias("first"))
+    placed = paired.join(classes.select("node", "n", "sig"), "node").join(firsts, "node")
 
     def run(batches):
         for rows in _groups(batches, len(GROUP)):
             pages = rows.column("page").to_numpy()
             first = [np.frombuffer(t, np.uint64) for t in rows.column("first").to_pylist()]
-            i, j, _ = likely_pairs(
-                rows.column("n").to_numpy().astype(np.int64),
-                rows.column("sig").to_pylist(),
-                rows.column("home").to_numpy(zero_copy_only=False),
-            )
+            n = rows.column("n").to_numpy().astype(np.int64)
+            home = rows.column("home").to_numpy(zero_copy_only=False)
+            i, j, _ = likely_pairs(n, rows.column("sig").to_pylist(), home)
             keep = _across(pages, i, j)
             i, j = i[keep], j[keep]
+            keep = 9 * most_common(first, n, hot.value, i, j) >= 4 * (n[i] + n[j])
+            i, j = i[keep], j[keep]
             keep = owned(rows.column("token")[0].as_py(), first, i, j)
             at = np.unique(np.concatenate([i[keep], j[keep]]))
             if at.size:
@@ -629,9 +651,10 @@ def find_links(docs: DataFrame, profile: DataFrame, classes: DataFrame) -> DataF
     unstage(blocks)
     paired = staged(paired_sets(cuts, classes), "jaccard-paired")
     unstage(cuts)
-    sets = staged(sets_of(docs, classes, paired.select("node"), hot), "jaccard-sets")
-    own = staged(owned_sets(paired, classes, sets), "jaccard-owned")
-    unstage(paired)
+    firsts = staged(sets_of(docs, classes, paired.select("node"), hot), "jaccard-firsts")
+    own = staged(owned_sets(paired, classes, firsts, hot), "jaccard-owned")
+    unstage(paired, firsts)
+    sets = staged(sets_of(docs, classes, own.select("node")), "jaccard-sets")
     links = staged(count_in_groups(own, sets, hot), "jaccard-links")
     unstage(own, sets)
     return links

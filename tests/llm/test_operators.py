@@ -166,9 +166,9 @@ def test_hot_blocks_in_pages(spark, monkeypatch):
     classes = spark.createDataFrame(
         [(bytearray(k), int(s.size), bytearray(J.signature(s))) for k, s in zip(names, sets)], "node binary, n int, sig binary"
     )
-    whole = spark.createDataFrame(
-        [(bytearray(k), bytearray(s.tobytes()), bytearray(J.prefix(s, hot.value).tobytes())) for k, s in zip(names, sets)],
-        "node binary, tokens binary, first binary",
+    whole, firsts = (
+        spark.createDataFrame([(bytearray(k), bytearray(form(s).tobytes())) for k, s in zip(names, sets)], "node binary, tokens binary")
+        for form in (lambda s: s, lambda s: J.prefix(s, hot.value))
     )
     members = spark.createDataFrame(
         [(int(t), bytearray(k), int(s.size)) for k, s in zip(names, sets) for t in J.prefix(s, hot.value).view(np.int64)],
@@ -183,12 +183,31 @@ def test_hot_blocks_in_pages(spark, monkeypatch):
     for page in (1024, 8):
         monkeypatch.setattr(J, "PAGE", page)
         paired = J.paired_sets(cuts, classes)
-        own = J.owned_sets(paired, classes, whole)
+        own = J.owned_sets(paired, classes, firsts, hot)
         assert own.count() <= paired.count()
         counted = J.count_in_groups(own, whole, hot).groupBy("node").agg(F.sum("links").alias("links"))
         assert {bytes(r.node): r.links for r in counted.collect()} == {k: n for k, n in want.items() if n}
 
 
+def test_first_tokens_bound_the_overlap():
+    from docloom.llm import ngramjoin as J
+
+    rng = np.random.default_rng(11)
+    pool = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    hot = np.sort(pool[:40])
+    sets = [np.unique(rng.choice(pool, rng.integers(1, 120))) for _ in range(60)]
+    sets += [np.unique(np.concatenate([s[: int(s.size * 0.95)], rng.choice(pool, 2)])) for s in sets] + [hot[:9], hot[:10], hot[:10]]
+    first = [J.prefix(s, hot) for s in sets]
+    n = np.array([s.size for s in sets])
+    i, j = np.triu_indices(len(sets), 1)
+    most = J.most_common(first, n, hot, i, j)
+    both = np.array([np.intersect1d(sets[x], sets[y]).size for x, y in zip(i, j)])
+    assert (most >= both).all()
+    likely = 9 * most >= 4 * (n[i] + n[j])
+    links = np.array([J.linked_sets(sets[x], sets[y]) for x, y in zip(i, j)])
+    assert likely[links].all() and links.sum() > 20 and likely.sum() < 0.6 * len(i)
+
+
 def test_tokens_of_one_set_are_dropped(spark):
     """Whatever the batches: rows once each, of tokens with several keys."""
     from docloom.llm import ngramjoin as J
