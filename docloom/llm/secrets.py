@@ -20,8 +20,14 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # the least length of 20 as part of the pattern
 HEX = r"[0-9a-f]{24,}"  # runs are maximal either way
 ASSIGN_VALUE = 6
 # Weak parts.
-# It may follow NAME= directly, and has no greatest length.
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[^A-Z\s]*[A-Z])(?=[^a-z\s]*[a-z])[A-Za-z0-9+/_-]{32,}+"
+# It may follow NAME= directly, and has no greatest length.  It holds a digit and letters of
+# both cases; each test stays in the run it starts, so every character is passed a fixed
+# number of times however long the text is.
+WEAK_SECRET = (
+    r"(?<![A-Za-z0-9+/_-])"
+    r"(?=[A-Za-z+/_-]*+[0-9])(?=[0-9a-z+/_-]*+[A-Z])(?=[0-9A-Z+/_-]*+[a-z])"
+    r"[A-Za-z0-9+/_-]{32,}+"
+)
 WEAK_ID = r"""(?i)\b(?:user_?name|login|account_?id|client_?id|access_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
 ENDPOINT = r"""\b(?:https?|postgres|postgresql|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+"""
 
@@ -125,7 +131,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` for every row of ``docs``.
 
     A null text holds nothing.  Rows are told apart by id and text: repeated rows each get
-    the same result, and a null id keeps its row.  Further columns are ignored.
+    the same result, and a null id keeps its row.  Further columns are ignored.  Long texts
+    are read whole, in time that grows with their length.
     """
     scanned = staged(scan(docs), "secret-lengths")
     found = staged(spans(scanned), "secret-spans")
