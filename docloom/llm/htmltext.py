@@ -46,6 +46,12 @@ BOILERPLATE = frozenset(
     " masthead comment comments commentlist disqus respond replies related recommended recommendations"
     " widget widgets toolbar pagination pager search hidden copyright complementary contentinfo".split()
 )
+# Of these, the ones that also name wrappers of whole pages; so does an element form.
+LAYOUT = frozenset(
+    "sidebar aside header widget widgets modal overlay search login share sharing social toolbar".split()
+)
+# Class names that begin so tell what a wrapper has or lacks, not what it is.
+ABOUT = re.compile(r"(?:has|have|had|no|not|with|without)[-_]", re.I)
 ARTICLE = frozenset("article post entry story content main maincontent bodytext articlebody text".split())
 # A start tag of the key closes an open element of these, up to the nearest of the second set.
 ENDS = {
@@ -60,13 +66,45 @@ ENDS = {
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+# Why an element is left out of the article: for good, or unless the page's text is in it.
+KEPT, SOFT, HARD = 0, 1, 2
+HEADING = re.compile("h[1-6]")
+# Parts of a text; what they hold counts for the container they stand in.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption".split())
+
+
 class Node:
-    __slots__ = ("tag", "parent", "path", "dropped", "heading", "score", "bonus", "chars")
+    """An element: ``key`` stands for its path, ``weight`` is the text in it that may be article."""
+
+    __slots__ = ("tag", "parent", "step", "key", "own", "header", "heading", "named", "bonus", "score", "weight", "dropped", "home")
+
+    def __init__(self, tag: str, parent, step: str, own: int = KEPT, header: bool = False, bonus: float = 1.0):
+        self.tag, self.parent, self.step, self.own, self.header, self.bonus = tag, parent, step, own, header, bonus
+        self.key = hash((parent.key if parent else 0, step))
+        self.heading = header and bool(HEADING.fullmatch(tag))
+        self.named = tag in ("article", "main") or bool(parent and parent.named)
+        self.home = parent.home if parent and tag in PARTS else self
+        self.score = self.weight = 0.0
+        self.dropped = False
+
+    @property
+    def path(self) -> str:
+        steps, at = [], self
+        while at.parent is not None:
+            steps.append(at.step)
+            at = at.parent
+        return ">".join(reversed(steps))
 
-    def __init__(self, tag: str, parent, path: str, dropped: bool, heading: bool, bonus: float):
-        self.tag, self.parent, self.path = tag, parent, path
-        self.dropped, self.heading, self.bonus = dropped, heading, bonus
-        self.score = self.chars = 0.0
+
+def _key(path: str) -> int:
+    """What ``Node.key`` is along a path."""
+    key = hash((0, ROOT))
+    for step in path.split(">") if path else ():
+        key = hash((key, step))
+    return key
+
+
+ROOT = "#root"
 
 
 def _names(attributes: str) -> tuple[list[str], set[str], bool]:
@@ -82,7 +120,9 @@ def _names(attributes: str) -> tuple[list[str], set[str], bool]:
         if name in ("class", "id", "role"):
             if name == "class":
                 classes = value.split()
-            words.update(w.lower() for w in WORD.findall(value))
+            for token in value.split():
+                if not ABOUT.match(token):
+                    words.update(w.lower() for w in WORD.findall(token))
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             hidden = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -92,16 +132,34 @@ def _names(attributes: str) -> tuple[list[str], set[str], bool]:
 
 def _step(tag: str, classes: list[str]) -> str:
     """One generalised step of a path: the tag and its classes, digits made alike."""
-    plain = sorted({re.sub(r"\d+", "#", c) for c in classes})
+    plain = sorted({re.sub(r"\d+", "#", c).replace(">", "") for c in classes})
     return ".".join([tag, *plain])
 
 
+def _reason(tag: str, words: set[str], hidden: bool) -> int:
+    if hidden:
+        return HARD
+    if tag in ("html", "body", "main"):
+        return KEPT
+    odd = words & BOILERPLATE
+    if (tag in DROPPED and tag != "form") or not odd <= LAYOUT:
+        return HARD
+    return SOFT if odd or tag == "form" else KEPT
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
-    """Containers in page order, and the text blocks with the container each stands in."""
-    root = Node("#root", None, "", False, False, 0.0)
-    nodes, blocks, stack = [root], [], [root]
+    """Containers in page order, and the text blocks with the container each stands in.
+
+    Open elements are found by tag, and a node holds its own step of the path only, so time
+    and memory grow with the page, however deep it is nested or badly closed.
+    """
+    root = Node(ROOT, None, ROOT)
+    nodes, stack = [root], [root]
+    open_at: dict[str, list[int]] = {}  # tag to its places on the stack
+    blocks: list[tuple[Node, str, float]] = []
     parts: list[str] = []
     linked = in_link = 0
+    mute: list | None = None  # a hidden inline element: tag, open ones of it, depth of the stack
 
     def flush() -> None:
         nonlocal linked
@@ -109,29 +167,28 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                node = stack[-1]
-                blocks.append((node, text))
-                if not node.dropped:
-                    gain = max(0.0, len(text) - 2.0 * linked)
-                    # The parent has the text in full, those above ever less.
-                    share, at = 1.0, node if node.tag != "p" and not node.tag[1:].isdigit() else node.parent
-                    while at is not None and share > 0.05:
-                        at.score += gain * share
-                        share *= 0.5
-                        at = at.parent
+                blocks.append((stack[-1], text, max(0.0, len(text) - 2.0 * linked)))
         linked = 0
 
     def add(text: str) -> None:
         nonlocal linked
-        if text:
+        if text and mute is None:
             text = html.unescape(text) if "&" in text else text
             parts.append(text)
             if in_link:
                 linked += len(text)
 
     def close_to(index: int) -> None:
+        nonlocal mute
         flush()
+        for n in stack[index:]:
+            open_at[n.tag].pop()
         del stack[index:]
+        if mute is not None and mute[2] > index:
+            mute = None
+
+    def last(tags) -> int:
+        return max((open_at[t][-1] for t in tags if open_at.get(t)), default=0)
 
     at, size = 0, len(page)
     while at < size:
@@ -150,7 +207,16 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else size
             continue
+        attributes = m[3] or m[6] or ""
         if tag in INLINE:
+            if mute is not None:
+                if tag == mute[0]:
+                    mute[1] += -1 if closing else 1
+                    if mute[1] == 0:
+                        mute = None
+            elif not closing and tag not in VOID and ("hidden" in attributes or "display" in attributes):
+                if _names(attributes)[2]:
+                    mute = [tag, 1, len(stack)]
             if tag == "br":
                 parts.append(" ")
             elif tag == "a":
@@ -158,51 +224,89 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             continue
         in_link = 0
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close_to(k)
-                    break
+            k = last([tag])
+            if k:
+                close_to(k)
             else:
                 flush()
             continue
         flush()
         if stack[-1].tag == "p":
-            stack.pop()
+            close_to(len(stack) - 1)
         if tag in ENDS:
             same, bounds = ENDS[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in same:
-                    close_to(k)
-                    break
-                if stack[k].tag in bounds:
-                    break
+            k = last(same)
+            if k > last(bounds):
+                close_to(k)
         if tag in VOID:
             continue
-        classes, words, hidden = _names(m[3] or m[6] or "")
+        classes, words, hidden = _names(attributes)
         parent = stack[-1]
-        inside = any(n.tag in ("article", "main") for n in stack)
-        dropped = parent.dropped or hidden
-        heading = parent.heading
-        if tag not in ("html", "body", "main"):
-            dropped = dropped or tag in DROPPED or bool(words & BOILERPLATE)
-            if tag == "header" or "header" in words:
-                # A header of the page goes; that of an article keeps its headings.
-                if inside:
-                    heading = True
-                else:
-                    dropped = True
-        if heading and not parent.dropped and re.fullmatch("h[1-6]", tag):
-            dropped = False
-        elif heading:
-            dropped = True
+        own, header = _reason(tag, words, hidden), parent.header
+        if tag not in ("html", "body", "main") and (tag == "header" or "header" in words):
+            # A header of the page goes; that of an article keeps its headings.
+            if parent.named:
+                header = True
+            else:
+                own = max(own, HARD if tag == "header" else SOFT)
         bonus = 1.5 if tag in ("article", "main") else 1.2 if words & ARTICLE else 1.0
-        node = Node(tag, parent, f"{parent.path}>{_step(tag, classes)}" if parent.path else _step(tag, classes), dropped, heading, bonus)
-        if heading and re.fullmatch("h[1-6]", tag) and not hidden:
-            node.dropped = any(n.dropped and not n.heading for n in stack)
+        node = Node(tag, parent, _step(tag, classes), own, header, bonus)
         nodes.append(node)
+        open_at.setdefault(tag, []).append(len(stack))
         stack.append(node)
     flush()
-    return nodes, blocks
+    _drop(nodes, blocks)
+    for node, _, gain in blocks:
+        if not node.dropped:
+            # The container has the text in full, those above ever less.
+            share, at_ = 1.0, node.home
+            while at_ is not None and share > 0.05:
+                at_.score += gain * share
+                share *= 0.5
+                at_ = at_.parent
+    return nodes, [(node, text) for node, text, _ in blocks]
+
+
+def _drop(nodes: list[Node], blocks: list[tuple[Node, str, float]]) -> None:
+    """Says of every node whether it is left out.
+
+    An element that is only named like boilerplate stays where most of the text that may be
+    article is in it, and no article or main element outside of it has a fifth of that text.
+    """
+    hard: set[int] = set()
+    soft: dict[int, Node] = {}  # the outermost soft element around a node
+    for n in nodes:
+        above = n.parent
+        if n.own == HARD or (above is not None and id(above) in hard):
+            hard.add(id(n))
+        around = soft.get(id(above)) if above is not None else None
+        if around is None and n.own == SOFT:
+            around = n
+        if around is not None:
+            soft[id(n)] = around
+    total = clear = 0.0
+    for node, _, gain in blocks:
+        if id(node) not in hard:
+            node.weight += gain
+            total += gain
+            if node.named and id(node) not in soft:
+                clear += gain
+    for n in reversed(nodes):
+        if n.parent is not None and id(n) not in hard:
+            n.parent.weight += n.weight
+    rescue = total > 0 and clear < 0.2 * total
+    gone: set[int] = set()  # not even headings stay below these
+    for n in nodes:
+        above = n.parent
+        if above is None:
+            continue
+        out = n.own == HARD or (n.own == SOFT and not (rescue and 2 * n.weight > total))
+        lost = id(above) in gone
+        n.dropped = above.dropped or out
+        if n.header:
+            n.dropped = n.heading is False or n.own == HARD or lost
+        if lost or (n.dropped and not n.header) or (n.own == HARD and n.tag != "header"):
+            gone.add(id(n))
 
 
 def best_container(nodes: list[Node]) -> Node | None:
@@ -250,7 +354,8 @@ def extract(page: str, paths: list[str]) -> tuple[str, str]:
         return "\n".join(text for n, text in blocks if not n.dropped and inside(n))
 
     for path in paths:
-        text = under(lambda n: n.path == path and not n.dropped)
+        key = _key(path)
+        text = under(lambda n: n.key == key and not n.dropped)
         if text:
             return text, path
     best = best_container(nodes)
@@ -294,6 +399,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     The winners are sent to every task while they are small, and joined beyond
     ``BROADCAST_BYTES``.  A null page has the empty text; a null or odd address belongs to
     the empty host; repeated rows and null ids keep their rows; further columns are ignored.
+    Pages are read whole; one that is long, deep or never closed takes time and memory in
+    proportion.
     """
     winners = staged(host_paths(pages), "host-paths")
     size = winners.agg(F.sum(F.length("host") + F.length(F.array_join("paths", ",")) + 64)).first()[0] or 0

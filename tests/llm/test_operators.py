@@ -507,3 +507,78 @@ def test_secrets_in_long_texts(spark):
     assert {k: r.spans for k, r in got.items() if k in (1, 3, 4, 6, 7)} == dict.fromkeys((1, 3, 4, 6, 7), "")
     assert got[2].n_hex == 1 and got[5].spans == "access:0:20"
     assert got[8].spans == "access:600000:600020,weak_secret:600021:600064"
+
+
+LONG = "A paragraph with quite some words in it, and a comma or two."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<body><form id=aspnetForm action=x><div id=c><p>{LONG}</p><p>B</p></div></form></body>", f"{LONG}\nB"),
+        (f"<body><form class=search><p>Find it</p></form><div><p>{LONG}</p></div></body>", LONG),
+        (f"<body><div class='elementor-widget widget-text'><div><p>{LONG}</p></div></div></body>", LONG),
+        (f"<body><div class='widget'><p>{LONG}{LONG}{LONG}</p></div><article><p>{LONG}</p></article></body>", LONG),
+        (f"<body><div class='wrapper has-sidebar'><article><p>{LONG}</p></article></div></body>", LONG),
+        (f"<body><div class='page sidebar'><article><p>{LONG}</p></article></div></body>", LONG),
+        (f"<body><div class='comments'><p>{LONG}{LONG}{LONG}</p></div><div class=x><p>{LONG}</p></div></body>", LONG),
+        (f"<body><div class=x><p>{LONG}<span hidden>hid <span>den</span></span> end</p></div></body>", f"{LONG} end"),
+        (f"<body><div class=x><p>{LONG}<b style='display:none'>hid</p><p>seen</p></div></body>", f"{LONG}\nseen"),
+        (f"<article><header><h1>Title</h1><nav><h2>Menu</h2></nav><p>by</p></header><p>{LONG}</p></article>", f"Title\n{LONG}"),
+        (f"<div><p>{LONG}</p><ul><li>{LONG}<li>two<ul><li>three</ul><li>four</ul></div></div></div>", f"{LONG}\n{LONG}\ntwo\nthree\nfour"),
+    ],
+)
+def test_page_layouts(page, want):
+    from docloom.llm.htmltext import extract
+
+    assert extract(page, [])[0] == want
+
+
+def test_deep_and_broken_pages():
+    """Time and memory grow with a page, however it is nested or closed."""
+    import time
+    import tracemalloc
+
+    from docloom.llm.htmltext import extract, vote
+
+    n = 100_000
+    pages = ["<div class=a>" * n + "x", "<div>" * n + "</p>" * n, "<article><ul>" + "<div><li>a</li>" * n, "<span hidden>" * n, "<li>" * n]
+    began = time.time()
+    texts = [extract(p, ["div.a>div.a"])[0] for p in pages]
+    assert texts[0] == "x" and texts[2] == "\n".join("a" * n) and vote(pages[0])[0].count(">") == n - 1
+    assert time.time() - began < 60
+    tracemalloc.start()
+    extract(pages[0], [])
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
+def test_random_pages_of_known_articles(spark):
+    """Pages built around an article that is known, on hosts with a layout of their own."""
+    from docloom.llm.htmltext import extract_pages
+
+    r = random.Random(8)
+    hosts, pages, want = [], [], {}
+    for h in range(6):
+        hosts.append((r.choice(["article", "div class='story-{i}'", "section class='post'"]), r.choice(["", "<form>", "<div class='no-sidebar'>"])))
+    for i in range(120):
+        tag, outer = hosts[i % 6]
+        say = lambda k: " ".join(_word(r) for _ in range(k))
+        blocks = [say(r.randint(12, 40)) for _ in range(r.randint(2, 6))]
+        body = "".join(
+            r.choice(["<p>{}</p>", "<p class=x>{}", "<div>{}</div>", "<blockquote><p>{}</p></blockquote>"]).format(
+                b.replace(" ", r.choice([" ", "\n\t", "&#32;", " <b></b> "]), 1)
+            )
+            for b in blocks
+        )
+        junk = [
+            f"<nav><a href=/>{say(3)}</a></nav>", f"<aside>{say(5)}</aside>", f"<script>if (a < b) '{say(3)}'</script>",
+            f"<div class=cookie-notice>{say(6)}</div>", f"<div id=comments><p>{say(30)}</p></div>", f"<!-- {say(4)} -->",
+        ]
+        r.shuffle(junk)
+        body = f"<{tag.format(i=i)}>{body}</{tag.split()[0]}>"
+        page = f"<html><head><title>{say(2)}</title></head><body>{outer}{''.join(junk[:3])}{body}{''.join(junk[3:])}"
+        pages.append((i, f"https://h{i % 6}.example/{i}", page))
+        want[i] = "\n".join(blocks)
+    found = extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert {row.page_id: row.text for row in found.collect()} == want
