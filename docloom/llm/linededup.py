@@ -91,7 +91,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with ``_n_lines, _n_dropped, _kept`` (the text left) beside its columns."""
+    """``docs`` with ``_n_lines, _n_dropped, _kept`` (the text left) and ``_map_keep`` (its bitmap,
+    null where every line stays) beside its columns."""
     maps = bitmaps.select(
         F.col("doc_id").alias("_map_id"),
         F.col("mark").alias("_map_mark"),
@@ -120,7 +121,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
             "_n_dropped": F.coalesce("_map_dropped", F.lit(0)).cast("long"),
             "_kept": F.when(F.col("_map_keep").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n")),
         }
-    ).select(*docs.columns, "_n_lines", "_n_dropped", "_kept")
+    ).select(*docs.columns, "_n_lines", "_n_dropped", "_kept", "_map_keep")
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -139,7 +140,10 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``doc_id, n_lines, n_dropped, kept_sha256`` for every row of ``docs``.
+    """``doc_id, n_lines, n_dropped, kept_sha256, keep`` for every row of ``docs``.
+
+    ``keep`` writes the sparse bitmap as ``word:mask`` with the mask in hex, comma-joined by
+    word; it is empty where every line stays.
 
     A key in at least ``min_docs`` ids keeps its lines in the largest of them only.  A null
     text is one empty line.  Rows of one id count as one document, and each loses the same
@@ -148,11 +152,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     """
     slim = docs.select("doc_id", "text")
     done = apply_bitmaps(slim, keep_bitmaps(slim, min_chars, min_docs))
+    label = lambda w: F.concat_ws(":", w["word"], F.lpad(F.lower(F.hex(w["mask"])), 16, "0"))
     return done.select(
         "doc_id",
         F.col("_n_lines").alias("n_lines"),
         F.col("_n_dropped").alias("n_dropped"),
         F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"),
+        F.coalesce(F.array_join(F.transform("_map_keep", label), ","), F.lit("")).alias("keep"),
     )
 
 
@@ -172,8 +178,16 @@ WITH split AS (
 ), judged AS (
   SELECT k.doc_id, k.pos, k.line, r.key IS NOT NULL AND k.doc_id <> r.keeper AS gone
   FROM keyed k LEFT JOIN repeated r ON k.key = r.key
-)
+), words AS (
+  SELECT doc_id, pos // 64 AS word, ~bit_or(1::UBIGINT << (pos % 64)::UBIGINT) AS mask
+  FROM judged WHERE gone GROUP BY ALL
+), maps AS (
+  SELECT doc_id, string_agg(word || ':' || lower(lpad(to_hex(mask), 16, '0')), ',' ORDER BY word) AS keep
+  FROM words GROUP BY doc_id
+), done AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
+)
+SELECT d.*, coalesce(m.keep, '') AS keep FROM done d LEFT JOIN maps m USING (doc_id)
 """

@@ -299,6 +299,13 @@ def test_line_dedup(spark, docs, none):
     assert done.columns == docs.columns
     for r in done.collect():
         assert brute.sha(r.text or "") == want[r.doc_id][2]
+    # The bitmap alone gives the text.
+    texts = dict(DOCUMENTS)
+    for r in dedup_lines(docs).collect():
+        masks = {int(w): int(m, 16) for w, m in (p.split(":") for p in r["keep"].split(",") if p)}
+        lines = (texts[r.doc_id] or "").split("\n")
+        kept = [s for i, s in enumerate(lines) if masks.get(i // 64, -1) >> i % 64 & 1]
+        assert brute.sha("\n".join(kept)) == r.kept_sha256 and len(lines) - len(kept) == r.n_dropped
     assert dedup_lines(none).count() == 0
     line = "a line of more than twenty characters"
     rows = [(1, line), (1, line), (2, line), (None, line), (None, "\n" * 200 + line)]
