@@ -37,9 +37,13 @@ def inline_error(content: Column, max_bytes: int) -> Column:
     )
 
 
-def confinement_error(path: Column, roots: list[str]) -> Column:
-    """An empty list of roots admits nothing."""
-    asked = py_strip(path)
+def confinement_error(path: Column, roots: list[str], real_path: Column | None = None) -> Column:
+    """An empty list of roots admits nothing.
+
+    With ``real_path`` (``sources.tree.real_paths``) the place that the links on the way lead
+    to is what must lie under a root; ``roots`` are to be given resolved then.
+    """
+    asked = py_strip(path if real_path is None else real_path)
     shown = ", ".join(roots) or "(none)"
     return F.when(is_blank(path), F.lit("missing `path`")).when(
         ~N.within_roots(N.fold_path(asked), roots),
@@ -48,7 +52,8 @@ def confinement_error(path: Column, roots: list[str]) -> Column:
 
 
 def check_requests(
-    requests: DataFrame, roots: list[str], max_input_bytes: int, size: Column | None = None
+    requests: DataFrame, roots: list[str], max_input_bytes: int, size: Column | None = None,
+    real_path: Column | None = None,
 ) -> DataFrame:
     """Adds ``accepted``, ``error_code`` and ``error`` to every request.
 
@@ -57,7 +62,7 @@ def check_requests(
     """
     path, content = F.col("path"), F.col("content_base64")
     shape = request_shape_error(path, content)
-    by_path = confinement_error(path, roots)
+    by_path = confinement_error(path, roots, real_path)
     if size is not None:
         by_path = F.coalesce(by_path, size_error(size, max_input_bytes))
     rejected = F.when(F.length(content) > 0, inline_error(content, max_input_bytes)).otherwise(

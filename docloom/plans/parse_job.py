@@ -18,7 +18,7 @@ from docloom.operators import outcomes as X
 from docloom.operators.hook import Parser, decode_text, parse_documents
 from docloom.operators.results import shape_results
 from docloom.session import staged
-from docloom.sources import files
+from docloom.sources import files, tree
 from docloom.sources.containers import expand_archives
 
 RESULT_COLUMNS = ("path", "error_code", "error", "missing_dependencies", "result")
@@ -250,43 +250,70 @@ def parse_requests(
 def parse_folder(
     spark: SparkSession, root: str, limits: Limits = Limits(), parser: Parser = decode_text,
     office_readable: bool = True, options: str | None = None, host: Host = Host(),
-    asked: DataFrame | None = None,
+    asked: DataFrame | None = None, in_tasks: bool | None = None,
 ) -> DataFrame:
     """Results of all files under a folder: documents, archives and refusals.
 
     ``asked`` may give the options of single files (``path, options``).  Over-long files and
-    unreadable formats are refused from the listing alone, as are files whose names the
-    file source does not read.
+    unreadable formats are refused from the listing alone.  Tasks list and read the tree,
+    names that start with ``_`` or ``.`` included; a link that leads out of ``root`` is
+    refused, one that stays inside is read.  A root that tasks cannot open (``in_tasks``
+    overrides the guess) goes through Spark's file source, and there such names are refused.
     """
-    cap = limits.max_input_bytes
+    by_tasks = tree.opened_by_tasks(spark, root) if in_tasks is None else in_tasks
+    judge = _listed_folder if by_tasks else _scanned_folder
+    documents, packed, refusals = judge(spark, root, limits.max_input_bytes, office_readable)
 
     def with_asked(found: DataFrame) -> DataFrame:
         return found if asked is None else found.join(asked.select("path", "options"), "path", "left")
 
-    singles = parse_single(
-        with_asked(files.scan_documents(spark, root, cap)), limits, parser, office_readable, options, host
-    )
-    archives = parse_archives(
-        with_asked(files.scan_archives(spark, root, cap)), limits, parser, office_readable, options, host
+    singles = parse_single(with_asked(documents), limits, parser, office_readable, options, host)
+    archives = parse_archives(with_asked(packed), limits, parser, office_readable, options, host)
+    refused = _refused(
+        refusals, F.col("refusal.error_code"), F.col("refusal.error"),
+        F.col("refusal.missing_dependencies"), singles,
     )
+    return singles.unionByName(archives).unionByName(refused)
+
+
+def _refusal(cap: int, office_readable: bool) -> Column:
+    """What the listing alone says against a file (``path, length``), or null."""
     name = N.base_name(F.col("path"))
-    route = X.preflight(name, office_readable)
     too_long = I.size_error(F.col("length"), cap)
-    refusal = F.coalesce(
+    return F.coalesce(
         F.when(too_long.isNotNull(), X.failure(X.INPUT_REJECTED, too_long)),
-        F.when(~N.is_archive_name(name) & N.format_class(N.extension(name)).isNull(), route),
+        F.when(
+            ~N.is_archive_name(name) & N.format_class(N.extension(name)).isNull(), X.preflight(name, office_readable)
+        ),
+    )
+
+
+def _listed_folder(spark: SparkSession, root: str, cap: int, office_readable: bool) -> list[DataFrame]:
+    """``path, content`` of documents and of archives, ``path, refusal`` of the rest; by tasks."""
+    outside = tree.leads_out(spark, root)
+    out = X.failure(X.INPUT_REJECTED, X.message("`", F.col("path"), "` leads out of its folder"))
+    shut = X.failure(X.INPUT_REJECTED, X.message("cannot open `", F.col("path"), "`"))
+    judged = tree.list_tree(spark, root).where(outside | ~tree.linked_folder()).withColumn(
+        "refusal",
+        F.coalesce(
+            F.when(outside, out), F.when(~F.col("readable"), shut), _refusal(cap, office_readable)
+        ),
     )
+    kept, packed = judged.where("refusal is null").select("path", "length"), N.is_archive_name(F.col("path"))
+    read = [tree.read_tree(kept.where(part)).select("path", "content") for part in (~packed, packed)]
+    return [*read, judged.where("refusal is not null").select("path", "refusal")]
+
+
+def _scanned_folder(spark: SparkSession, root: str, cap: int, office_readable: bool) -> list[DataFrame]:
+    """The same through Spark's file source."""
+    read = [scan(spark, root, cap).select("path", "content") for scan in (files.scan_documents, files.scan_archives)]
     unread = X.failure(
         X.INPUT_REJECTED, F.lit("a file or folder name that starts with `_` or `.` is not read")
     )
-    listing = (
+    refusals = (
         files.list_documents(spark, root)
-        .withColumn("refusal", refusal)
+        .withColumn("refusal", _refusal(cap, office_readable))
         .where("refusal is not null")
         .unionByName(files.hidden_files(spark, root).withColumn("refusal", unread))
     )
-    refused = _refused(
-        listing, F.col("refusal.error_code"), F.col("refusal.error"),
-        F.col("refusal.missing_dependencies"), singles,
-    )
-    return singles.unionByName(archives).unionByName(refused)
+    return [*read, refusals.select("path", "refusal")]

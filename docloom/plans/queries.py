@@ -21,11 +21,11 @@ from docloom.operators import outputs as G
 from docloom.operators import results as R
 from docloom.operators.hook import decode_text
 from docloom.plans import inputs as inp
-from docloom.plans.collect_outputs import results_of_outputs
+from docloom.plans.collect_outputs import collect_outputs as collect_tree
 from docloom.plans.parse_job import parse_archives, parse_single
 from docloom.plans.parse_job import parse_requests as run_requests
 from docloom.session import stage_path
-from docloom.sources import files, sinks
+from docloom.sources import files, sinks, tree
 from docloom.sources.containers import expand_archives, register_expand_archive
 from docloom.streaming.documents import shape_stream, write_stream
 from docloom.streaming.jobs import compact_folds, latest_jobs, start_job_fold
@@ -393,15 +393,12 @@ def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def collect_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Output trees of parses to results: markdown, page counts and failures."""
-    written = inp.output_files(spark, sf_dir)
-    parses = inp.parses(spark, sf_dir)
-    return results_of_outputs(
-        written.where(F.endswith("file", F.lit(".md"))),
-        written.where(F.endswith("file", F.lit("_content_list.json"))),
-        parses,
-        Limits(max_output_bytes=SHARED_BUDGET),
-    )
+    """Output trees of parses, written as files in hidden folders and scanned back, to results:
+    markdown, page counts and failures."""
+    root = stage_path(spark, "parse-outputs")
+    inside = F.concat(F.col("parse_id").cast("string"), F.lit("/.run/_out/"), "file")
+    tree.write_tree(inp.output_files(spark, sf_dir).select(inside.alias("file"), "content"), root)
+    return collect_tree(spark, root, inp.parses(spark, sf_dir), Limits(max_output_bytes=SHARED_BUDGET))
 
 
 def parse_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

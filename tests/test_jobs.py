@@ -81,11 +81,12 @@ def test_inline_requests(spark):
     assert {v.metadata.parse_backend for v in seen.values()} == {"hybrid-engine"}
 
 
-def test_files_with_odd_names_are_refused_not_lost(spark, tmp_path):
+def test_files_with_odd_names_are_refused_by_sparks_source(spark, tmp_path):
     for name in ("a.pdf", "_b.pdf", ".c.pdf", "_d/e.pdf"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_bytes(b"x")
-    rows = {os.path.relpath(r.path.removeprefix("file:"), tmp_path): r.error_code for r in parse_folder(spark, str(tmp_path)).collect()}
+    found = parse_folder(spark, str(tmp_path), in_tasks=False).collect()
+    rows = {os.path.relpath(r.path.removeprefix("file:"), tmp_path): r.error_code for r in found}
     assert rows == {"a.pdf": None, "_b.pdf": "input_rejected", ".c.pdf": "input_rejected", "_d/e.pdf": "input_rejected"}
 
 

@@ -128,7 +128,7 @@ def test_collect_hidden_outputs(spark, tmp_path):
     put("p4/doc.md", b"kept")
     put("p4/_content_list.json", b'[{"page_idx": 2}]')
     parses = spark.createDataFrame([(p, "doc.pdf", b"") for p in ("_b", "p1", "p2", "p3", "p4", "p5")], "parse_id string, filename string, log binary")
-    got = {r.parse_id: tuple(r)[2:] for r in collect_outputs(spark, str(tmp_path), parses).collect()}
+    got = {r.parse_id: tuple(r)[2:] for r in collect_outputs(spark, str(tmp_path), parses, in_tasks=False).collect()}
     unread = "a file name that starts with `_` or `.` is not read: `%s`"
     assert got == {
         "_b": ("_b", 3, None, None),
@@ -138,3 +138,13 @@ def test_collect_hidden_outputs(spark, tmp_path):
         "p4": ("kept", None, "input_rejected", unread % "p4/_content_list.json"),
         "p5": (None, None, "parse_failed", "the parser wrote no markdown for `doc.pdf`"),
     }
+    # Tasks read names of every kind.
+    got = {r.parse_id: tuple(r)[2:] for r in collect_outputs(spark, str(tmp_path), parses).collect()}
+    assert got == {
+        "_b": ("_b", 3, None, None),
+        "p1": ("p1/.c/d/_e", 3, None, None),
+        "p2": ("p2", 3, None, None),
+        "p3": ("alone", None, None, None),
+        "p4": ("kept", 3, None, None),
+        "p5": (None, None, "parse_failed", "the parser wrote no markdown for `doc.pdf`"),
+    }
