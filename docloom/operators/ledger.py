@@ -162,26 +162,48 @@ def apply_cancels(jobs: DataFrame, cancels: DataFrame) -> DataFrame:
     )
 
 
+# Up to so many jobs are picked as one top-k; more are ranked by ranges of this size.
+TOP_ROWS = 100_000
+RANGE_ROWS = 500_000
+
+
 def retain_jobs(jobs: DataFrame, max_jobs: int) -> DataFrame:
     """Drops the oldest terminal jobs while over ``max_jobs``; live ones stay.
 
     The ledger is written first, as it is read twice.  Dropping the oldest
-    ``n - max_jobs`` terminal jobs keeps the newest ``max_jobs - live`` of them, so a
-    bounded top-k of slim ``(created_at, job_id)`` keys finds the oldest key that stays;
-    rows with payload are only filtered by it.
+    ``n - max_jobs`` terminal jobs keeps the newest ``max_jobs - live`` of them, so the
+    oldest key that stays is found among slim ``(created_at, job_id)`` keys; rows with
+    payload are only filtered by it.
     """
     jobs = staged(jobs, "ledger")
     terminal = F.col("status").isin(*TERMINAL)
-    live = jobs.agg(F.count_if(~terminal)).first()[0]
+    live, done = jobs.agg(F.count_if(~terminal), F.count_if(terminal)).first()
     room = max(max_jobs - live, 0)
     if not room:
         return jobs.where(~terminal)
-    newest = (
-        jobs.where(terminal)
-        .select("created_at", "job_id")
-        .orderBy(F.desc("created_at"), F.desc("job_id"))
-        .limit(room)
-    )
-    oldest = newest.agg(F.min(F.struct("created_at", "job_id")).alias("key"))
-    key = oldest.select("key").scalar()
+    if room >= done:
+        return jobs
+    key = _oldest_kept(jobs.where(terminal).select("created_at", "job_id"), room, done).scalar()
     return jobs.where(~terminal | (F.struct("created_at", "job_id") >= key))
+
+
+def _oldest_kept(keys: DataFrame, room: int, total: int) -> DataFrame:
+    """The ``room``-th newest key, a row of one struct.
+
+    A small ``room`` is a top-k that every task cuts down first.  For a large one the keys are
+    dealt out by ranges, newest first; the counts of the ranges tell which of them holds the
+    key, and only that one, about ``RANGE_ROWS`` keys, is sorted.
+    """
+    newest = [F.desc("created_at"), F.desc("job_id")]
+    if room > TOP_ROWS:
+        parts = -(-total // RANGE_ROWS)
+        ranged = staged(
+            keys.repartitionByRange(parts, *newest).withColumn("range", F.spark_partition_id()), "ledger-ranges"
+        )
+        for at, n in sorted(ranged.groupBy("range").count().collect()):  # one row per range
+            if room <= n:
+                break
+            room -= n
+        keys = ranged.where(F.col("range") == at)
+    kept = keys.select("created_at", "job_id").orderBy(*newest).limit(room)
+    return kept.agg(F.min(F.struct("created_at", "job_id")).alias("key")).select("key")

@@ -691,6 +691,7 @@ def all_sql() -> dict[str, str]:
     sql["archive_assembly"] = _assembly(q.ARCHIVE_BUDGET)
     sql["archive_uncut"] = _assembly(8 * 1024 * 1024)
     sql["document_stream"] = sql["document_scan"]
+    sql["result_sink_committed"] = sql["result_sink"]
     backend = "CASE request_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'vlm-engine' ELSE 'hybrid-engine' END"
     sql["parse_requests"] = (
         f"SELECT * REPLACE (nullif(error_code, 'none') AS error_code, CASE WHEN parse_backend IS NOT NULL THEN {backend} END"

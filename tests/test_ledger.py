@@ -78,6 +78,17 @@ def test_retention_matches_eviction(spark):
     assert L.retain_jobs(jobs(spark, *live), 4).count() == 9
 
 
+def test_retention_by_ranges(spark, monkeypatch):
+    """With room for many jobs no task sorts them all; ties in time go by id."""
+    monkeypatch.setattr(L, "TOP_ROWS", 3)
+    monkeypatch.setattr(L, "RANGE_ROWS", 40)
+    rng = random.Random(6)
+    for n, limit in [(300, 100), (300, 299), (300, 301), (200, 60), (50, 45)]:
+        table = [(i, rng.choice(["running", *sorted(DONE)]), rng.choice([3, rng.randint(0, 9)]), None, None) for i in range(n)]
+        kept = L.retain_jobs(jobs(spark, *table), limit)
+        assert {r.job_id for r in kept.collect()} == evict(table, limit)
+
+
 def test_listing_and_lookup(spark):
     df = jobs(spark, (2, "queued", 5, None, None), (1, "queued", 5, None, None), (3, "queued", 1, None, None)).withColumn("result", F.lit("big"))
     listed = L.job_listing(df)
