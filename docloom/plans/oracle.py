@@ -697,7 +697,7 @@ def all_sql() -> dict[str, str]:
         f"SELECT * REPLACE (nullif(error_code, 'none') AS error_code, CASE WHEN parse_backend IS NOT NULL THEN {backend} END"
         f" AS parse_backend) FROM ({parse_requests()})"
     )
-    sql["archive_expand_sql"] = sql["archive_expand"]
+    sql["archive_expand_sql"] = sql["archive_expand_files"] = sql["archive_expand"]
     sql["parse_job_documents"] = _single("path")
     sql["parse_job_supervised"] = _supervised()
     sql["doc_stream"] = _single("doc_id")

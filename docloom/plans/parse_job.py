@@ -19,7 +19,7 @@ from docloom.operators.hook import Parser, decode_text, parse_documents
 from docloom.operators.results import shape_results
 from docloom.session import staged
 from docloom.sources import files, tree
-from docloom.sources.containers import expand_archives
+from docloom.sources.containers import expand_archives, expand_files
 
 RESULT_COLUMNS = ("path", "error_code", "error", "missing_dependencies", "result")
 
@@ -119,11 +119,13 @@ def parse_archives(
 ) -> DataFrame:
     """``path, content`` and perhaps ``options`` of archives to one result each.
 
+    With ``path, length`` in place of contents, tasks open the archive files themselves.
     Entries and parsed members are each written once; unsafe archives are out
     before anything of them is parsed.  The members of an archive share one time budget.
     """
     cap = limits.max_archive_members
-    entries = staged(expand_archives(archives, cap, limits.max_archive_bytes), "entries")
+    expand = expand_archives if "content" in archives.columns else expand_files
+    entries = staged(expand(archives, cap, limits.max_archive_bytes), "entries")
     verdicts = staged(A.archive_verdicts(entries, cap, limits.max_archive_bytes), "verdicts")
     asked = archives.select(F.col("path").alias("archive"), *[c for c in archives.columns if c == "options"])
     safe = verdicts.where("error_code is null").select("archive").join(asked, "archive")
@@ -289,7 +291,7 @@ def _refusal(cap: int, office_readable: bool) -> Column:
 
 
 def _listed_folder(spark: SparkSession, root: str, cap: int, office_readable: bool) -> list[DataFrame]:
-    """``path, content`` of documents and of archives, ``path, refusal`` of the rest; by tasks."""
+    """``path, content`` of documents, ``path, length`` of archives, ``path, refusal`` of the rest."""
     outside = tree.leads_out(spark, root)
     out = X.failure(X.INPUT_REJECTED, X.message("`", F.col("path"), "` leads out of its folder"))
     shut = X.failure(X.INPUT_REJECTED, X.message("cannot open `", F.col("path"), "`"))
@@ -300,12 +302,12 @@ def _listed_folder(spark: SparkSession, root: str, cap: int, office_readable: bo
         ),
     )
     kept, packed = judged.where("refusal is null").select("path", "length"), N.is_archive_name(F.col("path"))
-    read = [tree.read_tree(kept.where(part)).select("path", "content") for part in (~packed, packed)]
-    return [*read, judged.where("refusal is not null").select("path", "refusal")]
+    read = tree.read_tree(kept.where(~packed)).select("path", "content")
+    return [read, kept.where(packed), judged.where("refusal is not null").select("path", "refusal")]
 
 
 def _scanned_folder(spark: SparkSession, root: str, cap: int, office_readable: bool) -> list[DataFrame]:
-    """The same through Spark's file source."""
+    """The same through Spark's file source, archives with ``content``."""
     read = [scan(spark, root, cap).select("path", "content") for scan in (files.scan_documents, files.scan_archives)]
     unread = X.failure(
         X.INPUT_REJECTED, F.lit("a file or folder name that starts with `_` or `.` is not read")

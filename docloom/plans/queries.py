@@ -26,7 +26,7 @@ from docloom.plans.parse_job import parse_archives, parse_single
 from docloom.plans.parse_job import parse_requests as run_requests
 from docloom.session import stage_path
 from docloom.sources import files, sinks, tree
-from docloom.sources.containers import expand_archives, register_expand_archive
+from docloom.sources.containers import expand_archives, expand_files, register_expand_archive
 from docloom.streaming.documents import shape_stream, write_stream
 from docloom.streaming.jobs import compact_folds, latest_jobs, start_job_fold
 from docloom.streaming.timers import current_jobs, start_job_timers
@@ -432,6 +432,17 @@ def archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def archive_expand_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from archive files, whose members are dealt out before they are read."""
+    root = stage_path(spark, "archive-files")
+    tree.write_tree(inp.packed_archives(spark, sf_dir).select(F.concat(F.lit("_in"), "path").alias("file"), "content"), root)
+    entries = expand_files(tree.list_tree(spark, root), MAX_MEMBERS)
+    return entries.select(
+        F.substring_index("archive", root + "/_in", -1).alias("archive"),
+        "container", "ordinal", "name", "kind", "declared_size", F.md5("content").alias("digest"), "error",
+    )
+
+
 def archive_expand_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as a table function."""
     register_expand_archive(spark)
@@ -601,7 +612,7 @@ def all_queries() -> dict[str, Query]:
             clip_bytes, shared_budget, error_tail, lossy_read, result_record, pick_markdown,
             page_count, page_window, no_output, job_snapshot, job_listing, job_lookup,
             job_deadline, job_cancel, job_retention, job_retention_default,
-            document_scan, document_stream, collect_outputs, parse_requests, output_scan, archive_expand, archive_expand_sql,
+            document_scan, document_stream, collect_outputs, parse_requests, output_scan, archive_expand, archive_expand_files, archive_expand_sql,
             parse_job_documents, parse_job_supervised, parse_job_archives, archive_ceiling, result_sink, result_sink_committed, doc_stream, job_stream, job_stream_timers, job_stream_retained,
         )
     }

@@ -7,10 +7,12 @@ Column expressions in ``operators.archive``.
 
 from __future__ import annotations
 
+import contextlib
 import io
 import tarfile
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,7 @@ from docloom.operators.archive import (
     DIRECTORY, EMPTY, FILE, HARDLINK, SPECIAL, SYMLINK, UNREADABLE,
 )
 from docloom.operators.outcomes import INPUT_REJECTED, PARSE_FAILED
+from docloom.sources import tree
 
 ENTRY_FIELDS = (
     "container string, ordinal bigint, name string, kind string, declared_size bigint, "
@@ -86,7 +89,15 @@ def read_entries(
     label: str, content: bytes, max_members: int, max_bytes: int
 ) -> Iterator[tuple]:
     """Rows of ``ENTRY_COLUMNS`` for one archive, in archive order."""
-    blob = io.BytesIO(content)
+    for row in _entries(label, io.BytesIO(content), max_members, max_bytes, False):
+        yield row[:-1]
+
+
+def _entries(label: str, blob: BinaryIO, max_members: int, max_bytes: int, later: bool) -> Iterator[tuple]:
+    """Rows of ``ENTRY_COLUMNS`` and whether the bytes are still to be read.
+
+    Only entries of a zip can be left for ``later``, as each can be opened by itself.
+    """
     if zipfile.is_zipfile(blob):
         container, listing = "zip", _zip_listing
     else:
@@ -94,30 +105,40 @@ def read_entries(
         try:
             known = tarfile.is_tarfile(blob)
         except (OSError, tarfile.TarError) as exc:
-            yield ("none", 0, "", UNREADABLE, 0, None, INPUT_REJECTED, f"archive cannot be opened: {exc}")
+            yield ("none", 0, "", UNREADABLE, 0, None, INPUT_REJECTED, f"archive cannot be opened: {exc}", False)
             return
         if not known:
             text = f"`{label}` opens neither as zip nor as tar"
-            yield ("none", 0, "", UNREADABLE, 0, None, INPUT_REJECTED, text)
+            yield ("none", 0, "", UNREADABLE, 0, None, INPUT_REJECTED, text, False)
             return
         container, listing = "tar", _tar_listing
     blob.seek(0)
     ordinal, used = 0, 0
+    later = later and container == "zip"
     try:
         for name, kind, size, opener in listing(blob, max_members):
             data, code, error = None, None, None
             used += size if kind == FILE else 0
-            if kind == FILE and opener is not None and used <= max_bytes:
-                try:
-                    data = _bounded(opener(), max_bytes)
-                except Exception as exc:  # one bad member must not fail the task
-                    code, error = _failed(exc)
-            yield (container, ordinal, name, kind, size, data, code, error)
+            wanted = kind == FILE and opener is not None and used <= max_bytes
+            if wanted and not later:
+                data, code, error = _read(opener, max_bytes)
+            yield (container, ordinal, name, kind, size, data, code, error, wanted and later)
             ordinal += 1
         if ordinal == 0:
-            yield (container, -1, "", EMPTY, 0, None, None, None)
+            yield (container, -1, "", EMPTY, 0, None, None, None, False)
     except Exception as exc:  # the container breaks off here
-        yield (container, ordinal, "", UNREADABLE, 0, None, *_failed(exc))
+        yield (container, ordinal, "", UNREADABLE, 0, None, *_failed(exc), False)
+
+
+def _read(opener, ceiling: int) -> tuple[bytes | None, str | None, str | None]:
+    try:
+        return _bounded(opener(), ceiling), None, None
+    except Exception as exc:  # one bad member must not fail the task
+        return None, *_failed(exc)
+
+
+def _frame(rows: list[tuple], *more: str) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["archive", *ENTRY_COLUMNS, *more])
 
 
 def expand_archives(
@@ -131,9 +152,6 @@ def expand_archives(
     batch of entries at a time.
     """
 
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=["archive", *ENTRY_COLUMNS])
-
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, held = [], 0
         for batch in batches:
@@ -143,16 +161,71 @@ def expand_archives(
                     rows.append((path, *entry))
                     held += len(entry[5] or b"")
                     if held >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
-                        yield frame(rows)
+                        yield _frame(rows)
                         rows, held = [], 0
         if rows:
-            yield frame(rows)
+            yield _frame(rows)
 
     return archives.select("path", "content").mapInPandas(
         expand, schema=f"archive string, {ENTRY_FIELDS}"
     )
 
 
+def expand_files(
+    listing: DataFrame,
+    max_members: int = Limits.max_archive_members,
+    max_bytes: int = Limits.max_archive_bytes,
+) -> DataFrame:
+    """``path, length`` of archive files that tasks can open, to the rows of ``expand_archives``.
+
+    No archive is ever whole in memory.  Of a zip only the directory at its end is read first;
+    its members are dealt out to all tasks, and each reads its own bytes.  A tar can only be
+    read in order: one task streams it, a member at a time, up to the caps.
+    """
+
+    def head(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, held = [], 0
+        for batch in batches:
+            for path in batch["path"]:
+                with tree.open_file(path) as blob:
+                    for entry in _entries(path.rsplit("/", 1)[-1], blob, max_members, max_bytes, True):
+                        rows.append((path, *entry))
+                        held += len(entry[5] or b"")
+                        if held >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
+                            yield _frame(rows, "later")
+                            rows, held = [], 0
+        if rows:
+            yield _frame(rows, "later")
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with contextlib.ExitStack() as last:
+            at = archive = infos = None
+            rows, held = [], 0
+            for batch in batches:
+                for path, *entry, later in batch.itertuples(index=False, name=None):
+                    if later:
+                        if path != at:
+                            last.close()
+                            archive = last.enter_context(zipfile.ZipFile(last.enter_context(tree.open_file(path))))
+                            at, infos = path, archive.infolist()
+                        entry[5:] = _read(lambda i=infos[entry[1]]: archive.open(i), max_bytes)  # noqa: B023
+                    rows.append((path, *entry))
+                    held += len(entry[5] or b"")
+                    if held >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
+                        yield _frame(rows)
+                        rows, held = [], 0
+            if rows:
+                yield _frame(rows)
+
+    tasks = tree.reading_tasks(listing)
+    cores = listing.sparkSession.sparkContext.defaultParallelism
+    heads = listing.select("path").repartition(tasks, "path").mapInPandas(
+        head, schema=f"archive string, {ENTRY_FIELDS}, later boolean"
+    )
+    dealt = heads.repartition(max(tasks, cores), "archive", "ordinal").sortWithinPartitions("archive", "ordinal")
+    return dealt.mapInPandas(fill, schema=f"archive string, {ENTRY_FIELDS}")
+
+
 @udtf(returnType=ENTRY_FIELDS, useArrow=True)
 class ExpandArchive:
     """``SELECT e.* FROM files, LATERAL expand_archive(path, content) e``.

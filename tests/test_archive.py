@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from docloom.operators import archive as A
 from docloom.sources.containers import (
-    TooLarge, _bounded, _failed, expand_archives, register_expand_archive,
+    TooLarge, _bounded, _failed, expand_archives, expand_files, register_expand_archive,
 )
+from docloom.sources import tree
 
 MEMBER = "archive string, ordinal bigint, name string, markdown string, page_count bigint, error_code string, error string"
 ENTRY = "archive string, container string, ordinal bigint, name string, kind string, declared_size bigint"
@@ -67,6 +68,37 @@ def test_expand_keeps_order_and_bytes(spark):
     assert rows[7].error == "`d.zip` opens neither as zip nor as tar"
 
 
+def test_files_expand_like_contents(spark, tmp_path):
+    """Members read by themselves give what whole archives give, broken ones included."""
+    good = zipped(("d/", b""), ("d/x.pdf", b"one"), ("y.pdf", b"two" * 5000), ("y.pdf", b"again"), ("l", b"a", 0o120777))
+    broken = bytearray(good)
+    broken[good.index(b"twotwo") + 7] ^= 1  # a checksum that fails
+    blobs = {
+        "a.zip": good, "_b.zip": bytes(broken), "c.zip": good[: len(good) // 2], "d.zip": b"no archive", "e.zip": b"",
+        "f.zip": zipped(), "g.zip": zipped(*[(f"{i}.pdf", str(i).encode()) for i in range(12)]),
+        "h.zip": zipped(*[(f"{i}.pdf", b"x" * 90) for i in range(9)]), "i.zip": zipped(("big.pdf", b"0" * 900)),
+        **{f"t{n}.tar": tarred(("d", b"", tarfile.DIRTYPE), ("d/x.pdf", b"one"), ("y", b"", tarfile.SYMTYPE), mode=m) for n, m in enumerate(("w", "w:gz", "w:bz2", "w:xz"))},
+        "u.tgz": tarred(*[(f"{i}.pdf", random.Random(i).randbytes(300)) for i in range(30)], mode="w:gz")[:4000],
+        "v.tar": tarred(*[(f"{i}.pdf", b"x") for i in range(12)], mode="w"),
+    }
+    rows = [(name, bytearray(data)) for name, data in blobs.items()]
+    tree.write_tree(spark.createDataFrame(rows, "file string, content binary"), str(tmp_path / "in"))
+    listing = tree.list_tree(spark, str(tmp_path / "in"))
+    for caps in ({"max_members": 10, "max_bytes": 800}, {"max_members": 100, "max_bytes": 1 << 20}):
+        whole = {(r.archive, r.ordinal): tuple(r)[1:] for r in expand(spark, blobs, **caps).collect()}
+        found = expand_files(listing, **caps)
+        got = [(r.archive.rsplit("/", 1)[1], r.ordinal, tuple(r)[1:]) for r in found.collect()]
+        assert len(got) == len(whole) and {(a, n): r for a, n, r in got} == whole
+
+
+def test_members_of_one_file_are_read_by_many_tasks(spark, tmp_path):
+    data = zipped(*[(f"{i:03}.pdf", random.Random(i).randbytes(20_000)) for i in range(200)])
+    (tmp_path / "one.zip").write_bytes(data)
+    found = expand_files(tree.list_tree(spark, str(tmp_path)))
+    held = found.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("content")).alias("n")).collect()
+    assert len(held) >= 4 and max(r.n for r in held) < len(data) // 2 and sum(r.n for r in held) == 200 * 20_000
+
+
 def test_verdicts(spark):
     ok = ("a.pdf", b"x")
     blobs = {
