@@ -537,9 +537,8 @@ def result_sink_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = inp.table(spark, sf_dir, "documents").schema
-    arriving = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-    ).select(
+    # A pattern, since a table may be one file or a folder of files.
+    arriving = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parquet*").select(
         "doc_id",
         F.concat(F.lit("/data/"), "source", F.lit("/"), inp.file_name()).alias("path"),
         inp.markdown().alias("markdown"),
