@@ -37,6 +37,24 @@ def test_document_stream_takes_each_file_once(spark, tmp_path):
     assert drain() == ["One", "Two"]
 
 
+def test_many_small_files_run_no_listing_jobs(spark, tmp_path):
+    """A batch of more files than Spark lists without a job costs its scan and no more tasks."""
+    inbox, out, log = (str(tmp_path / d) for d in ("in", "out", "log"))
+    (tmp_path / "in").mkdir()
+    for i in range(450):
+        (tmp_path / "in" / f"{i:03}.pdf").write_text(str(i))
+    held = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    before, tracker = spark.conf.get(held), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("", "")
+    arriving = files.stream_documents(spark, inbox, files_per_batch=150)
+    with D.many_files(spark):
+        query = D.write_stream(arriving.select(F.col("content").cast("string").alias("n")), out, log)
+        query.awaitTermination()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup(query.runId) for s in tracker.getJobInfo(j).stageIds]
+    assert len(tasks) == 3 and max(tasks) < 150 and spark.conf.get(held) == before
+    assert sorted(int(r.n) for r in spark.read.parquet(out).collect()) == list(range(450))
+
+
 def test_files_are_parsed_as_they_arrive(spark, tmp_path):
     inbox, out, log = (str(tmp_path / d) for d in ("in", "out", "log"))
     (tmp_path / "in").mkdir()

@@ -87,6 +87,30 @@ def test_write_tree_again_leaves_one_whole_file(spark, tmp_path):
     assert sorted((r.path.rsplit("/t/")[1], bytes(r.content)) for r in got) == [("_a/b.md", b"1"), ("c", b"")]
 
 
+def test_scan_in_tasks_takes_no_listing_of_the_driver(spark, small, tmp_path):
+    from docloom.plans import queries
+    from docloom.sources import files
+
+    for name in ("a.txt", "d/b.TXT", "d/c.pdf", "d/_e.txt", "x.txty"):
+        put(tmp_path, name, name.encode())
+    os.symlink(tmp_path / "a.txt", tmp_path / "link.txt")
+    got = files.scan(spark, str(tmp_path), files.any_case_glob((".txt",)), in_tasks=True).collect()
+    assert {os.path.relpath(r.path.removeprefix("file:"), tmp_path): bytes(r.content) for r in got} == {
+        n: n.encode() for n in ("a.txt", "d/b.TXT", "d/_e.txt")
+    }
+    plan = queries.document_scan(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "MapInArrow" in plan
+
+
+def test_rows_of_one_id_have_a_file_each(spark, tmp_path):
+    from docloom.plans import queries
+
+    rows = [(1, "a"), (1, "b"), (1, "b"), (-2, None), (3, "x\ny")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r.doc_id, r.length) for r in queries.document_scan(spark, str(tmp_path)).collect())
+    assert got == [(-2, 1), (1, 2), (1, 2), (1, 2), (3, 4)]
+
+
 def test_requests_through_links(spark, tmp_path):
     root, outside = tmp_path / "root", tmp_path / "outside"
     put(root, "a.pdf")
