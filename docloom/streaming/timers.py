@@ -4,7 +4,8 @@ A keyed state holds the minima that decide a job.  A started job has a timer at
 when the watermark gets there and no end is known, ``failed`` with code ``timeout`` goes out,
 with no further event of the job.  A finished job has one at the end of its retention, which
 takes it out of the state.  Events are folded per job and Arrow batch before the shuffle, so a
-job with a huge log sends few rows to its state's task.
+job with a huge log sends few rows to its state's task.  A job's rows, state and changes are plain
+rows: a data frame for each job would cost many times the work on it.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
@@ -24,6 +25,7 @@ from docloom.streaming.jobs import state_store
 # microseconds; events of one time are ordered by number, then by state.
 MINIMA = "created long, run long, run_seq long, end long, end_seq long, end_code long"
 FORGOTTEN = "forgotten"
+CHANGE = Row("job_id", "step", "status", "created_at", "started_at", "finished_at", "error_code")
 _NAMES = [f.split()[0] for f in MINIMA.split(", ")]
 _ORDER = {"created": ["created"], "run": ["run", "run_seq"], "end": ["end", "end_seq", "end_code"]}
 
@@ -64,7 +66,7 @@ class JobTimers(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("minima", MINIMA + ", step int")
 
-    def _row(self, key: tuple, s: tuple, clock: int, step: int) -> pd.DataFrame:
+    def _row(self, key: tuple, s: tuple, clock: int, step: int) -> Row:
         created, run, run_seq, end, end_seq, code = s
         started = run is not None and (end is None or (run, run_seq) < (end, end_seq))
         due = run + self.timeout if started else None
@@ -76,19 +78,16 @@ class JobTimers(StatefulProcessor):
         else:
             status = L.TERMINAL[code - 1] if end is not None else L.RUNNING if started else L.QUEUED
         finished = due if late else end
-        row = (key[0], step, status, created, run if started else None, finished, TIMEOUT if late else None)
-        names = ["job_id", "step", "status", "created_at", "started_at", "finished_at", "error_code"]
-        return pd.DataFrame([row], columns=names).astype({n: "Int64" for n in names[3:6]})
+        return CHANGE(key[0], step, status, created, run if started else None, finished, TIMEOUT if late else None)
 
-    def _finish(self, key: tuple, s: tuple, clock: int, step: int) -> Iterator[pd.DataFrame]:
+    def _finish(self, key: tuple, s: tuple, clock: int, step: int) -> Iterator[Row]:
         """Keeps and tells the state, and sets the timer that its next change waits for."""
         told = self._row(key, s, clock, step)
-        finished, run = told["finished_at"].iloc[0], told["started_at"].iloc[0]
-        if not pd.isna(finished):
+        if told.finished_at is not None:
             if self.retention is not None:
-                self._at(int(finished) + self.retention)
-        elif not pd.isna(run):
-            self._at(int(run) + self.timeout)
+                self._at(told.finished_at + self.retention)
+        elif told.started_at is not None:
+            self._at(told.started_at + self.timeout)
         self.state.update((*s, step))
         yield told
 
@@ -96,29 +95,26 @@ class JobTimers(StatefulProcessor):
         # A timer fires once the watermark is past it; rounded up to whole milliseconds.
         self.handle.registerTimer(-(-micros // 1000) - 1)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known = self.state.get()
         states = [tuple(known[:-1])] if known else []
-        for frame in rows:
-            plain = frame[_NAMES].astype(object).where(frame[_NAMES].notna(), None)
-            states += [tuple(None if v is None else int(v) for v in r) for r in plain.itertuples(index=False)]
+        states += [tuple(r[n] for n in _NAMES) for r in rows]
         clock = timerValues.getCurrentWatermarkInMs() * 1000
         yield from self._finish(key, merged(states), clock, 0)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         known = self.state.get()
         if not known:
             return
         s, step = tuple(known[:-1]), known[-1]
         clock = timerValues.getCurrentWatermarkInMs() * 1000
-        told = self._row(key, s, clock, 1)
-        finished = told["finished_at"].iloc[0]
-        if pd.isna(finished):
+        finished = self._row(key, s, clock, 1).finished_at
+        if finished is None:
             return  # a timer of a start that turned out to be void or later
         # An end past the deadline was told with its event.
         if step == 0 and s[_NAMES.index("end")] is None:
             yield from self._finish(key, s, clock, 1)
-        if self.retention is not None and int(finished) + self.retention <= clock:
+        if self.retention is not None and finished + self.retention <= clock:
             self.state.clear()
             yield self._row(key, s, clock, 2)
 
@@ -146,7 +142,7 @@ def job_changes(
     folded = placed.mapInPandas(fold_batches, f"job_id {job}, {MINIMA}, newest long")
     clocked = folded.withColumn("newest", F.timestamp_micros("newest")).withWatermark("newest", f"{int(delay_secs)} seconds")
     fields = f"job_id {job}, step int, status string, created_at long, started_at long, finished_at long, error_code string"
-    changes = clocked.groupBy("job_id").transformWithStateInPandas(
+    changes = clocked.groupBy("job_id").transformWithState(
         JobTimers(timeout_secs, retention_secs), fields, "Update", "EventTime"
     )
     return changes.withColumns({c: F.timestamp_micros(c) for c in ("created_at", "started_at", "finished_at")})

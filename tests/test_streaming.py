@@ -201,6 +201,29 @@ def test_timers_agree_with_the_ledger(spark, tmp_path):
     assert {r.job_id: tuple(r)[1:] for r in T.current_jobs(spark, out).collect()} == {r.job_id: tuple(r)[1:] for r in whole.collect()}
 
 
+def test_a_job_costs_no_data_frame():
+    """Many jobs of a row each pass through the timers' processor in plain rows."""
+    from pyspark.sql import Row
+
+    class Held:
+        value = None
+        get = lambda self: self.value
+        update = lambda self, value: setattr(self, "value", value)
+
+    class Clock:
+        registerTimer = lambda self, at: None
+        getCurrentWatermarkInMs = lambda self: 0
+
+    told, began = [], time.monotonic()
+    for n in range(20_000):
+        jobs = T.JobTimers(600, None)
+        jobs.handle, jobs.state = Clock(), Held()
+        row = Row(job_id=n, created=5, run=7, run_seq=1, end=None, end_seq=None, end_code=None, newest=7)
+        told += jobs.handleInputRows((n,), iter([row]), Clock())
+    assert time.monotonic() - began < 8  # frames took over a millisecond each
+    assert isinstance(told[3], Row) and tuple(told[3]) == (3, 0, "running", 5, 7, None, None)
+
+
 def test_a_hot_job_is_folded_before_its_state():
     import pandas as pd
 
