@@ -87,6 +87,20 @@ def test_write_tree_again_leaves_one_whole_file(spark, tmp_path):
     assert sorted((r.path.rsplit("/t/")[1], bytes(r.content)) for r in got) == [("_a/b.md", b"1"), ("c", b"")]
 
 
+def test_output_trees_go_part_by_part(spark, small, monkeypatch):
+    """Several parts give the rows of one, and leave no file of their trees."""
+    from docloom.plans import queries
+
+    roots = []
+    write = tree.write_tree
+    monkeypatch.setattr(tree, "write_tree", lambda rows, root: (roots.append(root), write(rows, root)))
+    whole = sorted(map(str, queries.collect_outputs(spark, small).collect()))
+    monkeypatch.setattr(queries, "TREE_FILES", 500)
+    parted = queries.collect_outputs(spark, small)
+    assert len(roots) == 1 + 3 and [os.listdir(r) for r in roots[1:]] == [[], [], []]
+    assert sorted(map(str, parted.collect())) == whole
+
+
 def test_scan_in_tasks_takes_no_listing_of_the_driver(spark, small, tmp_path):
     from docloom.plans import queries
     from docloom.sources import files
