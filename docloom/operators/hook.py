@@ -6,6 +6,7 @@ import functools
 import json
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -17,6 +18,7 @@ from docloom.operators.supervise import Supervised
 
 Parser = Callable[[str, bytes, dict], tuple[str, int | None]]
 
+PATIENCE_SECS = 0.2
 FLUSH_CHARS = 16 * 1024 * 1024
 PARSED_FIELDS = "markdown string, page_count bigint, error_code string, error string, elapsed_ms bigint"
 
@@ -50,9 +52,48 @@ def _attempt(parser: Parser, name: str, content: bytes, options: str | None) ->
         return None, None, PARSE_FAILED, f"{type(exc).__name__}: {exc}"
 
 
+def _clocked(one: Callable, row: dict) -> tuple:
+    """A document's row, its outcome and the milliseconds it took."""
+    if row["error_code"] is not None:
+        return row, (None, None, row["error_code"], row["error"]), 0
+    if isinstance(one, Supervised):
+        one.ready()
+    began = time.monotonic()
+    parsed = one(row["name"], row["content"], row["options"])
+    return row, parsed, int(1000 * (time.monotonic() - began))
+
+
+def _abreast(rows: Iterator[dict], children: list[Supervised], patience: float) -> Iterator[tuple]:
+    """What ``_clocked`` gives for each row; one that keeps its child long does not hold up the rest.
+
+    Documents go one by one to the same child.  When one takes longer than ``patience``, the
+    next goes to another child, which only then is started, as long as there is one.
+    """
+    free, slow, pending = list(children), set(), {}
+    with ThreadPoolExecutor(len(children)) as pool:
+        try:
+            for row in rows:
+                while pending and (not free or pending.keys() - slow):
+                    done, rest = wait(pending, patience if free else None, FIRST_COMPLETED)
+                    for call in done:
+                        free.append(pending.pop(call))
+                        yield call.result()
+                    slow = set(rest) if not done else slow & rest
+                child = free.pop()
+                pending[pool.submit(_clocked, child, row)] = child
+            while pending:
+                for call in wait(pending, None, FIRST_COMPLETED).done:
+                    del pending[call]
+                    yield call.result()
+        finally:
+            wait(pending)
+            # In a thread of the pool, as a child dies with the thread that has started it.
+            list(pool.map(Supervised.stop, children))
+
+
 def parse_documents(
     docs: DataFrame, keep: list[str], parser: Parser = decode_text,
-    timeout_secs: float | None = None, grace_secs: float = KILL_GRACE_SECS,
+    timeout_secs: float | None = None, grace_secs: float = KILL_GRACE_SECS, abreast: int = 1,
 ) -> DataFrame:
     """Adds ``markdown, page_count``, the outcome and ``elapsed_ms`` to each document.
 
@@ -62,7 +103,9 @@ def parse_documents(
 
     With ``timeout_secs`` the parser runs in a child of the task, which is ended with all it
     has started when a document takes longer, or ``grace_secs`` after that; its death costs that document only.
-    The built-in decoder needs no child.
+    The built-in decoder needs no child.  With ``abreast`` of more than one, a task has so many
+    children at most, started only while others keep their document long: for parsers that may
+    wait or hang, and have room (cores, memory, models) for so many in each task.
     """
     attempt = functools.partial(_attempt, parser)
     hard = timeout_secs is not None and parser is not decode_text
@@ -80,29 +123,27 @@ def parse_documents(
         if not hard:
             yield from parsed_frames(batches, attempt)
             return
-        child = Supervised(packed, timeout_secs, grace_secs)
+        children = [Supervised(packed, timeout_secs, grace_secs) for _ in range(abreast)]
+        if abreast > 1:
+            rows = (row for batch in batches for row in batch.to_dict("records"))
+            yield from framed(_abreast(rows, children, PATIENCE_SECS))
+            return
         try:
-            yield from parsed_frames(batches, child)
+            yield from parsed_frames(batches, children[0])
         finally:
-            child.stop()
+            children[0].stop()
 
     def parsed_frames(batches: Iterator[pd.DataFrame], one: Callable) -> Iterator[pd.DataFrame]:
+        yield from framed(_clocked(one, row) for batch in batches for row in batch.to_dict("records"))
+
+    def framed(outcomes: Iterator[tuple]) -> Iterator[pd.DataFrame]:
         rows, held = [], 0
-        for batch in batches:
-            for row in batch.to_dict("records"):
-                if hard and row["error_code"] is None:
-                    one.ready()
-                began = time.monotonic()
-                if row["error_code"] is not None:
-                    parsed = (None, None, row["error_code"], row["error"])
-                else:
-                    parsed = one(row["name"], row["content"], row["options"])
-                spent = int(1000 * (time.monotonic() - began))
-                rows.append((*[row[c] for c in ordered], *parsed, spent))
-                held += len(parsed[0] or "")
-                if held >= FLUSH_CHARS or len(rows) >= 1000:
-                    yield frame(rows)
-                    rows, held = [], 0
+        for row, parsed, spent in outcomes:
+            rows.append((*[row[c] for c in ordered], *parsed, spent))
+            held += len(parsed[0] or "")
+            if held >= FLUSH_CHARS or len(rows) >= 1000:
+                yield frame(rows)
+                rows, held = [], 0
         if rows:
             yield frame(rows)
 

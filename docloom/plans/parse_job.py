@@ -91,15 +91,16 @@ def _capped(parsed: DataFrame, max_bytes: int) -> DataFrame:
 
 def parse_single(
     documents: DataFrame, limits: Limits, parser: Parser, office_readable: bool = True,
-    options: str | None = None, host: Host = Host(),
+    options: str | None = None, host: Host = Host(), abreast: int = 1,
 ) -> DataFrame:
     """``path, content`` and perhaps ``options`` to results.  No shuffle: every step is
-    row-local, so the same plan runs on a stream of files."""
+    row-local, so the same plan runs on a stream of files.  ``abreast``: see ``parse_documents``."""
     named = documents.withColumn("name", N.base_name(F.col("path")))
     routed = _routed(_with_options(named, options, host), office_readable)
     parsed = _capped(
         parse_documents(
-            routed, ["path", "name", "missing_dependencies", "parse_backend"], parser, limits.timeout_secs
+            routed, ["path", "name", "missing_dependencies", "parse_backend"], parser, limits.timeout_secs,
+            abreast=abreast,
         ),
         limits.max_output_bytes,
     )

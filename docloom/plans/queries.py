@@ -44,6 +44,8 @@ SHARED_BUDGET, SHARED_MIN_TEXT = 3_000, 500
 TIMEOUT_SECS, RETAINED_SECS = 600, 86_400
 # One document in so many hangs, the next one's parser dies.
 ODD_PARSES, HANG_SECS = 389, 3
+# A parser that hangs only waits: so many may in a task before it has to.
+HANGS_ABREAST = 8
 CEILING = 30_000
 FILE_FOLDERS = 256
 # Files of output trees on disk at a time.
@@ -520,7 +522,10 @@ def parse_job_supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("markdown").cast("binary").alias("content"),
     )
     limits = Limits(max_output_bytes=SHARED_BUDGET, min_text_bytes=SHARED_MIN_TEXT, timeout_secs=HANG_SECS)
-    results = parse_single(docs.repartition(8, "path"), limits, _odd_parser(), office_readable=False)
+    tasks = max(8, 2 * spark.sparkContext.defaultParallelism)
+    results = parse_single(
+        docs.repartition(tasks, "path"), limits, _odd_parser(), office_readable=False, abreast=HANGS_ABREAST
+    )
     return flat_results(results.drop("missing_dependencies"))
 
 

@@ -112,3 +112,18 @@ def test_jobs_go_on_after_a_hang(spark):
     assert rows["/d/a.zip"].error_code == "timeout" and rows["/d/b.zip"].result.markdown == "# 1.pdf\n\nONE"
     time.sleep(0.5)
     assert below() <= before
+
+
+def test_hangs_do_not_hold_up_the_rest(spark):
+    """One task: several documents hang at a time, all others are parsed meanwhile."""
+    texts = ["hang" if i % 5 == 2 else f"t{i}" for i in range(40)]
+    docs = spark.createDataFrame([(f"/d/{i}.pdf", t.encode()) for i, t in enumerate(texts)], "path string, content binary").coalesce(1)
+    before, began = below(), time.monotonic()
+    rows = {r.path: r for r in parse_single(docs, Limits(timeout_secs=3), make_parser(), abreast=8).collect()}
+    assert time.monotonic() - began < 8 * 3  # one after the other they take as long as that
+    for i, text in enumerate(texts):
+        row = rows[f"/d/{i}.pdf"]
+        assert (row.error_code == "timeout") if text == "hang" else (row.result.markdown == text.upper())
+    assert len(rows) == 40
+    time.sleep(0.5)
+    assert below() <= before
