@@ -14,6 +14,7 @@ any store Spark reaches will do, and a lost task leaves nothing behind.
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import zlib
@@ -40,12 +41,25 @@ SEGMENT = 256 * BLOCK
 SHARD_BYTES = 32 << 20
 END_ID = 2
 CACHE_BYTES = 192 << 20
+ENTRY_BYTES = 150
 PIECE_CHARS = 1 << 20
 
 
 # --- Words -------------------------------------------------------------------------------
 
 
+@functools.cache
+def _short_widths() -> np.ndarray:
+    return np.array([n.bit_length() for n in range(1 << 16)], np.uint8)
+
+
+def widths_of(ids: np.ndarray) -> np.ndarray:
+    """The bits each id takes; 61 stands for all beyond 60."""
+    if not ids.size or int(ids.max()) < 1 << 16:
+        return _short_widths()[ids.astype(np.int64)]
+    return np.searchsorted(np.uint64(1) << np.arange(61, dtype=np.uint64), ids, "right").astype(np.uint8)
+
+
 def pack(ids: np.ndarray, before: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(words, first word of each block, exceptions)`` of unsigned ids.
 
@@ -57,7 +71,7 @@ def pack(ids: np.ndarray, before: int = 0) -> tuple[np.ndarray, np.ndarray, np.n
     flat[: ids.size] = ids
     grid[:, :BLOCK] = flat.reshape(blocks, BLOCK)
     sizes = np.minimum(BLOCK, ids.size - BLOCK * np.arange(blocks))
-    widths = np.searchsorted(np.uint64(1) << np.arange(61, dtype=np.uint64), grid, "right").astype(np.uint8)
+    widths = widths_of(grid)
 
     # At every id, the selector that takes most of those from there on.
     chosen = np.where(widths[:, :BLOCK] > 60, 0, 1).astype(np.uint8)
@@ -223,6 +237,17 @@ class ShardView:
 # --- Ids of texts ------------------------------------------------------------------------
 
 
+class Remembered(dict):
+    """Ids by chunk; asked for chunks that it lacks, it gives none and notes them."""
+
+    def __init__(self):
+        self.lacking: set[str] = set()
+
+    def __missing__(self, chunk: str) -> bytes:
+        self.lacking.add(chunk)
+        return b""
+
+
 class ChunkIds:
     """Ids of texts by the library, each blank-separated chunk asked for once while remembered.
 
@@ -236,36 +261,45 @@ class ChunkIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.size = 0
+        self.tokenize = self.tokenizer.model.tokenize
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.marks, self.size = Remembered(), {}, 0
 
     def _word(self, word: str) -> bytes:
         """The ids of a normalised word of byte symbols."""
-        found = self.words[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
-        return found
+        return array("I", [t.id for t in self.tokenize(word)]).tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
-        known, words, match = self.known, self.words, PLAIN.fullmatch
-        size = 0
+        known, marks, match = self.known, self.marks, PLAIN.fullmatch
+        before, size = len(known) + len(marks), 0
         for chunk in chunks:
-            tail = b""
+            end = None
             if chunk.isascii() and chunk.isalpha():
                 word = chunk.lower()
             elif plain := match(chunk):  # what the library's normaliser and splitter make of the usual chunk
                 word, end = plain.groups()
                 word = word.lower()
-                if not word.isascii():
-                    word = word.encode().decode("latin-1").translate(_SYMBOLS)
-                if end:
-                    tail = words.get(end) or self._word(end)
             else:
                 known[chunk] = ids = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
                 size += 4 * len(chunk) + len(ids)
                 continue
-            known[chunk] = (words.get(word) or self._word(word)) + tail
-            size += 2 * len(chunk) + len(word)
-        self.size += size + 400 * len(chunks)
+            ids = known.get(word)  # a word in lower case is a chunk too
+            if ids is None:
+                symbols = word if word.isascii() else word.encode().decode("latin-1").translate(_SYMBOLS)
+                ids = known[word] = self._word(symbols)
+                size += len(word) + len(ids)
+            if end:
+                tail = marks.get(end)
+                if tail is None:
+                    tail = marks[end] = self._word(end)
+                    size += len(end) + len(tail)
+                ids += tail
+            if word != chunk:
+                known[chunk] = ids
+                size += len(chunk) + len(ids)
+        self.size += size + ENTRY_BYTES * (len(known) + len(marks) - before)
 
     def ids(self, text: str):
         """The ids of a text, as arrays of a bounded number of chunks."""
@@ -279,12 +313,13 @@ class ChunkIds:
             chunks = text[at:end].replace("\n", " ").split(" ")
             at = end
             if self.size > CACHE_BYTES:
-                self.known, self.words, self.size = {}, {}, 0
-            try:
-                found = b"".join(map(self.known.__getitem__, chunks))
-            except KeyError:
-                self._learn(set(chunks).difference(self.known))
-                found = b"".join(map(self.known.__getitem__, chunks))
+                self._forget()
+            known = self.known
+            found = b"".join(map(known.__getitem__, chunks))
+            if known.lacking:
+                self._learn(known.lacking)
+                known.lacking = set()
+                found = b"".join(map(known.__getitem__, chunks))
             yield np.frombuffer(found, np.uint32)
 
 
