@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 EXTENSIONS = (".pdf", ".PDF", ".docx", ".png", ".tiff", ".xlsx", ".doc", ".xyz", ".zip", ".tar.gz")
 ARCHIVE_BLOCK = 1000
+PACKED_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,8 +46,13 @@ def markdown_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").withColumn("markdown", markdown())
 
 
-def entries(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
-    """Archive entries with their text as content; some names and kinds are bad."""
+def entries(
+    spark: SparkSession, sf_dir: str, with_text: bool = True, tasks: int | None = None
+) -> DataFrame:
+    """Archive entries with their text as content; some names and kinds are bad.
+
+    ``tasks``: how many share the archives, if Spark is not to decide.
+    """
     docs = table(spark, sf_dir, "documents")
     doc = F.col("doc_id")
     block = F.floor(doc / ARCHIVE_BLOCK).cast("string")
@@ -57,9 +63,11 @@ def entries(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFra
         .when(doc % 53 == 3, F.concat(F.lit("./"), F.replace(file_name(), F.lit("/"), F.lit("//"))))
         .otherwise(file_name())
     )
+    docs = docs.withColumn("archive", F.concat("source", F.lit("-"), block))
+    if tasks is not None:
+        docs = docs.repartition(tasks, "archive")
     return (
-        docs.withColumn("archive", F.concat("source", F.lit("-"), block))
-        .withColumn("container", F.when(F.floor(doc / ARCHIVE_BLOCK) % 2 == 0, "zip").otherwise("tar"))
+        docs.withColumn("container", F.when(F.floor(doc / ARCHIVE_BLOCK) % 2 == 0, "zip").otherwise("tar"))
         .withColumn("kind", F.when(doc % 499 == 11, "symlink").when(doc % 83 == 1, "dir").otherwise("file"))
         .withColumn("declared_size", F.octet_length("text").cast("bigint"))
         .withColumn("name", name)
@@ -236,9 +244,12 @@ def told_job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``entries`` packed into real zip and tar files, one row per archive.
 
-    An archive holds at most a thousand documents, so no group can outgrow a task.
+    An archive holds at most a thousand documents, so no group can outgrow a task; and the
+    tasks grow with the bytes, so none gets many archives and hands them on at once.
     """
-    rows = entries(spark, sf_dir).select(
+    size = table(spark, sf_dir, "documents").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // PACKED_BYTES))
+    rows = entries(spark, sf_dir, tasks=tasks).select(
         "archive", "container", "ordinal", "name", "kind", F.col("text").cast("binary").alias("content")
     )
     return rows.groupBy("archive", "container").applyInPandas(_pack, "path string, content binary")

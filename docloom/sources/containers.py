@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.functions import udtf
 
@@ -30,7 +31,9 @@ ENTRY_FIELDS = (
     "content binary, error_code string, error string"
 )
 ENTRY_COLUMNS = [f.split()[0] for f in ENTRY_FIELDS.split(", ")]
-FLUSH_BYTES = 16 * 1024 * 1024
+ARROW_TYPES = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
+ENTRY_TYPES = [ARROW_TYPES[f.split()[1]] for f in ENTRY_FIELDS.split(", ")]
+FLUSH_BYTES = 4 * 1024 * 1024
 FLUSH_ROWS = 1000
 UNIX_LINK = 0o120000
 
@@ -141,6 +144,11 @@ def _frame(rows: list[tuple], *more: str) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["archive", *ENTRY_COLUMNS, *more])
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.string(), *ENTRY_TYPES])]
+    return pa.RecordBatch.from_arrays(columns, ["archive", *ENTRY_COLUMNS])
+
+
 def expand_archives(
     archives: DataFrame,
     max_members: int = Limits.max_archive_members,
@@ -148,25 +156,26 @@ def expand_archives(
 ) -> DataFrame:
     """``path, content`` to ``archive`` plus the entry columns.
 
-    Rows are handed back in small batches, so a task holds one archive and one
-    batch of entries at a time.
+    Archives are taken out of Spark's batch one by one and rows are handed back in small
+    batches, so a task holds the batch as it came, one archive and a few entries at a time.
     """
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for path, content in zip(*batch.columns):
+                path = path.as_py()
                 label = path.rsplit("/", 1)[-1]
-                for entry in read_entries(label, content, max_members, max_bytes):
+                for entry in read_entries(label, content.as_py(), max_members, max_bytes):
                     rows.append((path, *entry))
                     held += len(entry[5] or b"")
                     if held >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
-                        yield _frame(rows)
+                        yield _batch(rows)
                         rows, held = [], 0
         if rows:
-            yield _frame(rows)
+            yield _batch(rows)
 
-    return archives.select("path", "content").mapInPandas(
+    return archives.select("path", "content").mapInArrow(
         expand, schema=f"archive string, {ENTRY_FIELDS}"
     )
 
