@@ -27,7 +27,7 @@ from docloom.plans.parse_job import parse_requests as run_requests
 from docloom.session import stage_path
 from docloom.sources import files, sinks, tree
 from docloom.sources.containers import expand_archives, expand_files, register_expand_archive
-from docloom.streaming.documents import many_files, shape_stream, write_stream
+from docloom.streaming.documents import many_files, shape_stream, write_stream, write_streams
 from docloom.streaming.jobs import compact_folds, latest_jobs, start_job_fold
 from docloom.streaming.timers import current_jobs, start_job_timers
 
@@ -48,6 +48,8 @@ ODD_PARSES, HANG_SECS = 389, 3
 HANGS_ABREAST = 8
 CEILING = 30_000
 FILE_FOLDERS = 256
+# Any name of a folder fits one of them.
+FOLDER_SHARES = ("*[01]", "*[23]", "*[45]", "*[67]", "*[!0-7]")
 # Files of output trees on disk at a time.
 TREE_FILES = 250_000
 # Bounded ledgers: the default of 64, and one larger than the live jobs.
@@ -400,12 +402,13 @@ def document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files as a stream of arrivals, some hundred a batch."""
-    arriving = files.stream_documents(spark, _document_files(spark, sf_dir), "*.txt", files_per_batch=400)
-    out = stage_path(spark, "document-stream")
+    """The same files as streams of arrivals, some hundred a batch, each of a share of the folders."""
+    root = _document_files(spark, sf_dir)
+    shares = [f"{root}/{s}" for s in FOLDER_SHARES] if tree.opened_by_tasks(spark, root) else [root]
+    arriving = [files.stream_documents(spark, s, "*.txt", files_per_batch=400) for s in shares]
+    out, log = stage_path(spark, "document-stream"), stage_path(spark, "document-stream-log")
     with many_files(spark):
-        write_stream(_file_digests(arriving), out, stage_path(spark, "document-stream-log")).awaitTermination()
-    return spark.read.parquet(out)
+        return write_streams([_file_digests(a) for a in arriving], out, log)
 
 
 def collect_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
