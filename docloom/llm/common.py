@@ -37,15 +37,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def unstage(*stages: DataFrame) -> None:
-    """Removes written stages that nothing reads any more, and shuffle files with them.
-
-    Spark drops the files of a shuffle once the driver's garbage collector has found that no
-    plan needs it, so it is asked to look.
-    """
+    """Removes written stages that nothing reads any more, and shuffle files with them."""
     for df in stages:
         delete(df.sparkSession, df._stage)
+    sweep(stages[0].sparkSession)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Has the files of finished shuffles removed, as after a stage is written.
+
+    Spark drops them once the driver's garbage collector has found that no plan needs them, so
+    it is asked to look.
+    """
     gc.collect()
-    stages[0].sparkSession.sparkContext._jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
 
 
 def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:

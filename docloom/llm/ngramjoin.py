@@ -12,6 +12,8 @@ costs rows by its sets, not by its links.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +25,7 @@ from docloom.llm.common import (
     sieve,
     space_words,
     staged,
+    sweep,
     text_mark,
     text_or_empty,
     unstage,
@@ -30,6 +33,7 @@ from docloom.llm.common import (
     word_hashes,
 )
 from docloom.llm.components import components
+from docloom.session import settings
 
 WORDS = 5
 # Links have 100 * intersection >= 80 * union: the overlap is at least 4 (n + m) / 9.
@@ -37,8 +41,10 @@ HOT_SHARE = 2000
 HOT_TOKENS = 200_000
 FANOUT = 16
 PAGE = 1024
+TOKEN_BITS = 1.5
 MAX_BITS = 1 << 13
 PAGE_BYTES = 16 << 20
+OWNED_PARTS = 4
 MAP_WORDS = 1 << 23
 _ODD = np.random.default_rng(21).integers(1, 1 << 63, WORDS + 3, dtype=np.uint64) | np.uint64(1)
 
@@ -68,9 +74,13 @@ def digest(s: np.ndarray) -> tuple[int, bytes]:
 
 
 def signature(s: np.ndarray) -> bytes:
-    """Bitmap of the tokens' low bits, about three bits per token, a power of two wide."""
+    """Bitmap of the tokens' low bits, a power of two wide: ``TOKEN_BITS`` to twice as many per token.
+
+    Two sets without common tokens share under half of their bits at that; more width would
+    rule out few pairs more, and the bitmaps are most of what the groups move.
+    """
     width = 64
-    while width < 3 * s.size and width < MAX_BITS:
+    while width < TOKEN_BITS * s.size and width < MAX_BITS:
         width *= 2
     bits = np.zeros(width, bool)
     bits[(s & np.uint64(width - 1)).astype(np.int64)] = True
@@ -431,23 +441,23 @@ def open_cuts(placed: DataFrame) -> DataFrame:
 
     Of cuts with the same members (the tokens of one passage) one is kept.
     """
-    placed = placed.select("token", "slot", "node", "n", "home", F.xxhash64("node").alias("_h")).repartition("token", "slot")
+    member = F.xxhash64("node")
     cuts = (
         placed.groupBy("token", "slot")
         .agg(
             F.count("*").alias("rows"),
             F.count_if("home").alias("at_home"),
-            F.min("_h").alias("low"),
-            F.max("_h").alias("high"),
-            F.bit_xor(F.xxhash64("node", "home")).alias("one"),
-            F.bit_xor(F.xxhash64(F.lit(9), "node", "home")).alias("two"),
+            F.min(member).alias("low"),
+            F.max(member).alias("high"),
+            F.bit_xor(F.xxhash64("node", "home", "n")).alias("one"),
+            F.bit_xor(F.xxhash64(F.lit(9), "node", "home", "n")).alias("two"),
         )
         .filter("rows > 1 and at_home > 0 and low != high")
         .groupBy("slot", "rows", "one", "two")
         .agg(F.min("token").alias("token"))
         .select("token", "slot", "rows")
     )
-    return placed.drop("_h").join(cuts, ["token", "slot"])
+    return placed.join(cuts, ["token", "slot"])
 
 
 def _dealt(cuts: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -645,16 +655,25 @@ def find_links(docs: DataFrame, profile: DataFrame, classes: DataFrame) -> DataF
     ``root`` is a class of the same component; together they connect every component.
     """
     hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(profile))
+    sweep(docs.sparkSession)
     blocks = staged(shared_tokens(prefix_tokens(docs, hot)), "jaccard-blocks")
+    sweep(docs.sparkSession)
     members = blocks.join(classes.select("key", "node", "n"), "key").select("token", "node", "n")
-    cuts = staged(open_cuts(block_cuts(members)), "jaccard-cuts")
+    # Members move by token once; their two bands are made, counted and met with the counts there.
+    with settings(docs.sparkSession, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}):
+        cuts = staged(open_cuts(block_cuts(members.repartition("token"))), "jaccard-cuts")
     unstage(blocks)
     paired = staged(paired_sets(cuts, classes), "jaccard-paired")
     unstage(cuts)
     firsts = staged(sets_of(docs, classes, paired.select("node"), hot), "jaccard-firsts")
-    own = staged(owned_sets(paired, classes, firsts, hot), "jaccard-owned")
+    part = F.pmod(F.xxhash64(*GROUP), F.lit(OWNED_PARTS))
+    owns = []
+    for k in range(OWNED_PARTS):  # whole groups, a part's first tokens on disk at a time
+        owns.append(staged(owned_sets(paired.where(part == k), classes, firsts, hot), "jaccard-owned"))
+        sweep(docs.sparkSession)
+    own = functools.reduce(DataFrame.unionAll, owns)
     unstage(paired, firsts)
     sets = staged(sets_of(docs, classes, own.select("node")), "jaccard-sets")
     links = staged(count_in_groups(own, sets, hot), "jaccard-links")
-    unstage(own, sets)
+    unstage(*owns, sets)
     return links
