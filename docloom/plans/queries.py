@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,8 @@ CEILING = 30_000
 FILE_FOLDERS = 256
 # Any name of a folder fits one of them.
 FOLDER_SHARES = ("*[01]", "*[23]", "*[45]", "*[67]", "*[!0-7]")
+# Files of a lot, and lots that streams take side by side: the driver knows each file by name while they run.
+LOT_FILES, LOTS_ABREAST = 100_000, 2
 # Files of output trees on disk at a time; where there are more, those of a part, which is gone
 # before the system writes its files out and so is removed in a fraction of the time.
 TREE_FILES, PART_FILES = 1_000_000, 200_000
@@ -375,15 +378,22 @@ def job_retention_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files, containers, parser hook -----------------------------------------
 
 
-def _document_files(spark: SparkSession, sf_dir: str) -> str:
-    """A tree with one text file per document row, a line each, spread over so many folders."""
+def _document_files(spark: SparkSession, sf_dir: str, lots: int | None = None) -> str:
+    """A tree with one text file per document row, a line each, spread over so many folders.
+
+    With ``lots``, so many trees beside one another share the files evenly.
+    """
     root = stage_path(spark, "document-files")
     docs = inp.table(spark, sf_dir, "documents").select("doc_id", "text")
     if tree.opened_by_tasks(spark, root):
         # Rows of one id have a file each; a task that is run again writes the same names.
-        row = F.monotonically_increasing_id()
+        docs = docs.withColumn("row", F.monotonically_increasing_id())
         folder = F.pmod(F.xxhash64("doc_id"), F.lit(FILE_FOLDERS))
-        name = F.format_string("part=%d/doc_id=%d.%d.txt", folder, "doc_id", row)
+        name = F.format_string("part=%d/doc_id=%d.%d.txt", folder, "doc_id", "row")
+        if lots is not None:
+            # By row as well, as one id may have any number of them.
+            lot = F.pmod(F.xxhash64("row", "doc_id"), F.lit(lots))
+            name = F.concat(F.format_string("lot=%d/", lot), name)
         line = F.concat(F.coalesce("text", F.lit("")), F.lit("\n"))
         tree.write_tree(docs.select(name.alias("file"), line.cast("binary").alias("content")), root)
     else:
@@ -403,13 +413,24 @@ def document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files as streams of arrivals, some hundred a batch, each of a share of the folders."""
-    root = _document_files(spark, sf_dir)
-    shares = [f"{root}/{s}" for s in FOLDER_SHARES] if tree.opened_by_tasks(spark, root) else [root]
-    arriving = [files.stream_documents(spark, s, "*.txt", files_per_batch=400) for s in shares]
+    """The same files as streams of arrivals, some hundred a batch, each of a share of the folders.
+
+    A file source keeps the name of every file it has seen on the driver, so the files come in
+    lots of about ``LOT_FILES``, and the streams of some lots end before those of the next begin.
+    """
+    lots = max(1, -(-inp.table(spark, sf_dir, "documents").count() // LOT_FILES))
+    root = _document_files(spark, sf_dir, lots)
+    places = [[root]]
+    if tree.opened_by_tasks(spark, root):
+        abreast = [range(n, min(n + LOTS_ABREAST, lots)) for n in range(0, lots, LOTS_ABREAST)]
+        places = [[f"{root}/lot={n}/{s}" for n in some for s in FOLDER_SHARES] for some in abreast]
     out, log = stage_path(spark, "document-stream"), stage_path(spark, "document-stream-log")
+    found = []
     with many_files(spark):
-        return write_streams([_file_digests(a) for a in arriving], out, log)
+        for n, shares in enumerate(places):
+            arriving = [files.stream_documents(spark, s, "*.txt", files_per_batch=400) for s in shares]
+            found.append(write_streams([_file_digests(a) for a in arriving], f"{out}/lots={n}", f"{log}/lots={n}"))
+    return reduce(DataFrame.unionAll, found)
 
 
 def collect_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
